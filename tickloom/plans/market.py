@@ -22,13 +22,29 @@ HISTORY_DT = dt.date(2001, 12, 31)
 # The boards screened by default.
 BOARDS = ("2", "3")
 
-MONEY = "decimal(10,2)"
+# Up to eight digits, a decimal sum runs on plain longs.
+MONEY = "decimal(8,2)"
 
 
 def _sum_if(condition: Column, value: Column) -> Column:
     return F.sum(F.when(condition, value).otherwise(0))
 
 
+def _sequence_key(*parts: tuple[Column, int]) -> Column:
+    """Several non-negative integers as one decimal that sorts like the tuple.
+
+    ``parts`` are (column, decimal digits). A decimal fits into the fixed-width
+    aggregation buffer, so min_by/max_by on it run as a hash aggregate, where a
+    struct key would need a sort before each aggregation step.
+    """
+    key = None
+    for column, digits in parts:
+        number = column.cast(f"decimal({digits},0)")
+        shifted = F.lit(0) if key is None else key * F.lit(10**digits).cast("decimal(19,0)")
+        key = (shifted + number).cast("decimal(38,0)")
+    return key
+
+
 class Market:
     """Lazy frames over one folder of parquet tables."""
 
@@ -45,6 +61,7 @@ class Market:
             "event_id",
             "ts",
             "event_type",
+            "user_id",
             F.col("user_id").cast("string").alias("code"),
             F.to_date("ts").alias("ds"),
             F.col("value").cast(MONEY).alias("v"),
@@ -60,9 +77,10 @@ class Market:
     @cached_property
     def detail(self) -> DataFrame:
         """One row per user and day."""
-        at = F.struct("ts", "event_id")
+        micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
+        at = _sequence_key((micros, 19), (F.col("event_id"), 18))
         kind, flow = F.col("event_type"), F.col("v") - 50
-        days = self.ev.groupBy("code", "ds").agg(
+        days = self.ev.groupBy("user_id", "ds").agg(
             F.min_by("v", at).alias("opening_price"),
             F.max_by("v", at).alias("current_price"),
             F.max("v").alias("highest"),
@@ -76,7 +94,7 @@ class Market:
             _sum_if(kind == "signup", flow).cast("decimal(18,2)").alias("mid_inflow"),
             _sum_if(kind == "error", flow).cast("decimal(18,2)").alias("small_inflow"),
         )
-        priced = days.withColumns(
+        priced = days.withColumn("code", F.col("user_id").cast("string")).withColumns(
             {
                 "dt": F.col("ds"),
                 "name": F.concat(F.lit("S"), F.col("code")),
@@ -88,22 +106,25 @@ class Market:
                 "tradable_shares": F.col("volume") * 1000,
             }
         )
-        return priced.join(self._board_of("customer", "c_custkey", "c_nationkey"), "code", "left")
+        boards = self._board_of("customer", "c_custkey", "c_nationkey")
+        return priced.drop("user_id").join(boards, "code", "left")
 
     @cached_property
     def history(self) -> DataFrame:
         """One row per supplier and ship day, several years, one snapshot."""
         lines = self._read("lineitem").select(
-            F.col("l_suppkey").cast("string").alias("code"),
+            "l_suppkey",
             F.to_date("l_shipdate").alias("ds"),
-            F.struct("l_orderkey", "l_linenumber", "l_partkey").alias("at"),
+            _sequence_key(
+                (F.col("l_orderkey"), 17), (F.col("l_linenumber"), 3), (F.col("l_partkey"), 17)
+            ).alias("at"),
             F.col("l_extendedprice").cast(MONEY).alias("v"),
             (F.col("l_discount").cast("decimal(4,2)") - F.col("l_tax").cast("decimal(4,2)")).alias(
                 "drift"
             ),
             F.col("l_quantity").cast(MONEY).alias("qty"),
         )
-        days = lines.groupBy("code", "ds").agg(
+        days = lines.groupBy("l_suppkey", "ds").agg(
             F.min_by("v", "at").alias("opening_price"),
             F.max_by("v", "at").alias("closing_price"),
             F.max("v").alias("highest"),
@@ -114,7 +135,8 @@ class Market:
             .cast("decimal(10,2)")
             .alias("up_down_rate"),
         )
-        return days.withColumns(
+        named = days.withColumn("code", F.col("l_suppkey").cast("string")).drop("l_suppkey")
+        return named.withColumns(
             {
                 "name": F.concat(F.lit("S"), F.col("code")),
                 "year": F.year("ds").cast("bigint"),
@@ -196,14 +218,20 @@ class Market:
     def finance(self) -> DataFrame:
         kind, v = F.col("event_type"), F.col("v")
         return (
-            self.ev.groupBy("code", "ds")
+            self.ev.groupBy("user_id", "ds")
             .agg(
                 _sum_if(kind == "purchase", v).cast("decimal(18,2)").alias("financing_purchase"),
                 _sum_if(kind == "click", v).cast("decimal(18,2)").alias("financing_repay"),
                 F.sum(v).cast("decimal(18,2)").alias("financing_balance"),
             )
-            .select("*", F.col("ds").alias("notice_date"), F.col("ds").alias("dt"))
-            .drop("ds")
+            .select(
+                F.col("user_id").cast("string").alias("code"),
+                "financing_purchase",
+                "financing_repay",
+                "financing_balance",
+                F.col("ds").alias("notice_date"),
+                F.col("ds").alias("dt"),
+            )
         )
 
     @cached_property
