@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import datetime as dt
 import glob
 import os
 from collections import Counter
-from decimal import Decimal
 
 import duckdb
 
-SF = os.environ.get("TICKLOOM_SF_DIR", "/root/testdata/sf0.01")
+SF = os.environ.get("TICKLOOM_SF_DIR", "/root/testdata/sf0.001")
 
 
 def connect(folder: str = SF):
@@ -21,30 +19,31 @@ def connect(folder: str = SF):
     return con
 
 
-def _plain(value):
-    if isinstance(value, dt.datetime):
-        return value.replace(tzinfo=None).isoformat()
-    if isinstance(value, float):
-        return f"{value:.6f}" if value else "0.000000"
-    if isinstance(value, Decimal):
-        return f"D{value:f}"
-    return value
+def _plain(column, kind: str) -> list:
+    values = column.to_pylist()
+    if kind == "double":
+        return [None if v is None else f"{v:.6f}" if v else "0.000000" for v in values]
+    return values
+
+
+def _rows(table, order: list[str]) -> Counter:
+    columns = [
+        _plain(table.column(c), "double" if str(table.schema.field(c).type) == "double" else "")
+        for c in order
+    ]
+    return Counter(zip(*columns, strict=True))
 
 
 def spark_rows(df):
     order = sorted(df.columns)
-    rows = Counter(tuple(_plain(v) for v in r) for r in df.select(*order).collect())
-    return order, dict(df.dtypes), rows
+    return order, dict(df.dtypes), _rows(df.toArrow(), order)
 
 
 def duck_rows(con, sql: str):
     rel = con.sql(sql)
-    columns = list(rel.columns)
-    types = dict(zip(columns, [str(t) for t in rel.types], strict=True))
-    order = sorted(columns)
-    at = [columns.index(c) for c in order]
-    rows = Counter(tuple(_plain(r[i]) for i in at) for r in rel.fetchall())
-    return order, types, rows
+    types = dict(zip(rel.columns, [str(t) for t in rel.types], strict=True))
+    order = sorted(rel.columns)
+    return order, types, _rows(rel.to_arrow_table(), order)
 
 
 SAME = {

@@ -38,17 +38,13 @@ MID = dt.date(2024, 1, 15)
 
 def shape(df: DataFrame, **types: str) -> DataFrame:
     """Cast to comparison types: money stays decimal, rates and ratios become doubles."""
-    out = []
-    for name, kind in types.items():
-        column = F.col(name)
-        if kind == R2:
-            column = column.cast("double")
-        elif kind == R6:
-            column = F.round(column, 6).cast("double")
-        else:
-            column = column.cast(kind)
-        out.append(column.alias(name))
-    return df.select(*out)
+    form = {R2: "cast({0} as double)", R6: "cast(round({0}, 6) as double)"}
+    return df.selectExpr(
+        *[
+            form.get(kind, f"cast({{0}} as {kind})").format(f"`{name}`") + f" as `{name}`"
+            for name, kind in types.items()
+        ]
+    )
 
 
 _QUERIES: dict[str, Query] = {}

@@ -10,11 +10,9 @@ from __future__ import annotations
 import datetime as dt
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.functions import pct_change
-
 # The last day covered by the events.
 AS_OF = dt.date(2024, 1, 30)
 # The snapshot label of the bulk history.
@@ -22,29 +20,53 @@ HISTORY_DT = dt.date(2001, 12, 31)
 # The boards screened by default.
 BOARDS = ("2", "3")
 
+# Columns read from each table; naming them saves a schema-inference job per read.
+TABLES = {
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+        "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+        "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz"
+    ),
+    "customer": "c_custkey bigint, c_nationkey int",
+    "supplier": "s_suppkey bigint, s_nationkey int",
+    "nation": "n_nationkey int, n_regionkey int",
+}
+
 # Up to eight digits, a decimal sum runs on plain longs.
 MONEY = "decimal(8,2)"
 
 
-def _sum_if(condition: Column, value: Column) -> Column:
-    return F.sum(F.when(condition, value).otherwise(0))
-
-
-def _sequence_key(*parts: tuple[Column, int]) -> Column:
+def _sequence_key(*parts: tuple[str, int]) -> str:
     """Several non-negative integers as one decimal that sorts like the tuple.
 
-    ``parts`` are (column, decimal digits). A decimal fits into the fixed-width
+    ``parts`` are (expression, decimal digits). A decimal fits into the fixed-width
     aggregation buffer, so min_by/max_by on it run as a hash aggregate, where a
     struct key would need a sort before each aggregation step.
     """
-    key = None
-    for column, digits in parts:
-        number = column.cast(f"decimal({digits},0)")
-        shifted = F.lit(0) if key is None else key * F.lit(10**digits).cast("decimal(19,0)")
-        key = (shifted + number).cast("decimal(38,0)")
+    key = ""
+    for expression, digits in parts:
+        number = f"cast({expression} as decimal({digits},0))"
+        moved = f"{key} * cast({10**digits} as decimal(19,0)) + " if key else ""
+        key = f"cast({moved}{number} as decimal(38,0))"
     return key
 
 
+def _flow(kind: str, name: str) -> str:
+    amount = f"sum(if(event_type = '{kind}', v - 50, 0))"
+    return f"cast({amount} as decimal(18,2)) as {name}"
+
+
+def _aggregate(df: DataFrame, keys: list[str], *measures: str) -> DataFrame:
+    return df.groupBy(*keys).agg(*[F.expr(m) for m in measures])
+
+
 class Market:
     """Lazy frames over one folder of parquet tables."""
 
@@ -53,252 +75,232 @@ class Market:
         self.folder = folder
 
     def _read(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{table}.parquet")
+        return self.spark.read.schema(TABLES[table]).parquet(f"{self.folder}/{table}.parquet")
 
     @cached_property
     def ev(self) -> DataFrame:
-        return self._read("events").select(
+        return self._read("events").selectExpr(
             "event_id",
             "ts",
             "event_type",
             "user_id",
-            F.col("user_id").cast("string").alias("code"),
-            F.to_date("ts").alias("ds"),
-            F.col("value").cast(MONEY).alias("v"),
+            "cast(user_id as string) as code",
+            "to_date(ts) as ds",
+            f"cast(value as {MONEY}) as v",
         )
 
-    def _board_of(self, table: str, key: str, nation_key: str) -> DataFrame:
-        holders, nations = self._read(table), self._read("nation")
-        return holders.join(nations, holders[nation_key] == nations["n_nationkey"]).select(
-            F.col(key).cast("string").alias("code"),
-            F.col("n_regionkey").cast("string").alias("board"),
+    def _with_board(self, df: DataFrame, table: str, key: str, nation_key: str) -> DataFrame:
+        boards = (
+            self._read(table)
+            .withColumnRenamed(nation_key, "n_nationkey")
+            .join(self._read("nation"), "n_nationkey")
+            .selectExpr(f"cast({key} as string) as code", "cast(n_regionkey as string) as board")
         )
+        return df.join(boards, "code", "left")
 
     @cached_property
     def detail(self) -> DataFrame:
         """One row per user and day."""
-        micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
-        at = _sequence_key((micros, 19), (F.col("event_id"), 18))
-        kind, flow = F.col("event_type"), F.col("v") - 50
-        days = self.ev.groupBy("user_id", "ds").agg(
-            F.min_by("v", at).alias("opening_price"),
-            F.max_by("v", at).alias("current_price"),
-            F.max("v").alias("highest"),
-            F.min("v").alias("lowest"),
-            F.count(F.lit(1)).cast("decimal(10,2)").alias("turnover_rate"),
-            F.count(F.lit(1)).alias("volume"),
-            F.sum("v").cast("decimal(18,2)").alias("amount"),
-            _sum_if(kind == "purchase", flow).cast("decimal(18,2)").alias("main_inflow"),
-            _sum_if(kind == "view", flow).cast("decimal(18,2)").alias("slarge_inflow"),
-            _sum_if(kind == "click", flow).cast("decimal(18,2)").alias("large_inflow"),
-            _sum_if(kind == "signup", flow).cast("decimal(18,2)").alias("mid_inflow"),
-            _sum_if(kind == "error", flow).cast("decimal(18,2)").alias("small_inflow"),
-        )
-        priced = days.withColumn("code", F.col("user_id").cast("string")).withColumns(
-            {
-                "dt": F.col("ds"),
-                "name": F.concat(F.lit("S"), F.col("code")),
-                "up_down_rate": pct_change(F.col("current_price"), F.col("opening_price")).cast(
-                    "decimal(18,2)"
-                ),
-                "total_market_v": F.col("amount") * 100,
-                "circulation_market_v": F.col("amount") * 60,
-                "tradable_shares": F.col("volume") * 1000,
-            }
+        micros = "timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)"
+        events = self.ev.selectExpr("*", f"{_sequence_key((micros, 19), ('event_id', 18))} as at")
+        days = _aggregate(
+            events,
+            ["user_id", "ds"],
+            "min_by(v, at) as opening_price",
+            "max_by(v, at) as current_price",
+            "max(v) as highest",
+            "min(v) as lowest",
+            "count(1) as volume",
+            "cast(sum(v) as decimal(18,2)) as amount",
+            _flow("purchase", "main_inflow"),
+            _flow("view", "slarge_inflow"),
+            _flow("click", "large_inflow"),
+            _flow("signup", "mid_inflow"),
+            _flow("error", "small_inflow"),
         )
-        boards = self._board_of("customer", "c_custkey", "c_nationkey")
-        return priced.drop("user_id").join(boards, "code", "left")
+        move = "round(try_divide((current_price - opening_price) * 100, opening_price), 2)"
+        priced = days.selectExpr(
+            "cast(user_id as string) as code",
+            "*",
+            "ds as dt",
+            "concat('S', cast(user_id as string)) as name",
+            f"cast({move} as decimal(18,2)) as up_down_rate",
+            "cast(volume as decimal(10,2)) as turnover_rate",
+            "amount * 100 as total_market_v",
+            "amount * 60 as circulation_market_v",
+            "volume * 1000 as tradable_shares",
+        ).drop("user_id")
+        return self._with_board(priced, "customer", "c_custkey", "c_nationkey")
 
     @cached_property
     def history(self) -> DataFrame:
         """One row per supplier and ship day, several years, one snapshot."""
-        lines = self._read("lineitem").select(
+        at = _sequence_key(("l_orderkey", 17), ("l_linenumber", 3), ("l_partkey", 17))
+        lines = self._read("lineitem").selectExpr(
             "l_suppkey",
-            F.to_date("l_shipdate").alias("ds"),
-            _sequence_key(
-                (F.col("l_orderkey"), 17), (F.col("l_linenumber"), 3), (F.col("l_partkey"), 17)
-            ).alias("at"),
-            F.col("l_extendedprice").cast(MONEY).alias("v"),
-            (F.col("l_discount").cast("decimal(4,2)") - F.col("l_tax").cast("decimal(4,2)")).alias(
-                "drift"
-            ),
-            F.col("l_quantity").cast(MONEY).alias("qty"),
+            "to_date(l_shipdate) as ds",
+            f"{at} as at",
+            f"cast(l_extendedprice as {MONEY}) as v",
+            f"cast(l_quantity as {MONEY}) as qty",
+            "cast(l_discount as decimal(4,2)) - cast(l_tax as decimal(4,2)) as drift",
         )
-        days = lines.groupBy("l_suppkey", "ds").agg(
-            F.min_by("v", "at").alias("opening_price"),
-            F.max_by("v", "at").alias("closing_price"),
-            F.max("v").alias("highest"),
-            F.min("v").alias("lowest"),
-            F.sum("qty").cast("decimal(18,2)").alias("volume"),
-            F.sum("v").cast("decimal(18,2)").alias("amount"),
-            F.round(F.sum("drift") * 100 / F.count(F.lit(1)), 2)
-            .cast("decimal(10,2)")
-            .alias("up_down_rate"),
-        )
-        named = days.withColumn("code", F.col("l_suppkey").cast("string")).drop("l_suppkey")
-        return named.withColumns(
-            {
-                "name": F.concat(F.lit("S"), F.col("code")),
-                "year": F.year("ds").cast("bigint"),
-                "month_day": F.date_format("ds", "MM-dd"),
-                "dt": F.lit(HISTORY_DT),
-            }
+        days = _aggregate(
+            lines,
+            ["l_suppkey", "ds"],
+            "min_by(v, at) as opening_price",
+            "max_by(v, at) as closing_price",
+            "max(v) as highest",
+            "min(v) as lowest",
+            "cast(sum(qty) as decimal(18,2)) as volume",
+            "cast(sum(v) as decimal(18,2)) as amount",
+            "cast(round(sum(drift) * 100 / count(1), 2) as decimal(10,2)) as up_down_rate",
         )
+        return days.selectExpr(
+            "cast(l_suppkey as string) as code",
+            "*",
+            "concat('S', cast(l_suppkey as string)) as name",
+            "cast(year(ds) as bigint) as year",
+            "date_format(ds, 'MM-dd') as month_day",
+            f"date'{HISTORY_DT}' as dt",
+        ).drop("l_suppkey")
 
     @cached_property
     def long_detail(self) -> DataFrame:
         """The bars in daily-detail layout, with the supplier's board."""
-        bars = self.history.select(
+        bars = self.history.selectExpr(
             "code",
             "ds",
-            F.col("ds").alias("dt"),
-            F.col("closing_price").alias("current_price"),
+            "ds as dt",
+            "closing_price as current_price",
             "opening_price",
             "up_down_rate",
-            F.col("volume").alias("turnover_rate"),
+            "volume as turnover_rate",
         )
-        return bars.join(self._board_of("supplier", "s_suppkey", "s_nationkey"), "code", "left")
+        return self._with_board(bars, "supplier", "s_suppkey", "s_nationkey")
 
     @cached_property
     def calendar(self) -> DataFrame:
         """Every day of the bars and events; weekends closed."""
-        days = (
-            self._read("lineitem")
-            .select(F.to_date("l_shipdate").alias("ds"))
-            .distinct()
-            .unionByName(self._read("events").select(F.to_date("ts").alias("ds")).distinct())
+        shipped = self._read("lineitem").selectExpr("to_date(l_shipdate) as ds").distinct()
+        happened = self._read("events").selectExpr("to_date(ts) as ds").distinct()
+        works = "weekday(ds) < 5"
+        return (
+            shipped.unionByName(happened)
             .distinct()
-        )
-        weekday = F.weekday("ds") + 1
-        works = weekday <= 5
-        return days.select(
-            "ds",
-            weekday.alias("weekday"),
-            F.weekofyear("ds").cast("bigint").alias("weekofyear"),
-            F.concat(F.lit("Z"), F.pmod(F.year("ds"), F.lit(12)).cast("string")).alias(
-                "chinesezodiac"
-            ),
-            F.when(works, 1).otherwise(0).cast("bigint").alias("astatus"),
-            F.when(works & (F.dayofmonth("ds") != 1), 1)
-            .otherwise(0)
-            .cast("bigint")
-            .alias("hkstatus"),
-            F.when(works & (F.dayofmonth("ds") != 4), 1)
-            .otherwise(0)
-            .cast("bigint")
-            .alias("usastatus"),
+            .selectExpr(
+                "ds",
+                "weekday(ds) + 1 as weekday",
+                "cast(weekofyear(ds) as bigint) as weekofyear",
+                "concat('Z', cast(year(ds) % 12 as string)) as chinesezodiac",
+                f"cast({works} as bigint) as astatus",
+                f"cast({works} and dayofmonth(ds) <> 1 as bigint) as hkstatus",
+                f"cast({works} and dayofmonth(ds) <> 4 as bigint) as usastatus",
+            )
         )
 
     @cached_property
     def notice(self) -> DataFrame:
-        return self.ev.where(F.col("event_type").isin("signup", "error"))
+        return self.ev.where("event_type in ('signup', 'error')")
 
     @cached_property
     def company_events(self) -> DataFrame:
-        return self.notice.select(
+        return self.notice.selectExpr(
             "code",
             "event_type",
-            F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("specific_eventtype"),
-            F.col("ds").alias("notice_date"),
-            F.col("ds").alias("dt"),
+            "concat('e', cast(event_id as string)) as specific_eventtype",
+            "ds as notice_date",
+            "ds as dt",
         )
 
     @cached_property
     def news(self) -> DataFrame:
-        title = F.concat(F.lit("n"), F.col("event_id").cast("string"))
-        return self.notice.select(
+        return self.notice.selectExpr(
             "code",
-            F.col("event_type").alias("medianame"),
-            F.when(F.col("event_type") == "signup", title).alias("title"),
-            F.col("ts").alias("notice_date"),
-            F.col("ds").alias("dt"),
+            "event_type as medianame",
+            "if(event_type = 'signup', concat('n', cast(event_id as string)), null) as title",
+            "ts as notice_date",
+            "ds as dt",
         )
 
     @cached_property
     def finance(self) -> DataFrame:
-        kind, v = F.col("event_type"), F.col("v")
-        return (
-            self.ev.groupBy("user_id", "ds")
-            .agg(
-                _sum_if(kind == "purchase", v).cast("decimal(18,2)").alias("financing_purchase"),
-                _sum_if(kind == "click", v).cast("decimal(18,2)").alias("financing_repay"),
-                F.sum(v).cast("decimal(18,2)").alias("financing_balance"),
-            )
-            .select(
-                F.col("user_id").cast("string").alias("code"),
-                "financing_purchase",
-                "financing_repay",
-                "financing_balance",
-                F.col("ds").alias("notice_date"),
-                F.col("ds").alias("dt"),
-            )
+        days = _aggregate(
+            self.ev,
+            ["user_id", "ds"],
+            "cast(sum(if(event_type = 'purchase', v, 0)) as decimal(18,2)) as financing_purchase",
+            "cast(sum(if(event_type = 'click', v, 0)) as decimal(18,2)) as financing_repay",
+            "cast(sum(v) as decimal(18,2)) as financing_balance",
+        )
+        return days.selectExpr(
+            "cast(user_id as string) as code",
+            "financing_purchase",
+            "financing_repay",
+            "financing_balance",
+            "ds as notice_date",
+            "ds as dt",
         )
 
     @cached_property
     def finance_text(self) -> DataFrame:
         """Financing rows as they lie in the raw layer: everything is text."""
-        none = F.lit(None).cast("string")
-        return self.finance.select(
+        return self.finance.selectExpr(
             "code",
-            F.col("financing_purchase").cast("string").alias("financing_purchase"),
-            F.col("financing_repay").cast("string").alias("financing_repay"),
-            F.col("financing_balance").cast("string").alias("financing_balance"),
-            none.alias("bond_sell"),
-            none.alias("bond_repay"),
-            none.alias("bond_balance"),
-            F.col("notice_date").cast("string").alias("notice_date"),
+            "cast(financing_purchase as string) as financing_purchase",
+            "cast(financing_repay as string) as financing_repay",
+            "cast(financing_balance as string) as financing_balance",
+            "cast(null as string) as bond_sell",
+            "cast(null as string) as bond_repay",
+            "cast(null as string) as bond_balance",
+            "cast(notice_date as string) as notice_date",
         )
 
     @cached_property
     def report(self) -> DataFrame:
         """Yearly figures per customer with the change against the year before."""
-        total = F.col("o_totalprice").cast("decimal(12,2)")
-        kept = F.col("o_orderstatus")
-        years = (
-            self._read("orders")
-            .groupBy(
-                F.col("o_custkey").cast("string").alias("code"), F.year("o_orderdate").alias("year")
-            )
-            .agg(
-                F.sum(total).cast("decimal(18,2)").alias("total_operate_income"),
-                F.max(total).alias("total_current_assets"),
-                F.min(total).alias("monetary_funds"),
-                _sum_if(kept == "F", total).cast("decimal(18,2)").alias("netcash_operate"),
-                _sum_if(kept != "O", total).cast("decimal(18,2)").alias("operate_profit"),
-            )
+        orders = self._read("orders").selectExpr(
+            "cast(o_custkey as string) as code",
+            "year(o_orderdate) as year",
+            "cast(o_totalprice as decimal(12,2)) as total",
+            "o_orderstatus as status",
         )
-        before = Window.partitionBy("code").orderBy("year")
-        measures = [c for c in years.columns if c not in ("code", "year")]
-        yoy = {
-            f"{m}_yoy": pct_change(F.col(m), F.lag(m).over(before)).cast("decimal(18,2)")
-            for m in measures
-        }
-        return years.withColumns(yoy).withColumn(
-            "report_date", F.concat(F.col("year").cast("string"), F.lit("-12-31"))
+        years = _aggregate(
+            orders,
+            ["code", "year"],
+            "cast(sum(total) as decimal(18,2)) as total_operate_income",
+            "max(total) as total_current_assets",
+            "min(total) as monetary_funds",
+            "cast(sum(if(status = 'F', total, 0)) as decimal(18,2)) as netcash_operate",
+            "cast(sum(if(status <> 'O', total, 0)) as decimal(18,2)) as operate_profit",
         )
+        measures = [c for c in years.columns if c not in ("code", "year")]
+        before = "over (partition by code order by year)"
+        moves = [f"{m} - lag({m}) {before}" for m in measures]
+        yoy = [
+            f"cast(round(try_divide(({move}) * 100, lag({m}) {before}), 2) as decimal(18,2)) "
+            f"as {m}_yoy"
+            for m, move in zip(measures, moves, strict=True)
+        ]
+        return years.selectExpr("*", *yoy, "concat(year, '-12-31') as report_date")
 
     @cached_property
     def chance(self) -> DataFrame:
-        return self.detail.select(
+        return self.detail.selectExpr(
             "code",
-            F.col("amount").cast("decimal(32,4)").alias("total_score"),
-            F.col("current_price").cast("decimal(32,4)").alias("stock_rank_ratio"),
-            F.col("ds").alias("notice_date"),
+            "cast(amount as decimal(32,4)) as total_score",
+            "cast(current_price as decimal(32,4)) as stock_rank_ratio",
+            "ds as notice_date",
             "dt",
         )
 
     @cached_property
     def deal(self) -> DataFrame:
         """Trade ticks: one per order line."""
-        flag, status = F.col("l_returnflag"), F.col("l_linestatus")
-        side = (
-            F.when(flag == "R", 2).when(flag == "A", 1).when(status == "O", 4).otherwise(0)
-        )
-        return self._read("lineitem").select(
-            F.col("l_suppkey").cast("string").alias("code"),
-            F.to_date("l_shipdate").alias("dt"),
-            side.alias("buyorsale"),
-            F.floor(F.col("l_extendedprice") / 50).cast("int").alias("draw"),
-            F.col("l_quantity").cast("decimal(7,2)").alias("deal"),
-            F.col("l_linenumber").cast("bigint").alias("dealnum"),
+        return self._read("lineitem").selectExpr(
+            "cast(l_suppkey as string) as code",
+            "to_date(l_shipdate) as dt",
+            "case when l_returnflag = 'R' then 2 when l_returnflag = 'A' then 1 "
+            "when l_linestatus = 'O' then 4 else 0 end as buyorsale",
+            "cast(floor(l_extendedprice / 50) as int) as draw",
+            "cast(l_quantity as decimal(7,2)) as deal",
+            "cast(l_linenumber as bigint) as dealnum",
         )
