@@ -30,7 +30,7 @@ def setup(spark):
 
 def test_movers_and_their_news(spark):
     d, told = setup(spark)
-    on = {"dt_": day("2024-01-02"), "boards": ["2"]}
+    on = {"day": day("2024-01-02"), "boards": ["2"]}
     assert rows(screens.movers_with_news(told, d, **on), "code", "title") == [
         ("a", None),
         ("a", "t1"),
@@ -45,7 +45,7 @@ def test_movers_and_their_news(spark):
 
 def test_one_day_equals_the_day_of_all_days(spark):
     d, told = setup(spark)
-    one = screens.movers_with_news(told, d, dt_=day("2024-01-02"))
+    one = screens.movers_with_news(told, d, day=day("2024-01-02"))
     every = screens.movers_with_news(told, d).where(F.col("dt") == day("2024-01-02"))
     assert rows(one) == rows(every)
 

@@ -21,8 +21,8 @@ SELL, BUY, PENDING = 1, 2, 4
 INFLOWS = ("main_inflow", "slarge_inflow", "large_inflow", "mid_inflow", "small_inflow")
 
 
-def _only(df: DataFrame, dt_: dt.date | None, code: str | None) -> DataFrame:
-    rows = df.where(on_day(F.col("dt"), dt_))
+def _only(df: DataFrame, day: dt.date | None, code: str | None) -> DataFrame:
+    rows = df.where(on_day(F.col("dt"), day))
     return rows if code is None else rows.where(F.col("code") == code)
 
 
@@ -30,11 +30,11 @@ def _side_sum(side: int, amount: Column) -> Column:
     return F.sum(F.when(F.col("buyorsale") == side, amount).otherwise(0))
 
 
-def side_pivot(deal: DataFrame, dt_: dt.date | None = None, code: str | None = None) -> DataFrame:
+def side_pivot(deal: DataFrame, day: dt.date | None = None, code: str | None = None) -> DataFrame:
     """Trade count, volume and money per code, bought and sold."""
     money = F.col("draw") * F.col("deal")
     return (
-        _only(deal, dt_, code)
+        _only(deal, day, code)
         .groupBy("code")
         .agg(
             _side_sum(BUY, F.col("dealnum")).alias("buy1"),
@@ -48,12 +48,12 @@ def side_pivot(deal: DataFrame, dt_: dt.date | None = None, code: str | None = N
 
 
 def side_amount(
-    deal: DataFrame, dt_: dt.date | None = None, code: str | None = None, lot: int = 100
+    deal: DataFrame, day: dt.date | None = None, code: str | None = None, lot: int = 100
 ) -> DataFrame:
     """Money per code bought, sold and pending; ``draw`` counts lots of ``lot`` shares."""
     money = F.col("draw") * F.col("deal") * lot
     return (
-        _only(deal, dt_, code)
+        _only(deal, day, code)
         .groupBy("code")
         .agg(
             _side_sum(BUY, money).alias("buy"),
@@ -65,14 +65,14 @@ def side_amount(
 
 def lot_histogram(
     deal: DataFrame,
-    dt_: dt.date | None = None,
+    day: dt.date | None = None,
     code: str | None = None,
     edges: Sequence[int] = (10, 99, 999),
     overflow: int = 9999,
 ) -> DataFrame:
     """Number of ticks per size class, labelled by the class's upper edge."""
     return (
-        _only(deal, dt_, code)
+        _only(deal, day, code)
         .groupBy(lot_bucket(F.col("draw"), edges, overflow).alias("bucket"))
         .agg(F.count(F.lit(1)).alias("cnt"))
     )
@@ -82,9 +82,9 @@ def _total(columns: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a + b, columns)
 
 
-def flow_total(detail: DataFrame, dt_: dt.date | None = None, code: str | None = None) -> DataFrame:
+def flow_total(detail: DataFrame, day: dt.date | None = None, code: str | None = None) -> DataFrame:
     """Sum of the five inflows per row."""
-    return _only(detail, dt_, code).select(
+    return _only(detail, day, code).select(
         "code", "dt", _total([F.col(c) for c in INFLOWS]).alias("total_inflow")
     )
 
@@ -101,10 +101,10 @@ def flow_share(
     return rows.select("ds", "code", *shares, "up_down_rate").orderBy("ds", "code")
 
 
-def big_small_flow(detail: DataFrame, dt_: dt.date | None = None) -> DataFrame:
+def big_small_flow(detail: DataFrame, day: dt.date | None = None) -> DataFrame:
     """Large-order against small-order inflow per code, largest first."""
     return (
-        _only(detail, dt_, None)
+        _only(detail, day, None)
         .groupBy("code")
         .agg(
             F.sum(F.col("main_inflow") + F.col("slarge_inflow")).alias("big"),
@@ -116,10 +116,10 @@ def big_small_flow(detail: DataFrame, dt_: dt.date | None = None) -> DataFrame:
 
 def flow_projection(
     detail: DataFrame,
-    dt_: dt.date | None = None,
+    day: dt.date | None = None,
     code: str | None = None,
     boards: Sequence[str] | None = None,
 ) -> DataFrame:
     """The inflow columns of a day."""
-    rows = _only(detail, dt_, code).where(in_boards(F.col("board"), boards))
+    rows = _only(detail, day, code).where(in_boards(F.col("board"), boards))
     return rows.select("code", "dt", *INFLOWS)

@@ -249,40 +249,40 @@ def news_plus_k_pop(
 
 
 def _next_day(
-    news: DataFrame, detail: DataFrame, dt_: dt.date | None, gap: int, *columns: str
+    news: DataFrame, detail: DataFrame, day: dt.date | None, gap: int, *columns: str
 ) -> DataFrame:
     """News joined to the move of its stock ``gap`` days after the news was loaded."""
-    earlier = None if dt_ is None else dt_ - dt.timedelta(days=gap)
-    moved = detail.where(on_day(F.col("dt"), dt_)).select("code", "dt", *columns)
+    earlier = None if day is None else day - dt.timedelta(days=gap)
+    moved = detail.where(on_day(F.col("dt"), day)).select("code", "dt", *columns)
     told = news.where(on_day(F.col("dt"), earlier)).select(
         "code", "title", "notice_date", F.date_add("dt", gap).alias("dt")
     )
     return told.join(moved, ["code", "dt"], "inner")
 
 
-def _gap(dt_: dt.date | None, news_dt: dt.date | None) -> int:
-    return 1 if dt_ is None or news_dt is None else (dt_ - news_dt).days
+def _gap(day: dt.date | None, news_day: dt.date | None) -> int:
+    return 1 if day is None or news_day is None else (day - news_day).days
 
 
 def news_next_day_move(
     news: DataFrame,
     detail: DataFrame,
-    dt_: dt.date | None = None,
-    news_dt: dt.date | None = None,
+    day: dt.date | None = None,
+    news_day: dt.date | None = None,
     cutoff: str = "15:00:00",
     boards: Sequence[str] | None = None,
 ) -> DataFrame:
     """Moves after news published at or after the close of the day before.
 
-    With ``dt_`` for that day alone, without it for every day of the tables.
+    With ``day`` for that day alone, without it for every day of the tables.
     """
-    gap = _gap(dt_, news_dt)
+    gap = _gap(day, news_day)
     hours, minutes, seconds = (int(p) for p in cutoff.split(":"))
     after = F.make_dt_interval(F.lit(0), F.lit(hours), F.lit(minutes), F.lit(seconds))
     closed = F.date_sub("dt", gap).cast("timestamp_ntz") + after
     return (
         _next_day(
-            news, detail.where(in_boards(F.col("board"), boards)), dt_, gap, "up_down_rate"
+            news, detail.where(in_boards(F.col("board"), boards)), day, gap, "up_down_rate"
         )
         .where(F.col("notice_date") >= closed)
         .select("dt", "code", "title", "notice_date", "up_down_rate")
@@ -297,13 +297,13 @@ def _traded(detail: DataFrame, boards: Sequence[str] | None) -> DataFrame:
 def news_next_day_ranked(
     detail: DataFrame,
     news: DataFrame,
-    dt_: dt.date | None = None,
-    news_dt: dt.date | None = None,
+    day: dt.date | None = None,
+    news_day: dt.date | None = None,
     boards: Sequence[str] | None = None,
 ) -> DataFrame:
     """The day before's news with the day's move and turnover, best movers first."""
     joined = _next_day(
-        news, _traded(detail, boards), dt_, _gap(dt_, news_dt), "up_down_rate", "turnover_rate"
+        news, _traded(detail, boards), day, _gap(day, news_day), "up_down_rate", "turnover_rate"
     )
     return joined.select(
         "dt", "title", "notice_date", "code", "up_down_rate", "turnover_rate"
@@ -313,10 +313,10 @@ def news_next_day_ranked(
 def news_next_day_plain(
     detail: DataFrame,
     news: DataFrame,
-    dt_: dt.date | None = None,
-    news_dt: dt.date | None = None,
+    day: dt.date | None = None,
+    news_day: dt.date | None = None,
     boards: Sequence[str] | None = None,
 ) -> DataFrame:
     """The day before's news with the day's move, unordered."""
-    joined = _next_day(news, _traded(detail, boards), dt_, _gap(dt_, news_dt), "up_down_rate")
+    joined = _next_day(news, _traded(detail, boards), day, _gap(day, news_day), "up_down_rate")
     return joined.select("dt", "code", "notice_date", "title", "up_down_rate")

@@ -13,9 +13,9 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("cnt"))
 
 
-def traded_count(detail: DataFrame, dt_: dt.date) -> DataFrame:
+def traded_count(detail: DataFrame, day: dt.date) -> DataFrame:
     """Rows of a day with a price."""
-    return row_count(detail.where((F.col("dt") == F.lit(dt_)) & (F.col("current_price") != 0)))
+    return row_count(detail.where((F.col("dt") == F.lit(day)) & (F.col("current_price") != 0)))
 
 
 def group_flags(calendar: DataFrame) -> DataFrame:
@@ -34,8 +34,8 @@ def year_filter(calendar: DataFrame, year: int) -> DataFrame:
     return calendar.where(F.col("ds").between(F.lit(first), F.lit(last)))
 
 
-def partition_scan(df: DataFrame, dt_: dt.date) -> DataFrame:
-    return df.where(F.col("dt") == F.lit(dt_))
+def partition_scan(df: DataFrame, day: dt.date) -> DataFrame:
+    return df.where(F.col("dt") == F.lit(day))
 
 
 def code_lookup(df: DataFrame, codes: str | Sequence[str] | DataFrame) -> DataFrame:

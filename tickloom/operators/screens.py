@@ -1,7 +1,7 @@
 """Screens: movers enriched with news, financing and report columns.
 
-A screen takes the day ``dt_`` and looks at news or financing rows loaded ``gap``
-days earlier. With ``dt_=None`` it runs for every day of the tables at once, joining
+A screen takes the day ``day`` and looks at news or financing rows loaded ``gap``
+days earlier. With ``day=None`` it runs for every day of the tables at once, joining
 on (code, day), so one code's rows are spread over the days.
 """
 
@@ -20,9 +20,9 @@ from tickloom.operators.series import latest_per_day
 KEY = ["code", "dt"]
 
 
-def _shifted(df: DataFrame, dt_: dt.date | None, gap: int, *columns: str | Column) -> DataFrame:
-    """Rows loaded ``gap`` days before ``dt_``, labelled with the day they are matched to."""
-    source = None if dt_ is None else dt_ - dt.timedelta(days=gap)
+def _shifted(df: DataFrame, day: dt.date | None, gap: int, *columns: str | Column) -> DataFrame:
+    """Rows loaded ``gap`` days before ``day``, labelled with the day they are matched to."""
+    source = None if day is None else day - dt.timedelta(days=gap)
     return df.where(on_day(F.col("dt"), source)).select(
         "code", F.date_add("dt", gap).alias("dt"), *columns
     )
@@ -30,19 +30,19 @@ def _shifted(df: DataFrame, dt_: dt.date | None, gap: int, *columns: str | Colum
 
 def _movers(
     detail: DataFrame,
-    dt_: dt.date | None,
+    day: dt.date | None,
     boards: Sequence[str] | None,
     min_rate: float | int | None = None,
     *columns: str,
 ) -> DataFrame:
-    rows = detail.where(on_day(F.col("dt"), dt_) & in_boards(F.col("board"), boards))
+    rows = detail.where(on_day(F.col("dt"), day) & in_boards(F.col("board"), boards))
     if min_rate is not None:
         rows = rows.where(F.col("up_down_rate") >= min_rate)
     return rows.select("code", "dt", "up_down_rate", *columns)
 
 
 def gainers(
-    detail: DataFrame, dt_: dt.date | None = None, columns: Sequence[str] = ()
+    detail: DataFrame, day: dt.date | None = None, columns: Sequence[str] = ()
 ) -> DataFrame:
     """Rising stocks of a day, strongest first."""
     wanted = columns or [
@@ -57,18 +57,18 @@ def gainers(
         if c in detail.columns
     ]
     return (
-        detail.where(on_day(F.col("dt"), dt_) & (F.col("up_down_rate") > 0))
+        detail.where(on_day(F.col("dt"), day) & (F.col("up_down_rate") > 0))
         .select("dt", "code", "up_down_rate", *wanted)
         .orderBy(F.desc("up_down_rate"), "code", "dt")
     )
 
 
 def board_ranking(
-    detail: DataFrame, dt_: dt.date | None = None, boards: Sequence[str] | None = None
+    detail: DataFrame, day: dt.date | None = None, boards: Sequence[str] | None = None
 ) -> DataFrame:
     """All columns of the chosen boards on a day, by move."""
     return detail.where(
-        on_day(F.col("dt"), dt_) & in_boards(F.col("board"), boards)
+        on_day(F.col("dt"), day) & in_boards(F.col("board"), boards)
     ).orderBy(F.desc("up_down_rate"), "code", "dt")
 
 
@@ -76,16 +76,16 @@ def financing_news_panel(
     finance: DataFrame,
     detail: DataFrame,
     news: DataFrame,
-    dt_: dt.date | None = None,
+    day: dt.date | None = None,
     gap: int = 1,
     boards: Sequence[str] | None = None,
 ) -> DataFrame:
     """Same-day financing rows, the move ``gap`` days later and the financing day's news.
 
-    Here ``dt_`` is the financing day.
+    Here ``day`` is the financing day.
     """
     sold = (
-        finance.where(on_day(F.col("dt"), dt_) & (F.col("notice_date") == F.col("dt")))
+        finance.where(on_day(F.col("dt"), day) & (F.col("notice_date") == F.col("dt")))
         .select(
             "code",
             F.col("notice_date").alias("news_day"),
@@ -95,7 +95,7 @@ def financing_news_panel(
             "financing_balance",
         )
     )
-    detail_day = None if dt_ is None else dt_ + dt.timedelta(days=gap)
+    detail_day = None if day is None else day + dt.timedelta(days=gap)
     moved = _movers(
         detail,
         detail_day,
@@ -107,7 +107,7 @@ def financing_news_panel(
         "ds",
     )
     told = news.select("code", "title", F.to_date("notice_date").alias("news_day")).where(
-        on_day(F.col("news_day"), dt_)
+        on_day(F.col("news_day"), day)
     )
     return (
         left_join_splittable(sold.join(moved, KEY, "inner"), told, ["code", "news_day"])
@@ -127,8 +127,8 @@ def financing_news_panel(
     )
 
 
-def _with_news(movers: DataFrame, news: DataFrame, dt_: dt.date | None, gap: int) -> DataFrame:
-    return left_join_splittable(movers, _shifted(news, dt_, gap, "title"), KEY)
+def _with_news(movers: DataFrame, news: DataFrame, day: dt.date | None, gap: int) -> DataFrame:
+    return left_join_splittable(movers, _shifted(news, day, gap, "title"), KEY)
 
 
 def _with_report(
@@ -142,15 +142,15 @@ def mover_news_report(
     detail: DataFrame,
     news: DataFrame,
     report: DataFrame,
-    dt_: dt.date | None = None,
+    day: dt.date | None = None,
     gap: int = 1,
     boards: Sequence[str] | None = None,
 ) -> DataFrame:
     """A day's movers with the earlier news and all financial reports of the code."""
     measures = ["operate_profit_yoy", "total_current_assets_yoy"]
-    movers = _movers(detail, dt_, boards, None, "turnover_rate")
+    movers = _movers(detail, day, boards, None, "turnover_rate")
     return (
-        _with_report(_with_news(movers, news, dt_, gap), report, measures)
+        _with_report(_with_news(movers, news, day, gap), report, measures)
         .select("dt", "code", "up_down_rate", "title", *measures, "turnover_rate")
         .orderBy(F.desc("up_down_rate"), "code", "dt", "title", *measures)
     )
@@ -160,15 +160,15 @@ def strong_mover_report(
     detail: DataFrame,
     news: DataFrame,
     report: DataFrame,
-    dt_: dt.date | None = None,
+    day: dt.date | None = None,
     gap: int = 1,
     boards: Sequence[str] | None = None,
     min_rate: float | int = 5,
 ) -> DataFrame:
     """Strong movers with the earlier news and the year-over-year report columns."""
     measures = ["monetary_funds_yoy", "total_operate_income_yoy", "netcash_operate_yoy"]
-    movers = _movers(detail, dt_, boards, min_rate)
-    return _with_report(_with_news(movers, news, dt_, gap), report, measures).select(
+    movers = _movers(detail, day, boards, min_rate)
+    return _with_report(_with_news(movers, news, day, gap), report, measures).select(
         "dt", "code", "up_down_rate", "title", *measures
     )
 
@@ -176,15 +176,15 @@ def strong_mover_report(
 def news_of_movers(
     news: DataFrame,
     detail: DataFrame,
-    dt_: dt.date | None = None,
+    day: dt.date | None = None,
     gap: int = 1,
     boards: Sequence[str] | None = None,
     min_rate: float | int = 4,
 ) -> DataFrame:
     """News rows whose stock rose by ``min_rate`` percent or more the day after."""
     columns = [c for c in news.columns if c not in KEY]
-    told = _shifted(news, dt_, gap, *columns)
-    movers = _movers(detail, dt_, boards, min_rate)
+    told = _shifted(news, day, gap, *columns)
+    movers = _movers(detail, day, boards, min_rate)
     # ``dt`` of the result is the news' own load day again.
     return told.join(movers, KEY, "inner").withColumn("dt", F.date_sub("dt", gap))
 
@@ -192,14 +192,14 @@ def news_of_movers(
 def movers_with_news(
     news: DataFrame,
     detail: DataFrame,
-    dt_: dt.date | None = None,
+    day: dt.date | None = None,
     gap: int = 1,
     boards: Sequence[str] | None = None,
     min_rate: float | int = 4,
 ) -> DataFrame:
     """Movers of a day with the earlier news, movers without news included."""
-    movers = _movers(detail, dt_, boards, min_rate)
-    return _with_news(movers, news, dt_, gap).select("dt", "code", "title")
+    movers = _movers(detail, day, boards, min_rate)
+    return _with_news(movers, news, day, gap).select("dt", "code", "title")
 
 
 def _title_rule(title: str) -> Column:
@@ -217,7 +217,7 @@ def net_financing_news(
     detail: DataFrame,
     finance: DataFrame,
     news: DataFrame,
-    dt_: dt.date | None = None,
+    day: dt.date | None = None,
     gap: int = 1,
     title: str = "not_null",
     boards: Sequence[str] | None = None,
@@ -227,10 +227,10 @@ def net_financing_news(
     The net purchase must be positive, so that join is inner. A wanted title makes the
     news join inner too; ``title="null"`` keeps untitled news and movers without news.
     """
-    movers = _movers(detail, dt_, boards).join(
-        _shifted(_net_purchase(finance), dt_, gap, "dif"), KEY, "inner"
+    movers = _movers(detail, day, boards).join(
+        _shifted(_net_purchase(finance), day, gap, "dif"), KEY, "inner"
     )
-    told = _shifted(news, dt_, gap, "title")
+    told = _shifted(news, day, gap, "title")
     if title == "not_null":
         joined = movers.join(told.where(_title_rule(title)), KEY, "inner")
     else:
@@ -245,7 +245,7 @@ def full_join_news_financing(
     finance: DataFrame,
     detail: DataFrame,
     cutoff: dt.datetime,
-    dt_: dt.date,
+    day: dt.date,
     next_dt: dt.date,
     title: str = "not_null",
     boards: Sequence[str] | None = None,
@@ -258,7 +258,7 @@ def full_join_news_financing(
     told = news.where((F.col("notice_date") > F.lit(cutoff).cast("timestamp_ntz"))).where(
         _title_rule(title)
     )
-    net = _net_purchase(finance.where(F.col("dt") == F.lit(dt_))).select("code", "dif")
+    net = _net_purchase(finance.where(F.col("dt") == F.lit(day))).select("code", "dif")
     both = told.select("code", "title").join(net, "code", "inner")
     moved = latest_per_day(
         detail.where((F.col("dt") == F.lit(next_dt)) & in_boards(F.col("board"), boards)).select(
@@ -272,9 +272,9 @@ def full_join_news_financing(
 
 
 def score_ranking(
-    chance: DataFrame, dt_: dt.date | None = None, col: str = "stock_rank_ratio"
+    chance: DataFrame, day: dt.date | None = None, col: str = "stock_rank_ratio"
 ) -> DataFrame:
     """Scores noticed on the day they were loaded, ordered by the number (not the text)."""
     return chance.where(
-        on_day(F.col("dt"), dt_) & (F.col("notice_date") == F.col("dt"))
+        on_day(F.col("dt"), day) & (F.col("notice_date") == F.col("dt"))
     ).orderBy(F.desc(col), "code", "dt")

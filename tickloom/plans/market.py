@@ -83,7 +83,6 @@ class Market:
             "event_id",
             "ts",
             "event_type",
-            "user_id",
             "cast(user_id as string) as code",
             "to_date(ts) as ds",
             f"cast(value as {MONEY}) as v",
@@ -105,7 +104,7 @@ class Market:
         events = self.ev.selectExpr("*", f"{_sequence_key((micros, 19), ('event_id', 18))} as at")
         days = _aggregate(
             events,
-            ["user_id", "ds"],
+            ["code", "ds"],
             "min_by(v, at) as opening_price",
             "max_by(v, at) as current_price",
             "max(v) as highest",
@@ -120,16 +119,15 @@ class Market:
         )
         move = "round(try_divide((current_price - opening_price) * 100, opening_price), 2)"
         priced = days.selectExpr(
-            "cast(user_id as string) as code",
             "*",
             "ds as dt",
-            "concat('S', cast(user_id as string)) as name",
+            "concat('S', code) as name",
             f"cast({move} as decimal(18,2)) as up_down_rate",
             "cast(volume as decimal(10,2)) as turnover_rate",
             "amount * 100 as total_market_v",
             "amount * 60 as circulation_market_v",
             "volume * 1000 as tradable_shares",
-        ).drop("user_id")
+        )
         return self._with_board(priced, "customer", "c_custkey", "c_nationkey")
 
     @cached_property
@@ -137,7 +135,7 @@ class Market:
         """One row per supplier and ship day, several years, one snapshot."""
         at = _sequence_key(("l_orderkey", 17), ("l_linenumber", 3), ("l_partkey", 17))
         lines = self._read("lineitem").selectExpr(
-            "l_suppkey",
+            "cast(l_suppkey as string) as code",
             "to_date(l_shipdate) as ds",
             f"{at} as at",
             f"cast(l_extendedprice as {MONEY}) as v",
@@ -146,7 +144,7 @@ class Market:
         )
         days = _aggregate(
             lines,
-            ["l_suppkey", "ds"],
+            ["code", "ds"],
             "min_by(v, at) as opening_price",
             "max_by(v, at) as closing_price",
             "max(v) as highest",
@@ -156,13 +154,12 @@ class Market:
             "cast(round(sum(drift) * 100 / count(1), 2) as decimal(10,2)) as up_down_rate",
         )
         return days.selectExpr(
-            "cast(l_suppkey as string) as code",
             "*",
-            "concat('S', cast(l_suppkey as string)) as name",
+            "concat('S', code) as name",
             "cast(year(ds) as bigint) as year",
             "date_format(ds, 'MM-dd') as month_day",
             f"date'{HISTORY_DT}' as dt",
-        ).drop("l_suppkey")
+        )
 
     @cached_property
     def long_detail(self) -> DataFrame:
@@ -226,13 +223,13 @@ class Market:
     def finance(self) -> DataFrame:
         days = _aggregate(
             self.ev,
-            ["user_id", "ds"],
+            ["code", "ds"],
             "cast(sum(if(event_type = 'purchase', v, 0)) as decimal(18,2)) as financing_purchase",
             "cast(sum(if(event_type = 'click', v, 0)) as decimal(18,2)) as financing_repay",
             "cast(sum(v) as decimal(18,2)) as financing_balance",
         )
         return days.selectExpr(
-            "cast(user_id as string) as code",
+            "code",
             "financing_purchase",
             "financing_repay",
             "financing_balance",
