@@ -86,6 +86,19 @@ def test_weekly_training_skips_short_weeks(spark):
     ]
 
 
+def test_week_number_shared_by_both_ends_of_a_year(spark):
+    # 30 and 31 December 1996 lie in ISO week 1, as do 1 to 5 January 1996: by calendar
+    # year one group, ordered by date.
+    cal = calendar(spark, "1996-01-01", 366)
+    days = ["1996-01-03", "1996-01-04", "1996-01-05", "1996-12-30", "1996-12-31"]
+    days += [f"1996-01-{d:02d}" for d in range(8, 13)]
+    rates = [("a", dec(i), day(d)) for i, d in enumerate(days, 1)]
+    got = patterns.weekly_training(
+        spark.createDataFrame(rates, "code string, up_down_rate decimal(10,3), ds date"), cal
+    )
+    assert rows(got, "weekofyear", "ups") == [(1, "1.0,2.0,3.0,4.0,5.0")]
+
+
 def test_unknown_token_is_an_error(spark):
     with pytest.raises(KeyError):
         patterns.kline_strings(returns(spark, [1]), 1, token="nope")

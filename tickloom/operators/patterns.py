@@ -160,18 +160,28 @@ def weekly_training(
     if since is not None:
         opened = opened.where(F.col("ds") >= F.lit(since))
     days_of = opened.select(
-        "ds", F.year("ds").alias("year"), "weekofyear", F.col("weekday").cast("int").alias("wd")
+        "ds",
+        F.year("ds").alias("year"),
+        "weekofyear",
+        F.col("weekday").cast("int").alias("wd"),
+        F.expr("if(month(ds) > 6, 7, 0) + cast(weekday as int) - 1").alias("slot"),
     ).dropDuplicates(["ds"])
     rate = F.col("up_down_rate")
-    ordered = F.array_sort(
-        F.collect_list(F.struct("ds", F.round(rate, 1).cast("string").alias("token")))
-    )
+    # One slot per weekday and half of the year, since a year's first and last days can
+    # share a week number. Slots are plain maxima of single values: the state per group
+    # is fixed and combined on the map side, unlike a collected list.
+    names = {slot: f"d{slot}" for slot in range(14)}
+    slots = [
+        F.max(F.when(F.col("slot") == slot, F.round(rate, 1))).alias(name)
+        for slot, name in names.items()
+    ]
+    ups = F.concat_ws(",", *[F.col(name).cast("string") for name in names.values()])
     weeks = (
         rates.join(F.broadcast(days_of), "ds", "inner")  # one row per date
         .groupBy("code", "year", "weekofyear")
         .agg(
             F.count(F.lit(1)).alias("n"),
-            ordered.alias("moves"),
+            *slots,
             F.sum(F.when(F.col("wd") == 1, F.round(rate, 0)).otherwise(0)).alias("monday"),
             F.round(F.sum(rate), 0).alias("week"),
         )
@@ -190,7 +200,7 @@ def weekly_training(
             "code",
             "year",
             "weekofyear",
-            F.concat_ws(",", F.col("moves.token")).alias("ups"),
+            ups.alias("ups"),
             "monday_result",
             "week_result",
         )
