@@ -21,5 +21,80 @@ FROM lines GROUP BY doc_id
 """
 
 
+OP2 = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), win AS (
+  SELECT DISTINCT item_id, least(len(w), 13) AS n, list_slice(w, i, i + least(len(w), 13) - 1) AS s
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS i FROM b WHERE len(w) > 0)
+), cand AS (
+  SELECT doc_id, p, n, list_slice(w, p, p + n - 1) AS s
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS p
+        FROM w, (SELECT DISTINCT n FROM win))
+), hits AS (
+  SELECT doc_id, p, c.n, item_id FROM cand c JOIN win ON win.n = c.n AND win.s = c.s
+), covered AS (
+  SELECT doc_id, count(DISTINCT q) AS n_hit
+  FROM (SELECT doc_id, unnest(range(p, p + n)) AS q FROM hits) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n_items,
+         string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+  FROM hits GROUP BY doc_id
+)
+SELECT w.doc_id, len(w.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w.w) AS contaminated
+FROM w LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+OP6 = r"""
+WITH p AS (
+  SELECT page_id, url, lower(regexp_extract(coalesce(url, ''), '^\s*[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)) AS host,
+         ('0x' || substr(md5(coalesce(url, '')), 1, 8))::BIGINT % 365 AS day
+  FROM pages
+), names AS (
+  SELECT DISTINCT host AS entry FROM p WHERE host <> ''
+  UNION SELECT regexp_extract(host, '[^.]+\.[^.]+$') FROM p WHERE host <> ''
+), e AS (
+  SELECT entry, ('0x' || substr(md5(entry), 1, 8))::BIGINT AS h FROM names WHERE entry <> ''
+), spans AS (
+  SELECT entry, h // 3 % 3 AS k, h % 200 AS a, CASE WHEN h % 2 = 0 THEN h % 200 + 60 ELSE 99999 END AS b
+  FROM e WHERE h % 3 = 0
+  UNION ALL
+  SELECT entry, h // 3 % 3, h % 200 + 120, 99999 FROM e WHERE h % 3 = 0 AND h % 4 = 0
+), m AS (
+  SELECT page_id, ['adult', 'malware', 'spam'][k + 1] AS list
+  FROM p JOIN spans ON (host = entry OR ends_with(host, '.' || entry)) AND a <= day AND day < b
+)
+SELECT p.page_id, host, coalesce(lists, '') AS lists, coalesce(n, 0) AS n_entries, coalesce(n, 0) > 0 AS blocked
+FROM p LEFT JOIN (
+  SELECT page_id, string_agg(DISTINCT list, ',' ORDER BY list) AS lists, count(*) AS n FROM m GROUP BY page_id
+) USING (page_id)
+"""
+
+OP7 = """
+SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+       sha1(coalesce(html, '')) AS payload_digest,
+       CASE WHEN page_id < top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id < top THEN top END AS refers_to
+FROM (SELECT *, CASE WHEN octet_length(encode(coalesce(html, ''))) >= 1000
+                     THEN max(page_id) OVER (PARTITION BY coalesce(html, '')) ELSE page_id END AS top
+      FROM pages)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op8_line_dedup": OP8}
+    return {
+        "op2_benchmark_decontamination": OP2,
+        "op6_url_filters": OP6,
+        "op7_warc": OP7,
+        "op8_line_dedup": OP8,
+    }

@@ -8,8 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import line_dedup, packing, quality, token_counts
-from tickloom.llm.common import crc_mod, table
+from tickloom.llm import (
+    decontamination,
+    line_dedup,
+    packing,
+    quality,
+    token_counts,
+    url_filters,
+    warc,
+)
+from tickloom.llm.common import crc_mod, shared_folder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +28,20 @@ MIN_DOCS = 10
 THRESHOLD = 0.3
 
 
+def op2_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    judged = decontamination.contamination(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark"), width=13, share=20
+    )
+    return judged.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.best_fit_packing(
         table(spark, folder, "documents"),
@@ -29,6 +51,57 @@ def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _hash32(text: F.Column) -> F.Column:
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+
+
+def _days(n: F.Column) -> F.Column:
+    return F.timestamp_seconds(F.lit(1704067200) + n * 86400)  # after 2024-01-01
+
+
+def url_list_log(pages: DataFrame) -> DataFrame:
+    """Dated list changes over the hosts and the two-label domains that the pages have.
+
+    Stand-in for list feeds: each third name is added, half of those are taken off again
+    60 days later, and half of these come back after another 60 days.
+    """
+    names = pages.select(url_filters.host(F.col("url")).alias("host")).where("host <> ''").distinct()
+    domain = F.regexp_extract("host", r"[^.]+\.[^.]+$", 0)
+    entries = names.union(names.select(domain)).where("host <> ''").distinct()
+    entries = entries.select(F.col("host").alias("entry"), _hash32(F.col("host")).alias("h"))
+    entries = entries.where("h % 3 = 0").withColumn(
+        "list", F.element_at(F.array(*map(F.lit, ("adult", "malware", "spam"))), (F.floor(F.col("h") / 3) % 3 + 1).cast("int"))
+    )
+    change = F.explode(
+        F.array(
+            F.struct(F.lit("add").alias("action"), F.lit(0).alias("after")),
+            F.struct(F.lit("remove").alias("action"), F.lit(60).alias("after")),
+            F.struct(F.lit("add").alias("action"), F.lit(120).alias("after")),
+        )
+    )
+    log = entries.select("entry", "list", "h", change.alias("c"))
+    log = log.where(
+        "c.after = 0 or (c.after = 60 and h % 2 = 0) or (c.after = 120 and h % 4 = 0)"
+    )
+    return log.select("list", "entry", "c.action", _days(F.col("h") % 200 + F.col("c.after")).alias("at"))
+
+
+def op6_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages as captures, fetched on a day that a hash of their URL gives."""
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    fetched = pages.withColumn("fetched_at", _days(_hash32(F.coalesce("url", F.lit(""))) % 365))
+    judged = url_filters.temporal_list_join(fetched, url_list_log(pages))
+    return judged.select(
+        "page_id", "host", F.array_join("lists", ",").alias("lists"), "n_entries", "blocked"
+    )
+
+
+def op7_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archive_round_trip(
+        table(spark, folder, "pages"), shared_folder(spark, "warc"), min_bytes=1000
+    )
+
+
 def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     kept = line_dedup.drop_repeated_lines(docs, MIN_DOCS)
