@@ -5,11 +5,12 @@ The smallest tables by default; TICKLOOM_SF_DIR chooses another folder.
 
 import pytest
 
-import __spark_entry__ as registry
+from oracle import sql as oracle
 from tests.compare import SF, connect, differences, duck_rows, spark_rows
+from tickloom.plans import catalog
 
-QUERIES = registry.queries()
-SQL = registry.oracle_sql()
+QUERIES = catalog.queries()
+SQL = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
