@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tickloom.llm import (
     decontamination,
     line_dedup,
+    ngram_join,
     packing,
     quality,
     token_counts,
@@ -42,6 +43,10 @@ def op2_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     )
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.similarity_components(table(spark, folder, "documents"), percent=80)
+
+
 def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.best_fit_packing(
         table(spark, folder, "documents"),
