@@ -11,22 +11,25 @@ from tickloom.llm import common
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """Smallest node of each node's component: columns node and root, for nodes with an edge.
 
-    Edges are (a, b). Each round hangs every node's larger neighbours, then its smaller
-    ones, below the smallest neighbour, until the edges are stars around the smallest
-    nodes; that takes about log(n) rounds. Each round is stored, so lost executors cost
-    one round, and edges are rows throughout: no node's neighbours meet in one place.
+    Edges are (a, b). Each round hangs a node's smaller neighbours, then its larger ones,
+    below the smallest of them, until the edges are stars around the smallest nodes; that
+    takes about log(n) rounds. Each round is stored, so lost executors cost one round,
+    and edges are rows throughout: no node's neighbours meet in one place.
     """
     star = edges.where("a <> b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
     )
     star, sign = _stored(star)
     for _ in range(rounds):
-        both = star.union(star.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy(F.col("a").alias("u")).agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        # larger neighbours of u hang below the least of u's neighbourhood
-        large = star.join(least, star.b == least.u).select(star.a, F.col("m").alias("b"))
-        own = least.where("u > m").select(F.col("u").alias("a"), F.col("m").alias("b"))
-        star, now = _stored(large.union(own).where("a <> b"))
+        least = star.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m"))
+        hung = star.join(least, star.a == least.u).select(star.b.alias("a"), F.col("m").alias("b"))
+        small = hung.union(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
+        small, _ = _stored(small.where("a <> b"))
+        both = small.union(small.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = both.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m"))
+        least = least.select("u", F.least("u", "m").alias("m"))
+        large = small.join(least, small.b == least.u).select(small.a, F.col("m").alias("b"))
+        star, now = _stored(large)
         if now == sign:
             break
         sign = now

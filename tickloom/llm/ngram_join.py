@@ -65,7 +65,22 @@ def prefix(tokens: np.ndarray, frequency: np.ndarray, order: int, percent: int)
     n = len(tokens) - required(len(tokens), percent) + 1
     rank = _mixed(tokens, order + 1) >> np.uint64(8)
     rank |= frequency[(tokens % np.uint64(BUCKETS)).astype(np.int64)].astype(np.uint64) << np.uint64(56)
-    return tokens[np.argpartition(rank, n - 1)[:n]] if n < len(tokens) else tokens
+    return tokens[np.lexsort((tokens, rank))[:n]]
+
+
+def least_overlap(n_a: int, n_b: int, percent: int) -> int:
+    """Least overlap with which sets of these sizes link."""
+    return -(-percent * (n_a + n_b) // (100 + percent))
+
+
+def may_link(x: np.ndarray, y: np.ndarray, n_a: int, n_b: int, percent: int) -> bool:
+    """Whether two prefixes share a token with enough tokens from it on in both sets.
+
+    The first token that linked sets share is such a token: all that they share lies there.
+    """
+    _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
+    need = least_overlap(n_a, n_b, percent)
+    return bool(((n_a - i >= need) & (n_b - j >= need)).any())
 
 
 def links(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -164,7 +179,7 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 
 def prefix_tokens(docs: DataFrame, frequencies: str, percent: int) -> DataFrame:
-    """Rows (token, doc, n) of prefixes under the first order.
+    """Rows (token, doc, n, at) of prefixes under the first order, ``at`` a token's place in it.
 
     Of documents with one set, a task passes on the first it meets, so a large group of
     copies costs its prefix once a task.
@@ -175,7 +190,7 @@ def prefix_tokens(docs: DataFrame, frequencies: str, percent: int) -> DataFrame:
         frequency = _load(frequencies, BUCKETS, "u1")
 
         def fn(batch):
-            tokens, ids, sizes = [], [], []
+            tokens, ids, sizes, places = [], [], [], []
             for doc, text in zip(batch.column("doc").to_pylist(), common.texts(batch, "_text")):
                 own = shingles(text, hashes)
                 signature = xxhash.xxh3_128_digest(own.tobytes())
@@ -188,15 +203,16 @@ def prefix_tokens(docs: DataFrame, frequencies: str, percent: int) -> DataFrame:
                 tokens.append(first.view(np.int64))
                 ids.append(np.full(len(first), doc, np.int64))
                 sizes.append(np.full(len(first), len(own), np.int32))
+                places.append(np.arange(len(first), dtype=np.int32))
             if tokens:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(x)) for x in (tokens, ids, sizes)],
-                    names=["token", "doc", "n"],
+                    [pa.array(np.concatenate(x)) for x in (tokens, ids, sizes, places)],
+                    names=["token", "doc", "n", "at"],
                 )
 
         return fn
 
-    return common.map_batches(docs, make, "token long, doc long, n int")
+    return common.map_batches(docs, make, "token long, doc long, n int, at int")
 
 
 def candidate_sets(
@@ -241,6 +257,12 @@ def _similar_size(percent: int) -> str:
     return f"100L * least(n_a, n_b) >= {percent}L * greatest(n_a, n_b)"
 
 
+def _may_link(percent: int) -> str:
+    """``may_link`` for a token that both prefixes hold, in SQL."""
+    need = f"ceil({percent}L * (n_a + n_b) / {100 + percent}.0D)"
+    return f"{_similar_size(percent)} and n_a - at_a >= {need} and n_b - at_b >= {need}"
+
+
 def verified(pairs: DataFrame, docs: DataFrame, frequencies: str, percent: int) -> DataFrame:
     """The pairs (a, b) that link: first all other prefix filters, then the sets themselves."""
     pairs = common.stored(pairs, "pairs")
@@ -254,25 +276,31 @@ def verified(pairs: DataFrame, docs: DataFrame, frequencies: str, percent: int)
         return rows.join(left, "a").join(right, "b").where(_similar_size(percent))
 
     def keeping(rows: DataFrame, test) -> DataFrame:
+        columns = ["of_a", "of_b", "n_a", "n_b"]
+
         def make():
             def fn(batch):
-                a, b = (batch.column(c).to_pylist() for c in ("of_a", "of_b"))
-                hit = [test(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")) for x, y in zip(a, b)]
+                found = zip(*(batch.column(c).to_pylist() for c in columns))
+                hit = [
+                    test(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8"), n, m)
+                    for x, y, n, m in found
+                ]
                 yield batch.select(["a", "b"]).filter(pa.array(hit, pa.bool_()))
 
             return fn
 
-        return common.map_batches(rows.select("a", "b", "of_a", "of_b"), make, "a long, b long", rows=64)
+        return common.map_batches(rows.select("a", "b", *columns), make, "a long, b long", rows=64)
 
-    def meet_in_all(x: np.ndarray, y: np.ndarray) -> bool:
+    def meet_in_all(x: np.ndarray, y: np.ndarray, n_a: int, n_b: int) -> bool:
         n, m = len(x) // (ORDERS - 1), len(y) // (ORDERS - 1)
         return all(
-            np.isin(x[k * n : k * n + n], y[k * m : k * m + m]).any() for k in range(ORDERS - 1)
+            may_link(x[k * n : k * n + n], y[k * m : k * m + m], n_a, n_b, percent)
+            for k in range(ORDERS - 1)
         )
 
     filtered = common.stored(keeping(joined(pairs, "prefixes"), meet_in_all).distinct(), "filtered")
     return common.stored(
-        keeping(joined(filtered, "tokens"), lambda x, y: links(x, y, percent)).distinct(), "links"
+        keeping(joined(filtered, "tokens"), lambda x, y, n, m: links(x, y, percent)).distinct(), "links"
     )
 
 
@@ -308,13 +336,17 @@ def similarity_components(
     texts = rows.where("doc is not null")
     frequencies = hashed_frequencies(texts)
     dealt = prefix_tokens(texts, frequencies, percent).repartition("token")
-    several = dealt.groupBy("token").agg(F.min("doc").alias("leader"), F.max("doc").alias("_last"))
-    several = several.where("leader < _last").drop("_last")
+    leader = F.min(F.struct("doc", "n", "at")).alias("leader")
+    several = dealt.groupBy("token").agg(leader, F.max("doc").alias("_last"))
+    several = several.where("leader.doc < _last").drop("_last")
     shared = dealt.join(several.hint("shuffle_hash"), "token").distinct()
     shared = common.stored(shared, "shared-tokens")
 
-    led = shared.select("token", F.col("doc").alias("a"), F.col("n").alias("n_a"), F.col("leader").alias("b"))
-    first = led.where("a <> b").select("a", "b").distinct()
+    led = shared.selectExpr(
+        "doc as a", "n as n_a", "at as at_a", "leader.doc as b", "leader.n as n_b", "leader.at as at_b"
+    )
+    first = led.where("a <> b").where(_may_link(percent)).select("a", "b").distinct()
+    first = common.stored(first, "first-pairs")
     copied = copies.select("a", "b")
     first_links = verified(first, texts, frequencies, percent)
     found = graph.components(copied.union(first_links))
@@ -324,9 +356,11 @@ def similarity_components(
     open_tokens = placed.groupBy("token").agg(F.min("root").alias("_a"), F.max("root").alias("_b"))
     open_tokens = open_tokens.where("_a < _b").select("token")
     left = common.stored(placed.join(open_tokens, "token", "left_semi"), "open-tokens")
-    a = left.select("token", F.col("doc").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("r_a"))
-    b = left.select("token", F.col("doc").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("r_b"))
-    across = a.join(b, (a.token == b.token) & (F.col("r_a") < F.col("r_b")) & F.expr(_similar_size(percent)))
+    a, b = (
+        left.selectExpr("token", f"doc as {x}", f"n as n_{x}", f"at as at_{x}", f"root as r_{x}")
+        for x in "ab"
+    )
+    across = a.join(b, "token").where("r_a < r_b").where(_may_link(percent))
     across = across.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     across = across.join(first, ["a", "b"], "left_anti")
     all_links = copied.union(first_links).union(verified(across, texts, frequencies, percent))
