@@ -14,6 +14,8 @@ from tickloom.llm import (
     ngram_join,
     packing,
     quality,
+    rp_forest,
+    suffix_tree,
     token_counts,
     url_filters,
     warc,
@@ -29,6 +31,11 @@ MIN_DOCS = 10
 THRESHOLD = 0.3
 
 
+def op1_suffix_tree(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return suffix_tree.suffix_tree_scores(docs, crc_mod(F.col("doc_id"), 7) == 2)
+
+
 def op2_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     judged = decontamination.contamination(
         table(spark, folder, "documents"), table(spark, folder, "benchmark"), width=13, share=20
@@ -47,6 +54,10 @@ def op3_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.similarity_components(table(spark, folder, "documents"), percent=80)
 
 
+def op4_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return rp_forest.nearest(table(spark, folder, "embeddings"), F.col("id") % 20 == 0, k=20)
+
+
 def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.best_fit_packing(
         table(spark, folder, "documents"),
