@@ -14,7 +14,7 @@ from tickloom.llm import common, graph
 SHINGLE = 5  # words
 BUCKETS = 1 << 18  # of the hashed shingle frequencies
 ORDERS = 3  # global token orders whose prefixes candidates must share
-REMEMBERED = 300_000  # words or sets that a task remembers
+REMEMBERED = 300_000  # sets that a task remembers
 BLOOM_BITS = 1 << 28  # 32 MB at most
 
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
@@ -29,25 +29,55 @@ def _mixed(x: np.ndarray, salt: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-class WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
+_rng = np.random.default_rng(20_241)
+_WHITE = np.zeros(256, bool)
+_WHITE[[9, 10, 11, 12, 13, 32]] = True
+# A random value for each byte, the same for A-Z and a-z; white space is worth nothing.
+_VALUE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_VALUE[65:91] = _VALUE[97:123]
+_VALUE[_WHITE] = 0
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+
+
+class WordHashes:
+    """Hashes of all words of a text at once: polynomials in an odd base modulo 2 ** 64."""
+
+    def __init__(self) -> None:
+        self.powers = self.inverses = np.ones(1, np.uint64)
+
+    def _reach(self, n: int) -> None:
+        size = len(self.powers)
+        while size < n:
+            up = np.uint64(pow(_BASE, size, 1 << 64))
+            down = np.uint64(pow(_INVERSE, size, 1 << 64))
+            self.powers = np.concatenate([self.powers, self.powers * up])
+            self.inverses = np.concatenate([self.inverses, self.inverses * down])
+            size *= 2
+
+    def __call__(self, text: bytes) -> np.ndarray:
+        b = np.frombuffer(text, np.uint8)
+        inside = np.concatenate([[False], ~_WHITE[b], [False]])
+        change = np.flatnonzero(inside[1:] != inside[:-1])
+        starts, ends = change[::2], change[1::2]
+        if not len(starts):
+            return np.zeros(0, np.uint64)
+        self._reach(len(b))
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_VALUE[b] * self.powers[: len(b)])])
+        h = (total[ends] - total[starts]) * self.inverses[starts]
+        return _mixed(h + (ends - starts).astype(np.uint64))
 
 
 def shingles(text: bytes, hashes: WordHashes) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the text's word shingles; of all words if there are fewer."""
-    words = text.lower().split()  # of bytes: A-Z and ASCII white space
-    n = min(SHINGLE, len(words))
+    h = hashes(text)
+    n = min(SHINGLE, len(h))
     if not n:
         return np.zeros(0, np.uint64)
-    h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    total = np.full(len(words) - n + 1, n, np.uint64)
+    total = np.full(len(h) - n + 1, n, np.uint64)
     for k in range(n):
-        total += _mixed(h[k : len(h) - n + 1 + k] * _ODD[k])
-        total = (total << np.uint64(7)) | (total >> np.uint64(57))
+        total += h[k : len(h) - n + 1 + k] * _ODD[k]
+        total = (total << np.uint64(13)) | (total >> np.uint64(51))
     return np.unique(_mixed(total))
 
 
@@ -78,7 +108,7 @@ def may_link(x: np.ndarray, y: np.ndarray, n_a: int, n_b: int, percent: int) ->
 
     The first token that linked sets share is such a token: all that they share lies there.
     """
-    _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
+    _, i, j = np.intersect1d(x, y, return_indices=True)
     need = least_overlap(n_a, n_b, percent)
     return bool(((n_a - i >= need) & (n_b - j >= need)).any())
 
@@ -215,10 +245,16 @@ def prefix_tokens(docs: DataFrame, frequencies: str, percent: int) -> DataFrame:
     return common.map_batches(docs, make, "token long, doc long, n int, at int")
 
 
-def candidate_sets(
-    docs: DataFrame, path: str, bits: int, frequencies: str, percent: int
+def candidates(
+    docs: DataFrame, named: DataFrame, frequencies: str, percent: int, what: str
 ) -> DataFrame:
-    """Sets of the documents that candidate pairs name, and their prefixes under other orders."""
+    """Of the named documents (column doc) and few others: set size, and tokens or prefixes.
+
+    ``what`` is "tokens" (the sorted set) or "prefixes" (those under all orders but the
+    first, tokens cut to 32 bits: a filter may let more through, never less). The others
+    are what a Bloom filter of the names lets pass. The rows are dealt by document once.
+    """
+    path, bits = bloom(named)
     flagged = docs.withColumn("_at", F.pmod(F.xxhash64("doc"), F.lit(bits)))
 
     def make():
@@ -226,31 +262,29 @@ def candidate_sets(
         frequency = _load(frequencies, BUCKETS, "u1")
         wanted = _load(path, bits // 64, "i8").view("<u8")
 
+        def content(own: np.ndarray) -> bytes:
+            if what == "tokens" or not len(own):
+                return own.tobytes()
+            parts = [prefix(own, frequency, k, percent) for k in range(1, ORDERS)]
+            return np.concatenate(parts).astype("<u4").tobytes()
+
         def fn(batch):
             at = batch.column("_at").to_numpy()
             hit = (wanted[at // 64] >> (at % 64).astype(np.uint64)) & np.uint64(1) == 1
             batch = batch.filter(pa.array(hit))
             sets = [shingles(t, hashes) for t in common.texts(batch, "_text")]
-            others = [
-                b"".join(prefix(s, frequency, k, percent).tobytes() for k in range(1, ORDERS))
-                if len(s)
-                else b""
-                for s in sets
-            ]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc"),
                     pa.array([len(s) for s in sets], pa.int32()),
-                    pa.array(others, pa.binary()),
-                    pa.array([s.tobytes() for s in sets], pa.binary()),
+                    pa.array([content(s) for s in sets], pa.binary()),
                 ],
-                names=["doc", "n", "prefixes", "tokens"],
+                names=["doc", "n", "content"],
             )
 
         return fn
 
-    schema = "doc long, n int, prefixes binary, tokens binary"
-    return common.stored(common.map_batches(flagged, make, schema), "candidate-sets")
+    return common.map_batches(flagged, make, "doc long, n int, content binary").repartition("doc")
 
 
 def _similar_size(percent: int) -> str:
@@ -263,45 +297,41 @@ def _may_link(percent: int) -> str:
     return f"{_similar_size(percent)} and n_a - at_a >= {need} and n_b - at_b >= {need}"
 
 
-def verified(pairs: DataFrame, docs: DataFrame, frequencies: str, percent: int) -> DataFrame:
-    """The pairs (a, b) that link: first all other prefix filters, then the sets themselves."""
-    pairs = common.stored(pairs, "pairs")
-    named = pairs.select(F.col("a").alias("doc")).union(pairs.select(F.col("b").alias("doc")))
-    path, bits = bloom(named)
-    sets = candidate_sets(docs, path, bits, frequencies, percent)
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("doc")).union(pairs.select(F.col("b").alias("doc")))
+
 
-    def joined(rows: DataFrame, what: str) -> DataFrame:
-        left = sets.select(F.col("doc").alias("a"), F.col("n").alias("n_a"), F.col(what).alias("of_a"))
-        right = sets.select(F.col("doc").alias("b"), F.col("n").alias("n_b"), F.col(what).alias("of_b"))
-        return rows.join(left, "a").join(right, "b").where(_similar_size(percent))
+def verified(pairs: DataFrame, docs: DataFrame, frequencies: str, percent: int) -> DataFrame:
+    """The pairs (a, b) that link: first the filters of the other orders, then the sets decide."""
 
-    def keeping(rows: DataFrame, test) -> DataFrame:
+    def keeping(rows: DataFrame, what: str, test) -> DataFrame:
+        sets = candidates(docs, _ends(rows), frequencies, percent, what)
+        left = sets.select(F.col("doc").alias("a"), F.col("n").alias("n_a"), F.col("content").alias("of_a"))
+        right = sets.select(F.col("doc").alias("b"), F.col("n").alias("n_b"), F.col("content").alias("of_b"))
+        joined = rows.join(left, "a").join(right, "b").where(_similar_size(percent))
         columns = ["of_a", "of_b", "n_a", "n_b"]
 
         def make():
             def fn(batch):
                 found = zip(*(batch.column(c).to_pylist() for c in columns))
-                hit = [
-                    test(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8"), n, m)
-                    for x, y, n, m in found
-                ]
+                hit = [test(x, y, n, m) for x, y, n, m in found]
                 yield batch.select(["a", "b"]).filter(pa.array(hit, pa.bool_()))
 
             return fn
 
-        return common.map_batches(rows.select("a", "b", *columns), make, "a long, b long", rows=64)
+        kept = common.map_batches(joined.select("a", "b", *columns), make, "a long, b long", rows=64)
+        return common.stored(kept.distinct(), f"pairs-by-{what}")
 
-    def meet_in_all(x: np.ndarray, y: np.ndarray, n_a: int, n_b: int) -> bool:
-        n, m = len(x) // (ORDERS - 1), len(y) // (ORDERS - 1)
-        return all(
-            may_link(x[k * n : k * n + n], y[k * m : k * m + m], n_a, n_b, percent)
-            for k in range(ORDERS - 1)
-        )
+    def meet_in_all(x: bytes, y: bytes, n_a: int, n_b: int) -> bool:
+        a = np.frombuffer(x, "<u4").reshape(ORDERS - 1, -1)
+        b = np.frombuffer(y, "<u4").reshape(ORDERS - 1, -1)
+        return all(may_link(a[k], b[k], n_a, n_b, percent) for k in range(ORDERS - 1))
 
-    filtered = common.stored(keeping(joined(pairs, "prefixes"), meet_in_all).distinct(), "filtered")
-    return common.stored(
-        keeping(joined(filtered, "tokens"), lambda x, y, n, m: links(x, y, percent)).distinct(), "links"
-    )
+    def agree(x: bytes, y: bytes, n_a: int, n_b: int) -> bool:
+        return links(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8"), percent)
+
+    rows = keeping(common.stored(pairs, "pairs"), "prefixes", meet_in_all)
+    return keeping(rows, "tokens", agree)
 
 
 def similarity_components(
@@ -346,7 +376,13 @@ def similarity_components(
         "doc as a", "n as n_a", "at as at_a", "leader.doc as b", "leader.n as n_b", "leader.at as at_b"
     )
     first = led.where("a <> b").where(_may_link(percent)).select("a", "b").distinct()
-    first = common.stored(first, "first-pairs")
+    # copies are linked already: of each class only the representative goes on
+    for x in "ab":
+        of = copies.select(F.col("a").alias("_copy"), F.col("b").alias("_rep"))
+        first = first.join(of, F.col(x) == F.col("_copy"), "left")
+        first = first.withColumn(x, F.coalesce("_rep", x)).drop("_copy", "_rep")
+    first = first.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    first = common.stored(first.distinct(), "first-pairs")
     copied = copies.select("a", "b")
     first_links = verified(first, texts, frequencies, percent)
     found = graph.components(copied.union(first_links))
