@@ -15,15 +15,21 @@ from pyspark.sql import types as T
 
 from tickloom.llm import common
 
-CACHED = 250_000  # words a worker remembers
+CACHED = 400_000  # words a worker remembers
 LONGEST = 48
+# Below this character, lower case is one character of the same kind, and nothing composes.
+_PLAIN = "\u0130"
+_MARKS = ".,;:!?"
 
 
-class Encoding(dict):
-    """Packed ids (unsigned 32 bit, little endian) of a word between ASCII white space.
+class Encoding:
+    """Packed ids (unsigned 32 bit, little endian) of words between ASCII white space.
 
     The tokenizer drops white space and never joins across it, so the ids of a text are
-    those of its words in a row.
+    those of its words in a row. It also parts letters from marks and lower-cases, so a
+    word with marks at its end is its letters' ids and the marks' ids. Unknown runs of
+    letters are encoded many at a time: each is one pre-token and ends with an end-of-word
+    token, where the ids are cut apart again.
     """
 
     def __init__(self, path: str):
@@ -32,18 +38,58 @@ class Encoding(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-
-    def __missing__(self, word: bytes) -> bytes:
-        ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-        packed = np.array(ids, "<u4").tobytes()
-        if len(word) <= LONGEST:
-            if len(self) >= CACHED:
-                self.clear()
-            self[word] = packed
-        return packed
-
-    def text(self, text: bytes) -> bytes:
-        return b"".join(map(self.__getitem__, text.split()))
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        for token, number in vocabulary.items():
+            self.ends[number] = token.endswith("</w>")
+        self.known: dict[bytes, bytes] = {}
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def _learn_letters(self, runs: list[str]) -> None:
+        for at in range(0, len(runs), 2_000):
+            part = runs[at : at + 2_000]
+            ids = self._ids(" ".join(part))
+            cuts = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            if len(cuts) != len(part):
+                self.known.update((r.encode(), self._ids(r).tobytes()) for r in part)
+                continue
+            raw = ids.tobytes()
+            start = 0
+            for run, cut in zip(part, cuts):
+                self.known[run.encode()] = raw[start : 4 * cut]
+                start = 4 * cut
+
+    def learn(self, missing: set[bytes]) -> None:
+        """Encode words that aren't known yet."""
+        parted, letters = [], set()
+        for word in missing:
+            text = word.decode()
+            if len(word) <= LONGEST and max(text) < _PLAIN:
+                low = text.lower()
+                run = low.rstrip(_MARKS)
+                if run.isalpha():
+                    marks = low[len(run) :].encode()
+                    if marks and marks not in self.known:
+                        self.known[marks] = self._ids(marks.decode()).tobytes()
+                    parted.append((word, run.encode(), marks))
+                    letters.add(run)
+                    continue
+            self.known[word] = self._ids(text).tobytes()
+        self._learn_letters([r for r in letters if r.encode() not in self.known])
+        for word, run, marks in parted:
+            self.known[word] = self.known[run] + self.known[marks] if marks else self.known[run]
+
+    def texts(self, found: list[bytes]) -> list[bytes]:
+        words = [text.split() for text in found]
+        missing = set().union(*words).difference(self.known)
+        if len(self.known) + len(missing) > CACHED:
+            self.known.clear()
+            missing = set().union(*words)
+        self.learn(missing)
+        get = self.known.__getitem__
+        return [b"".join(map(get, w)) for w in words]
 
 
 # One encoding for each tokenizer in a Python worker: the cache outlives a task.
@@ -76,8 +122,8 @@ def pieces(
 
         def fn(batch):
             rows: list[list] = [[] for _ in range(6)]
-            for at, text in enumerate(common.texts(batch, "_text")):
-                ids = encoding.text(text) + end
+            for at, ids in enumerate(encoding.texts(common.texts(batch, "_text"))):
+                ids += end
                 for k, start in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[start : start + 4 * capacity]
                     rows[0].append(at)
