@@ -41,23 +41,23 @@ def _with_price_after(detail: DataFrame, days: int, *extra: str) -> DataFrame:
     )
 
 
-def _price_on(day: dt.date) -> Column:
-    """The code's price on one fixed day, attached to all its rows."""
-    at_day = F.when(F.col("ds") == F.lit(day), F.col("current_price"))
-    return F.max(at_day).over(Window.partitionBy("code"))
-
-
-def _has_price_on(day: dt.date) -> Column:
-    at_day = F.when(F.col("ds") == F.lit(day), F.lit(True))
-    return F.max(at_day).over(Window.partitionBy("code"))
-
+def _moves_to(
+    detail: DataFrame, end: dt.date, first: dt.date | None = None, last: dt.date | None = None
+) -> DataFrame:
+    """Percent move from every day in [first, last] to ``end`` for the codes that traded on ``end``.
 
-def _moves_to(detail: DataFrame, end: dt.date) -> DataFrame:
-    """Percent move from every day to ``end`` for the codes that traded on ``end``."""
+    The end price comes from a slice of one day, so no code's history is gathered.
+    """
+    days = detail
+    if first is not None:
+        days = days.where(F.col("ds") >= F.lit(first))
+    if last is not None:
+        days = days.where(F.col("ds") <= F.lit(last))
+    finish = _prices(detail.where(F.col("ds") == F.lit(end)))
+    finish = finish.select("code", F.col("current_price").alias("_end"))
     return (
-        _prices(detail)
-        .withColumns({"_end": _price_on(end), "_traded": _has_price_on(end)})
-        .where(F.col("_traded"))
+        _prices(days)
+        .join(finish, "code", "inner")
         .select("code", "ds", pct_change(F.col("_end"), F.col("current_price")).alias("move"))
     )
 
@@ -73,7 +73,7 @@ def event_to_date_return(
             "code", "event_type", "specific_eventtype", F.date_add("notice_date", 1).alias("ds")
         )
         .join(starts, "ds", "left_semi")
-        .join(_moves_to(detail, end), ["code", "ds"], "inner")
+        .join(_moves_to(detail, end, first=since), ["code", "ds"], "inner")
         .select(
             "code",
             "event_type",
@@ -95,8 +95,9 @@ def event_type_return(
         .select("code", "event_type", F.col("notice_date").alias("ds"))
         .distinct()
     )
+    moves = _moves_to(detail, end, first=on_date, last=on_date)
     return (
-        seen.join(_moves_to(detail, end).where(F.col("move").isNotNull()), ["code", "ds"], "inner")
+        seen.join(moves.where(F.col("move").isNotNull()), ["code", "ds"], "inner")
         .groupBy("ds", "event_type")
         .agg((F.round(F.sum("move"), 2) * 100).alias("up2down"))
         .orderBy(F.desc("up2down"), "ds", "event_type")
@@ -126,7 +127,8 @@ def hold_k_win_rate(
         .join(F.broadcast(eligible), "ds", "left_semi")  # at most two rows per date
     )
     growth = F.try_divide(F.col("_later") - F.col("current_price"), F.col("current_price"))
-    moves = _with_price_after(detail, k).select("code", "ds", F.round(growth, 2).alias("move"))
+    days = F.col("ds").between(F.lit(start), F.lit(end + dt.timedelta(days=k)))
+    moves = _with_price_after(detail.where(days), k).select("code", "ds", F.round(growth, 2).alias("move"))
     gains, losses = F.count_if(F.col("move") > 0), F.count_if(F.col("move") < 0)
     return (
         held.join(moves, ["code", "ds"], "inner")
@@ -181,7 +183,7 @@ def profit_bucket_holding(
     )
     days = F.sum(F.col("days_held") * F.col("weight")) / F.sum("weight")
     return (
-        _held_until_later(base, detail, 1, max_days)
+        _held_until_later(base, detail.where(F.col("ds") >= F.lit(since)), 1, max_days)
         .where(F.col("sell_price") > F.col("current_price"))
         .groupBy(F.floor(gain).alias("cash"))
         .agg(F.max("code").alias("code"), days.alias("dif_day"))
@@ -212,7 +214,7 @@ def financing_forward_return(
     ).join(rows, ["code", "ds"], "inner")
     price = F.col("current_price")
     return (
-        _held_until_later(base, detail, max(min_days, 1), max_days)
+        _held_until_later(base, detail.where(F.col("ds") >= F.lit(since)), max(min_days, 1), max_days)
         .select(
             "code",
             F.try_divide((F.col("sell_price") - price) * 100, price).alias("cash_dif"),

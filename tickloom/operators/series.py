@@ -16,8 +16,10 @@ def latest_per_day(df: DataFrame, day: str = "ds", snapshot: str = "dt") -> Data
 
     Overlapping loads repeat a business date. The top-1 filter is applied on the
     map side too, so even a (code, day) with very many copies sends one row per task.
+    Rows of one load are told apart by their other columns, so the input order doesn't count.
     """
-    newest = Window.partitionBy("code", day).orderBy(F.col(snapshot).desc())
+    others = [F.col(c) for c in sorted(df.columns) if c not in ("code", day, snapshot)]
+    newest = Window.partitionBy("code", day).orderBy(F.col(snapshot).desc(), *others)
     return (
         df.withColumn("_copy", F.row_number().over(newest))
         .where(F.col("_copy") == 1)

@@ -144,7 +144,7 @@ def price_series_union(m: Market) -> DataFrame:
 
 
 def _series(m: Market) -> DataFrame:
-    return series.return_series(m.history, m.detail, None, min_year=1996)
+    return series.return_series(m.history, m.detail, None)
 
 
 @query
@@ -631,7 +631,7 @@ def _weekly(m: Market) -> DataFrame:
     rates = series.stitched_returns(
         m.history, m.detail, None, restrict_detail_to_snapshot=True
     )
-    return patterns.weekly_training(rates, m.calendar, dt.date(1995, 1, 1))
+    return patterns.weekly_training(rates, m.calendar)
 
 
 @query

@@ -20,9 +20,14 @@ CURRENT = dt.date(9999, 12, 31)
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``; a local temp folder only if that is unset."""
+    """A fresh folder below ``spark.checkpoint.dir``.
+
+    Without that setting a local temp folder serves a local master; a cluster raises.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="tickloom-")
     return os.path.join(root, f"{name}-{uuid.uuid4().hex}")
 
