@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tickloom.llm import common
 
-TABLE = 250_000  # most frequent words whose counts are broadcast
+P_WORD = 1e-6  # share of all tokens from which a word is in the broadcast table: at most 1 / P_WORD
 P_CONTEXT = 1e-5  # share of all tokens that a context needs to become a candidate
 P_NEXT = 4e-6  # share that a context with its next symbol needs to be a parameter
 LEAST = 3  # occurrences that either needs at least
@@ -192,7 +192,8 @@ def fit(training: DataFrame) -> tuple[Model, DataFrame]:
     """
     counts = common.stored(count_words(training), "word-counts")
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    top = counts.where(F.col("word") != F.lit(END)).orderBy(F.desc("n"), "word").limit(TABLE).collect()
+    least_word = max(1, int(np.ceil(P_WORD * total)))
+    top = counts.where((F.col("word") != F.lit(END)) & (F.col("n") >= least_word)).collect()
     ends = counts.where(F.col("word") == F.lit(END)).first()
     found = [(bytes(r.word), r.n) for r in top] + [(END, ends.n if ends else 0)]
     found.sort(key=lambda x: (-x[1], x[0]))
