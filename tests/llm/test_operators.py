@@ -150,6 +150,23 @@ def test_similarity_components(docs, none, rows):
     assert sorted(i for i in kept if i is not None) == sorted(set(root.values()))
 
 
+def test_parities_let_all_links_pass():
+    rng = np.random.default_rng(3)
+    stopped = 0
+    for _ in range(400):
+        n = int(rng.integers(1, 300))
+        a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        other = rng.integers(0, 1 << 63, int(rng.integers(0, n // 3 + 2)), dtype=np.uint64)
+        b = np.unique(np.concatenate([a[rng.random(len(a)) < rng.uniform(0.6, 1)], other]))
+        if not len(b):
+            continue
+        bits = ngram_join.parities(a), ngram_join.parities(b)
+        passes = ngram_join.may_agree(*bits, len(a), len(b), 80)
+        assert passes or not ngram_join.links(a, b, 80)
+        stopped += not passes
+    assert stopped > 100
+
+
 def test_components_of_chains(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(90, 80), (80, 90), (7, 7)], "a long, b long")
     found = {r.node: r.root for r in graph.components(edges).collect()}

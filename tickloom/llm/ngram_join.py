@@ -113,6 +113,30 @@ def may_link(x: np.ndarray, y: np.ndarray, n_a: int, n_b: int, percent: int) ->
     return bool(((n_a - i >= need) & (n_b - j >= need)).any())
 
 
+def parities(tokens: np.ndarray) -> np.ndarray:
+    """Bits that tell whether an odd number of the tokens fall into each of some buckets.
+
+    There are two to four buckets a token, a power of two.
+    """
+    buckets = max(8, 2 << (len(tokens) - 1).bit_length())
+    held = np.bincount((tokens % np.uint64(buckets)).astype(np.int64), minlength=buckets)
+    return np.packbits(held.astype(np.uint8) & 1, bitorder="little")
+
+
+def may_agree(x: np.ndarray, y: np.ndarray, n_a: int, n_b: int, percent: int) -> bool:
+    """Whether sets of these parities may link: no more bits differ than tokens would.
+
+    A token of both sets changes the same bit of both; so each differing bit needs a token
+    that only one set has. Of the longer bits the halves are added up first.
+    """
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    differ = int(np.bitwise_count(x ^ y).sum())
+    return differ <= n_a + n_b - 2 * least_overlap(n_a, n_b, percent)
+
+
 def links(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     """Whether 100 * intersection >= percent * union."""
     small, large = min(len(a), len(b)), max(len(a), len(b))
@@ -173,10 +197,12 @@ def hashed_frequencies(docs: DataFrame) -> str:
 
 
 def bloom(ids: DataFrame) -> tuple[str, int]:
-    """A Bloom filter (one bit a value) of the ids, as 64-bit words in the shared folder."""
-    ids = common.stored(ids.distinct(), "candidate-ids")
+    """A Bloom filter (one bit a value) of the ids, as 64-bit words in the shared folder.
+
+    Its size follows the rows, which may name an id several times.
+    """
     bits = 1 << 16
-    wanted = 16 * ids.count()
+    wanted = 8 * ids.count()
     while bits < min(wanted, BLOOM_BITS):
         bits *= 2
     h = F.pmod(F.xxhash64("doc"), F.lit(bits))
@@ -251,8 +277,9 @@ def candidates(
     """Of the named documents (column doc) and few others: set size, and tokens or prefixes.
 
     ``what`` is "tokens" (the sorted set) or "prefixes" (those under all orders but the
-    first, tokens cut to 32 bits: a filter may let more through, never less). The others
-    are what a Bloom filter of the names lets pass. The rows are dealt by document once.
+    first, tokens cut to 32 bits: a filter may let more through, never less; then the
+    set's parities). The others are what a Bloom filter of the names lets pass. The rows
+    are dealt by document once.
     """
     path, bits = bloom(named)
     flagged = docs.withColumn("_at", F.pmod(F.xxhash64("doc"), F.lit(bits)))
@@ -266,7 +293,7 @@ def candidates(
             if what == "tokens" or not len(own):
                 return own.tobytes()
             parts = [prefix(own, frequency, k, percent) for k in range(1, ORDERS)]
-            return np.concatenate(parts).astype("<u4").tobytes()
+            return np.concatenate(parts).astype("<u4").tobytes() + parities(own).tobytes()
 
         def fn(batch):
             at = batch.column("_at").to_numpy()
@@ -302,7 +329,11 @@ def _ends(pairs: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, docs: DataFrame, frequencies: str, percent: int) -> DataFrame:
-    """The pairs (a, b) that link: first the filters of the other orders, then the sets decide."""
+    """The stored pairs (a, b) that link.
+
+    First they must pass the filters of the other orders and the parities, then the sets
+    decide, which are sent for few pairs that don't link.
+    """
 
     def keeping(rows: DataFrame, what: str, test) -> DataFrame:
         sets = candidates(docs, _ends(rows), frequencies, percent, what)
@@ -323,14 +354,20 @@ def verified(pairs: DataFrame, docs: DataFrame, frequencies: str, percent: int)
         return common.stored(kept.distinct(), f"pairs-by-{what}")
 
     def meet_in_all(x: bytes, y: bytes, n_a: int, n_b: int) -> bool:
-        a = np.frombuffer(x, "<u4").reshape(ORDERS - 1, -1)
-        b = np.frombuffer(y, "<u4").reshape(ORDERS - 1, -1)
+        (a, more_a), (b, more_b) = parted(x, n_a), parted(y, n_b)
+        if not may_agree(more_a, more_b, n_a, n_b, percent):
+            return False
         return all(may_link(a[k], b[k], n_a, n_b, percent) for k in range(ORDERS - 1))
 
+    def parted(content: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
+        held = (ORDERS - 1) * (n - required(n, percent) + 1)
+        prefixes = np.frombuffer(content, "<u4", held).reshape(ORDERS - 1, -1)
+        return prefixes, np.frombuffer(content, np.uint8, offset=4 * held)
+
     def agree(x: bytes, y: bytes, n_a: int, n_b: int) -> bool:
         return links(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8"), percent)
 
-    rows = keeping(common.stored(pairs, "pairs"), "prefixes", meet_in_all)
+    rows = keeping(pairs, "prefixes", meet_in_all)
     return keeping(rows, "tokens", agree)
 
 
@@ -367,7 +404,7 @@ def similarity_components(
     frequencies = hashed_frequencies(texts)
     dealt = prefix_tokens(texts, frequencies, percent).repartition("token")
     leader = F.min(F.struct("doc", "n", "at")).alias("leader")
-    several = dealt.groupBy("token").agg(leader, F.max("doc").alias("_last"))
+    several = dealt.groupBy("token").agg(leader, F.max("doc").alias("_last"), F.count("*").alias("m"))
     several = several.where("leader.doc < _last").drop("_last")
     shared = dealt.join(several.hint("shuffle_hash"), "token").distinct()
     shared = common.stored(shared, "shared-tokens")
@@ -388,7 +425,9 @@ def similarity_components(
     found = graph.components(copied.union(first_links))
 
     root = found.select(F.col("node").alias("doc"), "root")
-    placed = shared.join(root, "doc", "left").withColumn("root", F.coalesce("root", "doc"))
+    # of two documents, the only pair has been tried
+    crowded = shared.where("m > 2").select("token", "doc", "n", "at")
+    placed = crowded.join(root, "doc", "left").withColumn("root", F.coalesce("root", "doc"))
     open_tokens = placed.groupBy("token").agg(F.min("root").alias("_a"), F.max("root").alias("_b"))
     open_tokens = open_tokens.where("_a < _b").select("token")
     left = common.stored(placed.join(open_tokens, "token", "left_semi"), "open-tokens")
@@ -398,7 +437,7 @@ def similarity_components(
     )
     across = a.join(b, "token").where("r_a < r_b").where(_may_link(percent))
     across = across.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    across = across.join(first, ["a", "b"], "left_anti")
+    across = common.stored(across.join(first, ["a", "b"], "left_anti"), "pairs")
     all_links = copied.union(first_links).union(verified(across, texts, frequencies, percent))
     # rows that share an id are one document: their sets' classes belong together
     result = common.stored(graph.components(all_links), "components")
