@@ -86,10 +86,19 @@ def required(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
+def rarity(counts: np.ndarray) -> np.ndarray:
+    """log2 of how far each hash bucket's frequency lies above the median bucket.
+
+    The median is what rare tokens add up to. It grows with the corpus, its spread only as
+    the root, so a passage of many documents stands out at every size.
+    """
+    return np.log2(np.maximum(counts - np.median(counts), 1)).astype(np.uint8)
+
+
 def prefix(tokens: np.ndarray, frequency: np.ndarray, order: int, percent: int) -> np.ndarray:
     """The first tokens under a global order, so many that linked sets share one of them.
 
-    All orders put rare tokens first, by the power of two of their hashed frequency, and
+    All orders put rare tokens first, by the ``rarity`` of their hash bucket, and
     differ in how they order tokens of one class.
     """
     n = len(tokens) - required(len(tokens), percent) + 1
@@ -175,7 +184,7 @@ def _write_array(df: DataFrame, name: str) -> str:
 
 
 def hashed_frequencies(docs: DataFrame) -> str:
-    """log2 of the documents in each hash bucket of shingles, over the whole corpus."""
+    """The shingles in each hash bucket, counted once a document, over the whole corpus."""
 
     def make():
         hashes, counts = WordHashes(), np.zeros(BUCKETS, np.int64)
@@ -192,7 +201,7 @@ def hashed_frequencies(docs: DataFrame) -> str:
         return fn
 
     counted = common.map_batches(docs.select("_text"), make, "at long, n long", finish=True)
-    summed = counted.groupBy("at").agg(F.floor(F.log2(F.sum("n"))).cast("long").alias("value"))
+    summed = counted.groupBy("at").agg(F.sum("n").alias("value"))
     return _write_array(summed, "frequencies")
 
 
@@ -243,7 +252,7 @@ def prefix_tokens(docs: DataFrame, frequencies: str, percent: int) -> DataFrame:
 
     def make():
         hashes, seen = WordHashes(), set()
-        frequency = _load(frequencies, BUCKETS, "u1")
+        frequency = rarity(_load(frequencies, BUCKETS, "i8"))
 
         def fn(batch):
             tokens, ids, sizes, places = [], [], [], []
@@ -286,7 +295,7 @@ def candidates(
 
     def make():
         hashes = WordHashes()
-        frequency = _load(frequencies, BUCKETS, "u1")
+        frequency = rarity(_load(frequencies, BUCKETS, "i8"))
         wanted = _load(path, bits // 64, "i8").view("<u8")
 
         def content(own: np.ndarray) -> bytes:
