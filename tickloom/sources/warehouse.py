@@ -76,7 +76,8 @@ def _insert_static(df: DataFrame, table: str, day: dt.date, verb: str) -> None:
     df.sparkSession.sql(
         f"INSERT {verb} TABLE {table} PARTITION (dt = DATE'{day.isoformat()}') "
         f"SELECT {names} FROM {{rows}}",
-        rows=df,
+        # AQE sizes the files; without it there would be one for each shuffle partition
+        rows=df.hint("rebalance"),
     )
 
 
@@ -90,33 +91,34 @@ def append_partition(df: DataFrame, table: str, day: dt.date) -> None:
     _insert_static(df, table, day, "INTO")
 
 
-def _insert_dynamic(df: DataFrame, table: str, verb: str) -> None:
+def _insert_dynamic(df: DataFrame, table: str, overwrite: bool) -> None:
     _ensure(df, table)
-    spark = df.sparkSession
-    names = ", ".join(f"`{c}`" for c in _columns(spark, table))
+    names = [f"`{c}`" for c in _columns(df.sparkSession, table)]
     # One writer per day keeps file counts low; AQE cuts a day that is too large
     # for one task into several, so a hot day does not become one long task.
     spread = df.hint("rebalance", "dt")
+    rows = spread.select(*names, "dt")
+    if not overwrite:
+        rows.write.insertInto(table)
+        return
+    # Spark takes the mode of an insert into a catalog table from the session alone.
     option = "spark.sql.sources.partitionOverwriteMode"
-    previous = spark.conf.get(option)
-    spark.conf.set(option, "dynamic")
+    previous = df.sparkSession.conf.get(option)
+    df.sparkSession.conf.set(option, "dynamic")
     try:
-        spark.sql(
-            f"INSERT {verb} TABLE {table} PARTITION (dt) SELECT {names}, dt FROM {{rows}}",
-            rows=spread,
-        )
+        rows.write.insertInto(table, overwrite=True)
     finally:
-        spark.conf.set(option, previous)
+        df.sparkSession.conf.set(option, previous)
 
 
 def append_dynamic(df: DataFrame, table: str) -> None:
     """Add rows to the partitions named by their own ``dt``."""
-    _insert_dynamic(df, table, "INTO")
+    _insert_dynamic(df, table, overwrite=False)
 
 
 def overwrite_dynamic(df: DataFrame, table: str) -> None:
     """Replace exactly the partitions that occur in ``df``."""
-    _insert_dynamic(df, table, "OVERWRITE")
+    _insert_dynamic(df, table, overwrite=True)
 
 
 def repartition_history(history: DataFrame, table: str) -> None:
