@@ -150,6 +150,9 @@ def test_jobs_fill_their_tables(spark, db, tmp_path):
     assert spark.table(f"{db}.bal").count() == 1
 
     jobs.fill_step_one(h, f"{db}.step", as_of)
+    once = spark.table(f"{db}.step").count()
+    jobs.fill_step_one(h, f"{db}.step", as_of)
+    assert spark.table(f"{db}.step").count() == once  # a rerun replaces its partition
     jobs.fill_history(d, f"{db}.hist")
     assert spark.table(f"{db}.step").count() == 1 and spark.table(f"{db}.hist").count() == 3
 

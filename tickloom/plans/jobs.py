@@ -28,13 +28,13 @@ def fill_history(detail: DataFrame, table: str, as_of: dt.date | None = None) ->
 def rebuild_snapshot(
     history: DataFrame, detail: DataFrame, table: str, day: dt.date, prev: dt.date
 ) -> None:
-    """Make up for a missing daily snapshot."""
-    warehouse.append_partition(series.carry_forward(history, detail, day, prev), table, day)
+    """Make up for a missing daily snapshot; a rerun replaces it."""
+    warehouse.overwrite_partition(series.carry_forward(history, detail, day, prev), table, day)
 
 
 def fill_step_one(history: DataFrame, table: str, day: dt.date) -> None:
     rows = _typed(indicators.stock_step_one(history), "ods_stock_step_one")
-    warehouse.append_partition(rows, table, day)
+    warehouse.overwrite_partition(rows, table, day)
 
 
 def fill_price_streaks(
@@ -62,7 +62,7 @@ def fill_balance_streaks(
 
 def fill_price_series(history: DataFrame, detail: DataFrame, table: str, day: dt.date) -> None:
     rows = _typed(series.price_series(history, detail), "ods_up_to_stop")
-    warehouse.append_partition(rows, table, day)
+    warehouse.overwrite_partition(rows, table, day)
 
 
 def fill_return_series(
@@ -81,9 +81,9 @@ def fill_klines(
     series_rows: DataFrame, table: str, day: dt.date, width: int = 7, token: str = "sign",
     sep: str = ","
 ) -> None:
-    """Append pattern strings; readers must split with the same ``sep``."""
+    """Replace a day's pattern strings; readers must split with the same ``sep``."""
     rows = patterns.kline_strings_short(series_rows, width, token, sep)
-    warehouse.append_partition(_typed(rows, "dwd_training_data"), table, day)
+    warehouse.overwrite_partition(_typed(rows, "dwd_training_data"), table, day)
 
 
 def fill_weekly_training(
