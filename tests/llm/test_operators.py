@@ -277,6 +277,22 @@ def test_url_filters(spark):
     assert not url_filters.temporal_list_join(pages, log.limit(0)).where("blocked").count()
 
 
+def test_url_filters_of_deep_hosts(spark):
+    deep = ".".join(f"l{i}" for i in range(127))
+    parents = [deep.split(".", k)[-1] for k in (1, 60, 110, 125)]
+    rows = [("spam", e, "add", "2024-01-01") for e in [deep, *parents, "l1." + parents[1], "26"]]
+    log = spark.createDataFrame(rows, "list string, entry string, action string, at string")
+    log = log.withColumn("at", F.col("at").cast("timestamp"))
+    hosts = [deep, parents[0], "x." + parents[1], "x" + parents[2], "l126", "." * 300 + parents[3]]
+    data = [(i, f"http://{h}/", "2024-02-01") for i, h in enumerate(hosts)]
+    pages = spark.createDataFrame(data, "page_id long, url string, at string")
+    pages = pages.select("page_id", "url", F.col("at").cast("timestamp").alias("fetched_at"))
+    found = {r.page_id: r.n_entries for r in url_filters.temporal_list_join(pages, log).collect()}
+    entries = {r[1] for r in rows}
+    expected = {i: sum(h == e or h.endswith("." + e) for e in entries) for i, h in enumerate(hosts)}
+    assert found == expected and expected[0] == 5 and expected[1] == 4
+
+
 def test_warc_round_trip(spark, tmp_path):
     big = "é" * 600
     data = [(1, "http://a.b.c/x", big), (2, "http://a.b.c/x", big), (3, None, big), (4, "no url", None), (5, "http://d/", "x"), (6, "http://d/", "x"), (None, "http://e/", "\r\n\r\nWARC/1.1"), (1, "http://a.b.c/x", big)]

@@ -22,12 +22,17 @@ def host(url: Column) -> Column:
     return F.rtrim(F.lower(authority), F.lit("."))
 
 
-def suffixes(name: Column, most: int = 16) -> Column:
-    """The host itself and its parent domains, the longest first; ``most`` labels at most count."""
+def depth(name: Column) -> Column:
+    """Number of labels."""
+    return F.size(F.split(name, r"\."))
+
+
+def suffixes(name: Column, depths: list[int]) -> Column:
+    """The host itself first, then its parent domains of ``depths`` labels."""
     labels = F.split(name, r"\.")
-    starts = F.sequence(F.lit(1), F.size(labels))
-    parts = F.transform(starts, lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    return F.when(name == "", F.array(F.lit(""))).otherwise(F.slice(parts, -F.least(F.size(parts), F.lit(most)), most))
+    shorter = F.filter(F.array(*map(F.lit, depths)).cast("array<int>"), lambda d: d < F.size(labels))
+    parents = F.transform(shorter, lambda d: F.array_join(F.slice(labels, -d, d), "."))
+    return F.concat(F.array(name), parents)
 
 
 def validity(log: DataFrame) -> DataFrame:
@@ -66,7 +71,8 @@ def temporal_list_join(
 
     An entry's intervals are gathered into one sorted row, so a capture meets each of its
     domains once however often an entry came and went, and a host with many captures is
-    on the side that Spark can split.
+    on the side that Spark can split. Of the parent domains those are looked up whose number
+    of labels some entry has, so none that an entry could match is left out.
     """
     entries = common.stored(
         validity(log)
@@ -75,6 +81,7 @@ def temporal_list_join(
         "list-entries",
     )
     small = entries.count() <= BROADCAST_ENTRIES
+    depths = sorted(r[0] for r in entries.select(depth(F.col("_entry"))).distinct().collect())
     name = host(F.col(url_col))
     key = ["_id", "url", "_task"]
     base = captures.select(
@@ -84,7 +91,7 @@ def temporal_list_join(
         F.col(time_col).alias("_time"),
         name.alias("host"),
     )
-    wide = base.select(*key, "_time", "host", F.posexplode(suffixes(F.col("host"))).alias("_n", "_suffix"))
+    wide = base.select(*key, "_time", "host", F.posexplode(suffixes(F.col("host"), depths)).alias("_n", "_suffix"))
     met = wide.join(
         F.broadcast(entries) if small else entries, F.col("_suffix") == F.col("_entry"), "left"
     )
