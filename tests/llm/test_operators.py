@@ -230,6 +230,57 @@ def test_suffix_tree_is_a_distribution(docs):
         assert abs(sum(p) + rest - 1) < 1e-9
 
 
+def _tree_scores(texts, held, depth, least=3, share=0.75):
+    """The tree's scores by brute force: dictionaries of n-grams, longest state first."""
+    found = [(t or "").encode().lower().split() + [b""] for t in texts]
+    count = Counter()
+    for w, out in zip(found, held):
+        if not out:
+            for n in range(1, depth + 2):
+                count.update(tuple(w[i : i + n]) for i in range(len(w) - n + 1))
+    words = [g for g in count if len(g) == 1]
+    norm = sum(count[g] for g in words) + len(words) + 1
+    states = {}  # context: log10 weight of its parent, next words' log10 P
+
+    def log(context, w, n):
+        if not n:
+            return math.log10((count[w,] + 1) / norm)
+        rest, symbols = states.get(context[-n:], (0.0, {})) if len(context) >= n else (0.0, {})
+        return symbols[w] if w in symbols else rest + log(context, w, n - 1)
+
+    for n in range(1, depth + 1):
+        below = {}
+        for g, k in count.items():
+            if len(g) == n + 1 and k >= least:
+                below.setdefault(g[:-1], {})[g[-1]] = k
+        for c, symbols in below.items():
+            own, left = count[c], count[c] - sum(symbols.values())
+            rest = math.log10(max(share * len(symbols) + left, 1e-12) / own)
+            parent = {w: log(c, w, n - 1) for w in symbols}
+            p = {w: math.log10((k - share) / own + 10 ** (rest + parent[w])) for w, k in symbols.items()}
+            gain = sum(k * (p[w] - parent[w]) for w, k in symbols.items()) + left * rest
+            if gain * math.log(10) > 0.5 * (len(symbols) + 1) * math.log(max(own, 2)):
+                states[c] = rest, p
+    return [sum(log(tuple(w[max(0, i - depth) : i]), w[i], depth) for i in range(len(w))) for w in found], len(states)
+
+
+def test_suffix_tree_keeps_rare_contexts(spark, monkeypatch):
+    # a share of all tokens, as it comes to 3 occurrences and more on large tables, decides nothing
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice(VOCABULARY) + str(rng.randrange(30)) for _ in range(60)) for _ in range(60)]
+    texts += [f"the rare language says {i} so it goes" for i in range(4)] + [None, "", "so it goes"]
+    held = [i % 5 == 1 for i in range(len(texts))]
+    expected, states = _tree_scores(texts, held, 2)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(suffix_tree, "P_NGRAM", 0.01, raising=False)  # most weights are joined
+    monkeypatch.setattr(suffix_tree, "P_WORD", 0.01)
+    monkeypatch.setattr(suffix_tree, "P_CONTEXT", 0.01, raising=False)
+    monkeypatch.setattr(suffix_tree, "P_NEXT", 0.01, raising=False)
+    found = suffix_tree.suffix_tree_scores(frame, F.col("doc_id") % 5 == 1).collect()
+    scores = {r.doc_id: r.score for r in found}
+    assert states > 5 and all(abs(scores[i] - x) < 1e-6 for i, x in enumerate(expected))
+
+
 def test_nearest(spark):
     x = np.random.default_rng(4).normal(size=(400, 8)) * np.random.default_rng(5).uniform(0.5, 2, (400, 1))
     data = [(i, [float(np.float32(v)) for v in row], 0) for i, row in enumerate(x)]

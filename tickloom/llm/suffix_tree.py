@@ -4,42 +4,95 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm import common
 
 P_WORD = 1e-6  # share of all tokens from which a word is in the broadcast table: at most 1 / P_WORD
-P_CONTEXT = 1e-5  # share of all tokens that a context needs to become a candidate
-P_NEXT = 4e-6  # share that a context with its next symbol needs to be a parameter
-LEAST = 3  # occurrences that either needs at least
+P_NGRAM = 4e-7  # share from which an n-gram's weight is broadcast; the others are joined
+LEAST = 3  # occurrences that a context or a parameter needs
+DEPTH = 2  # words of the longest contexts
 DISCOUNT = 0.75
 MEMORY = 300_000  # distinct words a task sums up before it passes them on
 PAIRS = 3_000_000  # n-grams a task holds before it sums them up
+SKETCH_BITS = 26  # the sketches have 2**26 bits at any corpus size
 END = b""  # the end symbol; no word is empty
-_SHIFT = np.int64(1 << 20)  # word numbers and context numbers are below this
+_SHIFT = np.int64(1 << 20)  # word numbers are below this
+_SEED = 42  # of Spark's xxhash64
 
 
 def words(text: bytes) -> list[bytes]:
     return text.lower().split()  # of bytes: A-Z and ASCII white space
 
 
+def word_key(word: bytes) -> int:
+    """Spark's xxhash64 of the word."""
+    return xxhash.xxh64_intdigest(word, _SEED)
+
+
+def _hash_long(x: np.ndarray, seed: np.ndarray | np.uint64) -> np.ndarray:
+    p1, p2, p3 = (np.uint64(p) for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
+    p4, p5 = np.uint64(0x85EBCA77C2B2AE63), np.uint64(0x27D4EB2F165667C5)
+    k = x * p2
+    h = (seed + p5 + np.uint64(8)) ^ (((k << np.uint64(31)) | (k >> np.uint64(33))) * p1)
+    h = ((h << np.uint64(27)) | (h >> np.uint64(37))) * p1 + p4
+    h = (h ^ (h >> np.uint64(33))) * p2
+    h = (h ^ (h >> np.uint64(29))) * p3
+    return h ^ (h >> np.uint64(32))
+
+
+def ngram_key(context: np.ndarray, suffix: np.ndarray) -> np.ndarray:
+    """Spark's xxhash64(context, suffix): the n-gram's first and last n - 1 words make its key."""
+    return _hash_long(suffix, _hash_long(context, np.uint64(_SEED)))
+
+
+def ngrams(keys: np.ndarray, doc: np.ndarray, n: int, shorter: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the (n - 1)-grams that begin and end each n-gram of the documents' joined words.
+
+    ``shorter``: (n - 1)-gram keys by start. Gives the start too; none crosses documents.
+    """
+    m = len(keys) - n + 1
+    if m <= 0:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    return shorter[:m], np.flatnonzero(doc[:m] == doc[n - 1 :])
+
+
+class Sketch:
+    """Bits of keys: a key that was put in is always found, another one may be."""
+
+    def __init__(self, keys: DataFrame):
+        slot = F.shiftrightunsigned("key", 64 - SKETCH_BITS)
+        bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(key, {64 - SKETCH_BITS}) & 63 as int))")
+        rows = keys.groupBy(F.shiftrightunsigned(slot, 6).alias("at")).agg(F.bit_or(bit).alias("bits")).toArrow()
+        self.words = np.zeros(1 << (SKETCH_BITS - 6), np.uint64)
+        self.words[rows["at"].to_numpy()] = rows["bits"].to_numpy().astype(np.int64).view(np.uint64)
+
+    def holds(self, keys: np.ndarray) -> np.ndarray:
+        slot = keys >> np.uint64(64 - SKETCH_BITS)
+        found = self.words[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))
+        return found & np.uint64(1) == 1
+
+
 class Model:
-    """Word counts, contexts of one and two words, and their next-symbol parameters.
+    """Counts of the frequent words, and the weights of the frequent n-grams.
 
-    ``next1`` and ``next2`` are sorted (context * 2**20 + word); ``log1`` and ``log2`` the
-    parameters' log10 probabilities. ``rest1`` and ``rest2`` hold each context's log10
-    weight of its parent; NaN in ``rest1`` marks words that are no context. ``pairs2`` are
-    the sorted two-word contexts.
+    An n-gram's weight is what each of its occurrences adds to log10 P: as parameter of a
+    state, log10 P(last word | the others) over what the shorter contexts give; as a state
+    itself, log10 of the share it leaves to its parent (``rests``, on the driver only). In
+    a whole text something follows every state. ``keys`` are sorted. ``next1`` and
+    ``pairs2`` (word * 2**20 + word) list the pairs that are parameters or states.
     """
 
     def __init__(self, table: list[bytes], counts: np.ndarray, total: int, distinct: int):
         self.table, self.total, self.distinct = table, total, distinct
         self.norm = total + distinct + 1
         self.log0 = np.log10((counts + 1) / self.norm)
-        self.rest1 = np.full(len(table), np.nan)
-        self.next1 = self.next2 = self.pairs2 = np.zeros(0, np.int64)
-        self.log1 = self.log2 = self.rest2 = np.zeros(0)
+        self.word_keys = np.array([word_key(w) for w in table] + [0], np.uint64)
+        self.keys, self.depth = np.zeros(0, np.uint64), 0
+        self.weights = self.rests = np.zeros(0)
+        self.next1 = self.pairs2 = np.zeros(0, np.int64)
         self._numbers: dict[bytes, int] | None = None
 
     def numbers(self) -> dict[bytes, int]:
@@ -48,36 +101,46 @@ class Model:
         return self._numbers
 
     def __getstate__(self):
-        return self.__dict__ | {"_numbers": None}
-
-    def encode(self, found: list[bytes]) -> np.ndarray:
-        """Word numbers with the end symbol's; -1 for words outside the table."""
-        number = self.numbers()
-        get = number.get
-        return np.array([get(w, -1) for w in found] + [number[END]], np.int64)
-
-    def below_root(self, v: np.ndarray, w: np.ndarray) -> np.ndarray:
-        """log10 P(w | v) without the root's part, which is left out where it is to be added.
-
-        Where the context has w as a parameter, the second array is False.
-        """
-        return _chain(v, w, self.rest1, self.next1, self.log1)
+        return self.__dict__ | {"_numbers": None, "rests": None}
+
+    def encode(self, found: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The documents' words with the end symbol, joined: number (or -1), key and document."""
+        get = self.numbers().get
+        joined = [w for x in found for w in (*x, END)]
+        ids = np.array([get(w, -1) for w in joined], np.int64)
+        keys = self.word_keys[ids]
+        outside = np.flatnonzero(ids < 0)
+        keys[outside] = np.array([word_key(joined[i]) for i in outside.tolist()], np.uint64)
+        return ids, keys, np.repeat(np.arange(len(found)), [len(x) + 1 for x in found])
+
+    def orders(self, keys: np.ndarray, doc: np.ndarray):
+        """Document and key of every n-gram, an array of each for n from 1."""
+        yield doc, keys
+        shorter = keys
+        for n in range(2, self.depth + 2):
+            context, at = ngrams(keys, doc, n, shorter)
+            shorter = ngram_key(context, shorter[1:][: len(context)])
+            yield doc[at], shorter[at]
+
+    def lookup(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Weight (0 if it isn't broadcast), and whether it is."""
+        at, hit = _find(self.keys, keys)
+        return np.where(hit, self.weights[at] if len(self.weights) else 0.0, 0.0), hit
+
+    def pair_numbers(self, pairs: DataFrame) -> np.ndarray:
+        order = np.argsort(self.word_keys[:-1])
+        rows = pairs.select("context", "suffix").toArrow()
+        v, w = (_find(self.word_keys[order], rows[c].to_numpy().astype(np.int64).view(np.uint64))[0] for c in rows.column_names)
+        return np.sort(order[v] * _SHIFT + order[w])
 
     def score(self, ids: np.ndarray) -> float:
-        """Sum of log10 P over the tokens; words outside the table get all but the root's part."""
-        w = ids
-        v = np.concatenate([[-1], ids[:-1]])
-        u = np.concatenate([[-1, -1], ids[:-2]])[: len(ids)]
-        root = np.where(w >= 0, self.log0[np.maximum(w, 0)], 0.0)
-        log, open_ = self.below_root(v, w)
-        log = log + np.where(open_, root, 0.0)
-        if len(self.pairs2):
-            at, hit = _find(self.pairs2, np.where((u >= 0) & (v >= 0), u * _SHIFT + v, -1))
-            here = np.flatnonzero(hit)
-            key = np.where(w[here] >= 0, at[here] * _SHIFT + w[here], -1)
-            place, known = _find(self.next2, key)
-            log[here] = np.where(known, self.log2[place] if len(self.log2) else 0.0, self.rest2[at[here]] + log[here])
-        return float(log.sum())
+        """Sum of log10 P by the broadcast part; words outside the table get all but the root's."""
+        log = float(self.log0[ids[ids >= 0]].sum())
+        for _, keys in self.orders(self.word_keys[ids], np.zeros(len(ids), np.int64)):
+            log += float(self.lookup(keys)[0].sum())
+            at, hit = _find(self.keys, keys[-1:])
+            log -= float(self.rests[at[hit]].sum())  # nothing follows it
+        return log
 
 
 def _find(sorted_keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -87,36 +150,45 @@ def _find(sorted_keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.n
     return at, sorted_keys[at] == wanted
 
 
-def _chain(v, w, rest, keys, logs) -> tuple[np.ndarray, np.ndarray]:
-    context = (v >= 0) & ~np.isnan(rest[np.maximum(v, 0)])
-    at, known = _find(keys, np.where(context & (w >= 0), v * _SHIFT + w, -1))
-    weight = np.where(context, rest[np.maximum(v, 0)], 0.0)
-    return np.where(known, logs[at] if len(logs) else 0.0, weight), ~known
-
-
-def grow(
-    context: np.ndarray, symbol: np.ndarray, count: np.ndarray, own: np.ndarray, parent: np.ndarray
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def grow(grams: DataFrame, shorter: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Test contexts for divergence from their parents.
 
-    ``context``, ``symbol``, ``count``: parameters, sorted by context. ``own``: occurrences
-    of each context. ``parent``: log10 probability of each parameter's symbol in the parent.
-    Returns which contexts stay, the parameters' log10 probabilities and each context's
-    log10 weight of its parent.
+    ``grams``: stored n-grams (context, suffix, n). ``shorter``: the (n - 1)-grams (key, n,
+    log: log10 P of the last word in the tree so far). Returns the n-grams in the form of
+    ``shorter`` with ``d``, the log10 share by which they differ from the shorter contexts,
+    and the contexts that stay (context, own, rest: log10 weight of their parents).
 
     A parameter gets its discounted share, the parent all that is left. A context stays if
     the log likelihood that it gains over its parent on its own occurrences is more than
     half the log of their number for each parameter and for the context itself.
     """
-    n = len(own)
-    listed = np.bincount(context, weights=count, minlength=n)
-    kinds = np.bincount(context, minlength=n)
-    left = own - listed
-    rest = np.log10(np.maximum(DISCOUNT * kinds + left, 1e-12) / np.maximum(own, 1))
-    p = (count - DISCOUNT) / own[context] + 10 ** (rest[context] + parent)
-    gain = np.bincount(context, weights=count * (np.log10(p) - parent), minlength=n) + left * rest
-    stays = (kinds > 0) & (gain * np.log(10) > 0.5 * (kinds + 1) * np.log(np.maximum(own, 2)))
-    return stays, np.log10(p), rest
+    contexts = (
+        grams.groupBy("context").agg(F.count("*").alias("kinds"), F.sum("n").alias("listed"))
+        .join(shorter.select(F.col("key").alias("context"), F.col("n").alias("own")), "context")
+    )
+    left = F.col("own") - F.col("listed")
+    rest = F.log10(F.greatest(DISCOUNT * F.col("kinds") + left, F.lit(1e-12)) / F.col("own"))
+    contexts = contexts.withColumn("rest", rest)
+    p = (F.col("n") - DISCOUNT) / F.col("own") + F.pow(F.lit(10.0), F.col("rest") + F.col("parent"))
+    tested = common.stored(
+        grams.join(contexts.select("context", "own", "rest"), "context")
+        .join(shorter.select(F.col("key").alias("suffix"), F.col("log").alias("parent")), "suffix")
+        .select("context", F.xxhash64("context", "suffix").alias("key"), "n", "rest", "parent", F.log10(p).alias("log")),
+        "tested",
+    )
+    gains = tested.groupBy("context").agg(F.sum(F.col("n") * (F.col("log") - F.col("parent"))).alias("gain"))
+    enough = (F.col("gain") + left * F.col("rest")) * float(np.log(10)) > (
+        0.5 * (F.col("kinds") + 1) * F.log(F.greatest("own", F.lit(2)))
+    )
+    states = common.stored(contexts.join(gains, "context").where(enough).select("context", "own", "rest"), "states")
+    stays = tested.join(states.select("context", F.lit(True).alias("stays")), "context", "left")
+    longer = stays.select(
+        "key",
+        "n",
+        F.when(F.col("stays"), F.col("log")).otherwise(F.col("parent")).alias("log"),
+        F.when(F.col("stays"), F.col("log") - F.col("rest") - F.col("parent")).alias("d"),
+    )
+    return common.stored(longer, "n-grams"), states
 
 
 # --- counting -----------------------------------------------------------------------
@@ -147,48 +219,58 @@ def count_words(docs: DataFrame) -> DataFrame:
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def count_ngrams(docs: DataFrame, model, keys_of, least: int) -> DataFrame:
-    """Occurrences (at least ``least``) of the n-gram keys that ``keys_of(model, ids)`` gives."""
+def count_ngrams(docs: DataFrame, model, sketch, n: int) -> DataFrame:
+    """Occurrences of the n-grams (keys of their first and last n - 1 words), ``LEAST`` at least.
+
+    An n-gram can't occur more often than its parts: those whose parts the sketch of the
+    frequent enough (n - 1)-grams doesn't hold are left out before the shuffle.
+    """
 
     def make():
-        held = model.value
+        held, seen = model.value, sketch.value
         state = {"parts": [], "n": 0}
 
         def fn(batch):
             if batch is not None:
-                for text in common.texts(batch, "_text"):
-                    keys = keys_of(held, held.encode(words(text)))
-                    if len(keys):
-                        state["parts"].append(keys)
-                        state["n"] += len(keys)
+                _, keys, doc = held.encode([words(t) for t in common.texts(batch, "_text")])
+                shorter = keys
+                for k in range(2, n):
+                    shorter = ngram_key(shorter[:-1], shorter[1:])
+                context, at = ngrams(keys, doc, n, shorter)
+                often = seen.holds(shorter)
+                at = at[often[at] & often[at + 1]] if len(at) else at
+                if len(at):
+                    state["parts"].append((context[at], shorter[at + 1]))
+                    state["n"] += len(at)
             if state["parts"] and (batch is None or state["n"] > PAIRS):
-                keys, n = np.unique(np.concatenate(state["parts"]), return_counts=True)
+                context, suffix = (np.concatenate(x) for x in zip(*state["parts"]))
                 state.update(parts=[], n=0)
-                for at in range(0, len(keys), 100_000):
-                    part = slice(at, at + 100_000)
-                    yield pa.RecordBatch.from_arrays([pa.array(keys[part]), pa.array(n[part])], names=["key", "n"])
+                _, at, times = np.unique(ngram_key(context, suffix), return_index=True, return_counts=True)
+                context, suffix = context[at].view(np.int64), suffix[at].view(np.int64)
+                for first in range(0, len(at), 100_000):
+                    part = slice(first, first + 100_000)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(x[part]) for x in (context, suffix, times)], names=["context", "suffix", "n"]
+                    )
 
         return fn
 
-    counted = common.map_batches(docs, make, "key long, n long", finish=True)
-    return counted.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    counted = common.map_batches(docs, make, "context long, suffix long, n long", finish=True)
+    return counted.groupBy("context", "suffix").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST)
 
 
-def _collected(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """At most 1 / P_NEXT n-grams can be that frequent."""
-    rows = counts.toArrow()
-    keys, n = rows["key"].to_numpy(), rows["n"].to_numpy()
-    order = np.argsort(keys)
-    return keys[order].astype(np.int64), n[order]
+def fit(training: DataFrame, depth: int = DEPTH) -> tuple[Model, DataFrame]:
+    """The broadcast part of the tree, and the counts of all words (see ``learn``)."""
+    return learn(training, depth)[:2]
 
 
-def fit(training: DataFrame) -> tuple[Model, DataFrame]:
-    """The tree, and the counts of all words.
+def learn(training: DataFrame, depth: int = DEPTH) -> tuple[Model, DataFrame, DataFrame]:
+    """The tree's broadcast part, the counts of all words and the weights of all its n-grams.
 
-    Words are counted over all training texts. Contexts and parameters must have at least
-    a share P_CONTEXT or P_NEXT of all tokens, the tree's usual probability thresholds, so
-    at most 1 / P_CONTEXT and 1 / P_NEXT exist at any corpus size. N-grams are counted
-    over all texts as well; only those whose parts are frequent enough are looked at.
+    Words and n-grams are counted over all training texts. Whatever occurs ``LEAST`` times
+    is a candidate at any corpus size, and the divergence test alone decides. The weights
+    (key, n, weight) are a stored table; those of n-grams with a share P_NGRAM of all
+    tokens are in the model as well. N-grams are known by 64-bit hashes.
     """
     counts = common.stored(count_words(training), "word-counts")
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
@@ -199,50 +281,42 @@ def fit(training: DataFrame) -> tuple[Model, DataFrame]:
     found.sort(key=lambda x: (-x[1], x[0]))
     count = np.array([n for _, n in found], np.int64)
     model = Model([w for w, _ in found], count, int(total), int(distinct))
-    spark = training.sparkSession
-    least_context = max(LEAST, int(np.ceil(P_CONTEXT * total)))
-    least_next = max(LEAST, int(np.ceil(P_NEXT * total)))
-    contexts, symbols = int((count >= least_context).sum()), int((count >= least_next).sum())
-    end = model.numbers()[END]
-
-    def pairs(held: Model, ids: np.ndarray) -> np.ndarray:
-        v, w = ids[:-1], ids[1:]
-        ok = (v >= 0) & (v < contexts) & (v != end) & (w >= 0) & (w < symbols)
-        return v[ok] * _SHIFT + w[ok]
-
-    keys, n = _collected(count_ngrams(training, spark.sparkContext.broadcast(model), pairs, least_next))
-    if not len(keys):
-        return model, counts
-    v, w = keys // _SHIFT, keys % _SHIFT
-    stays, log, rest = grow(v, w, n, np.maximum(count, 1), model.log0[w])
-    # two-word contexts: the pairs frequent enough, whose own occurrences are known
-    wide = np.flatnonzero((n >= least_context) & (w != end))
-    candidates, own2 = keys[wide], n[wide]
-
-    def triples(held: Model, ids: np.ndarray) -> np.ndarray:
-        u, v, w = ids[:-2], ids[1:-1], ids[2:]
-        at, hit = _find(candidates, np.where((u >= 0) & (v >= 0), u * _SHIFT + v, -1))
-        ok = hit & (w >= 0) & (w < symbols)
-        return at[ok] * _SHIFT + w[ok]
-
-    one = np.where(stays, rest, np.nan)
-    used = stays[v]
-    model.rest1, model.next1, model.log1 = one, keys[used], log[used]
-    if len(candidates):
-        counted = count_ngrams(training, spark.sparkContext.broadcast(model), triples, least_next)
-        keys3, n3 = _collected(counted)
-        c, w3 = keys3 // _SHIFT, keys3 % _SHIFT
-        below, open_ = model.below_root(candidates[c] % _SHIFT, w3)
-        stays2, log3, rest2 = grow(c, w3, n3, own2, below + np.where(open_, model.log0[w3], 0.0))
-        number = np.cumsum(stays2) - 1
-        used = stays2[c]
-        model.pairs2, model.rest2 = candidates[stays2], rest2[stays2]
-        model.next2, model.log2 = number[c[used]] * _SHIFT + w3[used], log3[used]
-    return model, counts
+    sc = training.sparkSession.sparkContext
+    held = sc.broadcast(model)
+    log0 = F.log10((F.col("n") + 1) / F.lit(float(model.norm)))
+    shorter = common.stored(
+        counts.where(F.col("n") >= LEAST).select(F.xxhash64("word").alias("key"), "n", log0.alias("log")), "words"
+    )
+    parts, pairs = [], None
+    for n in range(2, depth + 2):
+        sketch = sc.broadcast(Sketch(shorter.select("key")))
+        grams = common.stored(count_ngrams(training, held, sketch, n), "counted")
+        shorter, states = grow(grams, shorter)
+        parts.append(shorter.where("d is not null").select("key", "n", F.col("d").alias("weight"), F.lit(0.0).alias("rest")))
+        parts.append(states.select(F.col("context").alias("key"), F.col("own").alias("n"), F.col("rest").alias("weight"), "rest"))
+        pairs = grams if pairs is None else pairs
+        sketch.unpersist()
+    weights = parts[0]
+    for part in parts[1:]:
+        weights = weights.union(part)
+    weights = common.stored(
+        weights.groupBy("key").agg(F.max("n").alias("n"), F.sum("weight").alias("weight"), F.sum("rest").alias("rest")), "weights"
+    )
+    least = max(LEAST, int(np.ceil(P_NGRAM * total)))
+    rows = weights.where(F.col("n") >= least).select("key", "weight", "rest").toArrow()
+    keys = rows["key"].to_numpy().astype(np.int64).view(np.uint64)
+    order = np.argsort(keys)
+    model.keys, model.depth = keys[order], depth
+    model.weights, model.rests = rows["weight"].to_numpy()[order], rows["rest"].to_numpy()[order]
+    known = pairs.where(F.col("n") >= max(least, least_word))
+    known = known.select("context", "suffix", F.xxhash64("context", "suffix").alias("key"))
+    model.next1 = model.pair_numbers(known.join(parts[0], "key", "left_semi"))
+    model.pairs2 = model.pair_numbers(known.join(parts[3], "key", "left_semi")) if depth > 1 else model.pairs2
+    return model, counts, weights
 
 
 def suffix_tree_scores(
-    docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH
 ) -> DataFrame:
     """Score every whole text under a suffix tree learnt from the rows that aren't held out.
 
@@ -253,59 +327,74 @@ def suffix_tree_scores(
     without training rows both scores give each token probability 1 / 1; further columns
     are ignored.
 
-    A token's probability comes from the longest context before it that is a state. The
-    most frequent words' counts and the states are broadcast, both bounded; all other
-    words are counted per document and joined with the full table of counts.
+    A token's probability comes from the longest context before it, of ``depth`` words at
+    most, that is a state. The most frequent words' counts and n-grams' weights are
+    broadcast, both bounded; all other words and n-grams are counted per document and
+    joined with the full tables, which grow with the training texts.
     """
     out = F.coalesce(held_out, F.lit(False))
     rows = docs.select(
         F.col(id_col).alias("_id"), out.alias("held_out"), F.col(text_col).alias("_text")
     )
-    model, counts = fit(rows.where(~F.col("held_out")).select("_text"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    model, counts, weights = learn(rows.where(~F.col("held_out")).select("_text"), depth)
+    sc = docs.sparkSession.sparkContext
+    shared, sketch = sc.broadcast(model), sc.broadcast(Sketch(weights.select("key")))
     in_table = model.total > 0
 
     def make():
-        held = shared.value
-        number = held.numbers()
+        held, seen = shared.value, sketch.value
 
         def fn(batch):
-            n_tokens, n_known, base, score, rare = [], [], [], [], []
-            for text in common.texts(batch, "_text"):
-                found = words(text)
-                ids = held.encode(found)
-                known = ids[ids >= 0]
-                n_tokens.append(len(ids))
-                n_known.append(len(known) if in_table else 0)
-                base.append(float(held.log0[known].sum()))
-                score.append(held.score(ids))
-                outside: dict[bytes, int] = {}
-                for w in found:
-                    if w not in number:
-                        outside[w] = outside.get(w, 0) + 1
-                rare.append(list(outside.items()))
+            found = [words(t) for t in common.texts(batch, "_text")]
+            ids, keys, doc = held.encode(found)
+            n, known = len(found), ids >= 0
+            base = np.bincount(doc[known], weights=held.log0[ids[known]], minlength=n)
+            score, parts = base.copy(), []
+            for of, key in held.orders(keys, doc):
+                maybe = seen.holds(key)
+                of, key = of[maybe], key[maybe]
+                weight, hit = held.lookup(key)
+                score += np.bincount(of, weights=weight, minlength=n)
+                parts.append((of[~hit], key[~hit]))
+            of, key = (np.concatenate(x) for x in zip(*parts))
+            order = np.lexsort((key, of))
+            of, key = of[order], key[order]
+            new = np.flatnonzero(np.r_[True, (of[1:] != of[:-1]) | (key[1:] != key[:-1])][: len(of)])
+            grams = pa.StructArray.from_arrays(
+                [pa.array(key[new].view(np.int64)), pa.array(np.diff(np.r_[new, len(of)]))], names=["key", "times"]
+            )
+            ends = np.r_[0, np.cumsum(np.bincount(of[new], minlength=n))].astype(np.int32)
+            rare: list[dict[bytes, int]] = [{} for _ in found]
+            joined = None
+            for i in np.flatnonzero(~known).tolist():
+                if joined is None:
+                    joined = [w for x in found for w in (*x, END)]
+                own = rare[doc[i]]
+                own[joined[i]] = own.get(joined[i], 0) + 1
+            n_known = np.bincount(doc[known], minlength=n) if in_table else np.zeros(n, np.int64)
             return [
-                pa.array(n_tokens, pa.int64()),
+                pa.array([len(x) + 1 for x in found], pa.int64()),
                 pa.array(n_known, pa.int64()),
-                pa.array(base, pa.float64()),
-                pa.array(score, pa.float64()),
+                pa.array(base),
+                pa.array(score),
                 pa.array(
-                    [[{"word": w, "times": n} for w, n in r] for r in rare],
+                    [[{"word": w, "times": n} for w, n in r.items()] for r in rare],
                     pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64())])),
                 ),
+                pa.ListArray.from_arrays(pa.array(ends), grams),
             ]
 
         return fn
 
     added = (
         "n_tokens long, n_known long, base double, part double, "
-        "rare array<struct<word: binary, times: bigint>>"
+        "rare array<struct<word: binary, times: bigint>>, grams array<struct<key: bigint, times: bigint>>"
     )
     scored = common.map_rows(rows, ["_id", "held_out"], make, added)
     scored = common.stored(scored.withColumn("_row", F.monotonically_increasing_id()), "scored")
     rare = scored.select("_row", F.explode("rare").alias("r")).select("_row", "r.word", "r.times")
     n = F.coalesce("n", F.lit(0))
-    rest = (
+    of_words = (
         rare.join(counts, "word", "left")
         .groupBy(F.col("_row").alias("_of"))
         .agg(
@@ -313,7 +402,14 @@ def suffix_tree_scores(
             F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("_known"),
         )
     )
-    joined = scored.drop("rare").join(rest, F.col("_row") == F.col("_of"), "left")
+    grams = scored.select("_row", F.explode("grams").alias("g")).select("_row", "g.key", "g.times")
+    of_grams = (
+        grams.join(weights.select("key", "weight"), "key")
+        .groupBy(F.col("_row").alias("_for"))
+        .agg(F.sum(F.col("times") * F.col("weight")).alias("_more"))
+    )
+    joined = scored.drop("rare", "grams").join(of_words, F.col("_row") == F.col("_of"), "left")
+    joined = joined.join(of_grams, F.col("_row") == F.col("_for"), "left")
     log = F.coalesce("_log", F.lit(0.0))
     return joined.select(
         F.col("_id").alias(id_col),
@@ -322,5 +418,5 @@ def suffix_tree_scores(
         (F.col("n_known") + F.coalesce("_known", F.lit(0))).alias("n_known"),
         F.lit(model.total).cast("long").alias("train_tokens"),
         (F.col("base") + log).alias("base_score"),
-        (F.col("part") + log).alias("score"),
+        (F.col("part") + log + F.coalesce("_more", F.lit(0.0))).alias("score"),
     )
