@@ -90,6 +90,47 @@ FROM (SELECT *, CASE WHEN octet_length(encode(coalesce(html, ''))) >= 1000
       FROM pages)
 """
 
+OP11 = r"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), trio AS (
+  SELECT doc_id, i, hash_key, count(*) OVER (PARTITION BY doc_id, hash_key) AS n
+  FROM (SELECT doc_id, unnest(range(1, len(w) - 1)) AS i,
+               unnest(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))) AS hash_key
+        FROM d WHERE len(w) > 2)
+), again AS (
+  SELECT doc_id, count(DISTINCT pos) AS n_repeat_words
+  FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS pos FROM trio WHERE n > 1) GROUP BY doc_id
+), line AS (
+  SELECT doc_id, source, l, len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) AS n_words,
+         regexp_replace(translate(array_to_string(regexp_extract_all(l, '[^\x20\x09-\x0D]+'), ' '),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9]', '0', 'g') AS key
+  FROM (SELECT doc_id, source, unnest(string_split(t, chr(10))) AS l FROM d)
+), often AS (
+  SELECT source, key FROM line WHERE n_words > 0
+  GROUP BY source, key HAVING count(DISTINCT doc_id) > 10
+), per_doc AS (
+  SELECT doc_id,
+         count(*) FILTER (WHERE n_words > 0) - count(DISTINCT l) FILTER (WHERE n_words > 0) AS n_dup_lines,
+         count(*) FILTER (WHERE o.key IS NOT NULL) AS n_removed_lines,
+         coalesce(sum(n_words) FILTER (WHERE o.key IS NOT NULL), 0) AS gone
+  FROM line LEFT JOIN often o ON o.key = line.key AND o.source IS NOT DISTINCT FROM line.source
+  GROUP BY doc_id
+), m AS (
+  SELECT doc_id, len(w) AS n_words,
+         CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+         len(w) < 50 OR 100 * coalesce(n_repeat_words, 0) > 50 * len(w) AS base_failed,
+         n_removed_lines, CAST(len(w) - gone AS BIGINT) AS n_left_words
+  FROM d JOIN per_doc USING (doc_id) LEFT JOIN again USING (doc_id)
+)
+SELECT *, NOT base_failed AND n_left_words >= 20 AND 100 * (n_words - n_left_words) <= 50 * n_words AS kept
+FROM m
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -97,4 +138,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_url_filters": OP6,
         "op7_warc": OP7,
         "op8_line_dedup": OP8,
+        "op11_quality_rules": OP11,
     }

@@ -14,6 +14,7 @@ from tickloom.llm import (
     ngram_join,
     packing,
     quality,
+    quality_rules,
     rp_forest,
     suffix_tree,
     token_counts,
@@ -144,6 +145,13 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    judged = quality_rules.line_frequency_rules(
+        table(spark, folder, "documents").select("doc_id", "text", "source"), max_docs=10
+    )
+    return judged.drop("text", "source")
+
+
 def queries() -> dict[str, Query]:
     found = {
         name: fn for name, fn in globals().items() if name.startswith("op") and name[2].isdigit()
