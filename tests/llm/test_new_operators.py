@@ -1,12 +1,15 @@
 """Quality rules, hard negatives and conversation repair against brute force."""
 
+import math
 import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from tickloom.llm import quality_rules
+from tickloom.llm import hard_negatives, quality_rules
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -63,3 +66,79 @@ def test_quality_rules(spark, broadcast_lines):
     assert Counter(map(tuple, found.collect())) == expected
     assert len({r[-1] for r in expected}) == 2 and any(r[-3] for r in expected)
     assert not quality_rules.line_frequency_rules(docs.limit(0), broadcast_lines=broadcast_lines).count()
+
+
+def _mined(rows, is_anchor, positives=5, negatives=10):
+    """Brute force over (id, vector, label) with whole numbers of any size."""
+    usable = {}
+    for i, v, label in rows:
+        if i is not None and v is not None and label is not None and all(x is not None and math.isfinite(x) for x in v):
+            row = (label, [math.floor(256 * float(np.float32(x))) for x in v])
+            usable[i] = min(usable.get(i, row), row)
+    lengths = Counter(len(v) for _, v in usable.values())
+    most = min(lengths, key=lambda n: (-lengths[n], n), default=0)
+    usable = {i: r for i, r in usable.items() if len(r[1]) == most}
+    out = Counter()
+    for a, (label, v) in usable.items():
+        if not is_anchor(a):
+            continue
+        scored = [(-sum(x * y for x, y in zip(v, w)), i, other) for i, (other, w) in usable.items() if i != a]
+        for p, positive, _ in sorted(x for x in scored if x[2] == label)[:positives]:
+            found = sorted(x for x in scored if x[2] != label and 30 * -p <= 100 * -x[0] <= 90 * -p)
+            for rank, (n, negative, _) in enumerate(found[:negatives], 1):
+                out[a, positive, rank, negative, -p, -n] += 1
+    return out
+
+
+VECTORS = "vec_id long, embedding array<float>, label int, id string, v int"
+
+
+def test_hard_negatives(spark, monkeypatch):
+    monkeypatch.setattr(hard_negatives, "CHUNK_BYTES", 1)  # several chunks of 1,024 rows
+    monkeypatch.setattr(hard_negatives, "PILOT", 64)
+    rng = np.random.default_rng(4)
+    middles = rng.normal(size=(9, 12))
+    x = middles[rng.integers(0, 9, 2_600)] + rng.normal(size=(2_600, 12)) * 0.3
+    x[500:1_300] = x[500]  # one very common vector, under all labels
+    rows = [(i, [float(np.float32(c)) for c in v], int(rng.integers(0, 4))) for i, v in enumerate(x)]
+    rows += [(3_000, [0.0] * 12, 1), (3_100, None, 1), (3_200, [1.0] * 11 + [None], 1), (3_300, [1.0] * 11 + [math.nan], 1)]
+    rows += [(3_400, [1.0] * 11 + [math.inf], 1), (3_500, [1.0] * 12, None), (None, [1.0] * 12, 1), (3_600, [1.0] * 7, 1)]
+    rows += [(3_700, [-1.0] * 12, 77), (3_800, [1.0] * 12, 2), (3_800, [0.5] * 12, 2), rows[40], rows[200]]
+    docs = spark.createDataFrame([(*r, "x", 0) for r in rows], VECTORS).repartition(3)
+    expected = _mined(rows, lambda i: i % 100 == 0)
+    found = hard_negatives.hard_negatives(docs, F.col("id") % 100 == 0)
+    assert Counter(map(tuple, found.collect())) == expected and len(expected) > 500
+    for empty in (docs.limit(0), docs.where("vec_id = 3100")):
+        assert not hard_negatives.hard_negatives(empty, F.col("id") % 100 == 0).count()
+    assert not hard_negatives.hard_negatives(docs, F.lit(False)).count()
+
+
+def test_hard_negatives_of_large_components(spark):
+    """Products beyond 2^53 stay exact; those that no long holds raise."""
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(np.float32(c)) for c in rng.normal(size=3) * 1e6], i % 3) for i in range(60)]
+    docs = spark.createDataFrame([(*r, "x", 0) for r in rows], VECTORS)
+    found = hard_negatives.hard_negatives(docs, F.col("id") % 10 == 0)
+    assert Counter(map(tuple, found.collect())) == _mined(rows, lambda i: i % 10 == 0)
+    with pytest.raises(ValueError):
+        hard_negatives.hard_negatives(
+            docs.select("vec_id", "label", F.transform("embedding", lambda c: c * 1e9).alias("embedding")), F.lit(True)
+        )
+
+
+def test_walks_end_early():
+    """A shared list is walked a part only, and the bound holds for each member."""
+    rng = np.random.default_rng(6)
+    middles = rng.normal(size=(40, 16))
+    x = np.floor(256 * (middles[rng.integers(0, 40, 20_000)] + rng.normal(size=(20_000, 16)) * 0.1))
+    members = np.floor(256 * (middles[3] + rng.normal(size=(30, 16)) * 0.1))
+    lengths = np.sqrt((x * x).sum(axis=1))
+    order, bounds = hard_negatives.shared_list(members, x, lengths)
+    sizes = np.sqrt((members * members).sum(axis=1))
+    assert (members @ x[order].T <= sizes[:, None] * bounds).all()
+    bests = [[hard_negatives.Best(10, hard_negatives.LEAST, hard_negatives.MOST)] for _ in members]
+    done = hard_negatives.walk(members, bests, x, np.arange(len(x)))
+    assert done < 0.3 * len(members) * len(x)
+    for u, (best,) in zip(members, bests):
+        expected = sorted((-int(s), i) for i, s in enumerate(x @ u))[:10]
+        assert list(zip((-best.scores).tolist(), best.ids.tolist())) == expected

@@ -19,7 +19,8 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_matches_sql(spark, con, name, monkeypatch):
-    monkeypatch.setitem(compare.SAME, "boolean", "BOOLEAN")
+    for kind, name_ in {"boolean": "BOOLEAN", "int": "INTEGER"}.items():
+        monkeypatch.setitem(compare.SAME, kind, name_)
     spark_side, duck_side = spark_rows(QUERIES[name](spark, SF)), duck_rows(con, SQL[name])
     assert not differences(spark_side, duck_side)
     assert sum(duck_side[2].values()) > 0

@@ -131,6 +131,30 @@ SELECT *, NOT base_failed AND n_left_words >= 20 AND 100 * (n_words - n_left_wor
 FROM m
 """
 
+OP12 = """
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, e.vec_id, a.label = e.label AS same,
+         CAST(list_inner_product(a.v, e.v) AS BIGINT) AS score
+  FROM e AS a JOIN e ON a.vec_id % 100 = 0 AND a.vec_id <> e.vec_id
+), p AS (
+  SELECT * FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), n AS (
+  SELECT anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id,
+         p.score AS positive_score, s.score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+  FROM p JOIN s USING (anchor_id)
+  WHERE NOT s.same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score
+)
+SELECT * FROM n WHERE rank <= 10
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -139,4 +163,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_warc": OP7,
         "op8_line_dedup": OP8,
         "op11_quality_rules": OP11,
+        "op12_hard_negatives": OP12,
     }

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tickloom.llm import (
     decontamination,
+    hard_negatives,
     line_dedup,
     ngram_join,
     packing,
@@ -152,6 +153,14 @@ def op11_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.drop("text", "source")
 
 
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(
+        vectors.select("vec_id", "embedding", moved.alias("label")), F.col("id") % 100 == 0
+    )
+
+
 def queries() -> dict[str, Query]:
     found = {
         name: fn for name, fn in globals().items() if name.startswith("op") and name[2].isdigit()
