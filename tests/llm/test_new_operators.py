@@ -1,15 +1,18 @@
 """Quality rules, hard negatives and conversation repair against brute force."""
 
+import hashlib
+import itertools
 import math
 import random
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tickloom.llm import hard_negatives, quality_rules
+from tickloom.llm import conversation_repair, hard_negatives, quality_rules
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -142,3 +145,137 @@ def test_walks_end_early():
     for u, (best,) in zip(members, bests):
         expected = sorted((-int(s), i) for i, s in enumerate(x @ u))[:10]
         assert list(zip((-best.scores).tolist(), best.ids.tolist())) == expected
+
+
+def _damage(rows):
+    """(conv, turn, role, text) rows after the known damage."""
+    out = []
+    for conv, turn, role, text in rows:
+        role, text = (" " if x is None else x for x in (role, text))
+        name = ":".join(" " if x is None else str(x) for x in (conv, turn))
+        code = zlib.crc32(name.encode()) % 20
+        if code == 1:
+            text = ""
+        elif code == 2:
+            text = re.sub("[.!?]", "", text)
+        elif code == 4:
+            role = "user"
+        out += [(conv, turn, role, text)] * (0 if code == 0 else 2 if code == 3 else 1)
+    return out
+
+
+def _repaired(rows):
+    """One conversation by a plain table of all costs from the end; rows (turn, role, text)."""
+    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1], r[2]))
+    white = " \t\n\v\f\r"
+    seen, faults = set(), []
+    for _, role, text in rows:
+        body = text.rstrip(white)
+        faults.append(0 if not body else 1 if (role, text) in seen else 2 if body[-1] not in ".!?" else 3)
+        seen.add((role, text))
+    turns = {t for t, _, _ in rows if t is not None}
+    legal = {("s", "u"), ("u", "a"), ("a", "u")}
+    illegal = sum((a[1][:1], b[1][:1]) not in legal for a, b in itertools.pairwise(rows))
+    wanted = {"": "u", "s": "u", "u": "a", "a": "u"}
+    names = {"u": "user", "a": "assistant"}
+    n = len(rows)
+    best = {}
+    for i in range(n, -1, -1):
+        here = {s: [(0, "", ())] if i == n and s in ("", "a") else [] for s in wanted}
+        if i < n:
+            _, role, text = rows[i]
+            for s in wanted:
+                extra = 3 * (faults[i] == 2)
+                ways = [("D", 4, s, ())]
+                if faults[i] > 1:
+                    if (s, role[:1]) in legal or (not s and role[:1] in ("s", "u")):
+                        ways.append(("K", extra, role[:1], (f"{role}:{text}",)))
+                    ways.append(("R", 3 + extra, wanted[s], (f"{names[wanted[s]]}:{text}",)))
+                for edit, cost, t, made in ways:
+                    here[s] += [(cost + c, edit + e, made + m) for c, e, m in [best[i + 1, t]]]
+        for _ in range(4):  # insertions
+            now = {s: min(x) for s, x in here.items() if x}
+            for s, t in wanted.items():
+                if t in now:
+                    c, e, m = now[t]
+                    here[s].append((3 + c, "I" + e, (f"{names[t]}:",) + m))
+        best |= {(i, s): min(x) for s, x in here.items()}
+    cost, audit, made = best[0, ""]
+    gaps = max(turns) - min(turns) + 1 - len(turns) if turns else 0
+    digest = hashlib.sha256("\n".join(made).encode()).hexdigest()
+    return (gaps, faults.count(0), faults.count(1), faults.count(2), illegal, cost, audit, digest)
+
+
+def _conversations():
+    rng = random.Random(8)
+    texts = ["Yes.", "No!", "Why?", "cut off", " ", "", None, "two. lines\nhere", "é…", "Ok. \t", "1", "2.", "3?", "4!"]
+    roles = ["user", "assistant", "user", "assistant", "system", "tool", "", None, "unknown"]
+    rows = []
+    for conv in range(400):
+        turns = [None if rng.random() < 0.05 else rng.randrange(12) for _ in range(rng.randrange(1, 12))]
+        legal = rng.random() < 0.5
+        for i, turn in enumerate(sorted(turns, key=lambda t: (t is not None, t or 0))):
+            role = ("user", "assistant")[i % 2] if legal else rng.choice(roles)
+            rows.append((conv, turn, role, rng.choice(texts) if rng.random() < 0.5 else f"text {rng.random()}."))
+    rows += [(None, 1, "user", "Hi."), (None, None, "assistant", "Hi."), (None, 2, "assistant", "So.")]
+    rows += rows[100:110]  # repeated rows
+    # one conversation of a third of all rows, with runs of equal rows
+    for i in range(1_500):
+        role = rng.choice(["user", "assistant"]) if rng.random() < 0.3 else ("user", "assistant")[i % 2]
+        rows.append((7_000, i, role, rng.choice(["Said again.", f"line {i}.", f"line {i}"])))
+    return rows + [(7_000, 700, "user", "Same.")] * 300
+
+
+@pytest.mark.parametrize("segment, parts", [(256, 8), (16, 8), (7, 1)])
+def test_conversation_repair(spark, monkeypatch, segment, parts):
+    monkeypatch.setattr(conversation_repair, "SEGMENT", segment)
+    rows = _conversations()
+    docs = spark.createDataFrame(
+        [(*r, 5, "x") for r in rows], "conv_id long, turn long, role string, text string, copies int, part string"
+    ).repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        found = conversation_repair.repair(conversation_repair.damaged(docs)).collect()
+        assert not conversation_repair.repair(conversation_repair.damaged(docs.limit(0))).count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    groups = {conv: [] for conv, *_ in rows}
+    for conv, *rest in _damage(rows):
+        groups[conv].append(tuple(rest))
+    expected = {conv: _repaired(own) for conv, own in groups.items()}
+    assert len(found) == len(expected)
+    assert {r[0]: tuple(r[1:]) for r in found} == expected
+    assert set("".join(r[6] for r in expected.values())) == set("DIKR")
+
+
+def test_bidirectional_search_finds_the_least_edits():
+    """Cost and audit of many short conversations, and of a long one by joined segments."""
+    rng = random.Random(9)
+    make = conversation_repair.Item
+    choices = [make(r, t, 0) for r in "sua?" for t in (False, True)] + [make("", False, 2)]
+
+    def plain(items, s, ends):
+        best = {(len(items), t): (0, "") for t in ends}
+        for i in range(len(items), -1, -1):
+            for _ in range(4):
+                for a in conversation_repair.STATES:
+                    ways = [(3, "I", best.get((i, conversation_repair.WANTED[a])))]
+                    if i < len(items):
+                        ways += [(x.cost, x.edits, best.get((i + 1, x.state))) for x in conversation_repair.steps(items[i])[a]]
+                    found = [(c + y[0], e + y[1]) for c, e, y in ways if y]
+                    found += [best[i, a]] if (i, a) in best else []
+                    if found:
+                        best[i, a] = min(found)
+        return best[0, s]
+
+    for _ in range(1_500):
+        items = [rng.choice(choices) for _ in range(rng.randrange(0, 9))]
+        assert conversation_repair.cheapest(items, 0, (0, 3)) == plain(items, 0, (0, 3))
+    items = [rng.choice(choices) for _ in range(120)]
+    whole = conversation_repair.table(items)
+    halves = conversation_repair.table([])
+    for at in range(0, 120, 13):
+        halves = conversation_repair.joined(halves, conversation_repair.table(items[at : at + 13]))
+    assert halves == whole

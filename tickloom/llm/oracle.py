@@ -155,6 +155,77 @@ WITH e AS (
 SELECT * FROM n WHERE rank <= 10
 """
 
+# A state is (cost, edits, repaired rows); each row is taken by the states before it in turn.
+OP13 = r"""
+WITH RECURSIVE raw AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(4294967295, list_reduce(
+           list_concat([4294967295::BIGINT], flatten(list_transform(
+             string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''),
+             lambda x: [ord(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+           lambda c, x: CASE WHEN x >= 0 THEN xor(c, x)
+                             WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) % 20 AS k
+  FROM conversations
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN k = 1 THEN '' WHEN k = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE k WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM raw
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS time,
+         regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS tail
+  FROM damaged
+), judged AS (
+  SELECT *, left(role, 1) AS r,
+         CASE WHEN tail = '' THEN 'blank' WHEN time > 1 THEN 'duplicate'
+              WHEN tail NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+         lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair
+  FROM placed
+), fold(conv_id, i, z0, z1, z2, z3) AS (
+  SELECT DISTINCT conv_id, 0::BIGINT, {'c': 0::BIGINT, 'a': '', 't': ''}, {'c': 1000000000::BIGINT, 'a': '', 't': ''},
+         {'c': 3::BIGINT, 'a': 'I', 't': chr(10) || 'user:'},
+         {'c': 6::BIGINT, 'a': 'II', 't': chr(10) || 'user:' || chr(10) || 'assistant:'}
+  FROM raw
+  UNION ALL
+  SELECT conv_id, i, n0, n1, c2, least(n3, {'c': c2.c + 3, 'a': c2.a || 'I', 't': c2.t || chr(10) || 'assistant:'})
+  FROM (
+    SELECT *, least(n2, {'c': x.c + 3, 'a': x.a || 'I', 't': x.t || chr(10) || 'user:'}) AS c2
+    FROM (
+      SELECT *, least(n0, n1, n3) AS x
+      FROM (
+        SELECT f.conv_id, j.i,
+               {'c': z0.c + 4, 'a': z0.a || 'D', 't': z0.t} AS n0,
+               least({'c': z1.c + 4, 'a': z1.a || 'D', 't': z1.t},
+                     {'c': z0.c + IF(stay AND r = 's', more, 1000000000), 'a': z0.a || 'K', 't': z0.t || own}) AS n1,
+               least({'c': z2.c + 4, 'a': z2.a || 'D', 't': z2.t},
+                     {'c': w.c + IF(stay AND r = 'u', more, 1000000000), 'a': w.a || 'K', 't': w.t || own},
+                     {'c': w.c + IF(stay, 3 + more, 1000000000), 'a': w.a || 'R', 't': w.t || chr(10) || 'user:' || text}) AS n2,
+               least({'c': z3.c + 4, 'a': z3.a || 'D', 't': z3.t},
+                     {'c': z2.c + IF(stay AND r = 'a', more, 1000000000), 'a': z2.a || 'K', 't': z2.t || own},
+                     {'c': z2.c + IF(stay, 3 + more, 1000000000), 'a': z2.a || 'R', 't': z2.t || chr(10) || 'assistant:' || text}) AS n3
+        FROM (SELECT *, least(z0, z1, z3) AS w FROM fold) AS f
+        JOIN (SELECT *, fault NOT IN ('blank', 'duplicate') AS stay, IF(fault = 'truncated', 3, 0) AS more,
+                     chr(10) || role || ':' || text AS own FROM judged) AS j
+          ON j.conv_id IS NOT DISTINCT FROM f.conv_id AND j.i = f.i + 1
+      )
+    )
+  )
+), stats AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (WHERE fault = 'blank') AS blank,
+         count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+         count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+         count(*) FILTER (WHERE pair NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+  FROM judged GROUP BY conv_id
+)
+SELECT f.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+       least(z0, z3).c AS cost, least(z0, z3).a AS audit, sha256(substr(least(z0, z3).t, 2)) AS repaired_sha256
+FROM fold AS f LEFT JOIN stats AS s ON s.conv_id IS NOT DISTINCT FROM f.conv_id
+WHERE f.i = coalesce(n, 0)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -164,4 +235,5 @@ def oracle_sql() -> dict[str, str]:
         "op8_line_dedup": OP8,
         "op11_quality_rules": OP11,
         "op12_hard_negatives": OP12,
+        "op13_conversation_repair": OP13,
     }

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm import (
+    conversation_repair,
     decontamination,
     hard_negatives,
     line_dedup,
@@ -161,6 +162,12 @@ def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation_repair.repair(
+        conversation_repair.damaged(table(spark, folder, "conversations"))
+    )
+
+
 def queries() -> dict[str, Query]:
     found = {
         name: fn for name, fn in globals().items() if name.startswith("op") and name[2].isdigit()
