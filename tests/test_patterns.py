@@ -1,4 +1,6 @@
 import datetime as dt
+import random
+from functools import reduce
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -13,7 +15,7 @@ def returns(spark, rates, code="a", first="2024-01-01"):
         (code, dec(r), day(first) + dt.timedelta(days=i), i + 1) for i, r in enumerate(rates)
     ]
     return spark.createDataFrame(
-        items, "code string, up_down_rate decimal(10,3), ds date, rk bigint"
+        items, "code string, up_down_rate decimal(12,3), ds date, rk bigint"
     )
 
 
@@ -102,3 +104,21 @@ def test_week_number_shared_by_both_ends_of_a_year(spark):
 def test_unknown_token_is_an_error(spark):
     with pytest.raises(KeyError):
         patterns.kline_strings(returns(spark, [1]), 1, token="nope")
+
+
+@pytest.mark.parametrize("token, width, prefix", [("round", 13, 12), ("round", 4, 3), ("sign", 8, 7), ("sign", 40, 39), ("round", 3, 1)])
+def test_coded_patterns_equal_the_strings(spark, token, width, prefix):
+    rng = random.Random(width)
+    parts = [
+        returns(spark, [rng.choice([-99999999 / 100, 12345678.9, -0.4, 0.5, 1.5, -1, 2]) for _ in range(60)], code)
+        for code in "abc"
+    ]
+    s = reduce(lambda a, b: a.unionByName(b), parts)
+    since = day("2024-01-06")
+    for cut in (None, since):
+        strings = patterns.kline_strings_short(s, width, token, "|", since=cut)
+        got = patterns.pattern_frequency_of(s, width, prefix, token, since=cut)
+        assert rows(got) == rows(patterns.pattern_frequency(strings, prefix))
+        got = patterns.pattern_up_ratio_of(s, width, prefix, token, "|", min_up=0, since=cut)
+        assert rows(got) == rows(patterns.pattern_up_ratio(strings, prefix, "|", min_up=0))
+        assert got.count()

@@ -1,4 +1,7 @@
+import datetime as dt
+
 import pytest
+from pyspark.sql import functions as F
 
 from tests.frames import calendar, day, dec, detail, finance, news, rows
 from tickloom.operators import returns
@@ -109,3 +112,56 @@ def test_news_after_close_includes_the_cutoff(spark):
     assert returns.news_next_day_ranked(d, told, boards=["9"]).count() == 0
     weekend = returns.news_next_day_plain(d, told, day("2024-01-02"), day("2023-12-31"))
     assert weekend.count() == 0
+
+
+def _hot_code(spark, days):
+    """One code with a price each day and a financing row each day, beside a few small codes."""
+    first = dt.date(2020, 1, 1)
+    items = [("hot", str(first + dt.timedelta(days=i)), 100 + (i * 7919) % 50) for i in range(days)]
+    items += [(f"c{k}", str(first + dt.timedelta(days=i)), 10 + i) for k in range(5) for i in range(3)]
+    prices = detail(spark, items)
+    rows_ = finance(spark, [(c, d, 50, 0, 0) for c, d, _ in items])
+    return prices, rows_, first
+
+
+@pytest.mark.parametrize("max_days", [None, 90])
+@pytest.mark.parametrize("block_days", [7, 128, 5_000])
+def test_blocks_make_the_same_pairs(spark, block_days, max_days):
+    prices, rows_, first = _hot_code(spark, 300)
+    got = returns.financing_forward_return(
+        rows_, prices, first, min_days=5, max_days=max_days, block_days=block_days, ordered=False
+    )
+    later = prices.selectExpr("code", "ds as sell", "current_price as q")
+    plain = (
+        prices.join(rows_.selectExpr("code", "notice_date as ds"), ["code", "ds"])
+        .join(later, "code")
+        .where(f"datediff(sell, ds) between 5 and {max_days or 10_000}")
+        .selectExpr("code", "(q - current_price) * 100 / current_price as x", "sell as ds", "datediff(sell, ds) as dif")
+    )
+    shown = lambda df, x: sorted((r.code, str(r.ds), r.dif, round(float(r[x]), 4)) for r in df.collect())
+    assert shown(got, "cash_dif") == shown(plain, "x")
+
+
+def test_pairs_of_a_hot_code_are_spread(spark):
+    """No task holds more of the hot code's pairs than a few pairs of blocks."""
+    prices, rows_, first = _hot_code(spark, 800)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    options = {
+        "spark.sql.shuffle.partitions": "64",
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    for key, value in options.items():
+        spark.conf.set(key, value)
+    try:
+        pairs = returns._held_until_later(
+            prices.select("code", "ds", "current_price"), prices, first, 1, None, 50
+        )
+        sizes = [r["count"] for r in pairs.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for key in options:
+            spark.conf.unset(key)
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sum(sizes) == 800 * 799 // 2 + 5 * 3
+    # 16 blocks of 50 days make 136 pairs of blocks over 64 tasks
+    assert len(sizes) > 40 and max(sizes) <= 8 * 50 * 50

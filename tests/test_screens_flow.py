@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from tests.frames import day, dec, detail, finance, news, rows
+from tests.frames import calendar, day, dec, detail, finance, news, rows
 from tickloom.operators import flow, screens
 from tickloom.operators.joins import left_join_splittable
 
@@ -133,3 +133,29 @@ def test_flow_shares_sum_to_hundred_and_zero_is_null(spark):
     assert all(shares["b"][p] is None for p in parts)
     assert rows(flow.flow_total(d), "code", "total_inflow") == [("a", -20), ("b", 0)]
     assert rows(flow.big_small_flow(d)) == [("a", -10, -40), ("b", 0, 0)]
+
+
+def test_news_meet_the_last_close_before_them(spark):
+    cal = calendar(spark, "2024-01-18", 6)  # Thursday to Tuesday
+    n = news(
+        spark,
+        [
+            ("a", "2024-01-18 15:00:00", "at the close: Wednesday's, not in the calendar's days"),
+            ("a", "2024-01-18 15:00:01", "Thursday"),
+            ("a", "2024-01-19 14:59:59", "Thursday still"),
+            ("a", "2024-01-21 09:00:00", "Friday, told on Sunday"),
+            ("a", "2024-01-22 15:00:00", "Friday, told at Monday's close"),
+            ("a", "2024-01-23 16:00:00", "Tuesday, no day after"),
+            ("b", "2024-01-19 16:00:00", "sold off"),
+        ],
+    )
+    f = finance(spark, [(c, f"2024-01-{d}", 9 if c == "a" else 1, 2, 0) for c in "ab" for d in (18, 19, 22, 23)])
+    d = detail(spark, [("a", f"2024-01-{x}", 10, x) for x in (19, 22)])
+    got = rows(screens.news_financing_days(n, f, d, cal), "title", "dt", "dif", "up_down_rate")
+    assert got == [
+        ("Friday, told at Monday's close", day("2024-01-19"), dec("7.0000"), dec("22.00")),
+        ("Friday, told on Sunday", day("2024-01-19"), dec("7.0000"), dec("22.00")),
+        ("Thursday", day("2024-01-18"), dec("7.0000"), dec("19.00")),
+        ("Thursday still", day("2024-01-18"), dec("7.0000"), dec("19.00")),
+        ("Tuesday, no day after", day("2024-01-23"), dec("7.0000"), None),
+    ]

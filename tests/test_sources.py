@@ -185,3 +185,80 @@ def test_jobs_fill_their_tables(spark, db, tmp_path):
     assert rows(spark.table(f"{db}.detail"), "t_1_price", "dt") == [
         (dec("12.00"), day("2024-01-25"))
     ]
+
+
+def test_a_rerun_of_the_bulk_history_replaces_it(spark, db):
+    table = f"{db}.hist"
+    h = history(spark, [("a", "2024-01-02", 1, 2, 1), ("a", "2024-01-03", 2, 2, 1), ("b", "2024-02-01", 3, 3, 1)])
+    for _ in range(2):
+        warehouse.repartition_history(h.drop("dt"), table)
+    assert rows(spark.table(table), "code", "closing_price", "dt") == [
+        ("a", dec("1.00"), day("2024-01-02")),
+        ("a", dec("2.00"), day("2024-01-03")),
+        ("b", dec("3.00"), day("2024-02-01")),
+    ]
+    warehouse.repartition_history(h.drop("dt"), f"{db}.months", unit="month")
+    assert rows(spark.table(f"{db}.months"), "ds", "dt")[1] == (day("2024-01-03"), day("2024-01-01"))
+    with pytest.raises(ValueError):
+        warehouse.repartition_history(h.withColumn("ds", F.lit(None).cast("date")), table)
+
+
+def test_a_failed_overwrite_changes_nothing(spark, db):
+    table = f"{db}.hist"
+    h = history(spark, [("a", f"2024-01-0{i}", i, i, i) for i in range(1, 7)]).drop("dt")
+    warehouse.repartition_history(h, table)
+    before = rows(spark.table(table))
+    breaks = F.when(F.col("closing_price") > 4, F.raise_error(F.lit("broken")).cast("string")).otherwise("other")
+    with pytest.raises(Exception, match="broken"):
+        warehouse.repartition_history(h.withColumn("name", breaks), table)
+    assert rows(spark.table(table)) == before
+    # the session's own mode is never switched, so other loads in it aren't disturbed
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").upper() == "STATIC"
+
+
+def test_landing_keeps_what_it_rejects(spark, db, tmp_path):
+    root, table = str(tmp_path / "root"), f"{db}.ods_a_stock_finance_info"
+    good = "a\t9.25\t1\t10.5\t\\N\t\t7\t2024-01-02"
+    lines = [good, "b\tbad\t1\t2\t0\t0\t0\t2024-01-02", "c\t1\t2", "\\N\t1\t1\t2\t0\t0\t0\t2024-01-02",
+             "d\t1\t1\t2\t0\t0\t0\t2024-13-02", good + "\textra", ""]
+    write(f"{root}/2024-01-03", "p.gz", lines)
+    write(f"{root}/2024-01-04", "p.gz", ["x"])
+    counts = landing.land(spark, root, "ods_a_stock_finance_info", table)
+    assert rows(counts, "dt", "reason", "lines") == [
+        (day("2024-01-03"), None, 1),
+        (day("2024-01-03"), "no code", 1),
+        (day("2024-01-03"), "not 8 columns", 3),
+        (day("2024-01-03"), "unreadable financing_purchase", 1),
+        (day("2024-01-03"), "unreadable notice_date", 1),
+        (day("2024-01-04"), "not 8 columns", 1),
+    ]
+    assert rows(spark.table(table), "code", "financing_purchase", "bond_sell", "notice_date", "dt") == [
+        ("a", dec("9.2500"), None, day("2024-01-02"), day("2024-01-03"))
+    ]
+    assert rows(spark.table(f"{table}_rejects"), "line", "file")[-1] == ("x", "p.gz")
+    # the drops come again, mended: nothing of the first landing stays
+    write(f"{root}/2024-01-03", "p.gz", ["x"])
+    write(f"{root}/2024-01-04", "p.gz", [good, good])
+    landing.land(spark, root, "ods_a_stock_finance_info", table)
+    assert rows(spark.table(table), "dt") == [(day("2024-01-04"),)] * 2
+    assert rows(spark.table(f"{table}_rejects"), "dt", "line") == [(day("2024-01-03"), "x")]
+    write(f"{root}/undated", "p.gz", [good])
+    with pytest.raises(ValueError, match="1 files"):
+        landing.land(spark, root, "ods_a_stock_finance_info", table)
+    assert spark.table(table).count() == 2
+
+
+@pytest.mark.parametrize("table", sorted(schemas.RAW))
+def test_landing_takes_a_line_of_every_raw_table(spark, db, tmp_path, table):
+    """A line of plain values is taken, and typed the same as by the plain reader."""
+    values = {"string": "7", "date": "2024-01-02", "timestamp_ntz": "2024-01-02 10:00:00"}
+    fields = []
+    for field in schemas.struct(schemas.RAW[table]):
+        kind = schemas.TEXT_VALUES.get(table, {}).get(field.name, field.dataType.simpleString())
+        fields.append({"year": "2024", "month_day": "01-02"}.get(field.name, values.get(kind, "3")))
+    write(str(tmp_path / "root/2024-01-03"), "p.gz", ["\t".join(fields)])
+    landing.land(spark, str(tmp_path / "root"), table, f"{db}.{table}")
+    landed = spark.table(f"{db}.{table}")
+    read = landing.read_dated_drops(spark, str(tmp_path / "root"), table)
+    assert rows(landed.select(*sorted(landed.columns))) == rows(read.select(*sorted(read.columns)))
+    assert landed.count() == 1 and spark.table(f"{db}.{table}_rejects").count() == 0

@@ -5,7 +5,7 @@ from hypothesis import strategies as st
 
 from tests.frames import calendar, day, dec, detail, finance, news, rows
 from tickloom.operators import streaks
-from tickloom.operators.calendar import calendar_rank
+from tickloom.operators.calendar import calendar_rank, open_day_map
 from tickloom.operators.series import latest_per_day
 
 # 2024-01-19 is a Friday.
@@ -151,3 +151,34 @@ def test_ranked_rows_number_from_month_start(spark):
     d = detail(spark, [("a", "2024-01-20", 1), ("a", "2024-01-22", 1)])
     got = streaks.ranked_trading_rows(d, cal, since=dt.date(2024, 1, 19))
     assert rows(got, "ds", "rk") == [(day("2024-01-22"), 16)]
+
+
+def test_open_day_map(spark):
+    cal = calendar(spark, "2024-01-19", 6, closed=("2024-01-23",))  # Friday to Wednesday
+    got = rows(open_day_map(cal), "ds", "open_day", "prev_open", "next_open")
+    friday, monday, wednesday = day("2024-01-19"), day("2024-01-22"), day("2024-01-24")
+    assert got == [
+        (friday, friday, None, monday),
+        (day("2024-01-20"), friday, friday, monday),
+        (day("2024-01-21"), friday, friday, monday),
+        (monday, monday, friday, wednesday),
+        (day("2024-01-23"), monday, monday, wednesday),
+        (wednesday, wednesday, monday, None),
+    ]
+
+
+def test_growth_screen_days_agree_with_single_days(spark):
+    cal = calendar(spark, "2024-01-10", 14, closed=("2024-01-17",))
+    days = [day("2024-01-10") + dt.timedelta(days=i) for i in range(14)]
+    d = detail(spark, [(c, str(x), 30 + i, i) for c in "abc" for i, x in enumerate(days) if (i + ord(c)) % 5])
+    f = finance(spark, [(c, str(x), (i * ord(c)) % 7, 0, 1) for c in "abc" for i, x in enumerate(days)])
+    n = news(spark, [(c, f"{x} 10:00:00", f"{c}{x}") for c in "ab" for x in days[::2]])
+    every = streaks.growth_screen_days(d, f, n, cal, max_price=38)
+    expected = []
+    opened = sorted(r.ds for r in cal.where("astatus = 1").collect())
+    for before, today in zip(opened, opened[1:]):
+        told = [before + dt.timedelta(days=i) for i in range((today - before).days)]
+        one = streaks.growth_screen(d, f, n, today, before, before, told, max_price=38)
+        expected += [(today, *r) for r in one.collect()]
+    assert sorted(map(str, expected)) == sorted(str(tuple(r)) for r in every.collect())
+    assert expected

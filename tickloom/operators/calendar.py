@@ -29,3 +29,22 @@ def calendar_rank(
     return open_days(calendar, since, status).withColumn(
         "rk", F.row_number().over(Window.orderBy("ds"))
     )
+
+
+def open_day_map(calendar: DataFrame, status: str = "astatus") -> DataFrame:
+    """For every calendar day the open day it belongs to and the open days around it.
+
+    ``open_day`` is the day itself if it is open, else the one before; ``prev_open`` and
+    ``next_open`` are the nearest open days strictly before and after. NULL at the ends of
+    the calendar. One row per date, so the unpartitioned windows stay as small as there.
+    """
+    days = calendar.groupBy("ds").agg(F.max(F.when(F.col(status) == 1, F.col("ds"))).alias("_open"))
+    order = Window.orderBy("ds")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    after = order.rowsBetween(1, Window.unboundedFollowing)
+    return days.select(
+        "ds",
+        F.last("_open", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("open_day"),
+        F.max("_open").over(before).alias("prev_open"),
+        F.min("_open").over(after).alias("next_open"),
+    )

@@ -7,6 +7,8 @@ node; unused ones are pruned by the optimizer.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,15 +16,18 @@ from tickloom.functions import by_code
 from tickloom.operators.series import latest_per_day
 
 
-def _bars(history: DataFrame) -> DataFrame:
-    return latest_per_day(
-        history.select("code", "name", "closing_price", "highest", "lowest", "ds", "amount", "dt")
-    ).drop("dt")
+_SPREAD = ("highest", "lowest")
+_PRICES = ("closing_price", *_SPREAD)
+
+
+def _bars(history: DataFrame, *columns: str) -> DataFrame:
+    return latest_per_day(history.select("code", "ds", "dt", *columns)).drop("dt")
 
 
-def _ranked(history: DataFrame, **frames: Column) -> DataFrame:
+def _ranked(history: DataFrame, columns: Sequence[str], **frames: Column) -> DataFrame:
+    """One row per (code, ds) with the columns that are needed, its number and the frames."""
     w = by_code()
-    return _bars(history).withColumns({"rk": F.row_number().over(w), **frames})
+    return _bars(history, *columns).withColumns({"rk": F.row_number().over(w), **frames})
 
 
 def _lagged(name: str) -> Column:
@@ -45,7 +50,7 @@ def _last_closing() -> Column:
 def prev_close_diff(history: DataFrame) -> DataFrame:
     """Previous close (own close on the first row) and the move from it."""
     return (
-        _ranked(history, prev_close=_lagged("closing_price"))
+        _ranked(history, ["closing_price"], prev_close=_lagged("closing_price"))
         .withColumn("last_closing", _last_closing())
         .select(
             "code",
@@ -63,7 +68,7 @@ def _range_frames(n: int) -> dict[str, Column]:
 
 def hhv_llv(history: DataFrame, n: int = 9) -> DataFrame:
     """Highest high and lowest low of the last ``n`` rows."""
-    return _ranked(history, **_range_frames(n)).select("code", "ds", "hhv", "llv")
+    return _ranked(history, _SPREAD, **_range_frames(n)).select("code", "ds", "hhv", "llv")
 
 
 def _rsv() -> Column:
@@ -75,7 +80,8 @@ def _rsv() -> Column:
 
 def rsv(history: DataFrame, n: int = 9) -> DataFrame:
     """Raw stochastic value: where the close lies in the ``n``-row range, in percent."""
-    return _ranked(history, **_range_frames(n)).select("code", "ds", _rsv().alias("rsv"))
+    frames = _range_frames(n)
+    return _ranked(history, _PRICES, **frames).select("code", "ds", _rsv().alias("rsv"))
 
 
 def _sar_frames(start: int, step: int) -> dict[str, Column]:
@@ -97,7 +103,7 @@ def _sar_low(start: int) -> Column:
 
 def sar_bounds(history: DataFrame, start: int = 4, step: int = 2) -> DataFrame:
     """Bounds of the parabolic stop: a wide frame over the first rows, then a short one."""
-    return _ranked(history, **_sar_frames(start, step)).select(
+    return _ranked(history, _SPREAD, **_sar_frames(start, step)).select(
         "code", "ds", _sar_high(start).alias("sar_high"), _sar_low(start).alias("sar_low")
     )
 
@@ -115,7 +121,7 @@ def _true_range() -> Column:
 def true_range(history: DataFrame) -> DataFrame:
     """Largest of the day's spread and the two distances to the previous close."""
     return (
-        _ranked(history, prev_close=_lagged("closing_price"))
+        _ranked(history, _PRICES, prev_close=_lagged("closing_price"))
         .withColumn("last_closing", _last_closing())
         .select("code", "ds", _true_range().alias("tr"))
     )
@@ -137,7 +143,7 @@ def _dominant(move: str, other: str) -> Column:
 def directional_move(history: DataFrame) -> DataFrame:
     """Up and down moves against the previous row; only the larger positive one counts."""
     return (
-        _ranked(history, prev_high=_lagged("highest"), prev_low=_lagged("lowest"))
+        _ranked(history, _SPREAD, prev_high=_lagged("highest"), prev_low=_lagged("lowest"))
         .withColumns(_moves())
         .select(
             "code",
@@ -158,7 +164,7 @@ def stock_step_one(history: DataFrame, n: int = 9, start: int = 4, step: int = 2
         **_sar_frames(start, step),
     }
     return (
-        _ranked(history, **frames)
+        _ranked(history, ["name", *_PRICES, "amount"], **frames)
         .withColumns({"last_closing": _last_closing(), **_moves()})
         .select(
             "code",

@@ -32,15 +32,17 @@ def window_rows(series: DataFrame, w: int = 5) -> DataFrame:
 
 
 def _rounded(rate: Column) -> Column:
-    return F.round(rate, 0).cast("bigint").cast("string")
+    return F.round(rate, 0).cast("bigint")
 
 
 def _sign(rate: Column) -> Column:
-    return F.when(rate > 0, "1").when(rate == 0, "0").otherwise("-1")
+    return F.when(rate > 0, 1).when(rate == 0, 0).otherwise(-1).cast("bigint")
 
 
 # How a daily return is written into a pattern.
 TOKENS = {"round": _rounded, "sign": _sign}
+# Bits that hold a token, its sign included: whole percents of a decimal(10, x) need 28.
+TOKEN_BITS = {"round": 32, "sign": 2}
 
 
 def _windows(
@@ -48,25 +50,29 @@ def _windows(
 ) -> DataFrame:
     """Per row the tokens of the window that ends there, if it holds ``count`` rows.
 
-    ``since`` cuts the series first while ``rk`` keeps its old values, so a window that
-    reaches over the cut is short. ``tags`` numbers a code's windows in order, short
-    ones included.
+    ``_t0`` is the row's own token, ``_t1`` that of the row before, up to ``width - 1``:
+    plain lags of an integer, no list is built for a row. ``since`` cuts the series first
+    while ``rk`` keeps its old values, so a window that reaches over the cut is short and
+    its first tokens are NULL. ``tags`` numbers a code's windows in order, short ones
+    included.
     """
     rows = series if since is None else series.where(F.col("ds") >= F.lit(since))
     span, wanted = width - 1, width if count is None else count
     w = by_code("rk")
-    entry = F.struct("rk", TOKENS[token](F.col("up_down_rate")).alias("token"))
-    frame = F.collect_list(entry).over(w.rowsBetween(-span, 0))
+    # number and token together: one lag for each position brings both
+    entry = F.struct("rk", TOKENS[token](F.col("up_down_rate")).alias("t"))
+    lags = {f"_e{k}": F.lag("_e0", k).over(w) for k in range(1, width)}
     numbered = F.sum(F.when(F.col("rk") > span, 1).otherwise(0)).over(
         w.rowsBetween(Window.unboundedPreceding, 0)
     )
-    inside = F.filter("_frame", lambda e: e["rk"] >= F.col("rk") - span)
-    return (
-        rows.withColumns({"_frame": frame, "tags": numbered})
-        .where(F.col("rk") > span)
-        .withColumn("_frame", inside)
-        .where(F.size("_frame") == wanted)
-    )
+    # numbers grow along a code, so a window holds the nearest rows down to its first number
+    inside = {k: F.coalesce(F.col(f"_e{k}.rk") >= F.col("rk") - span, F.lit(False)) for k in range(width)}
+    framed = rows.withColumn("_e0", entry).withColumns({**lags, "tags": numbered})
+    held = inside[wanted - 1] if 0 < wanted <= width else F.lit(False)
+    if wanted < width:
+        held = held & ~inside[wanted]
+    tokens = [F.when(inside[k], F.col(f"_e{k}.t")).alias(f"_t{k}") for k in range(width)]
+    return framed.where((F.col("rk") > span) & held).select("code", "tags", "rk", *tokens)
 
 
 def kline_strings(
@@ -82,12 +88,13 @@ def kline_strings(
     The series order comes from the frame, so the strings are deterministic.
     ``count`` keeps windows with that many rows instead of ``width``.
     """
-    positions = F.sequence(F.lit(1), F.size("_frame"))
+    held = width if count is None else count
+    tokens = [F.col(f"_t{k}").cast("string") for k in range(min(width, held) - 1, -1, -1)]
     return _windows(series, width, token, since, count).select(
         "code",
         "tags",
-        F.concat_ws(sep, F.col("_frame.token")).alias("kline"),
-        F.concat_ws("?", positions.cast("array<string>")).alias("nos"),
+        F.concat_ws(sep, *tokens).alias("kline"),
+        F.lit("?".join(str(i + 1) for i in range(held))).alias("nos"),
     )
 
 
@@ -131,21 +138,103 @@ def pattern_up_ratio(
 ) -> DataFrame:
     """Per prefix: windows ending in a rise, in a fall, and the share of rises in percent."""
     last = _last_move("kline", sep)
-    up, down = F.col("up"), F.col("down")
     return (
         kline.groupBy(_prefix("kline", sep, prefix).alias("stock"))
         .agg(F.count_if(last > 0).alias("up"), F.count_if(last < 0).alias("down"))
-        .where(up > min_up)
-        .withColumn(
-            "ratio",
-            F.round(
-                F.try_divide(up.cast("decimal(20,0)") * 100, (up + down).cast("decimal(20,0)")), 2
-            ),
-        )
+        .where(F.col("up") > min_up)
+        .withColumn("ratio", _share_of_rises())
         .orderBy(F.desc("ratio"), "stock")
     )
 
 
+def _packed(tokens: list[str], bits: int) -> list[Column]:
+    """Tokens side by side in as few longs as hold them."""
+    per, mask = 64 // bits, (1 << bits) - 1
+    out = []
+    for start in range(0, len(tokens), per):
+        word = F.lit(0).cast("bigint")
+        for name in tokens[start : start + per]:
+            word = F.shiftleft(word, bits).bitwiseOR(F.col(name).bitwiseAND(F.lit(mask).cast("bigint")))
+        out.append(word)
+    return out
+
+
+def _unpacked(words: list[str], n: int, bits: int) -> list[Column]:
+    """The ``n`` tokens of packed longs, signs restored."""
+    per, out = 64 // bits, []
+    for at, word in enumerate(words):
+        held = min(per, n - at * per)
+        for i in range(held):
+            left = 64 - bits * (held - i)
+            out.append(F.shiftright(F.shiftleft(F.col(word), left), 64 - bits))
+    return out
+
+
+def _coded(
+    series: DataFrame, width: int, prefix: int, token: str, since: dt.date | None
+) -> tuple[DataFrame, list[str], list[Column]]:
+    """Full windows as packed prefixes and the last token; key columns, and their tokens.
+
+    Returns must not be NULL; the series operators leave such rows out.
+    """
+    if not 0 < prefix <= width:
+        raise ValueError("the prefix lies within the window")
+    bits = TOKEN_BITS[token]
+    first = [f"_t{k}" for k in range(width - 1, width - 1 - prefix, -1)]
+    words = {f"_w{i}": c for i, c in enumerate(_packed(first, bits))}
+    rows = _windows(series, width, token, since, None)
+    keys = list(words)
+    coded = rows.select(*[c.alias(name) for name, c in words.items()], F.col("_t0").alias("_last"))
+    return coded, keys, _unpacked(keys, prefix, bits)
+
+
+def pattern_frequency_of(
+    series: DataFrame,
+    width: int = 13,
+    prefix: int = 12,
+    token: str = "round",
+    sep: str = "|",
+    since: dt.date | None = None,
+) -> DataFrame:
+    """``pattern_frequency`` straight from a series: patterns stay packed integers.
+
+    Windows are counted by one to a few longs, and only the distinct patterns become text.
+    """
+    coded, keys, tokens = _coded(series, width, prefix, token, since)
+    return (
+        coded.where("_last > 0")
+        .groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("num"))
+        .select(F.concat_ws(sep, *[t.cast("string") for t in tokens]).alias("pattern"), "num")
+        .orderBy(F.desc("num"), "pattern")
+    )
+
+
+def pattern_up_ratio_of(
+    series: DataFrame,
+    width: int = 8,
+    prefix: int = 7,
+    token: str = "sign",
+    sep: str = ",",
+    min_up: int = 50,
+    since: dt.date | None = None,
+) -> DataFrame:
+    """``pattern_up_ratio`` straight from a series, on packed integers."""
+    coded, keys, tokens = _coded(series, width, prefix, token, since)
+    counted = coded.groupBy(*keys).agg(
+        F.count_if(F.col("_last") > 0).alias("up"), F.count_if(F.col("_last") < 0).alias("down")
+    )
+    named = counted.where(F.col("up") > min_up).select(
+        F.concat_ws(sep, *[t.cast("string") for t in tokens]).alias("stock"), "up", "down"
+    )
+    return named.withColumn("ratio", _share_of_rises()).orderBy(F.desc("ratio"), "stock")
+
+
+def _share_of_rises() -> Column:
+    up, down = F.col("up").cast("decimal(20,0)"), F.col("down").cast("decimal(20,0)")
+    return F.round(F.try_divide(up * 100, up + down), 2)
+
+
 def weekly_training(
     rates: DataFrame, calendar: DataFrame, since: dt.date | None = None, days: int = 5
 ) -> DataFrame:

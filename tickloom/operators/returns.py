@@ -16,6 +16,9 @@ from tickloom.functions import day_number, in_boards, on_day, pct_change
 from tickloom.operators.calendar import open_days
 from tickloom.operators.series import latest_per_day
 
+# Days of a block in joins of a code's days with its later days.
+BLOCK_DAYS = 128
+
 
 def _prices(detail: DataFrame, *extra: str) -> DataFrame:
     return latest_per_day(detail.select("code", "ds", "dt", "current_price", *extra)).drop("dt")
@@ -139,22 +142,47 @@ def hold_k_win_rate(
 
 
 def _held_until_later(
-    base: DataFrame, detail: DataFrame, min_days: int, max_days: int | None
+    base: DataFrame,
+    detail: DataFrame,
+    first: dt.date,
+    min_days: int,
+    max_days: int | None,
+    block_days: int,
 ) -> DataFrame:
-    """Pair each base row with every later day of its code.
-
-    Both sides have one row per (code, ds), so one code contributes at most
-    days x days / 2 pairs; they stream through the join into the next operator
-    and are not shuffled. ``max_days`` is an optional holding limit of the analysis.
+    """Pair each base row, none before ``first``, with every later day of its code.
+
+    Both sides have one row per (code, ds). The days are cut into blocks of
+    ``block_days``, and the blocks of both days are join keys beside the code: a base row
+    goes out once for each block from its own to the last it may be sold in, a later day
+    once for each block it may have been bought in. So the pairs of one code are spread
+    over as many tasks as it has pairs of blocks, none with more than block_days squared
+    of them, while a row is copied once per block of days only. The last day that counts is
+    a scalar subquery. ``max_days`` is an optional holding limit of the analysis and bounds
+    the blocks, too.
     """
     later = _prices(detail).select(
         "code", F.col("ds").alias("sell_ds"), F.col("current_price").alias("sell_price")
     )
+    block = lambda day: F.floor(day_number(day) / block_days).cast("int")
+    until, since = detail.select(F.max("ds")).scalar(), F.lit(first)
+    if max_days is not None:
+        until = F.least(until, F.date_add("ds", max_days))
+        since = F.greatest(since, F.date_sub("sell_ds", max_days))
+    until = F.greatest(until, F.col("ds"))  # a base row after the last day has no pair
+    bought = base.withColumns(
+        {"_bought": block(F.col("ds")), "_sold": F.explode(F.sequence(block(F.col("ds")), block(until)))}
+    )
+    sold = later.withColumns(
+        {
+            "_sold": block(F.col("sell_ds")),
+            "_bought": F.explode(F.sequence(block(since), block(F.col("sell_ds")))),
+        }
+    )
     held = F.datediff("sell_ds", "ds")
-    paired = base.join(later, "code", "inner").where(held >= min_days)
+    paired = bought.join(sold, ["code", "_bought", "_sold"], "inner").where(held >= min_days)
     if max_days is not None:
         paired = paired.where(held <= max_days)
-    return paired.withColumn("days_held", held)
+    return paired.withColumn("days_held", held).drop("_bought", "_sold")
 
 
 def profit_bucket_holding(
@@ -164,6 +192,7 @@ def profit_bucket_holding(
     boards: Sequence[str] | None = None,
     max_days: int | None = None,
     snapshot: dt.date | None = None,
+    block_days: int = BLOCK_DAYS,
 ) -> DataFrame:
     """How long a gain of n percent takes: all later days above the event-day price.
 
@@ -175,7 +204,8 @@ def profit_bucket_holding(
         .groupBy("code", F.col("notice_date").alias("ds"))
         .agg(F.count(F.lit(1)).alias("weight"))
     )
-    base = _prices(detail.where(in_boards(F.col("board"), boards))).join(
+    bought = in_boards(F.col("board"), boards) & (F.col("ds") >= F.lit(since))
+    base = _prices(detail.where(bought)).join(
         weighted, ["code", "ds"], "inner"
     )
     gain = F.try_divide(
@@ -183,7 +213,7 @@ def profit_bucket_holding(
     )
     days = F.sum(F.col("days_held") * F.col("weight")) / F.sum("weight")
     return (
-        _held_until_later(base, detail.where(F.col("ds") >= F.lit(since)), 1, max_days)
+        _held_until_later(base, detail.where(F.col("ds") >= F.lit(since)), since, 1, max_days, block_days)
         .where(F.col("sell_price") > F.col("current_price"))
         .groupBy(F.floor(gain).alias("cash"))
         .agg(F.max("code").alias("code"), days.alias("dif_day"))
@@ -200,21 +230,24 @@ def financing_forward_return(
     min_days: int = 5,
     max_days: int | None = None,
     snapshot: dt.date | None = None,
+    block_days: int = BLOCK_DAYS,
+    ordered: bool = True,
 ) -> DataFrame:
     """Move from each financing row's day to every day at least ``min_days`` later.
 
     ``ffbi`` is the purchase in whole percent of the market value. The pairs are the
-    result itself here.
+    result itself here; without ``ordered`` they stay where the join made them.
     """
     rows = finance.where(
         on_day(F.col("dt"), snapshot) & (F.col("notice_date") >= F.lit(since))
     ).select("code", F.col("notice_date").alias("ds"), "financing_purchase")
     base = _prices(
-        detail.where(in_boards(F.col("board"), boards)), "total_market_v"
+        detail.where(in_boards(F.col("board"), boards) & (F.col("ds") >= F.lit(since))), "total_market_v"
     ).join(rows, ["code", "ds"], "inner")
     price = F.col("current_price")
-    return (
-        _held_until_later(base, detail.where(F.col("ds") >= F.lit(since)), max(min_days, 1), max_days)
+    later = detail.where(F.col("ds") >= F.lit(since))
+    pairs = (
+        _held_until_later(base, later, since, max(min_days, 1), max_days, block_days)
         .select(
             "code",
             F.try_divide((F.col("sell_price") - price) * 100, price).alias("cash_dif"),
@@ -224,8 +257,8 @@ def financing_forward_return(
                 F.try_divide(F.col("financing_purchase") * 100, F.col("total_market_v"))
             ).alias("ffbi"),
         )
-        .orderBy(F.desc("cash_dif"), "code", "ds", "dif")
     )
+    return pairs.orderBy(F.desc("cash_dif"), "code", "ds", "dif") if ordered else pairs
 
 
 def news_plus_k_pop(

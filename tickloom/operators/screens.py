@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions import in_boards, on_day
+from tickloom.operators.calendar import open_day_map
 from tickloom.operators.joins import left_join_splittable
 from tickloom.operators.series import latest_per_day
 
@@ -134,8 +135,12 @@ def _with_news(movers: DataFrame, news: DataFrame, day: dt.date | None, gap: int
 def _with_report(
     movers: DataFrame, report: DataFrame, measures: Sequence[str]
 ) -> DataFrame:
-    """All report rows of the code, whatever their date (a mover repeats per report)."""
-    return left_join_splittable(movers, report.select("code", *measures), ["code"])
+    """All report rows of the code, whatever their date (a mover repeats per report).
+
+    Reports are few per code and movers many, so the left side is the one to split, which
+    AQE does in a plain left join; the one join before it is the split one.
+    """
+    return movers.join(report.select("code", *measures), "code", "left")
 
 
 def mover_news_report(
@@ -271,6 +276,43 @@ def full_join_news_financing(
     ).orderBy(F.desc("up_down_rate"), "code", "title", "dif")
 
 
+def news_financing_days(
+    news: DataFrame,
+    finance: DataFrame,
+    detail: DataFrame,
+    calendar: DataFrame,
+    cutoff: str = "15:00:00",
+    title: str = "not_null",
+    boards: Sequence[str] | None = None,
+) -> DataFrame:
+    """``full_join_news_financing`` for every open day of the tables at once.
+
+    A news item belongs to the last open day whose ``cutoff`` it was published after; it
+    meets that day's net financing and the move of the next open day, if there is one.
+    Both days come from the calendar; items outside it have none and are left out.
+    """
+    days = F.broadcast(open_day_map(calendar))  # one row per date
+    hours, minutes, seconds = (int(p) for p in cutoff.split(":"))
+    closed = dt.timedelta(hours=hours, minutes=minutes, seconds=seconds, microseconds=1)
+    told = news.where(_title_rule(title)).select(
+        "code", "title", F.to_date(F.col("notice_date") - F.lit(closed)).alias("ds")
+    )
+    told = told.join(days, "ds", "inner").select(
+        "code", "title", F.col("open_day").alias("dt"), "next_open"
+    )
+    both = told.join(_net_purchase(finance).select(*KEY, "dif"), KEY, "inner")
+    # one row per (code, load day): the side that can't be split has no hot key
+    moved = detail.where(in_boards(F.col("board"), boards)).select("code", "dt", "ds", "up_down_rate")
+    moved = latest_per_day(moved, day="dt", snapshot="ds").select(
+        "code", F.col("dt").alias("next_open"), "up_down_rate"
+    )
+    return (
+        both.join(moved, ["code", "next_open"], "left")
+        .select("dt", "code", "title", "dif", "up_down_rate")
+        .orderBy("dt", F.desc("up_down_rate"), "code", "title", "dif")
+    )
+
+
 def score_ranking(
     chance: DataFrame, day: dt.date | None = None, col: str = "stock_rank_ratio"
 ) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions import by_code, in_boards, on_day
-from tickloom.operators.calendar import calendar_rank
+from tickloom.operators.calendar import calendar_rank, open_day_map
 from tickloom.operators.joins import left_join_splittable
 from tickloom.operators.series import board_codes, latest_per_day
 
@@ -189,16 +189,23 @@ def balance_streak_down(
 
 
 def daily_growth_islands(
-    finance: DataFrame, on_date: dt.date | None = None, min_size: int = 2
+    finance: DataFrame,
+    on_date: dt.date | None = None,
+    min_size: int = 2,
+    codes: DataFrame | None = None,
 ) -> DataFrame:
     """Days on which financing purchases did not fall against the previous calendar day.
 
     Each such day carries the size of its island of adjacent calendar days, so a
-    Friday never links to a Monday. Islands below ``min_size`` are left out.
+    Friday never links to a Monday. Islands below ``min_size`` are left out. ``codes``
+    (distinct) restricts the codes before the windows; islands lie within one code, so
+    their sizes stay.
     """
     days = latest_per_day(
         finance.select("code", "notice_date", "dt", "financing_purchase"), day="notice_date"
     )
+    if codes is not None:
+        days = days.join(codes, "code", "left_semi")
     w = by_code("notice_date")
     grown = (
         days.withColumns(
@@ -232,12 +239,14 @@ def growth_screen(
     boards: Sequence[str] | None = None,
     min_size: int = 2,
 ) -> DataFrame:
-    """Affordable movers whose financing purchases kept growing, with their latest news."""
-    growing = daily_growth_islands(finance, islands_date, min_size).select("code")
+    """Affordable movers whose financing purchases kept growing, with their latest news.
+
+    Only the codes picked that day go through the windows over the financing rows.
+    """
+    picked = _affordable(detail.where(F.col("dt") == F.lit(on_date)), max_price, boards)
+    codes = picked.select("code").distinct()
+    growing = daily_growth_islands(finance, islands_date, min_size, codes).select("code")
     present = detail.where(F.col("dt") == F.lit(exists_dt)).select("code")
-    picked = detail.where((F.col("dt") == F.lit(on_date)) & in_boards(F.col("board"), boards))
-    if max_price is not None:
-        picked = picked.where(F.col("current_price") <= max_price)
     picked = (
         picked.select("code", "up_down_rate", "turnover_rate")
         .join(growing, "code", "left_semi")
@@ -247,6 +256,46 @@ def growth_screen(
     return left_join_splittable(picked, titles, ["code"])
 
 
+def _affordable(
+    detail: DataFrame, max_price: float | int | None, boards: Sequence[str] | None
+) -> DataFrame:
+    rows = detail.where(in_boards(F.col("board"), boards))
+    return rows if max_price is None else rows.where(F.col("current_price") <= max_price)
+
+
+def growth_screen_days(
+    detail: DataFrame,
+    finance: DataFrame,
+    news: DataFrame,
+    calendar: DataFrame,
+    max_price: float | int | None = 40,
+    boards: Sequence[str] | None = None,
+    min_size: int = 2,
+) -> DataFrame:
+    """``growth_screen`` for every open day of the tables at once.
+
+    The code must have been listed on the open day before, and that day must lie in an
+    island of growing purchases. News counts if it was loaded from that day on and before
+    the day itself; its load day is mapped to the next open day by the calendar.
+    """
+    days = F.broadcast(open_day_map(calendar))  # one row per date
+    opened = days.where("open_day = ds").select(F.col("ds").alias("dt"), "prev_open")
+    picked = _affordable(detail, max_price, boards).select("code", "dt", "up_down_rate", "turnover_rate")
+    picked = picked.join(opened, "dt", "inner")
+    codes = picked.select("code").distinct()
+    before = ["code", "prev_open"]
+    growing = daily_growth_islands(finance, None, min_size, codes).select(
+        "code", F.col("notice_date").alias("prev_open")
+    )
+    present = detail.select("code", F.col("dt").alias("prev_open"))
+    picked = picked.join(growing, before, "left_semi").join(present, before, "left_semi")
+    ahead = days.where("next_open is not null").select(F.col("ds").alias("dt"), "next_open")
+    titles = news.join(ahead, "dt", "inner").select("code", F.col("next_open").alias("dt"), "title")
+    return left_join_splittable(picked.drop("prev_open"), titles, ["code", "dt"]).select(
+        "dt", "code", "up_down_rate", "turnover_rate", "title"
+    )
+
+
 def ranked_trading_rows(
     detail: DataFrame,
     calendar: DataFrame,

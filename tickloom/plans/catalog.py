@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,7 @@ from tickloom.operators import (
 from tickloom.plans import jobs
 from tickloom.plans.market import AS_OF, BOARDS, HISTORY_DT, Market
 from tickloom.sources import landing, warehouse
+from tickloom.sources.schemas import RAW
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -98,6 +100,45 @@ def load_dated_drops(m: Market) -> DataFrame:
     return shape(warehouse.scan(m.spark, table), **FINANCE_COLUMNS)
 
 
+def _landed(m: Market, table: str) -> tuple[str, DataFrame]:
+    """One raw table landed from its drops: the target's name and the lines by outcome."""
+    root = warehouse.shared_dir(m.spark, "drops")
+    lines = m.raw_lines()[table].hint("rebalance", "day")
+    lines.write.partitionBy("day").option("compression", "gzip").text(root)
+    target = f"{_database(m)}.{table}"
+    return target, landing.land(m.spark, root, table, target)
+
+
+@query
+def land_all_tables(m: Market) -> DataFrame:
+    """Every raw table landed from drops with bad lines: lines by outcome, and rows stored."""
+    rows = []
+    for table in RAW:
+        target, counts = _landed(m, table)
+        stored = m.spark.table(target).agg(F.count(F.lit(1)).alias("stored"))
+        kept = m.spark.table(f"{target}_rejects").groupBy("reason").agg(F.count(F.lit(1)).alias("stored"))
+        by_reason = counts.groupBy("source", "reason").agg(F.sum("lines").alias("lines"))
+        found = stored.select(F.lit(None).cast("string").alias("reason"), "stored").unionByName(kept)
+        rows.append(by_reason.join(found.withColumnRenamed("reason", "why"), F.col("reason").eqNullSafe(F.col("why"))))
+    return shape(reduce(DataFrame.unionByName, rows), source=S, reason=S, lines=L, stored=L)
+
+
+@query
+def landed_detail(m: Market) -> DataFrame:
+    """The daily details as landed: good lines, typed."""
+    target, _ = _landed(m, "ods_a_stock_detail_day")
+    return shape(
+        warehouse.scan(m.spark, target), code=S, name=S, current_price=M, up_down_rate=R2,
+        turnover_rate=M, highest=M, lowest=M, volume=L, amount=M, main_inflow=M, ds=D, board=S, dt=D,
+    )
+
+
+@query
+def landed_news_rejects(m: Market) -> DataFrame:
+    target, _ = _landed(m, "ods_a_stock_news")
+    return shape(m.spark.table(f"{target}_rejects"), reason=S, line=S, dt=D)
+
+
 HISTORY_COLUMNS = {
     "code": S,
     "up_down_rate": R2,
@@ -112,11 +153,33 @@ HISTORY_COLUMNS = {
 
 @query
 def history_repartition(m: Market) -> DataFrame:
+    """The daily rows laid out by day, in history layout."""
     table = f"{_database(m)}.ods_a_stock_history_list"
-    warehouse.repartition_history(series.daily_append(m.detail), table)
+    warehouse.repartition_history(series.daily_append(m.detail), table, "dt")
     return shape(warehouse.scan(m.spark, table), **HISTORY_COLUMNS)
 
 
+@query
+def history_repartition_bulk(m: Market) -> DataFrame:
+    """The bulk history laid out by month, twice: a rerun doubles nothing."""
+    table = f"{_database(m)}.ods_a_stock_history_list"
+    bulk = m.history.drop("dt", "name")
+    for _ in range(2):
+        warehouse.repartition_history(bulk, table, unit="month")
+    return shape(
+        warehouse.scan(m.spark, table), ds=D, opening_price=M, highest=M, lowest=M, **HISTORY_COLUMNS
+    )
+
+
+@query
+def fill_history(m: Market) -> DataFrame:
+    """All days of the details appended to the history, then one of them once more."""
+    table = f"{_database(m)}.ods_a_stock_history_list"
+    jobs.fill_history(m.detail, table)
+    jobs.fill_history(m.detail, table, MID)
+    return shape(warehouse.scan(m.spark, table), dk_total=L, opening_price=M, **HISTORY_COLUMNS)
+
+
 @query
 def snapshot_carry_forward(m: Market) -> DataFrame:
     history = m.detail.withColumnRenamed("current_price", "closing_price").select(
@@ -257,6 +320,27 @@ def directional_move(m: Market) -> DataFrame:
     return shape(indicators.directional_move(m.history), code=S, ds=D, dmp=M, dmm=M)
 
 
+@query
+def latest_loads(m: Market) -> DataFrame:
+    """Three overlapping loads of the bars, reduced to the latest row of each day."""
+    return shape(
+        series.latest_per_day(m.history_loads.drop("name")),
+        code=S, ds=D, opening_price=M, closing_price=M, highest=M, lowest=M, dt=D,
+    )
+
+
+@query
+def true_range_of_loads(m: Market) -> DataFrame:
+    return shape(indicators.true_range(m.history_loads), code=S, ds=D, tr=M)
+
+
+@query
+def price_streaks_of_loads(m: Market) -> DataFrame:
+    loads = m.history_loads.withColumnRenamed("closing_price", "current_price")
+    rows = streaks.price_streaks(loads, m.calendar, None, lookback=None)
+    return shape(rows, **STREAK)
+
+
 STEP_COLUMNS = {
     "code": S, "name": S, "closing_price": M, "last_closing": M, "highest": M, "lowest": M,
     "ds": D, "deal_amount": M, "closing_diff": M, "rk": L, "x": M, "i": M, "rsv": R6,
@@ -269,6 +353,14 @@ def stock_step_one(m: Market) -> DataFrame:
     return shape(indicators.stock_step_one(m.history), **STEP_COLUMNS)
 
 
+@query
+def stock_step_one_of_bars(m: Market) -> DataFrame:
+    """The indicators over the stored bars table, which needs no exchange."""
+    table = f"{_database(m)}.dwd_bars"
+    jobs.fill_bars(m.history_loads, table, buckets=8)
+    return shape(indicators.stock_step_one(warehouse.scan(m.spark, table)), **STEP_COLUMNS)
+
+
 @query
 def stock_step_one_table(m: Market) -> DataFrame:
     """The indicator table written to a partition and read back."""
@@ -366,6 +458,12 @@ def growth_screen(m: Market) -> DataFrame:
     return shape(rows, code=S, up_down_rate=R2, turnover_rate=M, title=S)
 
 
+@query
+def growth_screen_days(m: Market) -> DataFrame:
+    rows = streaks.growth_screen_days(m.detail, m.finance, m.news, m.calendar)
+    return shape(rows, dt=D, code=S, up_down_rate=R2, turnover_rate=M, title=S)
+
+
 @query
 def ranked_trading_rows(m: Market) -> DataFrame:
     return shape(
@@ -407,6 +505,16 @@ def financing_forward_return(m: Market) -> DataFrame:
     return shape(rows, code=S, cash_dif=R6, dif=L, ds=D, ffbi=L)
 
 
+@query
+def profit_bucket_holding_long(m: Market) -> DataFrame:
+    """Bars of seven years bought on the days they rose, sold within a year."""
+    bought = m.history.where("closing_price > opening_price").select(
+        "code", F.col("ds").alias("notice_date"), "dt"
+    )
+    rows = returns.profit_bucket_holding(bought, m.long_detail, dt.date(1992, 1, 1), max_days=365)
+    return shape(rows, code=S, cash=L, dif_day=R6)
+
+
 @query
 def news_plus_k_pop(m: Market) -> DataFrame:
     rows = returns.news_plus_k_pop(m.news, m.detail, boards=BOARDS)
@@ -520,6 +628,12 @@ def full_join_news_financing(m: Market) -> DataFrame:
     return shape(rows, code=S, title=S, dif=M, up_down_rate=R2)
 
 
+@query
+def news_financing_days(m: Market) -> DataFrame:
+    rows = screens.news_financing_days(m.news, m.finance, m.detail, m.calendar)
+    return shape(rows, dt=D, code=S, title=S, dif=M, up_down_rate=R2)
+
+
 @query
 def score_ranking(m: Market) -> DataFrame:
     rows = screens.score_ranking(m.chance)
@@ -627,6 +741,22 @@ def pattern_up_ratio(m: Market) -> DataFrame:
     return shape(patterns.pattern_up_ratio(signs), stock=S, up=L, down=L, ratio=R2)
 
 
+@query
+def pattern_frequency_of(m: Market) -> DataFrame:
+    """Rounded returns: twelve days and how often a rise followed."""
+    return shape(patterns.pattern_frequency_of(_series(m)), pattern=S, num=L)
+
+
+@query
+def pattern_frequency_of_four(m: Market) -> DataFrame:
+    return shape(patterns.pattern_frequency_of(_series(m), 5, 4), pattern=S, num=L)
+
+
+@query
+def pattern_up_ratio_of(m: Market) -> DataFrame:
+    return shape(patterns.pattern_up_ratio_of(_series(m)), stock=S, up=L, down=L, ratio=R2)
+
+
 def _weekly(m: Market) -> DataFrame:
     rates = series.stitched_returns(
         m.history, m.detail, None, restrict_detail_to_snapshot=True
@@ -678,6 +808,17 @@ def code_lookup(m: Market) -> DataFrame:
     )
 
 
+@query
+def code_lookup_one(m: Market) -> DataFrame:
+    """News of one code from a table clustered by code: one bucket is read."""
+    table = f"{_database(m)}.news_by_code"
+    warehouse.load_clustered(m.news, table, buckets=8)
+    return shape(
+        scans.code_lookup(warehouse.scan(m.spark, table), "7"),
+        code=S, medianame=S, title=S, notice_date=TS, dt=D,
+    )
+
+
 @query
 def preview(m: Market) -> DataFrame:
     rows = scans.preview(m.finance, 100, ["notice_date", "code"])

@@ -21,8 +21,16 @@ def _typed(df: DataFrame, table: str) -> DataFrame:
 
 
 def fill_history(detail: DataFrame, table: str, as_of: dt.date | None = None) -> None:
-    """Append a day's rows to the partitioned history."""
-    warehouse.append_dynamic(series.daily_append(detail, as_of), table)
+    """Add a day's rows (or all days') to the partitioned history; a rerun replaces them."""
+    warehouse.overwrite_dynamic(series.daily_append(detail, as_of), table)
+
+
+def fill_bars(history: DataFrame, table: str, buckets: int = 64) -> None:
+    """The latest load of every (code, ds), clustered by code and sorted by day.
+
+    Indicators, streaks and patterns over ``warehouse.scan(spark, table)`` plan no exchange.
+    """
+    warehouse.load_clustered(series.latest_per_day(history), table, buckets, "ds")
 
 
 def rebuild_snapshot(

@@ -13,6 +13,9 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.operators.series import one_row_per_day
+from tickloom.sources.schemas import RAW, struct
+
 # The last day covered by the events.
 AS_OF = dt.date(2024, 1, 30)
 # The snapshot label of the bulk history.
@@ -39,6 +42,12 @@ TABLES = {
     "nation": "n_nationkey int, n_regionkey int",
 }
 
+# Raw tables whose stand-ins cover years.
+BULK = (
+    "ods_calendar", "ods_a_stock_history", "ods_a_stock_hour_kline", "ods_a_stock_report_info",
+    "ods_a_stock_deal",
+)
+
 # Up to eight digits, a decimal sum runs on plain longs.
 MONEY = "decimal(10,2)"
 
@@ -128,7 +137,8 @@ class Market:
             "amount * 60 as circulation_market_v",
             "volume * 1000 as tradable_shares",
         )
-        return self._with_board(priced, "customer", "c_custkey", "c_nationkey")
+        rows = self._with_board(priced, "customer", "c_custkey", "c_nationkey")
+        return one_row_per_day(rows)  # grouped by them above
 
     @cached_property
     def history(self) -> DataFrame:
@@ -153,13 +163,29 @@ class Market:
             "cast(sum(v) as decimal(18,2)) as amount",
             "cast(round(sum(drift) * 100 / count(1), 2) as decimal(10,2)) as up_down_rate",
         )
-        return days.selectExpr(
+        rows = days.selectExpr(
             "*",
             "concat('S', code) as name",
             "cast(year(ds) as bigint) as year",
             "date_format(ds, 'MM-dd') as month_day",
             f"date'{HISTORY_DT}' as dt",
         )
+        return one_row_per_day(rows)
+
+    @cached_property
+    def history_loads(self) -> DataFrame:
+        """The bars in three overlapping loads: an old one, the bulk, and late corrections."""
+        bulk = self.history.drop("month_day", "year")
+        # the mark of the bulk doesn't hold for the stack
+        bulk = bulk.withMetadata("code", {})
+        prices = ("opening_price", "closing_price", "highest", "lowest")
+
+        def moved(rows: DataFrame, days: int, by: str) -> DataFrame:
+            shift = {c: F.expr(f"cast({c} + {by} as {MONEY})") for c in prices}
+            return rows.withColumns({**shift, "dt": F.lit(HISTORY_DT + dt.timedelta(days=days))})
+
+        late = moved(bulk.where("dayofmonth(ds) % 2 = 1"), 30, "(dayofmonth(ds) - 8)")
+        return moved(bulk, -30, "1").unionByName(bulk).unionByName(late)
 
     @cached_property
     def long_detail(self) -> DataFrame:
@@ -228,7 +254,7 @@ class Market:
             "cast(sum(if(event_type = 'click', v, 0)) as decimal(18,2)) as financing_repay",
             "cast(sum(v) as decimal(18,2)) as financing_balance",
         )
-        return days.selectExpr(
+        rows = days.selectExpr(
             "code",
             "financing_purchase",
             "financing_repay",
@@ -236,6 +262,7 @@ class Market:
             "ds as notice_date",
             "ds as dt",
         )
+        return one_row_per_day(rows, "notice_date")
 
     @cached_property
     def finance_text(self) -> DataFrame:
@@ -301,3 +328,48 @@ class Market:
             "cast(l_quantity as decimal(7,2)) as deal",
             "cast(l_linenumber as bigint) as dealnum",
         )
+
+    def raw_lines(self) -> dict[str, DataFrame]:
+        """Drops of all raw tables: (line, day), some lines cut short or with a broken value.
+
+        Each raw column is filled from a column of the same meaning where there is one. Of
+        every seven codes one has its lines cut by the last column, of every eleven one has
+        ``?`` for its first number or day.
+        """
+        detail = self.detail.withColumnsRenamed({"volume": "deal_vol", "amount": "deal_amount"})
+        bars = self.history.withColumnsRenamed({"volume": "deal_amount", "amount": "deal_vol"})
+        minute = self.deal.selectExpr(
+            "code", "dt", "buyorsale as type", "draw as current_price", "cast(deal as string) as trends"
+        )
+        days = self.calendar.selectExpr(
+            "*", "ds as dt", "cast(dayofyear(ds) as string) as code"
+        )
+        sources = {
+            "ods_calendar": (days, "ds"),
+            "ods_a_stock_history": (bars.withColumn("dt", F.col("ds")), "closing_price"),
+            "ods_a_stock_detail_day": (detail, "current_price"),
+            "ods_a_stock_hour_kline": (minute, "current_price"),
+            "ods_a_stock_company_info": (self.company_events, "notice_date"),
+            "ods_a_stock_finance_info": (self.finance, "financing_purchase"),
+            "ods_a_stock_news": (self.news, "notice_date"),
+            "ods_a_stock_chance_info": (self.chance, "TOTAL_SCORE"),
+            "ods_a_stock_report_info": (
+                self.report.withColumn("dt", F.expr("make_date(year, 12, 31)")), "report_date",
+            ),
+            "ods_a_stock_deal": (self.deal, "draw"),
+        }
+        drops = {}
+        for table, (rows, broken) in sources.items():
+            have = {c.lower() for c in rows.columns}
+            fields = []
+            for field in struct(RAW[table]):
+                value = F.col(field.name).cast("string") if field.name.lower() in have else F.lit(None)
+                if field.name.lower() == broken.lower():
+                    value = F.when(F.col("code") % 11 == 5, "?").otherwise(value)
+                fields.append(F.coalesce(value, F.lit("\\N")))
+            cut = F.when(F.col("code") % 7 == 3, F.concat_ws("\t", *fields[:-1]))
+            line = F.coalesce(cut, F.concat_ws("\t", *fields))
+            # the bulk lies by year, so that days don't become thousands of folders
+            day = F.trunc("dt", "year") if table in BULK else F.col("dt")
+            drops[table] = rows.select(line.alias("line"), day.alias("day"))
+        return drops

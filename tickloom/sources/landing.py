@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.sources import warehouse
-from tickloom.sources.schemas import RAW, curate, struct
+from tickloom.sources.schemas import RAW, REQUIRED, TEXT_VALUES, curate, struct
 
 # The text format of the raw layer.
+FOLDER_DATE = r"/(?:\w+=)?(\d{4}-\d{2}-\d{2})/[^/]*$"
 TSV_OPTIONS = {"sep": "\t", "nullValue": "\\N", "quote": "", "escape": "", "mode": "PERMISSIVE"}
 
 
@@ -39,8 +41,11 @@ def read_dated_drops(spark: SparkSession, root: str, table: str) -> DataFrame:
 
 
 def with_folder_date(raw: DataFrame) -> DataFrame:
-    folder = F.regexp_extract(F.col("_metadata.file_path"), r"/(?:\w+=)?(\d{4}-\d{2}-\d{2})/[^/]*$", 1)
-    return raw.withColumn("dt", folder.try_cast("date"))
+    return raw.withColumn("dt", _folder_date())
+
+
+def _folder_date() -> Column:
+    return F.regexp_extract(F.col("_metadata.file_path"), FOLDER_DATE, 1).try_cast("date")
 
 
 def load_dated_drops(
@@ -48,3 +53,82 @@ def load_dated_drops(
 ) -> None:
     """Backfill: every dated folder becomes its own partition in one job, no driver loop."""
     warehouse.overwrite_dynamic(read_dated_drops(spark, root, table), target or table)
+
+
+def _reason(table: str, fields: Column, names: list[str], types: dict[str, str]) -> Column:
+    """Why a line is rejected; NULL for a good one. The first reason found counts."""
+    checks = [F.when(F.size(fields) != len(names), f"not {len(names)} columns")]
+    checks += [F.when(F.col(f"_t.{c}").isNull(), f"no {c}") for c in REQUIRED[table]]
+    for name in names:
+        kind = TEXT_VALUES.get(table, {}).get(name, types[name])
+        if kind != "string":
+            text = F.col(f"_t.{name}")
+            bad = text.isNotNull() & F.trim(text).try_cast(kind).isNull()
+            checks.append(F.when(bad, f"unreadable {name}"))
+    if table == "ods_a_stock_history":
+        day = F.concat_ws("-", F.col("_t.year"), F.col("_t.month_day"))
+        checks.append(F.when(day.try_cast("date").isNull(), "unreadable month_day"))
+    return F.coalesce(*checks)
+
+
+def checked_lines(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """The lines of all drops below ``root/<yyyy-MM-dd>/`` with their columns as declared.
+
+    ``_reason`` says why a line can't be taken (see ``_reason``), ``_line`` and ``_file``
+    what and where it is. ``.gz`` files are read as they are.
+    """
+    declared = struct(RAW[table])
+    names = [f.name for f in declared]
+    types = {f.name: f.dataType.simpleString() for f in declared}
+    lines = spark.read.option("recursiveFileLookup", "true").text(root)
+    lines = lines.select(
+        F.col("value").alias("_line"), F.col("_metadata.file_path").alias("_file"),
+        _folder_date().alias("dt"), F.split("value", "\t", -1).alias("_fields"),
+    )
+    def text(i: int) -> Column:
+        field = F.get("_fields", F.lit(i))
+        return F.when(~field.isin("", "\\N"), field)
+
+    texts = lines.withColumn("_t", F.struct(*[text(i).alias(n) for i, n in enumerate(names)]))
+    return texts.withColumn("_reason", _reason(table, F.col("_fields"), names, types)).select(
+        *[
+            F.col(f"_t.{n}").alias(n) if types[n] == "string"
+            else F.trim(F.col(f"_t.{n}")).try_cast(types[n]).alias(n)
+            for n in names
+        ],
+        "dt", "_reason", "_line", "_file",
+    )
+
+
+def land(
+    spark: SparkSession, root: str, table: str, target: str, rejects: str | None = None
+) -> DataFrame:
+    """Land every dated folder as its partition; lines that can't be taken go to ``rejects``.
+
+    Each day's partitions of both tables are replaced, also where a day has no good or no
+    bad line. ``rejects`` (by default the target's name with ``_rejects``) holds the line,
+    its file and the reason. A file outside a dated folder raises before anything is
+    written. Returns the lines taken (reason NULL) and rejected, by day and reason: together
+    they are all lines.
+    """
+    rejects = rejects or f"{target}_rejects"
+    lines = checked_lines(spark, root, table)
+    places = {f: re.search(FOLDER_DATE, f) for f in lines.inputFiles()}  # names, no data
+    undated = sorted(f for f, found in places.items() if not found)
+    if undated:
+        raise ValueError(f"{len(undated)} files lie in no dated folder, among them {undated[0]}")
+    counts = lines.groupBy("dt", F.col("_reason").alias("reason")).count()
+    counted = counts.collect()  # days times reasons
+    columns = [f.name for f in struct(RAW[table])]
+    good = curate(table, lines.where("_reason is null").select(*columns, "dt"))
+    bad = lines.where("_reason is not null").select(
+        F.col("_reason").alias("reason"), F.col("_line").alias("line"),
+        F.regexp_extract("_file", "[^/]*$", 0).alias("file"), "dt",
+    )
+    days = {dt.date.fromisoformat(found[1]) for found in places.values()}
+    for rows, name, taken in ((good, target, True), (bad, rejects, False)):
+        warehouse.overwrite_dynamic(rows, name)
+        for empty in days - {r.dt for r in counted if (r.reason is None) == taken}:
+            warehouse.drop_partitions(spark, name, exact=empty)
+    schema = "source string, dt date, reason string, lines bigint"
+    return spark.createDataFrame([(table, r.dt, r.reason, r["count"]) for r in counted], schema)

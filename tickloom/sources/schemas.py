@@ -154,6 +154,38 @@ DERIVED: dict[str, str] = {
 }
 
 
+# --- fixed values: how a line is checked on load -----------------------------
+
+# Columns without which a row means nothing.
+REQUIRED: dict[str, tuple[str, ...]] = {
+    **{name: ("code",) for name in RAW},
+    "ods_calendar": ("ds",),
+    "ods_a_stock_hour_kline": ("type", "code"),
+    "ods_a_stock_report_info": ("code", "report_date"),
+}
+
+# Days, times and numbers that the raw layer keeps as text.
+_DAY, _NUMBER = "date", "decimal(32,4)"
+TEXT_VALUES: dict[str, dict[str, str]] = {
+    "ods_calendar": {"ds": _DAY, "weekday": "int"},
+    "ods_a_stock_detail_day": {"ds": _DAY},
+    "ods_a_stock_company_info": {"notice_date": _DAY},
+    "ods_a_stock_finance_info": {
+        "financing_purchase": _NUMBER, "financing_repay": _NUMBER, "financing_balance": _NUMBER,
+        "bond_sell": _NUMBER, "bond_repay": _NUMBER, "bond_balance": _NUMBER, "notice_date": _DAY,
+    },
+    "ods_a_stock_news": {"notice_date": "timestamp_ntz"},
+    "ods_a_stock_chance_info": {
+        "TOTAL_SCORE": _NUMBER, "RISE_1_PROBABILITY": _NUMBER, "AVERAGE_1_INCREASE": _NUMBER,
+        "RISE_5_PROBABILITY": _NUMBER, "AVERAGE_5_INCREASE": _NUMBER, "STOCK_RANK_RATIO": _NUMBER,
+        "notice_date": _DAY,
+    },
+    "ods_a_stock_report_info": {"report_date": _DAY},
+}
+
+# -----------------------------------------------------------------------------
+
+
 def struct(ddl: str) -> T.StructType:
     """Parsed schema; Spark reads the text, so a session must be running."""
     return T.StructType.fromDDL(" ".join(ddl.split()))
@@ -212,6 +244,15 @@ def _chance(df: DataFrame) -> DataFrame:
     return _notice_day(lowered.withColumns({c: to_decimal(F.col(c)) for c in numbers}))
 
 
+def _report(df: DataFrame) -> DataFrame:
+    return df.withColumn("report_date", F.col("report_date").try_cast("date"))
+
+
+def _deal(df: DataFrame) -> DataFrame:
+    # a tick without a side counts for neither
+    return df.withColumn("buyorsale", F.coalesce("buyorsale", F.lit(0)))
+
+
 _CURATORS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "ods_calendar": _calendar,
     "ods_a_stock_history": _history,
@@ -221,6 +262,8 @@ _CURATORS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "ods_a_stock_finance_info": _finance,
     "ods_a_stock_news": _news,
     "ods_a_stock_chance_info": _chance,
+    "ods_a_stock_report_info": _report,
+    "ods_a_stock_deal": _deal,
 }
 
 

@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickloom.operators.series import ONE_ROW_PER, one_row_per_day
+
 # Fixed value: the partition that holds the current snapshot of a derived table.
 CURRENT = dt.date(9999, 12, 31)
 
@@ -42,21 +44,33 @@ def create_table(
     schema: T.StructType,
     partitioned: bool = True,
     buckets: int | None = None,
+    one_row_per: str | None = None,
+    bloom: bool = False,
 ) -> None:
     """Declare an ORC + snappy table with named, typed columns.
 
     ``buckets`` clusters the rows by code. Operators that group, window or join by
-    code then read their input already distributed and plan no exchange for it.
+    code then read their input already distributed and plan no exchange for it, and a
+    literal code reads one bucket. ``one_row_per`` states the day column of which a code
+    has one row; ``scan`` marks its frames with it. ``bloom`` adds Bloom filters on code,
+    by which a lookup skips the stripes of other codes.
     """
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema if f.name != "dt")
+    kept = [f for f in schema if f.name != "dt" or not partitioned]
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
+    options = "compression 'snappy'"
+    if bloom:
+        options += ", 'orc.bloom.filter.columns' 'code', 'orc.bloom.filter.fpp' '0.01'"
     clauses = [
         f"CREATE TABLE IF NOT EXISTS {table} ({columns}{', dt date' if partitioned else ''})",
-        "USING orc OPTIONS (compression 'snappy')",
+        f"USING orc OPTIONS ({options})",
     ]
     if partitioned:
         clauses.append("PARTITIONED BY (dt)")
     if buckets is not None:
-        clauses.append(f"CLUSTERED BY (code) SORTED BY (code) INTO {buckets} BUCKETS")
+        order = "code, ds" if "ds" in schema.names else "code"
+        clauses.append(f"CLUSTERED BY (code) SORTED BY ({order}) INTO {buckets} BUCKETS")
+    if one_row_per is not None:
+        clauses.append(f"TBLPROPERTIES ('{ONE_ROW_PER}' = '{one_row_per}')")
     spark.sql(" ".join(clauses))
 
 
@@ -91,6 +105,20 @@ def append_partition(df: DataFrame, table: str, day: dt.date) -> None:
     _insert_static(df, table, day, "INTO")
 
 
+def _overwriting_session(spark: SparkSession) -> SparkSession:
+    """A session of its own that replaces only the partitions it writes.
+
+    Spark takes the mode of an insert into a catalog table from the session alone, so the
+    caller's session, in which other loads may run, is left as it is.
+    """
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    return own
+
+
 def _insert_dynamic(df: DataFrame, table: str, overwrite: bool) -> None:
     _ensure(df, table)
     names = [f"`{c}`" for c in _columns(df.sparkSession, table)]
@@ -101,14 +129,14 @@ def _insert_dynamic(df: DataFrame, table: str, overwrite: bool) -> None:
     if not overwrite:
         rows.write.insertInto(table)
         return
-    # Spark takes the mode of an insert into a catalog table from the session alone.
-    option = "spark.sql.sources.partitionOverwriteMode"
-    previous = df.sparkSession.conf.get(option)
-    df.sparkSession.conf.set(option, "dynamic")
+    view = f"rows_{uuid.uuid4().hex}"
+    rows.createGlobalTempView(view)
     try:
-        rows.write.insertInto(table, overwrite=True)
+        _overwriting_session(df.sparkSession).sql(
+            f"INSERT OVERWRITE TABLE {table} PARTITION (dt) SELECT * FROM global_temp.{view}"
+        )
     finally:
-        df.sparkSession.conf.set(option, previous)
+        df.sparkSession.catalog.dropGlobalTempView(view)
 
 
 def append_dynamic(df: DataFrame, table: str) -> None:
@@ -117,13 +145,32 @@ def append_dynamic(df: DataFrame, table: str) -> None:
 
 
 def overwrite_dynamic(df: DataFrame, table: str) -> None:
-    """Replace exactly the partitions that occur in ``df``."""
+    """Replace exactly the partitions that occur in ``df``.
+
+    Spark writes them to a staging folder of the job and moves each into its place when
+    all tasks have ended, so a failed attempt leaves the table as it was and a rerun
+    doesn't double it.
+    """
     _insert_dynamic(df, table, overwrite=True)
 
 
-def repartition_history(history: DataFrame, table: str) -> None:
-    """Lay a bulk history out by the ``dt`` of its rows."""
-    append_dynamic(history, table)
+def repartition_history(
+    history: DataFrame, table: str, day: str = "ds", unit: str = "day"
+) -> None:
+    """Lay a bulk history out by the day of its rows; a rerun replaces what it wrote.
+
+    ``unit`` "month" or "year" labels partitions by the first day of it instead, where a
+    day's rows would make files too small; the day then stays a column. Rows without a day
+    can't be placed and raise.
+    """
+    if history.where(F.col(day).isNull()).limit(1).count():
+        raise ValueError(f"rows without {day} have no partition")
+    placed = history
+    if unit != "day":
+        placed = history.withColumn("dt", F.trunc(day, unit))
+    elif day != "dt":
+        placed = history.withColumn("dt", F.col(day)).drop(day)
+    overwrite_dynamic(placed, table)
 
 
 def drop_partitions(
@@ -164,6 +211,26 @@ def export_csv(df: DataFrame, path: str, header: bool = True) -> None:
 
 
 def scan(spark: SparkSession, table: str, day: dt.date | None = None) -> DataFrame:
-    """A table, or one of its partitions."""
+    """A table, or one of its partitions; marked if it has one row per code and day."""
     rows = spark.table(table)
+    properties = spark.sql(f"SHOW TBLPROPERTIES {table}").collect()  # the declaration, no data
+    for name, value in properties:
+        if name == ONE_ROW_PER:
+            rows = one_row_per_day(rows, value)
     return rows if day is None else rows.where(F.col("dt") == F.lit(day))
+
+
+def load_clustered(df: DataFrame, table: str, buckets: int, one_row_per: str | None = None) -> None:
+    """Fill an unpartitioned table clustered by code, with Bloom filters; a rerun replaces it.
+
+    The rows are dealt by the same hash as the buckets, so every task writes one file and
+    the files of a bucket stay few.
+    """
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(table):
+        create_table(spark, table, df.schema, False, buckets, one_row_per, bloom=True)
+    names = ", ".join(f"`{c}`" for c in spark.table(table).columns)
+    spark.sql(
+        f"INSERT OVERWRITE TABLE {table} SELECT {names} FROM {{rows}}",
+        rows=df.repartition(buckets, "code"),
+    )
