@@ -771,6 +771,82 @@ def weekly_training(m: Market) -> DataFrame:
     )
 
 
+@query
+def weekly_training_boards(m: Market) -> DataFrame:
+    """The weeks of the codes that one day's snapshot lists on the chosen boards."""
+    rates = series.stitched_returns(
+        m.history, m.detail, BOARDS, board_dt=AS_OF, restrict_detail_to_snapshot=True
+    )
+    return shape(
+        patterns.weekly_training(rates, m.calendar),
+        code=S, year=L, weekofyear=L, ups=S, monday_result=R2, week_result=R2,
+    )
+
+
+# --- derived tables, each filled by its job and read back ----------------------
+
+
+@query
+def balance_streaks_table(m: Market) -> DataFrame:
+    table = f"{_database(m)}.dwd_finance_continuation_up"
+    for _ in range(2):  # a rerun replaces the current partition
+        jobs.fill_balance_streaks(m.finance, m.detail, table, AS_OF)
+    return shape(warehouse.scan(m.spark, table), **BALANCE, dt=D)
+
+
+@query
+def price_series_table(m: Market) -> DataFrame:
+    table = f"{_database(m)}.ods_up_to_stop"
+    jobs.fill_price_series(m.history, m.detail, table, AS_OF)
+    return shape(
+        warehouse.scan(m.spark, table, AS_OF),
+        code=S, up_down_rate=R2, opening_price=M, closing_price=M, ds=D, rk=L, dt=D,
+    )
+
+
+@query
+def training_tables(m: Market) -> DataFrame:
+    """The training chain: the return series stored, its sign windows stored from it."""
+    name = _database(m)
+    jobs.fill_return_series(m.history, m.detail, f"{name}.dwd_temp", None)
+    stored = warehouse.scan(m.spark, f"{name}.dwd_temp", warehouse.CURRENT)
+    jobs.fill_klines(stored, f"{name}.dwd_training_data", AS_OF)
+    return shape(
+        warehouse.scan(m.spark, f"{name}.dwd_training_data"), code=S, tags=L, kline=S, dt=D
+    )
+
+
+@query
+def return_series_table(m: Market) -> DataFrame:
+    table = f"{_database(m)}.dwd_temp"
+    jobs.fill_return_series(m.history, m.detail, table, BOARDS, min_year=1996, board_dt=AS_OF)
+    return shape(warehouse.scan(m.spark, table), code=S, up_down_rate=R2, ds=D, rk=L, dt=D)
+
+
+@query
+def weekly_training_table(m: Market) -> DataFrame:
+    table = f"{_database(m)}.dwd_train"
+    rates = series.stitched_returns(m.history, m.detail, None, restrict_detail_to_snapshot=True)
+    jobs.fill_weekly_training(rates, m.calendar, table)
+    return shape(warehouse.scan(m.spark, table), ups=S, monday_result=R2, week_result=R2, dt=D)
+
+
+@query
+def rebuild_snapshots(m: Market) -> DataFrame:
+    """Two missing snapshots made up for from the day's bars and the day before, one twice."""
+    table = f"{_database(m)}.ods_a_stock_detail_day"
+    bars = m.detail.withColumnRenamed("current_price", "closing_price").select(
+        "code", "dt", "name", "up_down_rate", "highest", "lowest", "opening_price",
+        "closing_price", "volume", "amount",
+    )
+    for day in (MID, MID, AS_OF):
+        jobs.rebuild_snapshot(bars, m.detail, table, day, day - dt.timedelta(days=1))
+    return shape(
+        warehouse.scan(m.spark, table),
+        code=S, ds=D, current_price=M, t_1_price=M, up_down_rate=R2, total_market_v=M, board=S, dt=D,
+    )
+
+
 # --- scans and counts ---------------------------------------------------------
 
 
