@@ -99,7 +99,7 @@ def test_local_search_empties_bins():
         for i in items:
             bins.put(i, b)
     squares = sum((10 - f) ** 2 for f in bins.free)
-    while bins.improve(0, 8):
+    while bins.improve(0):
         assert sum((10 - f) ** 2 for f in bins.free) > squares
         squares = sum((10 - f) ** 2 for f in bins.free)
 
@@ -356,3 +356,28 @@ def test_warc_round_trip(spark, tmp_path):
         expected[i, len(raw), hashlib.sha1(raw).hexdigest(), "revisit" if revisit else "response", 3 if revisit else None] += 1
     assert Counter(map(tuple, found)) == expected
     assert warc.archive_round_trip(pages.limit(0), f"{tmp_path}/e").count() == 0
+
+
+def test_local_search_comes_near_the_bound():
+    """Lengths that best fit packs badly: bins left against the figures of the plain best fit."""
+    for (low, high), most in {(1200, 2400): 1840, (700, 1500): 1090, (1300, 1400): 1335}.items():
+        rng = random.Random(1)
+        lengths = [rng.randrange(low, high) for _ in range(4_000)]
+        plain = packing.Bins(lengths, 4096)
+        plain.best_fit()
+        number, _, _ = packing.pack_group(lengths, 4096)
+        assert -(-sum(lengths) // 4096) <= len(set(number)) <= most < sum(1 for x in plain.items if x)
+
+
+def test_encoding_of_odd_texts():
+    """Ids of whole texts, whatever marks, white space, special strings and scripts they mix."""
+    tokenizer, encoding = Tokenizer.from_file(WORD), packing.Encoding(WORD)
+    parts = list("abzAZ  .,;:!?'\"-_()019²½ªº§×÷ \t\n\v\f\r\x1c\x85\xa0éÉßſİıΣς́̀;…<|>你") + [
+        "'s ", "'T", "don't ", "<|endoftext|>", "<|ENDOFTEXT|>", "...", "?!", ",***", " a.b ", "é.", "x" * 60, "end. ",
+    ]
+    rng = random.Random(2)
+    found = ["".join(rng.choice(parts) for _ in range(rng.randrange(40))) for _ in range(4_000)]
+    for at in range(0, len(found), 512):
+        some = found[at : at + 512]
+        for text, ids in zip(some, encoding.texts([t.encode() for t in some])):
+            assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids

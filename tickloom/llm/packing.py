@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict
@@ -15,11 +16,20 @@ from pyspark.sql import types as T
 
 from tickloom.llm import common
 
-CACHED = 400_000  # words a worker remembers
-LONGEST = 48
+CACHED = 1_000_000  # words a worker remembers
+LONGEST = 48  # bytes of the words it remembers
+# Bounds of the local search, all parameters of ``pack``.
+STEPS = 10  # exchanges for each piece of a group, on average
+PAIRED = 24  # longest pieces of a bin that are tried two at a time
 # Below this character, lower case is one character of the same kind, and nothing composes.
 _PLAIN = "\u0130"
 _MARKS = ".,;:!?"
+# Texts with other characters, or with what may begin a special string, are split into words alone.
+_NOT_PLAIN = re.compile(rb"[\xc5-\xff]|\xc4[\xb0-\xbf]|<\|").search
+# A lone mark between a letter and white space or the end.
+_MARK = re.compile(
+    rb"((?<=[a-z])|(?<=\xc3[\xa0-\xb6\xb8-\xbf]))(?=[.,;:!?](?:[ \t-\r]|\Z))"
+)
 
 
 class Encoding:
@@ -63,33 +73,55 @@ class Encoding:
 
     def learn(self, missing: set[bytes]) -> None:
         """Encode words that aren't known yet."""
-        parted, letters = [], set()
+        parted, letters, others = [], set(), []
         for word in missing:
             text = word.decode()
-            if len(word) <= LONGEST and max(text) < _PLAIN:
-                low = text.lower()
-                run = low.rstrip(_MARKS)
-                if run.isalpha():
-                    marks = low[len(run) :].encode()
-                    if marks and marks not in self.known:
-                        self.known[marks] = self._ids(marks.decode()).tobytes()
-                    parted.append((word, run.encode(), marks))
-                    letters.add(run)
+            if len(word) <= LONGEST:
+                if text.isalpha() and max(text) < _PLAIN and text.islower():
+                    letters.add(text)
                     continue
-            self.known[word] = self._ids(text).tobytes()
+                if max(text) < _PLAIN:
+                    low = text.lower()
+                    run = low.rstrip(_MARKS)
+                    if run.isalpha():
+                        marks = low[len(run) :].encode()
+                        if marks and marks not in self.known:
+                            self.known[marks] = self._ids(marks.decode()).tobytes()
+                        parted.append((word, run.encode(), marks))
+                        letters.add(run)
+                        continue
+            others.append(word)
+        for at in range(0, len(others), 2_000):
+            part = others[at : at + 2_000]
+            found = self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)
+            self.known.update((w, np.array(x.ids, "<u4").tobytes()) for w, x in zip(part, found))
         self._learn_letters([r for r in letters if r.encode() not in self.known])
         for word, run, marks in parted:
             self.known[word] = self.known[run] + self.known[marks] if marks else self.known[run]
 
     def texts(self, found: list[bytes]) -> list[bytes]:
-        words = [text.split() for text in found]
+        words = [_parted(text).split() for text in found]
         missing = set().union(*words).difference(self.known)
         if len(self.known) + len(missing) > CACHED:
             self.known.clear()
             missing = set().union(*words)
         self.learn(missing)
         get = self.known.__getitem__
-        return [b"".join(map(get, w)) for w in words]
+        out = [b"".join(map(get, w)) for w in words]
+        for word in missing:
+            if len(word) > LONGEST:
+                del self.known[word]
+        return out
+
+
+def _parted(text: bytes) -> bytes:
+    """A text of plain characters in lower case with its marks parted from the letters.
+
+    The tokenizer does both itself, so the ids stay, and one word is known by one form.
+    """
+    if _NOT_PLAIN(text):
+        return text
+    return _MARK.sub(b" ", text.decode().lower().encode())
 
 
 # One encoding for each tokenizer in a Python worker: the cache outlives a task.
@@ -155,6 +187,13 @@ class Bins:
         self.free: list[int] = []
         self.by_free: dict[int, set[int]] = defaultdict(set)
         self.frees: list[int] = []  # sorted free sizes that some bin has
+        # by rising length: an item's length, its bin's room, and the longest that fits in its place
+        order = np.argsort(np.array(lengths, np.int64), kind="stable")
+        self.order, self.place = order.tolist(), np.empty(len(lengths), np.int64)
+        self.place[order] = np.arange(len(lengths))
+        self.sorted = np.array(lengths, np.int64)[order]
+        self.room = np.zeros(len(lengths), np.int64)
+        self.where = [-1] * len(lengths)
 
     def _set_free(self, b: int, free: int) -> None:
         if b < len(self.free):
@@ -172,11 +211,14 @@ class Bins:
 
     def put(self, item: int, b: int) -> None:
         self.items[b].append(item)
+        self.where[item] = b
         self._set_free(b, self.free[b] - self.lengths[item])
+        self.room[self.place[self.items[b]]] = self.free[b]
 
     def take(self, item: int, b: int) -> None:
         self.items[b].remove(item)
         self._set_free(b, self.free[b] + self.lengths[item])
+        self.room[self.place[self.items[b]]] = self.free[b]
 
     def best_fit(self) -> None:
         """Longest first, each into the fullest bin that has room."""
@@ -201,11 +243,12 @@ class Bins:
                     found.append(b)
         return found[:width]
 
-    def improve(self, b: int, width: int) -> bool:
+    def improve(self, b: int, paired: int = PAIRED) -> bool:
         """One exchange that moves length out of bin ``b`` into a fuller bin.
 
-        Tried in turn: move a document; swap one for a shorter one; swap two for one.
-        Each raises the sum of squared fills, because the receiving bin is the fuller.
+        Tried in turn: move a document; swap one, or two of the ``paired`` longest, for a
+        shorter one of any other bin, the largest gain of all. Each raises the sum of
+        squared fills, because the receiving bin is the fuller.
         """
         size = self.lengths
         own = sorted(self.items[b], key=lambda i: -size[i])
@@ -219,52 +262,65 @@ class Bins:
                     self.put(i, min(fits))
                     return True
                 at += 1
-        others = [x for x in self.underfull(width, b) if self.free[x] <= self.free[b]]
-        pairs = [(size[i] + size[j], i, j) for k, i in enumerate(own[:24]) for j in own[k + 1 : 24]]
-        for x in others:
-            room = self.free[x]
-            theirs = sorted(self.items[x], key=lambda i: size[i])
-            lengths = [size[i] for i in theirs]
-            best = (0, None, None)
-            for gives in [(size[i], i) for i in own] + pairs:
-                # the shortest of theirs that makes room for what comes in
-                at = bisect_left(lengths, gives[0] - room)
-                if at < len(lengths) and 0 < gives[0] - lengths[at]:
-                    gain = gives[0] - lengths[at]
-                    if gain > best[0]:
-                        best = (gain, gives[1:], theirs[at])
-            if best[0]:
-                for i in best[1]:
-                    self.take(i, b)
-                self.take(best[2], x)
-                for i in best[1]:
-                    self.put(i, x)
-                self.put(best[2], b)
-                return True
-        return False
-
-    def local_search(self, steps: int, width: int) -> None:
-        """Empty the bins with most room as long as the bound on the bin count allows."""
+        # the longest that fits where an item lies; nothing where the bin isn't the fuller
+        reach = np.where(self.room <= self.free[b], self.sorted + self.room, -1)
+        reach[self.place[own]] = -1
+        few = own[:paired]
+        gives = {size[i]: (i,) for i in reversed(own)}
+        gives |= {size[i] + size[j]: (i, j) for k, i in enumerate(few) for j in few[k + 1 :]
+                  if size[i] + size[j] not in gives}
+        best = (0, (), -1)
+        for length, given in gives.items():
+            if length > best[0]:  # a gain is less than what is given
+                at = int(np.argmax(reach >= length))  # the shortest that makes room for it
+                gain = length - int(self.sorted[at])
+                if reach[at] >= length and gain > best[0]:
+                    best = (gain, given, self.order[at])
+        if not best[0]:
+            return False
+        theirs = best[2]
+        x = self.where[theirs]
+        for i in best[1]:
+            self.take(i, b)
+        self.take(theirs, x)
+        for i in best[1]:
+            self.put(i, x)
+        self.put(theirs, b)
+        return True
+
+    def local_search(self, steps: int, paired: int) -> None:
+        """Empty the bins with most room as long as the bound on the bin count allows.
+
+        A bin that found no exchange is tried again once others have changed, until a whole
+        round over the stuck ones finds none.
+        """
         least = -(-sum(self.lengths) // self.capacity)
         stuck: set[int] = set()
-        while steps > 0 and sum(1 for x in self.items if x) > least:
+        used, tried_at, changes = sum(1 for x in self.items if x), 0, 0
+        while steps > 0 and used > least:
             source = [b for b in self.underfull(len(stuck) + 1, -1) if b not in stuck]
             if not source:
-                break
+                if changes == tried_at:
+                    break
+                stuck, tried_at = set(), changes
+                continue
             b = source[0]
-            while steps > 0 and self.items[b] and self.improve(b, width):
+            while steps > 0 and self.items[b] and self.improve(b, paired):
                 steps -= 1
+                changes += 1
             if self.items[b]:
                 stuck.add(b)
+            else:
+                used -= 1
 
 
 def pack_group(
-    lengths: list[int], capacity: int, steps: int = 4_000, width: int = 64
+    lengths: list[int], capacity: int, steps: int = STEPS, paired: int = PAIRED
 ) -> tuple[list[int], list[int], list[int]]:
     """Bin number, offset and free room of the bin for each length."""
     bins = Bins(lengths, capacity)
     bins.best_fit()
-    bins.local_search(steps, width)
+    bins.local_search(steps * len(lengths), paired)
     number, offset, room = [0] * len(lengths), [0] * len(lengths), [0] * len(lengths)
     n = 0
     for b, items in enumerate(bins.items):
@@ -280,11 +336,16 @@ def pack(
     cut: DataFrame,
     capacity: int = 4096,
     group_rows: int = 40_000,
+    steps: int = STEPS,
+    paired: int = PAIRED,
 ) -> DataFrame:
     """Place pieces (column ``length``, stored) into as few sequences as possible.
 
     Adds sequence_id and offset. Pieces are dealt at random into groups of about
-    ``group_rows``; each group is packed on its own. Bins that stay less than 98 percent
+    ``group_rows``; each group is packed on its own: best fit, then a local search that
+    ends at the lower bound of the group's bins, when no bin finds an exchange, or after
+    ``steps`` exchanges a piece. Every bin is a partner; two documents for one are given
+    out of a bin's ``paired`` longest. Bins that stay less than 98 percent
     full in a first round are opened and their pieces dealt and packed once more, so the
     number of poorly filled sequences doesn't grow with the number of groups.
     """
@@ -295,7 +356,7 @@ def pack(
     names = cut.columns
 
     def packing(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        number, offset, room = pack_group(rows["length"].tolist(), capacity)
+        number, offset, room = pack_group(rows["length"].tolist(), capacity, steps, paired)
         out = rows[names].copy()
         out["sequence_id"] = np.array(number, np.int64) + (int(key[0]) << 32)
         out["offset"] = np.array(offset, np.int64)
@@ -334,15 +395,18 @@ def best_fit_packing(
     id_col: str = "doc_id",
     text_col: str = "text",
     group_rows: int = 40_000,
+    steps: int = STEPS,
+    paired: int = PAIRED,
 ) -> DataFrame:
     """Pack all documents into sequences of at most ``capacity`` tokens.
 
     Returns one row per piece: id, piece, start, length, ids_crc32, sequence_id, offset.
     A NULL or empty text is one end id, a NULL id is passed on, repeated rows are packed
-    each on its own, an empty table gives no rows, further columns are ignored.
+    each on its own, an empty table gives no rows, further columns are ignored. ``steps``
+    and ``paired`` bound the local search (see ``pack``).
     """
     cut = pieces(docs, tokenizer_path, capacity, end_id, id_col, text_col)
-    return pack(common.stored(cut, "pieces"), capacity, group_rows)
+    return pack(common.stored(cut, "pieces"), capacity, group_rows, steps, paired)
 
 
 def sequences(
