@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from bisect import bisect_left, insort
@@ -16,7 +17,7 @@ from pyspark.sql import types as T
 
 from tickloom.llm import common
 
-CACHED = 1_000_000  # words a worker remembers
+CACHED = 500_000  # words a worker remembers, and as many from before
 LONGEST = 48  # bytes of the words it remembers
 # Bounds of the local search, all parameters of ``pack``.
 STEPS = 10  # exchanges for each piece of a group, on average
@@ -24,12 +25,9 @@ PAIRED = 24  # longest pieces of a bin that are tried two at a time
 # Below this character, lower case is one character of the same kind, and nothing composes.
 _PLAIN = "\u0130"
 _MARKS = ".,;:!?"
-# Texts with other characters, or with what may begin a special string, are split into words alone.
-_NOT_PLAIN = re.compile(rb"[\xc5-\xff]|\xc4[\xb0-\xbf]|<\|").search
-# A lone mark between a letter and white space or the end.
-_MARK = re.compile(
-    rb"((?<=[a-z])|(?<=\xc3[\xa0-\xb6\xb8-\xbf]))(?=[.,;:!?](?:[ \t-\r]|\Z))"
-)
+# Other characters, in UTF-8.
+_NOT_PLAIN = re.compile(rb"[\xc5-\xff]|\xc4[\xb0-\xbf]").search
+_SPECIAL = b"<|"  # what special strings begin with
 
 
 class Encoding:
@@ -45,6 +43,8 @@ class Encoding:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        # Spark runs a task a core; threads of the library's own would take each other's time
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
@@ -53,75 +53,86 @@ class Encoding:
         for token, number in vocabulary.items():
             self.ends[number] = token.endswith("</w>")
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.marks: dict[str, bytes] = {}
+
+    def _encode(self, texts: list[str]) -> list:
+        return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
-    def _learn_letters(self, runs: list[str]) -> None:
-        for at in range(0, len(runs), 2_000):
-            part = runs[at : at + 2_000]
-            ids = self._ids(" ".join(part))
-            cuts = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+    def _learn_letters(self, runs: list[str], keys: list[bytes]) -> None:
+        """Encode runs of letters; ``keys`` are their bytes."""
+        for at in range(0, len(runs), 4_000):
+            part, names = runs[at : at + 4_000], keys[at : at + 4_000]
+            ids = np.array(self._encode([" ".join(part)])[0].ids, "<u4")
+            cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) != len(part):
-                self.known.update((r.encode(), self._ids(r).tobytes()) for r in part)
+                self.known.update((k, self._ids(r).tobytes()) for k, r in zip(names, part))
                 continue
-            raw = ids.tobytes()
-            start = 0
-            for run, cut in zip(part, cuts):
-                self.known[run.encode()] = raw[start : 4 * cut]
-                start = 4 * cut
+            raw, cuts = ids.tobytes(), (4 * cuts).tolist()
+            self.known.update(zip(names, map(raw.__getitem__, map(slice, [0, *cuts], cuts))))
 
     def learn(self, missing: set[bytes]) -> None:
-        """Encode words that aren't known yet."""
-        parted, letters, others = [], set(), []
-        for word in missing:
-            text = word.decode()
-            if len(word) <= LONGEST:
-                if text.isalpha() and max(text) < _PLAIN and text.islower():
-                    letters.add(text)
-                    continue
-                if max(text) < _PLAIN:
-                    low = text.lower()
-                    run = low.rstrip(_MARKS)
-                    if run.isalpha():
-                        marks = low[len(run) :].encode()
-                        if marks and marks not in self.known:
-                            self.known[marks] = self._ids(marks.decode()).tobytes()
-                        parted.append((word, run.encode(), marks))
-                        letters.add(run)
-                        continue
-            others.append(word)
-        for at in range(0, len(others), 2_000):
-            part = others[at : at + 2_000]
-            found = self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)
-            self.known.update((w, np.array(x.ids, "<u4").tobytes()) for w, x in zip(part, found))
-        self._learn_letters([r for r in letters if r.encode() not in self.known])
-        for word, run, marks in parted:
-            self.known[word] = self.known[run] + self.known[marks] if marks else self.known[run]
+        """Encode words that aren't known yet.
+
+        Runs of plain letters, with marks behind them or not, go through the tokenizer many
+        in one text, all other words as texts of their own.
+        """
+        named = list(missing)
+        words = b"\n".join(named).decode().split("\n") if named else []
+        letters, parted, others = {}, [], []
+        for word, key in zip(words, named):
+            if word.isalpha():
+                run, marks = word, ""
+            else:
+                run = word.rstrip(_MARKS)
+                marks = word[len(run) :]
+            if run.isalpha() and len(key) <= LONGEST and not _NOT_PLAIN(key):
+                low = run.lower()
+                letters[low] = None
+                if marks or low != word:
+                    parted.append((key, low, marks))
+            else:
+                others.append((key, word))
+        for at in range(0, len(others), 4_000):
+            part = others[at : at + 4_000]
+            found = self._encode([w for _, w in part])
+            self.known.update((k, np.array(x.ids, "<u4").tobytes()) for (k, _), x in zip(part, found))
+        keys = "\n".join(letters).encode().split(b"\n")
+        new = [(r, k) for r, k in zip(letters, keys) if k not in self.known]
+        self._learn_letters([r for r, _ in new], [k for _, k in new])
+        for key, low, marks in parted:
+            if marks and marks not in self.marks:
+                self.marks[marks] = self._ids(marks).tobytes()
+            self.known[key] = self.known[low.encode()] + (self.marks[marks] if marks else b"")
 
     def texts(self, found: list[bytes]) -> list[bytes]:
-        words = [_parted(text).split() for text in found]
+        words = [_lower(text).split() for text in found]
         missing = set().union(*words).difference(self.known)
-        if len(self.known) + len(missing) > CACHED:
-            self.known.clear()
-            missing = set().union(*words)
+        again = missing & self.older.keys()
+        self.known.update((w, self.older[w]) for w in again)
+        missing -= again
         self.learn(missing)
         get = self.known.__getitem__
         out = [b"".join(map(get, w)) for w in words]
         for word in missing:
             if len(word) > LONGEST:
                 del self.known[word]
+        if len(self.known) > CACHED:  # what isn't met again until the next time is forgotten
+            self.older, self.known = self.known, {}
         return out
 
 
-def _parted(text: bytes) -> bytes:
-    """A text of plain characters in lower case with its marks parted from the letters.
-
-    The tokenizer does both itself, so the ids stay, and one word is known by one form.
-    """
-    if _NOT_PLAIN(text):
+def _lower(text: bytes) -> bytes:
+    """A text of plain characters in lower case, as the tokenizer makes it, so that a word
+    has one form; others, and what may hold a special string, stay."""
+    if text.isascii():
+        return text if _SPECIAL in text else text.lower()
+    if _NOT_PLAIN(text) or _SPECIAL in text:
         return text
-    return _MARK.sub(b" ", text.decode().lower().encode())
+    return text.decode().lower().encode()
 
 
 # One encoding for each tokenizer in a Python worker: the cache outlives a task.
