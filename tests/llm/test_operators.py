@@ -381,3 +381,38 @@ def test_encoding_of_odd_texts():
         some = found[at : at + 512]
         for text, ids in zip(some, encoding.texts([t.encode() for t in some])):
             assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_crowded_tokens_lose_no_link(spark, monkeypatch):
+    """Documents of common passages, some of them near copies, with every token crowded soon."""
+    monkeypatch.setattr(ngram_join, "CROWD", 3)
+    monkeypatch.setattr(ngram_join, "BUCKETS", 1 << 13)  # so that common tokens pass for rare
+    rng = random.Random(11)
+    passages = [[f"p{k}x{i}" for i in range(60)] for k in range(3)]
+    texts = []
+    for i in range(150):
+        own = [f"d{i}w{j}" for j in range(rng.randrange(10, 120))]
+        at = rng.randrange(len(own))
+        texts.append(own[:at] + passages[i % 3] + own[at:])
+    for i in range(0, 150, 5):  # near copies, a fifth of the documents
+        copy = list(texts[i])
+        copy[rng.randrange(len(copy))] = f"changed{i}"
+        texts.append(copy)
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    sets = {i: _shingles(t) for i, t in rows}
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a in sets:
+        for b in sets:
+            if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = ngram_join.similarity_components(frame).collect()
+    assert {r.doc_id: r.component_id for r in found} == {i: find(i) for i in sets}
+    assert len({find(i) for i in sets}) < len(sets)

@@ -3,16 +3,22 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm import common, graph
 
 SHINGLE = 5  # words
-BUCKETS = 1 << 18  # of the hashed shingle frequencies
+BUCKETS = 1 << 21  # of the hashed shingle frequencies
+CHUNK = 1 << 13  # of these a row holds when tasks' counts are added up
+ADDED = 64  # rows of one chunk that a group adds up at most
+CROWD = 32  # documents of a token that still meet in pairs
+ROUNDS = 4  # times at most that the documents of crowded tokens get an order of their own
 ORDERS = 3  # global token orders whose prefixes candidates must share
 REMEMBERED = 300_000  # sets that a task remembers
 BLOOM_BITS = 1 << 28  # 32 MB at most
@@ -103,7 +109,7 @@ def prefix(tokens: np.ndarray, frequency: np.ndarray, order: int, percent: int)
     """
     n = len(tokens) - required(len(tokens), percent) + 1
     rank = _mixed(tokens, order + 1) >> np.uint64(8)
-    rank |= frequency[(tokens % np.uint64(BUCKETS)).astype(np.int64)].astype(np.uint64) << np.uint64(56)
+    rank |= frequency[(tokens % np.uint64(len(frequency))).astype(np.int64)].astype(np.uint64) << np.uint64(56)
     return tokens[np.lexsort((tokens, rank))[:n]]
 
 
@@ -183,26 +189,83 @@ def _write_array(df: DataFrame, name: str) -> str:
     return path
 
 
-def hashed_frequencies(docs: DataFrame) -> str:
-    """The shingles in each hash bucket, counted once a document, over the whole corpus."""
+def _passing(batch: pa.RecordBatch, only: tuple[str, int] | None) -> pa.RecordBatch:
+    """The rows that the Bloom filter of some documents lets pass, by their column _at."""
+    if only is None:
+        return batch
+    at = batch.column("_at").to_numpy()
+    wanted = _load(only[0], only[1] // 64, "i8").view("<u8")
+    hit = (wanted[at // 64] >> (at % 64).astype(np.uint64)) & np.uint64(1) == 1
+    return batch.filter(pa.array(hit))
+
+
+def _flagged(docs: DataFrame, only: tuple[str, int] | None) -> DataFrame:
+    return docs if only is None else docs.withColumn("_at", F.pmod(F.xxhash64("doc"), F.lit(only[1])))
+
+
+def hashed_frequencies(docs: DataFrame, only: tuple[str, int] | None = None) -> str:
+    """The shingles in each hash bucket, counted once a document, over the whole corpus.
+
+    With ``only`` (see ``bloom``) over the documents that the filter lets pass.
+
+    Each task counts into a flat array and passes it on by chunks; groups of ``ADDED``
+    tasks add up a chunk, then groups of groups, so no group grows with the corpus.
+    """
 
     def make():
-        hashes, counts = WordHashes(), np.zeros(BUCKETS, np.int64)
+        hashes, counts = WordHashes(), np.zeros(BUCKETS, np.uint32)
 
         def fn(batch):
             if batch is not None:
-                for text in common.texts(batch, "_text"):
+                for text in common.texts(_passing(batch, only), "_text"):
                     tokens = shingles(text, hashes)
                     np.add.at(counts, (tokens % np.uint64(BUCKETS)).astype(np.int64), 1)
                 return
-            at = np.flatnonzero(counts)
-            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["at", "n"])
+            rows = counts.reshape(-1, CHUNK)
+            at = np.flatnonzero(rows.any(axis=1))
+            part = TaskContext.get().partitionId()
+            for first in range(0, len(at), 32):
+                some = at[first : first + 32]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(some), pa.array(np.full(len(some), part)), pa.array([_packed(rows[i]) for i in some], pa.binary())],
+                    names=["chunk", "part", "counts"],
+                )
 
         return fn
 
-    counted = common.map_batches(docs.select("_text"), make, "at long, n long", finish=True)
-    summed = counted.groupBy("at").agg(F.sum("n").alias("value"))
-    return _write_array(summed, "frequencies")
+    schema = "chunk long, part long, counts binary"
+
+    def add(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        total = sum(_unpacked(x) for x in rows["counts"])
+        return pd.DataFrame([{"chunk": key[0], "part": key[1], "counts": _packed(total)}])
+
+    def flat(batch: pa.RecordBatch):
+        for chunk, counts in zip(batch.column("chunk").to_pylist(), batch.column("counts").to_pylist()):
+            found = _unpacked(counts)
+            at = np.flatnonzero(found)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(at + chunk * CHUNK), pa.array(found[at])], names=["at", "value"]
+            )
+
+    source = _flagged(docs, only)
+    counted, parts = common.map_batches(source, make, schema, finish=True), source.rdd.getNumPartitions()
+    while True:
+        parts = -(-parts // ADDED)
+        grouped = counted.withColumn("part", F.floor(F.col("part") / ADDED))
+        counted = common.stored(grouped.groupBy("chunk", "part").applyInPandas(add, schema), "counts")
+        if parts <= 1:
+            break
+    return _write_array(common.map_batches(counted, lambda: flat, "at long, value long"), "frequencies")
+
+
+def _packed(counts: np.ndarray) -> bytes:
+    """Counts in as few bytes each as hold them all, the first byte tells how many."""
+    width = 1 << max(0, (int(counts.max()).bit_length() - 1).bit_length() - 3) if counts.max() else 1
+    return bytes([width]) + counts.astype(f"<u{width}").tobytes()
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, f"<u{raw[0]}", offset=1).astype(np.int64)
 
 
 def bloom(ids: DataFrame) -> tuple[str, int]:
@@ -243,9 +306,13 @@ def signatures(docs: DataFrame) -> DataFrame:
     return common.map_rows(docs, ["doc"], make, "n long, h1 long, h2 long")
 
 
-def prefix_tokens(docs: DataFrame, frequencies: str, percent: int) -> DataFrame:
+def prefix_tokens(
+    docs: DataFrame, frequencies: str, percent: int, only: tuple[str, int] | None = None
+) -> DataFrame:
     """Rows (token, doc, n, at) of prefixes under the first order, ``at`` a token's place in it.
 
+    With ``only`` (see ``bloom``) of the documents that the filter lets pass.
+
     Of documents with one set, a task passes on the first it meets, so a large group of
     copies costs its prefix once a task.
     """
@@ -256,6 +323,7 @@ def prefix_tokens(docs: DataFrame, frequencies: str, percent: int) -> DataFrame:
 
         def fn(batch):
             tokens, ids, sizes, places = [], [], [], []
+            batch = _passing(batch, only)
             for doc, text in zip(batch.column("doc").to_pylist(), common.texts(batch, "_text")):
                 own = shingles(text, hashes)
                 signature = xxhash.xxh3_128_digest(own.tobytes())
@@ -277,7 +345,7 @@ def prefix_tokens(docs: DataFrame, frequencies: str, percent: int) -> DataFrame:
 
         return fn
 
-    return common.map_batches(docs, make, "token long, doc long, n int, at int")
+    return common.map_batches(_flagged(docs, only), make, "token long, doc long, n int, at int")
 
 
 def candidates(
@@ -290,13 +358,11 @@ def candidates(
     set's parities). The others are what a Bloom filter of the names lets pass. The rows
     are dealt by document once.
     """
-    path, bits = bloom(named)
-    flagged = docs.withColumn("_at", F.pmod(F.xxhash64("doc"), F.lit(bits)))
+    only = bloom(named)
 
     def make():
         hashes = WordHashes()
         frequency = rarity(_load(frequencies, BUCKETS, "i8"))
-        wanted = _load(path, bits // 64, "i8").view("<u8")
 
         def content(own: np.ndarray) -> bytes:
             if what == "tokens" or not len(own):
@@ -305,9 +371,7 @@ def candidates(
             return np.concatenate(parts).astype("<u4").tobytes() + parities(own).tobytes()
 
         def fn(batch):
-            at = batch.column("_at").to_numpy()
-            hit = (wanted[at // 64] >> (at % 64).astype(np.uint64)) & np.uint64(1) == 1
-            batch = batch.filter(pa.array(hit))
+            batch = _passing(batch, only)
             sets = [shingles(t, hashes) for t in common.texts(batch, "_text")]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -320,6 +384,7 @@ def candidates(
 
         return fn
 
+    flagged = _flagged(docs, only)
     return common.map_batches(flagged, make, "doc long, n int, content binary").repartition("doc")
 
 
@@ -397,7 +462,10 @@ def similarity_components(
        Pairs must also share prefixes under the other orders, then the sets decide.
     4. Where a token's documents are still in several components, the pairs between
        components are tried in the same way. So all links that could join components
-       are tried, and large groups of near copies don't meet all pairs.
+       are tried, and large groups of near copies don't meet all pairs. Of tokens with more
+       than ``CROWD`` documents, which passed for rare by their hash buckets, the documents
+       get an order by the frequencies among them alone, and meet in its prefixes instead;
+       ``ROUNDS`` times at most, as long as such tokens are left.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("_text"))
     base = common.stored(signatures(rows), "signatures")
@@ -435,18 +503,22 @@ def similarity_components(
 
     root = found.select(F.col("node").alias("doc"), "root")
     # of two documents, the only pair has been tried
-    crowded = shared.where("m > 2").select("token", "doc", "n", "at")
-    placed = crowded.join(root, "doc", "left").withColumn("root", F.coalesce("root", "doc"))
-    open_tokens = placed.groupBy("token").agg(F.min("root").alias("_a"), F.max("root").alias("_b"))
-    open_tokens = open_tokens.where("_a < _b").select("token")
-    left = common.stored(placed.join(open_tokens, "token", "left_semi"), "open-tokens")
-    a, b = (
-        left.selectExpr("token", f"doc as {x}", f"n as n_{x}", f"at as at_{x}", f"root as r_{x}")
-        for x in "ab"
-    )
-    across = a.join(b, "token").where("r_a < r_b").where(_may_link(percent))
-    across = across.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    across = common.stored(across.join(first, ["a", "b"], "left_anti"), "pairs")
+    left = _open_tokens(shared.where("m > 2").select("token", "doc", "n", "at"), root)
+    across = None
+    for k in range(ROUNDS + 1):
+        crowds = left.groupBy("token").count().where(F.col("count") > CROWD).select("token")
+        crowds = common.stored(crowds, "crowded-tokens")
+        few = left if k == ROUNDS else left.join(crowds, "token", "left_anti")
+        found_here = _pairs_across(few, percent)
+        across = found_here if across is None else across.union(found_here)
+        if k == ROUNDS or crowds.isEmpty():
+            break
+        # both documents of a pair that meets in a crowded token are among these, and must
+        # share a prefix token under any order: under one by the frequencies among them
+        among = bloom(left.join(crowds, "token", "left_semi").select("doc"))
+        dealt = prefix_tokens(texts, hashed_frequencies(texts, among), percent, among)
+        left = _open_tokens(common.stored(dealt, "crowd-prefixes"), root)
+    across = common.stored(across.distinct().join(first, ["a", "b"], "left_anti"), "pairs")
     all_links = copied.union(first_links).union(verified(across, texts, frequencies, percent))
     # rows that share an id are one document: their sets' classes belong together
     result = common.stored(graph.components(all_links), "components")
@@ -455,6 +527,24 @@ def similarity_components(
     )
 
 
+def _open_tokens(prefixes: DataFrame, root: DataFrame) -> DataFrame:
+    """The rows of tokens whose documents lie in several components, each with its root."""
+    placed = prefixes.join(root, "doc", "left").withColumn("root", F.coalesce("root", "doc"))
+    open_tokens = placed.groupBy("token").agg(F.min("root").alias("_a"), F.max("root").alias("_b"))
+    open_tokens = open_tokens.where("_a < _b").select("token")
+    return common.stored(placed.join(open_tokens, "token", "left_semi"), "open-tokens")
+
+
+def _pairs_across(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs of one token's documents in different components that may link."""
+    a, b = (
+        rows.selectExpr("token", f"doc as {x}", f"n as n_{x}", f"at as at_{x}", f"root as r_{x}")
+        for x in "ab"
+    )
+    across = a.join(b, "token").where("r_a < r_b").where(_may_link(percent))
+    return across.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+
+
 def one_of_each_group(
     docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
