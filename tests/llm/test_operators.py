@@ -217,19 +217,6 @@ def test_suffix_tree(docs, none, rows):
     assert suffix_tree.suffix_tree_scores(none, out).count() == 0
 
 
-def test_suffix_tree_is_a_distribution(docs):
-    model, _ = suffix_tree.fit(docs.select(F.col("text").alias("_text")))
-    assert len(model.next1)
-    n = len(model.table)
-    unseen = model.norm - int(round((10**model.log0 * model.norm).sum()))
-    for u, v in [(-1, -1), (-1, 0), (1, 2), (0, 1)] + [tuple(divmod(int(p), 1 << 20)) for p in model.pairs2[:3]]:
-        w = np.arange(n)
-        start = [x for x in (u, v) if x >= 0]
-        p = [10 ** (model.score(np.array(start + [x])) - model.score(np.array(start))) if start else 10 ** model.score(np.array([x])) for x in w]
-        rest = 10 ** (model.score(np.array(start + [-1])) - (model.score(np.array(start)) if start else 0)) * unseen / model.norm
-        assert abs(sum(p) + rest - 1) < 1e-9
-
-
 def _tree_scores(texts, held, depth, least=3, share=0.75):
     """The tree's scores by brute force: dictionaries of n-grams, longest state first."""
     found = [(t or "").encode().lower().split() + [b""] for t in texts]
@@ -261,24 +248,32 @@ def _tree_scores(texts, held, depth, least=3, share=0.75):
             gain = sum(k * (p[w] - parent[w]) for w, k in symbols.items()) + left * rest
             if gain * math.log(10) > 0.5 * (len(symbols) + 1) * math.log(max(own, 2)):
                 states[c] = rest, p
-    return [sum(log(tuple(w[max(0, i - depth) : i]), w[i], depth) for i in range(len(w))) for w in found], len(states)
-
-
-def test_suffix_tree_keeps_rare_contexts(spark, monkeypatch):
+    # in every context the words and all unseen ones together have probability one
+    for context in [(), (b"so",), *list(states)[:20]]:
+        p = [10 ** log(context, w, depth) for w, in words]
+        unseen = 10 ** log(context, b"\0", depth) * (norm - sum(count[g] + 1 for g in words))
+        assert abs(sum(p) + unseen - 1) < 1e-9
+    longest = max(map(len, states), default=0)
+    return [sum(log(tuple(w[max(0, i - depth) : i]), w[i], depth) for i in range(len(w))) for w in found], longest
+
+
+@pytest.mark.parametrize("depth", [1, 2, 4])
+@pytest.mark.parametrize("share", [0.01, 1e-6])
+def test_suffix_tree_equals_dictionaries(spark, monkeypatch, depth, share):
     # a share of all tokens, as it comes to 3 occurrences and more on large tables, decides nothing
     rng = random.Random(8)
     texts = [" ".join(rng.choice(VOCABULARY) + str(rng.randrange(30)) for _ in range(60)) for _ in range(60)]
     texts += [f"the rare language says {i} so it goes" for i in range(4)] + [None, "", "so it goes"]
+    texts += [f"{i} at the end of the long way home there is a light {i}" for i in range(30)]
+    texts += [f"{x} of the long {y}" for x, y in (("end", "day"), ("all", "road"), ("why", "wait")) for _ in range(40)]
     held = [i % 5 == 1 for i in range(len(texts))]
-    expected, states = _tree_scores(texts, held, 2)
+    expected, longest = _tree_scores(texts, held, depth)
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
-    monkeypatch.setattr(suffix_tree, "P_NGRAM", 0.01, raising=False)  # most weights are joined
-    monkeypatch.setattr(suffix_tree, "P_WORD", 0.01)
-    monkeypatch.setattr(suffix_tree, "P_CONTEXT", 0.01, raising=False)
-    monkeypatch.setattr(suffix_tree, "P_NEXT", 0.01, raising=False)
-    found = suffix_tree.suffix_tree_scores(frame, F.col("doc_id") % 5 == 1).collect()
+    monkeypatch.setattr(suffix_tree, "P_NGRAM", share)  # with a high share most weights are joined
+    monkeypatch.setattr(suffix_tree, "P_WORD", share)
+    found = suffix_tree.suffix_tree_scores(frame, F.col("doc_id") % 5 == 1, depth=depth).collect()
     scores = {r.doc_id: r.score for r in found}
-    assert states > 5 and all(abs(scores[i] - x) < 1e-6 for i, x in enumerate(expected))
+    assert longest == depth and all(abs(scores[i] - x) < 1e-6 for i, x in enumerate(expected))
 
 
 def test_nearest(spark):

@@ -56,12 +56,38 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """The frame written as Parquet to the shared folder and read back: its lineage is cut."""
-    ship(df.sparkSession)
-    path = shared_folder(df.sparkSession, name)
-    df.write.partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+# Lets Spark remove the shuffle files of an execution at its end.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stored(
+    df: DataFrame, name: str, partition_by: Sequence[str] = (), free: bool = False
+) -> DataFrame:
+    """The frame written as Parquet to the shared folder and read back: its lineage is cut.
+
+    With ``free`` the shuffle files behind it go as soon as it is written.
+    """
+    spark = df.sparkSession
+    ship(spark)
+    path = shared_folder(spark, name)
+    before = spark.conf.get(_CLEANUP, "false")
+    if free:
+        spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.partitionBy(*partition_by).parquet(path)
+    finally:
+        if free:
+            spark.conf.set(_CLEANUP, before)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.stored_at = path
+    return back
+
+
+def dropped(df: DataFrame) -> None:
+    """Delete the files of a frame that ``stored`` made, once nothing reads it any more."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def filesystem(uri: str) -> tuple[pa.fs.FileSystem, str]:

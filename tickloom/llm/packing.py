@@ -19,6 +19,7 @@ from tickloom.llm import common
 
 CACHED = 500_000  # words a worker remembers, and as many from before
 LONGEST = 48  # bytes of the words it remembers
+TEXTS = 2_048  # that are split and looked up at a time
 # Bounds of the local search, all parameters of ``pack``.
 STEPS = 10  # exchanges for each piece of a group, on average
 PAIRED = 24  # longest pieces of a bin that are tried two at a time
@@ -89,7 +90,7 @@ class Encoding:
             else:
                 run = word.rstrip(_MARKS)
                 marks = word[len(run) :]
-            if run.isalpha() and len(key) <= LONGEST and not _NOT_PLAIN(key):
+            if run.isalpha() and len(key) <= LONGEST and (key.isascii() or not _NOT_PLAIN(key)):
                 low = run.lower()
                 letters[low] = None
                 if marks or low != word:
@@ -186,7 +187,7 @@ def pieces(
 
         return fn
 
-    return common.map_batches(docs, make, ddl)
+    return common.map_batches(docs, make, ddl, rows=TEXTS)
 
 
 class Bins:

@@ -4,32 +4,21 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm import common
+from tickloom.llm.ngram_join import WordHashes
 
-P_WORD = 1e-6  # share of all tokens from which a word is in the broadcast table: at most 1 / P_WORD
+P_WORD = 1e-6  # share of all tokens from which a word's count is broadcast: at most 1 / P_WORD
 P_NGRAM = 4e-7  # share from which an n-gram's weight is broadcast; the others are joined
 LEAST = 3  # occurrences that a context or a parameter needs
-DEPTH = 2  # words of the longest contexts
+DEPTH = 4  # words of the longest contexts
 DISCOUNT = 0.75
-MEMORY = 300_000  # distinct words a task sums up before it passes them on
-PAIRS = 3_000_000  # n-grams a task holds before it sums them up
-SKETCH_BITS = 26  # the sketches have 2**26 bits at any corpus size
-END = b""  # the end symbol; no word is empty
-_SHIFT = np.int64(1 << 20)  # word numbers are below this
-_SEED = 42  # of Spark's xxhash64
-
-
-def words(text: bytes) -> list[bytes]:
-    return text.lower().split()  # of bytes: A-Z and ASCII white space
-
-
-def word_key(word: bytes) -> int:
-    """Spark's xxhash64 of the word."""
-    return xxhash.xxh64_intdigest(word, _SEED)
+HELD = 3_000_000  # words or n-grams a task holds before it sums them up
+SKETCH_BITS = 27  # the sketches have 2**27 bits, 16 MB, at any corpus size
+SEED = 42  # of Spark's xxhash64
+END = np.array([0x5851F42D4C957F2D], np.uint64)  # the key of the end symbol
 
 
 def _hash_long(x: np.ndarray, seed: np.ndarray | np.uint64) -> np.ndarray:
@@ -45,11 +34,25 @@ def _hash_long(x: np.ndarray, seed: np.ndarray | np.uint64) -> np.ndarray:
 
 def ngram_key(context: np.ndarray, suffix: np.ndarray) -> np.ndarray:
     """Spark's xxhash64(context, suffix): the n-gram's first and last n - 1 words make its key."""
-    return _hash_long(suffix, _hash_long(context, np.uint64(_SEED)))
+    return _hash_long(suffix, _hash_long(context, np.uint64(SEED)))
+
+
+class Words:
+    """Texts as 64-bit keys of their words, A-Z in lower case, each text with an end symbol."""
+
+    def __init__(self) -> None:
+        self.hashes = WordHashes()
+
+    def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The keys of all texts joined, and the text each belongs to."""
+        found = [x for text in texts for x in (self.hashes(text), END)]
+        sizes = [len(x) + 1 for x in found[::2]]
+        keys = np.concatenate(found) if found else np.zeros(0, np.uint64)
+        return keys, np.repeat(np.arange(len(texts)), sizes)
 
 
 def ngrams(keys: np.ndarray, doc: np.ndarray, n: int, shorter: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the (n - 1)-grams that begin and end each n-gram of the documents' joined words.
+    """Keys of the (n - 1)-grams that begin each n-gram of the documents' joined words.
 
     ``shorter``: (n - 1)-gram keys by start. Gives the start too; none crosses documents.
     """
@@ -60,166 +63,80 @@ def ngrams(keys: np.ndarray, doc: np.ndarray, n: int, shorter: np.ndarray) -> tu
 
 
 class Sketch:
-    """Bits of keys: a key that was put in is always found, another one may be."""
+    """Two bits for each key in one of the words: a key that was put in is always found."""
 
     def __init__(self, keys: DataFrame):
-        slot = F.shiftrightunsigned("key", 64 - SKETCH_BITS)
-        bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(key, {64 - SKETCH_BITS}) & 63 as int))")
-        rows = keys.groupBy(F.shiftrightunsigned(slot, 6).alias("at")).agg(F.bit_or(bit).alias("bits")).toArrow()
+        at = F.shiftrightunsigned("key", 70 - SKETCH_BITS)
+        bits = F.expr("shiftleft(1L, cast(key & 63 as int)) | shiftleft(1L, cast(shiftrightunsigned(key, 6) & 63 as int))")
+        rows = keys.groupBy(at.alias("at")).agg(F.bit_or(bits).alias("bits")).toArrow()
         self.words = np.zeros(1 << (SKETCH_BITS - 6), np.uint64)
         self.words[rows["at"].to_numpy()] = rows["bits"].to_numpy().astype(np.int64).view(np.uint64)
 
     def holds(self, keys: np.ndarray) -> np.ndarray:
-        slot = keys >> np.uint64(64 - SKETCH_BITS)
-        found = self.words[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))
+        found = self.words[(keys >> np.uint64(70 - SKETCH_BITS)).astype(np.int64)]
+        low = np.uint64(63)
+        found = (found >> (keys & low)) & (found >> ((keys >> np.uint64(6)) & low))
         return found & np.uint64(1) == 1
 
 
-class Model:
-    """Counts of the frequent words, and the weights of the frequent n-grams.
+class Table:
+    """Values by key, in two sorted arrays."""
 
-    An n-gram's weight is what each of its occurrences adds to log10 P: as parameter of a
-    state, log10 P(last word | the others) over what the shorter contexts give; as a state
-    itself, log10 of the share it leaves to its parent (``rests``, on the driver only). In
-    a whole text something follows every state. ``keys`` are sorted. ``next1`` and
-    ``pairs2`` (word * 2**20 + word) list the pairs that are parameters or states.
-    """
+    def __init__(self, rows: pa.Table, value: str):
+        keys = rows["key"].to_numpy().astype(np.int64).view(np.uint64)
+        order = np.argsort(keys)
+        self.keys, self.values = keys[order], rows[value].to_numpy()[order].astype(np.float64)
 
-    def __init__(self, table: list[bytes], counts: np.ndarray, total: int, distinct: int):
-        self.table, self.total, self.distinct = table, total, distinct
-        self.norm = total + distinct + 1
-        self.log0 = np.log10((counts + 1) / self.norm)
-        self.word_keys = np.array([word_key(w) for w in table] + [0], np.uint64)
-        self.keys, self.depth = np.zeros(0, np.uint64), 0
-        self.weights = self.rests = np.zeros(0)
-        self.next1 = self.pairs2 = np.zeros(0, np.int64)
-        self._numbers: dict[bytes, int] | None = None
-
-    def numbers(self) -> dict[bytes, int]:
-        if self._numbers is None:
-            self._numbers = {w: i for i, w in enumerate(self.table)}
-        return self._numbers
-
-    def __getstate__(self):
-        return self.__dict__ | {"_numbers": None, "rests": None}
-
-    def encode(self, found: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The documents' words with the end symbol, joined: number (or -1), key and document."""
-        get = self.numbers().get
-        joined = [w for x in found for w in (*x, END)]
-        ids = np.array([get(w, -1) for w in joined], np.int64)
-        keys = self.word_keys[ids]
-        outside = np.flatnonzero(ids < 0)
-        keys[outside] = np.array([word_key(joined[i]) for i in outside.tolist()], np.uint64)
-        return ids, keys, np.repeat(np.arange(len(found)), [len(x) + 1 for x in found])
-
-    def orders(self, keys: np.ndarray, doc: np.ndarray):
-        """Document and key of every n-gram, an array of each for n from 1."""
-        yield doc, keys
-        shorter = keys
-        for n in range(2, self.depth + 2):
-            context, at = ngrams(keys, doc, n, shorter)
-            shorter = ngram_key(context, shorter[1:][: len(context)])
-            yield doc[at], shorter[at]
-
-    def lookup(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Weight (0 if it isn't broadcast), and whether it is."""
-        at, hit = _find(self.keys, keys)
-        return np.where(hit, self.weights[at] if len(self.weights) else 0.0, 0.0), hit
-
-    def pair_numbers(self, pairs: DataFrame) -> np.ndarray:
-        order = np.argsort(self.word_keys[:-1])
-        rows = pairs.select("context", "suffix").toArrow()
-        v, w = (_find(self.word_keys[order], rows[c].to_numpy().astype(np.int64).view(np.uint64))[0] for c in rows.column_names)
-        return np.sort(order[v] * _SHIFT + order[w])
-
-    def score(self, ids: np.ndarray) -> float:
-        """Sum of log10 P by the broadcast part; words outside the table get all but the root's."""
-        log = float(self.log0[ids[ids >= 0]].sum())
-        for _, keys in self.orders(self.word_keys[ids], np.zeros(len(ids), np.int64)):
-            log += float(self.lookup(keys)[0].sum())
-            at, hit = _find(self.keys, keys[-1:])
-            log -= float(self.rests[at[hit]].sum())  # nothing follows it
-        return log
-
-
-def _find(sorted_keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    if not len(sorted_keys):
-        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
-    at = np.minimum(np.searchsorted(sorted_keys, wanted), len(sorted_keys) - 1)
-    return at, sorted_keys[at] == wanted
-
-
-def grow(grams: DataFrame, shorter: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Test contexts for divergence from their parents.
+    def __call__(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The value of each key (0 without one), and whether there is one."""
+        if not len(self.keys):
+            return np.zeros(len(keys)), np.zeros(len(keys), bool)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        hit = self.keys[at] == keys
+        return np.where(hit, self.values[at], 0.0), hit
 
-    ``grams``: stored n-grams (context, suffix, n). ``shorter``: the (n - 1)-grams (key, n,
-    log: log10 P of the last word in the tree so far). Returns the n-grams in the form of
-    ``shorter`` with ``d``, the log10 share by which they differ from the shorter contexts,
-    and the contexts that stay (context, own, rest: log10 weight of their parents).
 
-    A parameter gets its discounted share, the parent all that is left. A context stays if
-    the log likelihood that it gains over its parent on its own occurrences is more than
-    half the log of their number for each parameter and for the context itself.
-    """
-    contexts = (
-        grams.groupBy("context").agg(F.count("*").alias("kinds"), F.sum("n").alias("listed"))
-        .join(shorter.select(F.col("key").alias("context"), F.col("n").alias("own")), "context")
-    )
-    left = F.col("own") - F.col("listed")
-    rest = F.log10(F.greatest(DISCOUNT * F.col("kinds") + left, F.lit(1e-12)) / F.col("own"))
-    contexts = contexts.withColumn("rest", rest)
-    p = (F.col("n") - DISCOUNT) / F.col("own") + F.pow(F.lit(10.0), F.col("rest") + F.col("parent"))
-    tested = common.stored(
-        grams.join(contexts.select("context", "own", "rest"), "context")
-        .join(shorter.select(F.col("key").alias("suffix"), F.col("log").alias("parent")), "suffix")
-        .select("context", F.xxhash64("context", "suffix").alias("key"), "n", "rest", "parent", F.log10(p).alias("log")),
-        "tested",
-    )
-    gains = tested.groupBy("context").agg(F.sum(F.col("n") * (F.col("log") - F.col("parent"))).alias("gain"))
-    enough = (F.col("gain") + left * F.col("rest")) * float(np.log(10)) > (
-        0.5 * (F.col("kinds") + 1) * F.log(F.greatest("own", F.lit(2)))
-    )
-    states = common.stored(contexts.join(gains, "context").where(enough).select("context", "own", "rest"), "states")
-    stays = tested.join(states.select("context", F.lit(True).alias("stays")), "context", "left")
-    longer = stays.select(
-        "key",
-        "n",
-        F.when(F.col("stays"), F.col("log")).otherwise(F.col("parent")).alias("log"),
-        F.when(F.col("stays"), F.col("log") - F.col("rest") - F.col("parent")).alias("d"),
-    )
-    return common.stored(longer, "n-grams"), states
+class Summing:
+    """Keys (several columns) that a task holds, summed up before they are passed on."""
 
+    def __init__(self, names: list[str]):
+        self.names, self.parts, self.n = names, [], 0
 
-# --- counting -----------------------------------------------------------------------
+    def add(self, columns: list[np.ndarray], by: np.ndarray) -> None:
+        if len(by):
+            self.parts.append((by, *columns))
+            self.n += len(by)
+
+    def rows(self):
+        by, *columns = (np.concatenate(x) for x in zip(*self.parts))
+        self.parts, self.n = [], 0
+        _, at, times = np.unique(by, return_index=True, return_counts=True)
+        columns = [c[at].view(np.int64) for c in columns] + [times]
+        for first in range(0, len(at), 100_000):
+            part = [pa.array(c[first : first + 100_000]) for c in columns]
+            yield pa.RecordBatch.from_arrays(part, names=[*self.names, "n"])
 
 
 def count_words(docs: DataFrame) -> DataFrame:
-    """Occurrences of every word and of the end symbol (the empty string)."""
+    """Occurrences (key, n) of every word and of the end symbol."""
 
     def make():
-        seen: dict[bytes, int] = {}
+        words, held = Words(), Summing(["key"])
 
         def fn(batch):
             if batch is not None:
-                for text in common.texts(batch, "_text"):
-                    for w in words(text):
-                        seen[w] = seen.get(w, 0) + 1
-                    seen[END] = seen.get(END, 0) + 1
-            if seen and (batch is None or len(seen) > MEMORY):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(seen), pa.binary()), pa.array(seen.values(), pa.int64())],
-                    names=["word", "n"],
-                )
-                seen.clear()
+                keys, _ = words(common.texts(batch, "_text"))
+                held.add([keys], keys)
+            if held.parts and (batch is None or held.n > HELD):
+                yield from held.rows()
 
         return fn
 
-    counted = common.map_batches(docs, make, "word binary, n long", finish=True)
-    return counted.groupBy("word").agg(F.sum("n").alias("n"))
+    counted = common.map_batches(docs, make, "key long, n long", finish=True)
+    return counted.groupBy("key").agg(F.sum("n").alias("n"))
 
 
-def count_ngrams(docs: DataFrame, model, sketch, n: int) -> DataFrame:
+def count_ngrams(docs: DataFrame, sketch, n: int) -> DataFrame:
     """Occurrences of the n-grams (keys of their first and last n - 1 words), ``LEAST`` at least.
 
     An n-gram can't occur more often than its parts: those whose parts the sketch of the
@@ -227,31 +144,22 @@ def count_ngrams(docs: DataFrame, model, sketch, n: int) -> DataFrame:
     """
 
     def make():
-        held, seen = model.value, sketch.value
-        state = {"parts": [], "n": 0}
+        words, held, seen = Words(), Summing(["context", "suffix"]), sketch.value
 
         def fn(batch):
             if batch is not None:
-                _, keys, doc = held.encode([words(t) for t in common.texts(batch, "_text")])
+                keys, doc = words(common.texts(batch, "_text"))
                 shorter = keys
-                for k in range(2, n):
+                for _ in range(2, n):
                     shorter = ngram_key(shorter[:-1], shorter[1:])
                 context, at = ngrams(keys, doc, n, shorter)
-                often = seen.holds(shorter)
-                at = at[often[at] & often[at + 1]] if len(at) else at
                 if len(at):
-                    state["parts"].append((context[at], shorter[at + 1]))
-                    state["n"] += len(at)
-            if state["parts"] and (batch is None or state["n"] > PAIRS):
-                context, suffix = (np.concatenate(x) for x in zip(*state["parts"]))
-                state.update(parts=[], n=0)
-                _, at, times = np.unique(ngram_key(context, suffix), return_index=True, return_counts=True)
-                context, suffix = context[at].view(np.int64), suffix[at].view(np.int64)
-                for first in range(0, len(at), 100_000):
-                    part = slice(first, first + 100_000)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(x[part]) for x in (context, suffix, times)], names=["context", "suffix", "n"]
-                    )
+                    often = seen.holds(shorter)
+                    at = at[often[at] & often[at + 1]]
+                    context, suffix = context[at], shorter[at + 1]
+                    held.add([context, suffix], ngram_key(context, suffix))
+            if held.parts and (batch is None or held.n > HELD):
+                yield from held.rows()
 
         return fn
 
@@ -259,60 +167,116 @@ def count_ngrams(docs: DataFrame, model, sketch, n: int) -> DataFrame:
     return counted.groupBy("context", "suffix").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST)
 
 
-def fit(training: DataFrame, depth: int = DEPTH) -> tuple[Model, DataFrame]:
-    """The broadcast part of the tree, and the counts of all words (see ``learn``)."""
-    return learn(training, depth)[:2]
+def grow(grams: DataFrame, shorter: DataFrame) -> DataFrame:
+    """Test contexts for divergence from their parents.
 
+    ``grams``: stored n-grams (context, suffix, n). ``shorter``: the (n - 1)-grams (key, n,
+    log: log10 P of the last word in the tree so far). Returns a stored row for each n-gram:
+    context, key, n, own (the context's occurrences), rest (log10 weight of its parent),
+    parent and log (log10 P of the last word there and in the context) and stays.
 
-def learn(training: DataFrame, depth: int = DEPTH) -> tuple[Model, DataFrame, DataFrame]:
-    """The tree's broadcast part, the counts of all words and the weights of all its n-grams.
+    A parameter gets its discounted share, the parent all that is left. A context stays if
+    the log likelihood that it gains over its parent on its own occurrences is more than
+    half the log of their number for each parameter and for the context itself. Kinds and
+    gains are added up on the map side and joined back, so the n-grams of a very common
+    context can be split over tasks.
+    """
+    at_parent = shorter.select(F.col("key").alias("suffix"), F.col("log").alias("parent"))
+    known = grams.join(at_parent, "suffix").select(
+        "context", F.xxhash64("context", "suffix").alias("key"), "n", "parent"
+    )
+    known = common.stored(known, "n-grams", free=True)
+    contexts = known.groupBy("context").agg(F.count("*").alias("kinds"), F.sum("n").alias("listed"))
+    contexts = contexts.join(
+        shorter.select(F.col("key").alias("context"), F.col("n").alias("own")), "context"
+    )
+    left = F.col("own") - F.col("listed")
+    rest = F.log10(F.greatest(DISCOUNT * F.col("kinds") + left, F.lit(1e-12)) / F.col("own"))
+    p = (F.col("n") - DISCOUNT) / F.col("own") + F.pow(F.lit(10.0), F.col("rest") + F.col("parent"))
+    tested = known.join(contexts.withColumn("rest", rest), "context").withColumn("log", F.log10(p))
+    gains = tested.groupBy("context", "own", "listed", "kinds", "rest").agg(
+        F.sum(F.col("n") * (F.col("log") - F.col("parent"))).alias("gain")
+    )
+    enough = (F.col("gain") + left * F.col("rest")) * float(np.log(10)) > (
+        0.5 * (F.col("kinds") + 1) * F.log(F.greatest("own", F.lit(2)))
+    )
+    judged = tested.select("context", "key", "n", "own", "rest", "parent", "log").join(
+        gains.select("context", enough.alias("stays")), "context"
+    )
+    out = common.stored(judged, "judged", free=True)
+    common.dropped(known)
+    return out
 
-    Words and n-grams are counted over all training texts. Whatever occurs ``LEAST`` times
-    is a candidate at any corpus size, and the divergence test alone decides. The weights
-    (key, n, weight) are a stored table; those of n-grams with a share P_NGRAM of all
-    tokens are in the model as well. N-grams are known by 64-bit hashes.
+
+def _weights(judged: DataFrame) -> DataFrame:
+    """What each n-gram adds to log10 P: (key, n, weight), several rows for a key.
+
+    As parameter of a state, log10 P(last word | the others) over what the shorter contexts
+    give; as a state itself, log10 of the share that it leaves to its parent. In a whole
+    text something follows every state.
     """
-    counts = common.stored(count_words(training), "word-counts")
-    total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    least_word = max(1, int(np.ceil(P_WORD * total)))
-    top = counts.where((F.col("word") != F.lit(END)) & (F.col("n") >= least_word)).collect()
-    ends = counts.where(F.col("word") == F.lit(END)).first()
-    found = [(bytes(r.word), r.n) for r in top] + [(END, ends.n if ends else 0)]
-    found.sort(key=lambda x: (-x[1], x[0]))
-    count = np.array([n for _, n in found], np.int64)
-    model = Model([w for w, _ in found], count, int(total), int(distinct))
-    sc = training.sparkSession.sparkContext
-    held = sc.broadcast(model)
-    log0 = F.log10((F.col("n") + 1) / F.lit(float(model.norm)))
-    shorter = common.stored(
-        counts.where(F.col("n") >= LEAST).select(F.xxhash64("word").alias("key"), "n", log0.alias("log")), "words"
+    kept = judged.where("stays")
+    states = kept.groupBy("context").agg(F.first("own").alias("n"), F.first("rest").alias("weight"))
+    return kept.select("key", "n", (F.col("log") - F.col("rest") - F.col("parent")).alias("weight")).union(
+        states.select(F.col("context").alias("key"), "n", "weight")
     )
-    parts, pairs = [], None
+
+
+class Tree:
+    """A tree learnt from the training texts; ``learn`` makes it.
+
+    ``table`` is stored: key, n (occurrences as a word), weight (as n-gram) and times
+    (occurrences as either). What has a high share of all tokens is in ``words`` (log10 of
+    the base probability by key) and ``weights`` as well; ``sketch`` holds all n-grams with
+    a weight.
+    """
+
+    def __init__(self, table: DataFrame, words: Table, weights: Table, sketch: Sketch, total: int, distinct: int, depth: int):
+        self.table, self.words, self.weights, self.sketch = table, words, weights, sketch
+        self.total, self.norm, self.depth = total, total + distinct + 1, depth
+
+
+def learn(training: DataFrame, depth: int = DEPTH) -> Tree:
+    """A tree of contexts of up to ``depth`` words over all training texts (column _text).
+
+    Whatever occurs ``LEAST`` times is a candidate at any corpus size, and the divergence
+    test alone decides. Words and n-grams are known by 64-bit hashes. One pass over the
+    texts counts the words, and one the n-grams of each order, until there are none.
+    """
+    sc = training.sparkSession.sparkContext
+    counts = common.stored(count_words(training), "word-counts", free=True)
+    total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    log0 = F.log10((F.col("n") + 1) / F.lit(float(total + distinct + 1)))
+    shorter = counts.where(F.col("n") >= LEAST).select("key", "n", log0.alias("log"))
+    found, grown = [], 0
     for n in range(2, depth + 2):
         sketch = sc.broadcast(Sketch(shorter.select("key")))
-        grams = common.stored(count_ngrams(training, held, sketch, n), "counted")
-        shorter, states = grow(grams, shorter)
-        parts.append(shorter.where("d is not null").select("key", "n", F.col("d").alias("weight"), F.lit(0.0).alias("rest")))
-        parts.append(states.select(F.col("context").alias("key"), F.col("own").alias("n"), F.col("rest").alias("weight"), "rest"))
-        pairs = grams if pairs is None else pairs
+        grams = common.stored(count_ngrams(training, sketch, n), "counted", free=True)
         sketch.unpersist()
-    weights = parts[0]
-    for part in parts[1:]:
-        weights = weights.union(part)
-    weights = common.stored(
-        weights.groupBy("key").agg(F.max("n").alias("n"), F.sum("weight").alias("weight"), F.sum("rest").alias("rest")), "weights"
+        if grams.isEmpty():
+            break
+        judged = grow(grams, shorter)
+        common.dropped(grams)
+        found.append(judged)
+        grown = n - 1
+        log = F.when(F.col("stays"), F.col("log")).otherwise(F.col("parent"))
+        shorter = judged.select("key", "n", log.alias("log"))
+    zero = F.lit(0).cast("long")
+    rows = counts.select("key", F.col("n").alias("words"), zero.alias("grams"), F.lit(0.0).alias("weight"))
+    for judged in found:
+        rows = rows.union(_weights(judged).select("key", zero, "n", "weight"))
+    table = rows.groupBy("key").agg(
+        F.sum("words").alias("n"), F.max("grams").alias("grams"), F.sum("weight").alias("weight")
     )
+    table = common.stored(table, "tree", free=True)
+    for judged in found:
+        common.dropped(judged)
+    common.dropped(counts)
+    least = max(1, int(np.ceil(P_WORD * total)))
+    words = Table(table.where(F.col("n") >= least).select("key", log0.alias("log")).toArrow(), "log")
     least = max(LEAST, int(np.ceil(P_NGRAM * total)))
-    rows = weights.where(F.col("n") >= least).select("key", "weight", "rest").toArrow()
-    keys = rows["key"].to_numpy().astype(np.int64).view(np.uint64)
-    order = np.argsort(keys)
-    model.keys, model.depth = keys[order], depth
-    model.weights, model.rests = rows["weight"].to_numpy()[order], rows["rest"].to_numpy()[order]
-    known = pairs.where(F.col("n") >= max(least, least_word))
-    known = known.select("context", "suffix", F.xxhash64("context", "suffix").alias("key"))
-    model.next1 = model.pair_numbers(known.join(parts[0], "key", "left_semi"))
-    model.pairs2 = model.pair_numbers(known.join(parts[3], "key", "left_semi")) if depth > 1 else model.pairs2
-    return model, counts, weights
+    weights = Table(table.where(F.col("grams") >= least).select("key", "weight").toArrow(), "weight")
+    return Tree(table, words, weights, Sketch(table.where("grams > 0")), int(total), int(distinct), grown)
 
 
 def suffix_tree_scores(
@@ -330,93 +294,87 @@ def suffix_tree_scores(
     A token's probability comes from the longest context before it, of ``depth`` words at
     most, that is a state. The most frequent words' counts and n-grams' weights are
     broadcast, both bounded; all other words and n-grams are counted per document and
-    joined with the full tables, which grow with the training texts.
+    joined with the full table, which grows with the training texts.
     """
     out = F.coalesce(held_out, F.lit(False))
     rows = docs.select(
         F.col(id_col).alias("_id"), out.alias("held_out"), F.col(text_col).alias("_text")
     )
-    model, counts, weights = learn(rows.where(~F.col("held_out")).select("_text"), depth)
-    sc = docs.sparkSession.sparkContext
-    shared, sketch = sc.broadcast(model), sc.broadcast(Sketch(weights.select("key")))
-    in_table = model.total > 0
+    tree = learn(rows.where(~F.col("held_out")).select("_text"), depth)
+    shared = docs.sparkSession.sparkContext.broadcast((tree.words, tree.weights, tree.sketch))
+    grown = tree.depth
 
     def make():
-        held, seen = shared.value, sketch.value
+        words, (frequent, weights, sketch) = Words(), shared.value
 
         def fn(batch):
-            found = [words(t) for t in common.texts(batch, "_text")]
-            ids, keys, doc = held.encode(found)
-            n, known = len(found), ids >= 0
-            base = np.bincount(doc[known], weights=held.log0[ids[known]], minlength=n)
-            score, parts = base.copy(), []
-            for of, key in held.orders(keys, doc):
-                maybe = seen.holds(key)
-                of, key = of[maybe], key[maybe]
-                weight, hit = held.lookup(key)
+            keys, doc = words(common.texts(batch, "_text"))
+            n = batch.num_rows
+            log, known = frequent(keys)
+            base = np.bincount(doc, weights=log, minlength=n)
+            score = base.copy()
+            # what the tables don't hold: the texts, keys, and whether a word or an n-gram
+            parts = [(doc[~known], keys[~known], np.ones(int((~known).sum()), np.int64))]
+            shorter, of = keys, doc
+            for k in range(1, grown + 2):
+                if k > 1:
+                    context, at = ngrams(keys, doc, k, shorter)
+                    shorter = ngram_key(context, shorter[1:][: len(context)])
+                    of, own = doc[at], shorter[at]
+                else:
+                    own = keys
+                maybe = sketch.holds(own)
+                of, own = of[maybe], own[maybe]
+                weight, hit = weights(own)
                 score += np.bincount(of, weights=weight, minlength=n)
-                parts.append((of[~hit], key[~hit]))
-            of, key = (np.concatenate(x) for x in zip(*parts))
-            order = np.lexsort((key, of))
-            of, key = of[order], key[order]
-            new = np.flatnonzero(np.r_[True, (of[1:] != of[:-1]) | (key[1:] != key[:-1])][: len(of)])
-            grams = pa.StructArray.from_arrays(
-                [pa.array(key[new].view(np.int64)), pa.array(np.diff(np.r_[new, len(of)]))], names=["key", "times"]
+                parts.append((of[~hit], own[~hit], np.zeros(int((~hit).sum()), np.int64)))
+            of, own, is_word = (np.concatenate(x) for x in zip(*parts))
+            order = np.lexsort((own, of))
+            of, own, is_word = of[order], own[order], is_word[order]
+            new = np.flatnonzero(np.r_[True, (of[1:] != of[:-1]) | (own[1:] != own[:-1])][: len(of)])
+            times = np.diff(np.r_[new, len(of)])
+            as_word = np.add.reduceat(is_word, new) if len(new) else np.zeros(0, np.int64)
+            rest = pa.StructArray.from_arrays(
+                [pa.array(own[new].view(np.int64)), pa.array(as_word.astype(np.int32)), pa.array((times - as_word).astype(np.int32))],
+                names=["key", "words", "grams"],
             )
             ends = np.r_[0, np.cumsum(np.bincount(of[new], minlength=n))].astype(np.int32)
-            rare: list[dict[bytes, int]] = [{} for _ in found]
-            joined = None
-            for i in np.flatnonzero(~known).tolist():
-                if joined is None:
-                    joined = [w for x in found for w in (*x, END)]
-                own = rare[doc[i]]
-                own[joined[i]] = own.get(joined[i], 0) + 1
-            n_known = np.bincount(doc[known], minlength=n) if in_table else np.zeros(n, np.int64)
             return [
-                pa.array([len(x) + 1 for x in found], pa.int64()),
-                pa.array(n_known, pa.int64()),
+                pa.array(np.bincount(doc, minlength=n)),
+                pa.array(np.bincount(doc[known], minlength=n)),
                 pa.array(base),
                 pa.array(score),
-                pa.array(
-                    [[{"word": w, "times": n} for w, n in r.items()] for r in rare],
-                    pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64())])),
-                ),
-                pa.ListArray.from_arrays(pa.array(ends), grams),
+                pa.ListArray.from_arrays(pa.array(ends), rest),
             ]
 
         return fn
 
     added = (
         "n_tokens long, n_known long, base double, part double, "
-        "rare array<struct<word: binary, times: bigint>>, grams array<struct<key: bigint, times: bigint>>"
+        "rest array<struct<key: bigint, words: int, grams: int>>"
     )
     scored = common.map_rows(rows, ["_id", "held_out"], make, added)
     scored = common.stored(scored.withColumn("_row", F.monotonically_increasing_id()), "scored")
-    rare = scored.select("_row", F.explode("rare").alias("r")).select("_row", "r.word", "r.times")
+    rest = scored.select("_row", F.explode("rest").alias("r")).select("_row", "r.*")
     n = F.coalesce("n", F.lit(0))
-    of_words = (
-        rare.join(counts, "word", "left")
+    log0 = F.log10((n + 1) / F.lit(float(tree.norm)))
+    of_rows = (
+        rest.join(tree.table.select("key", "n", "weight"), "key", "left")
         .groupBy(F.col("_row").alias("_of"))
         .agg(
-            F.sum(F.col("times") * F.log10((n + 1) / F.lit(float(model.norm)))).alias("_log"),
-            F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("_known"),
+            F.sum(F.col("words") * log0).alias("_log"),
+            F.sum(F.when(n > 0, F.col("words")).otherwise(0)).alias("_known"),
+            F.sum(F.col("grams") * F.coalesce("weight", F.lit(0.0))).alias("_more"),
         )
     )
-    grams = scored.select("_row", F.explode("grams").alias("g")).select("_row", "g.key", "g.times")
-    of_grams = (
-        grams.join(weights.select("key", "weight"), "key")
-        .groupBy(F.col("_row").alias("_for"))
-        .agg(F.sum(F.col("times") * F.col("weight")).alias("_more"))
-    )
-    joined = scored.drop("rare", "grams").join(of_words, F.col("_row") == F.col("_of"), "left")
-    joined = joined.join(of_grams, F.col("_row") == F.col("_for"), "left")
+    joined = scored.drop("rest").join(of_rows, F.col("_row") == F.col("_of"), "left")
     log = F.coalesce("_log", F.lit(0.0))
     return joined.select(
         F.col("_id").alias(id_col),
         "held_out",
         "n_tokens",
         (F.col("n_known") + F.coalesce("_known", F.lit(0))).alias("n_known"),
-        F.lit(model.total).cast("long").alias("train_tokens"),
+        F.lit(tree.total).cast("long").alias("train_tokens"),
         (F.col("base") + log).alias("base_score"),
         (F.col("part") + log + F.coalesce("_more", F.lit(0.0))).alias("score"),
     )
