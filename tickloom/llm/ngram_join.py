@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 from tickloom.llm import common, graph
 
 SHINGLE = 5  # words
-BUCKETS = 1 << 21  # of the hashed shingle frequencies
+BUCKETS = 1 << 20  # of the hashed shingle frequencies
 CHUNK = 1 << 13  # of these a row holds when tasks' counts are added up
 ADDED = 64  # rows of one chunk that a group adds up at most
-CROWD = 32  # documents of a token that still meet in pairs
+CROWD = 256  # documents of a token that still meet in pairs
 ROUNDS = 4  # times at most that the documents of crowded tokens get an order of their own
 ORDERS = 3  # global token orders whose prefixes candidates must share
 REMEMBERED = 300_000  # sets that a task remembers
@@ -548,7 +548,13 @@ def _pairs_across(rows: DataFrame, percent: int) -> DataFrame:
 def one_of_each_group(
     docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """The documents without those that a document with a smaller id leads a group of."""
+    """The documents without those that a document with a smaller id leads a group of.
+
+    All columns stay. Rows without an id, text or words link with nothing and stay. Of rows
+    that repeat id and text one stays (the least by its other columns), rows of one id with
+    different texts all stay, or all go where the id's group has a smaller one. An empty
+    table gives no rows.
+    """
     found = similarity_components(docs, percent, id_col, text_col)
     gone = common.stored(
         found.where(F.col("component_id") < F.col(id_col)).select(F.col(id_col).alias("_gone")).distinct(),
@@ -556,7 +562,17 @@ def one_of_each_group(
     )
     small = gone.count() <= 200_000
     kept = docs.join(F.broadcast(gone) if small else gone, F.col(id_col) == F.col("_gone"), "left_anti")
-    again = docs.groupBy(id_col).count().where(F.col(id_col).isNotNull() & (F.col("count") > 1))
-    return kept if again.isEmpty() else kept.where(F.col(id_col).isNotNull()).dropDuplicates(
-        [id_col]
-    ).unionByName(kept.where(F.col(id_col).isNull()))
+    ids = docs.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_again")).count()
+    again = common.stored(ids.where("count > 1").select("_again"), "repeated-ids")
+    if again.isEmpty():
+        return kept
+    # only rows of repeated ids are compared by their texts
+    same = F.col(id_col) == F.col("_again")
+    others = [c for c in docs.columns if c not in (id_col, text_col)]
+    repeated = kept.join(again, same, "left_semi")
+    if others:
+        least = F.min(F.struct(*[F.col(f"`{c}`") for c in others])).alias("_rest")
+        repeated = repeated.groupBy(id_col, text_col).agg(least).select(id_col, text_col, "_rest.*")
+    else:
+        repeated = repeated.distinct()
+    return kept.join(again, same, "left_anti").unionByName(repeated.select(*docs.columns))
