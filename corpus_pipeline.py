@@ -9,6 +9,13 @@ stages but the last return the columns of ``documents``:
 3. ``near_duplicates``: of each group of linked documents the one with the smallest id stays.
 4. ``decontamination``: documents contaminated with benchmark items go, others stay whole.
 5. ``packing``: what is left is packed into sequences; one row per piece.
+
+Awkward rows, the same in every stage: an empty table gives no rows. A NULL text counts as
+empty; ``line_dedup`` makes it an empty text, the others pass it on. Rows without an id are
+documents, are scored and packed, and link with none. Rows that repeat an id are documents of
+their own, but of rows that repeat id and text ``near_duplicates`` keeps one. Columns beside
+those of ``documents`` are dropped, whatever they are called. Stages take texts of any length
+whole.
 """
 
 from __future__ import annotations
@@ -23,8 +30,9 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier, fitted on ``labels``, doesn't reject."""
     scored = quality.quality_scores(
-        docs,
+        docs.select(*COLUMNS),
         common.table(spark, sf_dir, "labels"),
         usable=common.crc_mod(F.col("doc_id"), 5) != 0,
         threshold=0.3,
@@ -34,20 +42,24 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents without the lines that ten documents hold; n_chars follows the text."""
     kept = line_dedup.drop_repeated_lines(docs.select(*COLUMNS), min_docs=10)
     return kept.withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return ngram_join.one_of_each_group(docs, percent=80).select(*COLUMNS)
+    """Of each group of linked documents the one with the smallest id."""
+    return ngram_join.one_of_each_group(docs.select(*COLUMNS), percent=80).select(*COLUMNS)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which less than a twentieth of the words is a benchmark passage."""
     benchmark = common.table(spark, sf_dir, "benchmark")
-    return decontamination.remove_contaminated(docs, benchmark, width=13, share=20).select(*COLUMNS)
+    return decontamination.remove_contaminated(docs.select(*COLUMNS), benchmark, width=13, share=20).select(*COLUMNS)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row per piece with its sequence and place."""
     return packing.best_fit_packing(docs, public_tokenizers.path("word_bpe_49k.json"), 4096, 1)
 
 

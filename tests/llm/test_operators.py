@@ -411,3 +411,43 @@ def test_crowded_tokens_lose_no_link(spark, monkeypatch):
     found = ngram_join.similarity_components(frame).collect()
     assert {r.doc_id: r.component_id for r in found} == {i: find(i) for i in sets}
     assert len({find(i) for i in sets}) < len(sets)
+
+
+def test_dual_coordinate_descent_reaches_the_optimum():
+    """Weights against projected gradient on the dual, until that stands still."""
+    rng = np.random.default_rng(3)
+    rows = [np.sort(rng.choice(30, rng.integers(3, 9), replace=False)) for _ in range(40)]
+    values = [rng.normal(size=len(r)) for r in rows]
+    y = np.where(rng.random(40) < 0.4, 1.0, -1.0)
+    cost = np.where(y > 0, 1.3, 0.7)
+    w, bias = quality.dual_coordinate_descent(rows, values, y, cost, epochs=3_000)
+    x = np.zeros((40, 31))
+    x[:, 30] = 1.0  # the bias is the weight of a constant
+    for i, (r, v) in enumerate(zip(rows, values)):
+        x[i, r] = v
+    q = (y[:, None] * x) @ (y[:, None] * x).T
+    alpha, step = np.zeros(40), 1 / np.linalg.eigvalsh(q).max()
+    for _ in range(200_000):
+        alpha = np.clip(alpha - step * (q @ alpha - 1), 0, cost)
+    exact = x.T @ (alpha * y)
+    objective = lambda u: 0.5 * u @ u + cost @ np.maximum(0, 1 - y * (x @ u))
+    ours = np.r_[w[:30], bias]
+    gap = objective(ours) / objective(exact) - 1, np.abs(ours - exact).max()
+    assert not w[30:].any() and gap[0] < 2e-3 and gap[1] < 0.02, gap
+
+
+def test_log_count_ratios_are_those_of_a_dictionary():
+    texts = ["good words here", "good and plain", "bad!!! $$$", "bad words $$$ here", ""]
+    y = np.array([1.0, 1.0, -1.0, -1.0, -1.0])
+    rows = [quality.ngrams(t.encode()) for t in texts]
+    size = 1 << quality.BITS
+    held = {1: Counter(), -1: Counter()}
+    for r, label in zip(rows, y):
+        held[int(label)].update(r.tolist())
+    total = {k: sum(c.values()) + size for k, c in held.items()}
+    ratio = quality.log_count_ratio(rows, y)
+    for f in set(held[1]) | set(held[-1]) | {0, size - 1}:
+        expected = math.log((held[1][f] + 1) / total[1]) - math.log((held[-1][f] + 1) / total[-1])
+        assert abs(ratio[f] - expected) < 1e-12
+    # a text has each n-gram once, and the n-grams of its bytes alone
+    assert len(quality.ngrams(b"aaaaaaa")) == 3 and not len(quality.ngrams(b"a"))
