@@ -173,7 +173,9 @@ def test_components_of_chains(spark):
     assert found == {**{i: 0 for i in range(41)}, 80: 80, 90: 80}
 
 
-def test_decontamination(spark, docs, none, rows):
+@pytest.mark.parametrize("most", [2_000_000, 0])  # windows broadcast, or joined
+def test_decontamination(spark, docs, none, rows, monkeypatch, most):
+    monkeypatch.setattr(decontamination, "BROADCAST_WINDOWS", most)
     items = [(1, BASE[20:120]), (2, "w40 w41 w42"), (2, "w40 w41 w42"), (3, None), (4, ""), (None, "one"), (5, "ONE")]
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     cut = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))

@@ -11,15 +11,16 @@ from collections import defaultdict
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.llm import common
 
-CACHED = 500_000  # words a worker remembers, and as many from before
+CACHED = 1_500_000  # words a worker remembers
 LONGEST = 48  # bytes of the words it remembers
-TEXTS = 2_048  # that are split and looked up at a time
+TEXTS = 8_192  # that are split and looked up at a time
 # Bounds of the local search, all parameters of ``pack``.
 STEPS = 10  # exchanges for each piece of a group, on average
 PAIRED = 24  # longest pieces of a bin that are tried two at a time
@@ -53,8 +54,11 @@ class Encoding:
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         for token, number in vocabulary.items():
             self.ends[number] = token.endswith("</w>")
-        self.known: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
+        # words known so far, their ids in a row, where each begins, and when it was last met
+        self.words = pa.array([], pa.large_string())
+        self.flat = np.zeros(0, "<u4")
+        self.begins, self.sizes, self.met = (np.zeros(0, np.int64) for _ in range(3))
+        self.clock = 0
         self.marks: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list:
@@ -63,77 +67,105 @@ class Encoding:
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
-    def _learn_letters(self, runs: list[str], keys: list[bytes]) -> None:
-        """Encode runs of letters; ``keys`` are their bytes."""
+    def _letters(self, runs: list[str]) -> list[bytes]:
+        """The ids of runs of letters, encoded many in one text."""
+        out = []
         for at in range(0, len(runs), 4_000):
-            part, names = runs[at : at + 4_000], keys[at : at + 4_000]
+            part = runs[at : at + 4_000]
             ids = np.array(self._encode([" ".join(part)])[0].ids, "<u4")
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) != len(part):
-                self.known.update((k, self._ids(r).tobytes()) for k, r in zip(names, part))
+                out += [self._ids(r).tobytes() for r in part]
                 continue
             raw, cuts = ids.tobytes(), (4 * cuts).tolist()
-            self.known.update(zip(names, map(raw.__getitem__, map(slice, [0, *cuts], cuts))))
+            out += map(raw.__getitem__, map(slice, [0, *cuts], cuts))
+        return out
+
+    def _find(self, words: pa.Array) -> np.ndarray:
+        """The place of each known word, -1 for others."""
+        return pc.index_in(words, value_set=self.words).fill_null(-1).to_numpy().astype(np.int64)
+
+    def _add(self, words: pa.Array, ids: list[bytes]) -> None:
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        begins = len(self.flat) + np.cumsum(sizes) - sizes
+        self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(ids), "<u4")])
+        self.words = pa.concat_arrays([self.words, words])
+        self.begins, self.sizes = np.r_[self.begins, begins], np.r_[self.sizes, sizes]
+        self.met = np.r_[self.met, np.full(len(ids), self.clock)]
+
+    def _forget(self, keep: np.ndarray) -> None:
+        own = self.sizes[keep]
+        ends = np.cumsum(own)
+        self.flat = self.flat[np.repeat(self.begins[keep] - (ends - own), own) + np.arange(int(own.sum()))]
+        self.words, self.met = self.words.take(pa.array(keep)), self.met[keep]
+        self.begins, self.sizes = ends - own, own
 
-    def learn(self, missing: set[bytes]) -> None:
-        """Encode words that aren't known yet.
+    def learn(self, words: list[str]) -> list[bytes]:
+        """The ids of words that aren't known yet.
 
         Runs of plain letters, with marks behind them or not, go through the tokenizer many
-        in one text, all other words as texts of their own.
+        in one text unless they are known, all other words as texts of their own.
         """
-        named = list(missing)
-        words = b"\n".join(named).decode().split("\n") if named else []
-        letters, parted, others = {}, [], []
-        for word, key in zip(words, named):
-            if word.isalpha():
-                run, marks = word, ""
+        runs: dict[str, int] = {}
+        plain, others = [], []
+        for i, word in enumerate(words):
+            run = word if word.isalpha() else word.rstrip(_MARKS)
+            if run.isalpha() and len(word) <= LONGEST and (run.isascii() or max(run) < _PLAIN):
+                plain.append((i, runs.setdefault(run.lower(), len(runs)), word[len(run) :]))
             else:
-                run = word.rstrip(_MARKS)
-                marks = word[len(run) :]
-            if run.isalpha() and len(key) <= LONGEST and (key.isascii() or not _NOT_PLAIN(key)):
-                low = run.lower()
-                letters[low] = None
-                if marks or low != word:
-                    parted.append((key, low, marks))
-            else:
-                others.append((key, word))
-        for at in range(0, len(others), 4_000):
-            part = others[at : at + 4_000]
-            found = self._encode([w for _, w in part])
-            self.known.update((k, np.array(x.ids, "<u4").tobytes()) for (k, _), x in zip(part, found))
-        keys = "\n".join(letters).encode().split(b"\n")
-        new = [(r, k) for r, k in zip(letters, keys) if k not in self.known]
-        self._learn_letters([r for r, _ in new], [k for _, k in new])
-        for key, low, marks in parted:
-            if marks and marks not in self.marks:
+                others.append(i)
+        named = list(runs)
+        at = self._find(pa.array(named, pa.large_string())).tolist()
+        new = iter(self._letters([r for r, k in zip(named, at) if k < 0]))
+        begins, sizes = self.begins, self.sizes
+        ids = [next(new) if k < 0 else self.flat[begins[k] : begins[k] + sizes[k]].tobytes() for k in at]
+        out: list[bytes] = [b""] * len(words)
+        for i, k, marks in plain:
+            if not marks:
+                out[i] = ids[k]
+                continue
+            if marks not in self.marks:
                 self.marks[marks] = self._ids(marks).tobytes()
-            self.known[key] = self.known[low.encode()] + (self.marks[marks] if marks else b"")
+            out[i] = ids[k] + self.marks[marks]
+        for first in range(0, len(others), 4_000):
+            part = others[first : first + 4_000]
+            for i, found in zip(part, self._encode([words[i] for i in part])):
+                out[i] = np.array(found.ids, "<u4").tobytes()
+        return out
 
     def texts(self, found: list[bytes]) -> list[bytes]:
-        words = [_lower(text).split() for text in found]
-        missing = set().union(*words).difference(self.known)
-        again = missing & self.older.keys()
-        self.known.update((w, self.older[w]) for w in again)
-        missing -= again
-        self.learn(missing)
-        get = self.known.__getitem__
-        out = [b"".join(map(get, w)) for w in words]
-        for word in missing:
-            if len(word) > LONGEST:
-                del self.known[word]
-        if len(self.known) > CACHED:  # what isn't met again until the next time is forgotten
-            self.older, self.known = self.known, {}
-        return out
+        """The packed ids of each text: distinct words are looked up once for all texts."""
+        lowered = pa.array([_lower(text) for text in found], pa.large_binary())
+        split = pc.ascii_split_whitespace(lowered.cast(pa.large_string()))
+        coded = split.flatten().dictionary_encode()
+        words = coded.dictionary
+        self.clock += 1
+        at = self._find(words)
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            missing = words.take(pa.array(new))
+            at[new] = len(self.words) + np.arange(len(new))
+            self._add(missing, self.learn(missing.to_pylist()))
+        self.met[at] = self.clock
+        own, offsets = at[coded.indices.to_numpy()], split.offsets.to_numpy()
+        sizes = self.sizes[own]
+        ends = np.cumsum(sizes)
+        place = np.repeat(self.begins[own] - (ends - sizes), sizes) + np.arange(int(sizes.sum()))
+        tokens, cuts = self.flat[place], np.r_[0, ends][offsets].tolist()
+        long_ = pc.greater(pc.binary_length(words), LONGEST).to_numpy(zero_copy_only=False)
+        if long_.any():  # not remembered
+            self._forget(np.setdiff1d(np.arange(len(self.words)), at[long_]))
+        if len(self.words) > CACHED:  # the half that was met last stays
+            self._forget(np.sort(np.argsort(self.met, kind="stable")[-CACHED // 2 :]))
+        return [tokens[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
 
 
 def _lower(text: bytes) -> bytes:
-    """A text of plain characters in lower case, as the tokenizer makes it, so that a word
-    has one form; others, and what may hold a special string, stay."""
-    if text.isascii():
-        return text if _SPECIAL in text else text.lower()
-    if _NOT_PLAIN(text) or _SPECIAL in text:
+    """A text of plain characters with A-Z in lower case, as the tokenizer makes it too, so
+    that a word has few forms; others, and what may hold a special string, stay."""
+    if _SPECIAL in text or not text.isascii() and _NOT_PLAIN(text):
         return text
-    return text.decode().lower().encode()
+    return text.lower()
 
 
 # One encoding for each tokenizer in a Python worker: the cache outlives a task.
