@@ -62,16 +62,20 @@ class WordHashes:
             size *= 2
 
     def __call__(self, text: bytes) -> np.ndarray:
+        return self.with_starts(text)[0]
+
+    def with_starts(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """The hashes, and where in the text each word begins."""
         b = np.frombuffer(text, np.uint8)
         inside = np.concatenate([[False], ~_WHITE[b], [False]])
         change = np.flatnonzero(inside[1:] != inside[:-1])
         starts, ends = change[::2], change[1::2]
         if not len(starts):
-            return np.zeros(0, np.uint64)
+            return np.zeros(0, np.uint64), starts
         self._reach(len(b))
         total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_VALUE[b] * self.powers[: len(b)])])
         h = (total[ends] - total[starts]) * self.inverses[starts]
-        return _mixed(h + (ends - starts).astype(np.uint64))
+        return _mixed(h + (ends - starts).astype(np.uint64)), starts
 
 
 def shingles(text: bytes, hashes: WordHashes) -> np.ndarray:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -11,14 +13,15 @@ from tickloom.llm import common
 from tickloom.llm.ngram_join import WordHashes
 
 P_WORD = 1e-6  # share of all tokens from which a word's count is broadcast: at most 1 / P_WORD
-P_NGRAM = 4e-7  # share from which an n-gram's weight is broadcast; the others are joined
+P_NGRAM = 1e-7  # share from which an n-gram's weight is broadcast; the others are joined
 LEAST = 3  # occurrences that a context or a parameter needs
 DEPTH = 4  # words of the longest contexts
 DISCOUNT = 0.75
 HELD = 3_000_000  # words or n-grams a task holds before it sums them up
 SKETCH_BITS = 27  # the sketches have 2**27 bits, 16 MB, at any corpus size
 SEED = 42  # of Spark's xxhash64
-END = np.array([0x5851F42D4C957F2D], np.uint64)  # the key of the end symbol
+JOINED = 1 << 20  # bytes of text whose words are hashed at once, unless one text has more
+END = np.uint64(0x5851F42D4C957F2D)  # the key of the end symbol
 
 
 def _hash_long(x: np.ndarray, seed: np.ndarray | np.uint64) -> np.ndarray:
@@ -45,10 +48,23 @@ class Words:
 
     def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The keys of all texts joined, and the text each belongs to."""
-        found = [x for text in texts for x in (self.hashes(text), END)]
-        sizes = [len(x) + 1 for x in found[::2]]
-        keys = np.concatenate(found) if found else np.zeros(0, np.uint64)
-        return keys, np.repeat(np.arange(len(texts)), sizes)
+        out, first = [], 0
+        while first < len(texts):  # some texts at a time, all their words at once
+            last, size = first, 0
+            while last < len(texts) and (last == first or size + len(texts[last]) <= JOINED):
+                size += len(texts[last]) + 1
+                last += 1
+            some = texts[first:last]
+            keys, starts = self.hashes.with_starts(b"\n".join(some))
+            ends = np.cumsum([len(t) + 1 for t in some])
+            upto = np.searchsorted(starts, ends)
+            sizes = np.diff(np.r_[0, upto]) + 1
+            out.append((np.insert(keys, upto, END), np.repeat(np.arange(first, last), sizes)))
+            first = last
+        if not out:
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        keys, doc = (np.concatenate(x) for x in zip(*out))
+        return keys, doc
 
 
 def ngrams(keys: np.ndarray, doc: np.ndarray, n: int, shorter: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -80,20 +96,34 @@ class Sketch:
 
 
 class Table:
-    """Values by key, in two sorted arrays."""
+    """Values by key: sorted keys, and where those with each leading bits begin."""
 
     def __init__(self, rows: pa.Table, value: str):
         keys = rows["key"].to_numpy().astype(np.int64).view(np.uint64)
         order = np.argsort(keys)
         self.keys, self.values = keys[order], rows[value].to_numpy()[order].astype(np.float64)
+        bits = max(1, len(keys).bit_length())
+        self.shift = np.uint64(64 - bits)
+        leading = (self.keys >> self.shift).astype(np.int64)
+        self.begins = np.searchsorted(leading, np.arange((1 << bits) + 1)).astype(np.int32)
 
     def __call__(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The value of each key (0 without one), and whether there is one."""
+        value, hit = np.zeros(len(keys)), np.zeros(len(keys), bool)
         if not len(self.keys):
-            return np.zeros(len(keys)), np.zeros(len(keys), bool)
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        hit = self.keys[at] == keys
-        return np.where(hit, self.values[at], 0.0), hit
+            return value, hit
+        lead = (keys >> self.shift).astype(np.int64)
+        at, end = self.begins[lead], self.begins[lead + 1]
+        open_ = np.flatnonzero(at < end)
+        at, end, wanted = at[open_], end[open_], keys[open_]
+        while len(open_):  # about one key shares the leading bits
+            same = self.keys[at] == wanted
+            found = open_[same]
+            hit[found], value[found] = True, self.values[at[same]]
+            at = at + 1
+            go_on = ~same & (at < end)
+            open_, at, end, wanted = open_[go_on], at[go_on], end[go_on], wanted[go_on]
+        return value, hit
 
 
 class Summing:
@@ -136,35 +166,47 @@ def count_words(docs: DataFrame) -> DataFrame:
     return counted.groupBy("key").agg(F.sum("n").alias("n"))
 
 
-def count_ngrams(docs: DataFrame, sketch, n: int) -> DataFrame:
-    """Occurrences of the n-grams (keys of their first and last n - 1 words), ``LEAST`` at least.
+def count_ngrams(docs: DataFrame, sketch, known: int, orders: Sequence[int]) -> DataFrame:
+    """Occurrences (order, context, suffix, n) of the n-grams of some orders, ``LEAST`` at least.
 
-    An n-gram can't occur more often than its parts: those whose parts the sketch of the
-    frequent enough (n - 1)-grams doesn't hold are left out before the shuffle.
+    Context and suffix are the keys of an n-gram's first and last n - 1 words. An n-gram
+    can't occur more often than its parts: those that hold a ``known``-gram which the
+    sketch of the frequent enough ones doesn't hold are left out before the shuffle.
     """
 
     def make():
-        words, held, seen = Words(), Summing(["context", "suffix"]), sketch.value
+        words, seen = Words(), sketch.value
+        held = {n: Summing(["context", "suffix"]) for n in orders}
 
         def fn(batch):
             if batch is not None:
                 keys, doc = words(common.texts(batch, "_text"))
                 shorter = keys
-                for _ in range(2, n):
+                for _ in range(1, known):
                     shorter = ngram_key(shorter[:-1], shorter[1:])
-                context, at = ngrams(keys, doc, n, shorter)
-                if len(at):
-                    often = seen.holds(shorter)
-                    at = at[often[at] & often[at + 1]]
-                    context, suffix = context[at], shorter[at + 1]
-                    held.add([context, suffix], ngram_key(context, suffix))
-            if held.parts and (batch is None or held.n > HELD):
-                yield from held.rows()
+                often = seen.holds(shorter)
+                for n in range(known + 1, max(orders) + 1):
+                    context, at = ngrams(keys, doc, n, shorter)
+                    if not len(at):
+                        break
+                    # all known-grams inside the n-gram are frequent
+                    often = often[:-1] & often[1:]
+                    if n in held:
+                        of = at[often[at]]
+                        first, last = context[of], shorter[of + 1]
+                        held[n].add([first, last], ngram_key(first, last))
+                    shorter = ngram_key(context, shorter[1:][: len(context)])
+            for n, sums in held.items():
+                if sums.parts and (batch is None or sums.n > HELD):
+                    for rows in sums.rows():
+                        order = pa.array(np.full(rows.num_rows, n, np.int32))
+                        yield pa.RecordBatch.from_arrays([order, *rows.columns], names=["order", *rows.schema.names])
 
         return fn
 
-    counted = common.map_batches(docs, make, "context long, suffix long, n long", finish=True)
-    return counted.groupBy("context", "suffix").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST)
+    counted = common.map_batches(docs, make, "order int, context long, suffix long, n long", finish=True)
+    counted = counted.groupBy("order", "context", "suffix").agg(F.sum("n").alias("n"))
+    return counted.where(F.col("n") >= LEAST)
 
 
 def grow(grams: DataFrame, shorter: DataFrame) -> DataFrame:
@@ -248,19 +290,26 @@ def learn(training: DataFrame, depth: int = DEPTH) -> Tree:
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     log0 = F.log10((F.col("n") + 1) / F.lit(float(total + distinct + 1)))
     shorter = counts.where(F.col("n") >= LEAST).select("key", "n", log0.alias("log"))
-    found, grown = [], 0
-    for n in range(2, depth + 2):
-        sketch = sc.broadcast(Sketch(shorter.select("key")))
-        grams = common.stored(count_ngrams(training, sketch, n), "counted", free=True)
-        sketch.unpersist()
-        if grams.isEmpty():
+    found, grown, gone = [], 0, [counts]
+    # the few n-grams beyond the third order are counted in one pass for two orders
+    passes = [[2], [3], *[[n, n + 1] for n in range(4, depth + 2, 2)]]
+    for orders in passes:
+        orders = [n for n in orders if n <= depth + 1]
+        if not orders or grown < orders[0] - 2:
             break
-        judged = grow(grams, shorter)
-        common.dropped(grams)
-        found.append(judged)
-        grown = n - 1
-        log = F.when(F.col("stays"), F.col("log")).otherwise(F.col("parent"))
-        shorter = judged.select("key", "n", log.alias("log"))
+        sketch = sc.broadcast(Sketch(shorter.select("key")))
+        grams = common.stored(count_ngrams(training, sketch, orders[0] - 1, orders), "counted", free=True)
+        sketch.destroy()
+        gone.append(grams)
+        for n in orders:
+            own = grams.where(F.col("order") == n).drop("order")
+            if own.isEmpty():
+                break
+            judged = grow(own, shorter)
+            found.append(judged)
+            grown = n - 1
+            log = F.when(F.col("stays"), F.col("log")).otherwise(F.col("parent"))
+            shorter = judged.select("key", "n", log.alias("log"))
     zero = F.lit(0).cast("long")
     rows = counts.select("key", F.col("n").alias("words"), zero.alias("grams"), F.lit(0.0).alias("weight"))
     for judged in found:
@@ -269,9 +318,8 @@ def learn(training: DataFrame, depth: int = DEPTH) -> Tree:
         F.sum("words").alias("n"), F.max("grams").alias("grams"), F.sum("weight").alias("weight")
     )
     table = common.stored(table, "tree", free=True)
-    for judged in found:
-        common.dropped(judged)
-    common.dropped(counts)
+    for frame in gone + found:
+        common.dropped(frame)
     least = max(1, int(np.ceil(P_WORD * total)))
     words = Table(table.where(F.col("n") >= least).select("key", log0.alias("log")).toArrow(), "log")
     least = max(LEAST, int(np.ceil(P_NGRAM * total)))
