@@ -18,9 +18,9 @@ from pyspark.sql import types as T
 
 from tickloom.llm import common
 
-CACHED = 1_500_000  # words a worker remembers
+CACHED = 800_000  # words a worker remembers
 LONGEST = 48  # bytes of the words it remembers
-TEXTS = 8_192  # that are split and looked up at a time
+TEXTS = 6_144  # that are split and looked up at a time
 # Bounds of the local search, all parameters of ``pack``.
 STEPS = 10  # exchanges for each piece of a group, on average
 PAIRED = 24  # longest pieces of a bin that are tried two at a time
@@ -147,17 +147,21 @@ class Encoding:
             at[new] = len(self.words) + np.arange(len(new))
             self._add(missing, self.learn(missing.to_pylist()))
         self.met[at] = self.clock
-        own, offsets = at[coded.indices.to_numpy()], split.offsets.to_numpy()
-        sizes = self.sizes[own]
-        ends = np.cumsum(sizes)
-        place = np.repeat(self.begins[own] - (ends - sizes), sizes) + np.arange(int(sizes.sum()))
-        tokens, cuts = self.flat[place], np.r_[0, ends][offsets].tolist()
+        numbers, offsets, out = coded.indices.to_numpy(), split.offsets.to_numpy(), []
+        for first in range(0, len(found), 256):  # so that places of ids are few at a time
+            of = offsets[first : first + 257]
+            own = at[numbers[of[0] : of[-1]]]
+            sizes = self.sizes[own]
+            ends = np.cumsum(sizes)
+            place = np.repeat(self.begins[own] - (ends - sizes), sizes) + np.arange(int(sizes.sum()))
+            tokens, cuts = self.flat[place], np.r_[0, ends][of - of[0]].tolist()
+            out += [tokens[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
         long_ = pc.greater(pc.binary_length(words), LONGEST).to_numpy(zero_copy_only=False)
         if long_.any():  # not remembered
             self._forget(np.setdiff1d(np.arange(len(self.words)), at[long_]))
         if len(self.words) > CACHED:  # the half that was met last stays
             self._forget(np.sort(np.argsort(self.met, kind="stable")[-CACHED // 2 :]))
-        return [tokens[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+        return out
 
 
 def _lower(text: bytes) -> bytes:
