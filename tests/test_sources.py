@@ -262,3 +262,44 @@ def test_landing_takes_a_line_of_every_raw_table(spark, db, tmp_path, table):
     read = landing.read_dated_drops(spark, str(tmp_path / "root"), table)
     assert rows(landed.select(*sorted(landed.columns))) == rows(read.select(*sorted(read.columns)))
     assert landed.count() == 1 and spark.table(f"{db}.{table}_rejects").count() == 0
+
+
+def test_lines_are_checked_once(spark, db, tmp_path, monkeypatch):
+    """Counts, good lines and rejects come from one pass over the drops, which leaves no folder."""
+    root, table = str(tmp_path / "root"), f"{db}.ods_a_stock_finance_info"
+    good = "a\t1.5\t2\t3\t\\N\t\\N\t\\N\t2024-01-02"
+    write(f"{root}/2024-01-03", "p.gz", [good, good, good, good.replace("1.5", "?"), "c"])
+    passed, real = spark.sparkContext.accumulator(0), landing.checked_lines
+
+    def counted(*args):
+        lines = real(*args)
+
+        def count(batches):
+            for batch in batches:
+                passed.add(batch.num_rows)
+                yield batch
+
+        return lines.mapInArrow(count, lines.schema)
+
+    monkeypatch.setattr(landing, "checked_lines", counted)
+    monkeypatch.setattr(warehouse, "shared_dir", lambda *_: str(tmp_path / "checked"))
+    counts = landing.land(spark, root, "ods_a_stock_finance_info", table)
+    assert rows(counts, "reason", "lines") == [
+        (None, 3), ("not 8 columns", 1), ("unreadable financing_purchase", 1),
+    ]
+    assert spark.table(table).count() == 3 and spark.table(f"{table}_rejects").count() == 2
+    assert passed.value == 5
+    assert not (tmp_path / "checked").exists()
+
+
+@pytest.mark.parametrize("kind", ["int", "bigint", "decimal(10,2)", "decimal(32,4)", "date"])
+def test_values_read_like_a_cast(spark, kind):
+    """Texts that no cast is tried for are those for which it gives NULL."""
+    texts = [
+        None, "", " ", "\\N", "?", "12", " 12 ", "\t12\r", "+12", "-12", "1-2", "--1", "12.00", ".5", "5.",
+        "1e3", "1E-2", "1e", "e1", "0x1F", "1f", "1d", "12L", "1,000", "1_000", "NaN", "Infinity", "\x0012\x7f",
+        "٣", "１２", "99999999999999999999", "2024-01-02", "2024-1-2", "2024-01-02T00:00", "1 2", " 12",
+    ]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    read = rows.select("t", landing._read(F.col("t"), kind).alias("a"), F.trim("t").try_cast(kind).alias("b"))
+    assert [r for r in read.collect() if r.a != r.b] == []

@@ -13,6 +13,9 @@ from tickloom.sources.schemas import RAW, REQUIRED, TEXT_VALUES, curate, struct
 
 # The text format of the raw layer.
 FOLDER_DATE = r"/(?:\w+=)?(\d{4}-\d{2}-\d{2})/[^/]*$"
+# What no number holds: in it a cast fails at the cost of an exception, thousands of times
+# that of a good one, so it isn't tried. Other characters are left to the cast.
+NO_NUMBER = {"int": r"[!-*,./:-~]", "bigint": r"[!-*,./:-~]", "decimal": r"[!-*,/:-DF-df-~]"}
 TSV_OPTIONS = {"sep": "\t", "nullValue": "\\N", "quote": "", "escape": "", "mode": "PERMISSIVE"}
 
 
@@ -55,19 +58,34 @@ def load_dated_drops(
     warehouse.overwrite_dynamic(read_dated_drops(spark, root, table), target or table)
 
 
-def _reason(table: str, fields: Column, names: list[str], types: dict[str, str]) -> Column:
+def _read(field: Column, kind: str) -> Column:
+    """A field's value, NULL where it has none: empty, ``\\N`` and what isn't of the kind."""
+    text = F.trim(field)
+    hopeless = NO_NUMBER.get(kind.partition("(")[0])
+    if hopeless:
+        text = F.when((text != "") & ~text.rlike(hopeless), text)
+    return text.try_cast(kind)
+
+
+def _unread(field: Column, value: Column) -> Column:
+    """Whether a field holds something that its type can't: empty and ``\\N`` hold nothing."""
+    return value.isNull() & ~field.isin("", "\\N")
+
+
+def _reason(table: str, names: list[str], types: dict[str, str]) -> Column:
     """Why a line is rejected; NULL for a good one. The first reason found counts."""
-    checks = [F.when(F.size(fields) != len(names), f"not {len(names)} columns")]
-    checks += [F.when(F.col(f"_t.{c}").isNull(), f"no {c}") for c in REQUIRED[table]]
-    for name in names:
-        kind = TEXT_VALUES.get(table, {}).get(name, types[name])
+    checks = [F.when(F.size("_fields") != len(names), f"not {len(names)} columns")]
+    field = {c: F.get("_fields", F.lit(i)) for i, c in enumerate(names)}
+    for c in REQUIRED[table]:
+        checks.append(F.when(F.coalesce(field[c].isin("", "\\N"), F.lit(True)), f"no {c}"))
+    for c in names:
+        kind = TEXT_VALUES.get(table, {}).get(c, types[c])
         if kind != "string":
-            text = F.col(f"_t.{name}")
-            bad = text.isNotNull() & F.trim(text).try_cast(kind).isNull()
-            checks.append(F.when(bad, f"unreadable {name}"))
+            value = F.col(c) if kind == types[c] else _read(field[c], kind)
+            checks.append(F.when(_unread(field[c], value), f"unreadable {c}"))
     if table == "ods_a_stock_history":
-        day = F.concat_ws("-", F.col("_t.year"), F.col("_t.month_day"))
-        checks.append(F.when(day.try_cast("date").isNull(), "unreadable month_day"))
+        known = [F.when(~field[c].isin("", "\\N"), field[c]) for c in ("year", "month_day")]
+        checks.append(F.when(F.concat_ws("-", *known).try_cast("date").isNull(), "unreadable month_day"))
     return F.coalesce(*checks)
 
 
@@ -75,29 +93,44 @@ def checked_lines(spark: SparkSession, root: str, table: str) -> DataFrame:
     """The lines of all drops below ``root/<yyyy-MM-dd>/`` with their columns as declared.
 
     ``_reason`` says why a line can't be taken (see ``_reason``), ``_line`` and ``_file``
-    what and where it is. ``.gz`` files are read as they are.
+    what and where it is. ``.gz`` files are read as they are. A filter on the reason would
+    be evaluated beside the columns, so that values are read twice: store the rows first.
     """
     declared = struct(RAW[table])
-    names = [f.name for f in declared]
     types = {f.name: f.dataType.simpleString() for f in declared}
+    names = list(types)
     lines = spark.read.option("recursiveFileLookup", "true").text(root)
     lines = lines.select(
         F.col("value").alias("_line"), F.col("_metadata.file_path").alias("_file"),
         _folder_date().alias("dt"), F.split("value", "\t", -1).alias("_fields"),
     )
-    def text(i: int) -> Column:
+
+    def read(i: int, name: str) -> Column:
         field = F.get("_fields", F.lit(i))
-        return F.when(~field.isin("", "\\N"), field)
-
-    texts = lines.withColumn("_t", F.struct(*[text(i).alias(n) for i, n in enumerate(names)]))
-    return texts.withColumn("_reason", _reason(table, F.col("_fields"), names, types)).select(
-        *[
-            F.col(f"_t.{n}").alias(n) if types[n] == "string"
-            else F.trim(F.col(f"_t.{n}")).try_cast(types[n]).alias(n)
-            for n in names
-        ],
-        "dt", "_reason", "_line", "_file",
-    )
+        if types[name] == "string":
+            return F.when(~field.isin("", "\\N"), field).alias(name)
+        return _read(field, types[name]).alias(name)
+
+    values = [read(i, name) for i, name in enumerate(names)]
+    typed = lines.select(*values, "dt", "_line", "_file", "_fields")
+    return typed.select(*names, "dt", _reason(table, names, types).alias("_reason"), "_line", "_file")
+
+
+def _stored(lines: DataFrame, path: str) -> DataFrame:
+    """Checked lines written and read back, line and file only of rejected ones.
+
+    The expressions of a wide table make a method that the JVM doesn't compile, from 8,000
+    bytes on; below that limit Spark splits them.
+    """
+    spark, limit = lines.sparkSession, "spark.sql.codegen.hugeMethodLimit"
+    bad = {c: F.when(F.col("_reason").isNotNull(), F.col(c)) for c in ("_line", "_file")}
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "8000")
+    try:
+        lines.withColumns(bad).write.orc(path)
+    finally:
+        spark.conf.set(limit, before)
+    return spark.read.schema(lines.schema).orc(path)
 
 
 def land(
@@ -109,7 +142,8 @@ def land(
     bad line. ``rejects`` (by default the target's name with ``_rejects``) holds the line,
     its file and the reason. A file outside a dated folder raises before anything is
     written. Returns the lines taken (reason NULL) and rejected, by day and reason: together
-    they are all lines.
+    they are all lines. Lines are read and checked once; till both tables are written they
+    lie in a folder of their own below ``spark.checkpoint.dir``.
     """
     rejects = rejects or f"{target}_rejects"
     lines = checked_lines(spark, root, table)
@@ -117,6 +151,8 @@ def land(
     undated = sorted(f for f, found in places.items() if not found)
     if undated:
         raise ValueError(f"{len(undated)} files lie in no dated folder, among them {undated[0]}")
+    path = warehouse.shared_dir(spark, "checked")
+    lines = _stored(lines, path)
     counts = lines.groupBy("dt", F.col("_reason").alias("reason")).count()
     counted = counts.collect()  # days times reasons
     columns = [f.name for f in struct(RAW[table])]
@@ -130,5 +166,6 @@ def land(
         warehouse.overwrite_dynamic(rows, name)
         for empty in days - {r.dt for r in counted if (r.reason is None) == taken}:
             warehouse.drop_partitions(spark, name, exact=empty)
+    warehouse.delete(spark, path)
     schema = "source string, dt date, reason string, lines bigint"
     return spark.createDataFrame([(table, r.dt, r.reason, r["count"]) for r in counted], schema)

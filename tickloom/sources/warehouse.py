@@ -34,6 +34,12 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(root, f"{name}-{uuid.uuid4().hex}")
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder of ``shared_dir`` that nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def create_database(spark: SparkSession, name: str, location: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{location}'")
 
