@@ -303,3 +303,14 @@ def test_values_read_like_a_cast(spark, kind):
     rows = spark.createDataFrame([(t,) for t in texts], "t string")
     read = rows.select("t", landing._read(F.col("t"), kind).alias("a"), F.trim("t").try_cast(kind).alias("b"))
     assert [r for r in read.collect() if r.a != r.b] == []
+
+
+def test_indicators_are_written_without_another_exchange(spark, db, monkeypatch):
+    """The windows' tasks write their wide rows themselves."""
+    hints, real = [], type(spark.range(1)).hint
+    monkeypatch.setattr(type(spark.range(1)), "hint", lambda df, *a: hints.append(a) or real(df, *a))
+    bars = history(spark, [("a", "2024-01-02", 2, 3, 1), ("a", "2024-01-03", 3, 4, 2)])
+    for _ in range(2):  # a rerun replaces
+        jobs.fill_step_one(bars, f"{db}.ods_stock_step_one", day("2024-01-03"))
+    assert hints == []
+    assert spark.table(f"{db}.ods_stock_step_one").count() == 2

@@ -42,7 +42,7 @@ def rebuild_snapshot(
 
 def fill_step_one(history: DataFrame, table: str, day: dt.date) -> None:
     rows = _typed(indicators.stock_step_one(history), "ods_stock_step_one")
-    warehouse.overwrite_partition(rows, table, day)
+    warehouse.overwrite_partition(rows, table, day, rebalanced=False)
 
 
 def fill_price_streaks(

@@ -90,20 +90,28 @@ def _columns(spark: SparkSession, table: str) -> list[str]:
     return [c for c in spark.table(table).columns if c != "dt"]
 
 
-def _insert_static(df: DataFrame, table: str, day: dt.date, verb: str) -> None:
+def _insert_static(
+    df: DataFrame, table: str, day: dt.date, verb: str, rebalanced: bool = True
+) -> None:
     _ensure(df, table)
     names = ", ".join(f"`{c}`" for c in _columns(df.sparkSession, table))
     df.sparkSession.sql(
         f"INSERT {verb} TABLE {table} PARTITION (dt = DATE'{day.isoformat()}') "
         f"SELECT {names} FROM {{rows}}",
         # AQE sizes the files; without it there would be one for each shuffle partition
-        rows=df.hint("rebalance"),
+        rows=df.hint("rebalance") if rebalanced else df,
     )
 
 
-def overwrite_partition(df: DataFrame, table: str, day: dt.date = CURRENT) -> None:
-    """Replace one named partition; an empty frame empties it, other partitions stay."""
-    _insert_static(df, table, day, "OVERWRITE")
+def overwrite_partition(
+    df: DataFrame, table: str, day: dt.date = CURRENT, rebalanced: bool = True
+) -> None:
+    """Replace one named partition; an empty frame empties it, other partitions stay.
+
+    Without ``rebalanced`` the frame's own tasks write. That saves an exchange where AQE has
+    sized them already, as after a window over raw rows.
+    """
+    _insert_static(df, table, day, "OVERWRITE", rebalanced)
 
 
 def append_partition(df: DataFrame, table: str, day: dt.date) -> None:
