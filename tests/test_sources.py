@@ -305,6 +305,27 @@ def test_values_read_like_a_cast(spark, kind):
     assert [r for r in read.collect() if r.a != r.b] == []
 
 
+def test_folder_dates_look_at_the_folder_alone(spark, tmp_path):
+    """The same days as by the pattern over whole paths, which costs more than a line's split."""
+    root = tmp_path / "2020-01-01" / "dt=2020-01-02"
+    for folder in ("2024-01-02", "dt=2024-01-03", "a=b=2024-01-04", "2024-01-05x", "no/2024-01-06", "2024-01-07/x", "2024-13-01"):
+        write(str(root / folder), "part=2024-02-02.txt.gz", ["1"])
+    lines = spark.read.option("recursiveFileLookup", "true").text(str(root))
+    whole = F.regexp_extract("_metadata.file_path", landing.FOLDER_DATE, 1).try_cast("date")
+    found = lines.select(landing._folder_date().alias("a"), whole.alias("b"))
+    assert [r for r in found.collect() if r.a != r.b] == []
+    assert {r.a for r in found.collect() if r.a} == {day(f"2024-01-0{i}") for i in (2, 3, 6)}
+    plan = found.select("a")._jdf.queryExecution().optimizedPlan().toString()
+    assert "substring_index" in plan
+
+
+def test_empty_fields_go_before_they_are_looked_at(spark):
+    """Fields that hold nothing, most of a wide table's, are neither trimmed nor matched."""
+    read = spark.range(1).select(landing._read(F.col("id").cast("string"), "decimal(10,2)").alias("a"))
+    plan = read._jdf.queryExecution().analyzed().toString()
+    assert "trim(CASE WHEN" in plan
+
+
 def test_indicators_are_written_without_another_exchange(spark, db, monkeypatch):
     """The windows' tasks write their wide rows themselves."""
     hints, real = [], type(spark.range(1)).hint

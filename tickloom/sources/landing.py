@@ -48,7 +48,9 @@ def with_folder_date(raw: DataFrame) -> DataFrame:
 
 
 def _folder_date() -> Column:
-    return F.regexp_extract(F.col("_metadata.file_path"), FOLDER_DATE, 1).try_cast("date")
+    # the pattern looks at the file's folder alone, at every row
+    last = F.concat(F.lit("/"), F.substring_index("_metadata.file_path", "/", -2))
+    return F.regexp_extract(last, FOLDER_DATE, 1).try_cast("date")
 
 
 def load_dated_drops(
@@ -58,9 +60,14 @@ def load_dated_drops(
     warehouse.overwrite_dynamic(read_dated_drops(spark, root, table), target or table)
 
 
+def _held(field: Column) -> Column:
+    """A field that holds something; empty and ``\\N``, as most fields of wide tables are, don't."""
+    return F.when(~field.isin("", "\\N"), field)
+
+
 def _read(field: Column, kind: str) -> Column:
     """A field's value, NULL where it has none: empty, ``\\N`` and what isn't of the kind."""
-    text = F.trim(field)
+    text = F.trim(_held(field))
     hopeless = NO_NUMBER.get(kind.partition("(")[0])
     if hopeless:
         text = F.when((text != "") & ~text.rlike(hopeless), text)
@@ -84,7 +91,7 @@ def _reason(table: str, names: list[str], types: dict[str, str]) -> Column:
             value = F.col(c) if kind == types[c] else _read(field[c], kind)
             checks.append(F.when(_unread(field[c], value), f"unreadable {c}"))
     if table == "ods_a_stock_history":
-        known = [F.when(~field[c].isin("", "\\N"), field[c]) for c in ("year", "month_day")]
+        known = [_held(field[c]) for c in ("year", "month_day")]
         checks.append(F.when(F.concat_ws("-", *known).try_cast("date").isNull(), "unreadable month_day"))
     return F.coalesce(*checks)
 
@@ -108,7 +115,7 @@ def checked_lines(spark: SparkSession, root: str, table: str) -> DataFrame:
     def read(i: int, name: str) -> Column:
         field = F.get("_fields", F.lit(i))
         if types[name] == "string":
-            return F.when(~field.isin("", "\\N"), field).alias(name)
+            return _held(field).alias(name)
         return _read(field, types[name]).alias(name)
 
     values = [read(i, name) for i, name in enumerate(names)]
