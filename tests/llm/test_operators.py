@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tickloom.llm import (
+    common,
     decontamination,
     graph,
     line_dedup,
@@ -451,3 +453,46 @@ def test_log_count_ratios_are_those_of_a_dictionary():
         assert abs(ratio[f] - expected) < 1e-12
     # a text has each n-gram once, and the n-grams of its bytes alone
     assert len(quality.ngrams(b"aaaaaaa")) == 3 and not len(quality.ngrams(b"a"))
+
+
+def test_fit_holds_the_features_once():
+    """The values of the features, twice their size, are made row by row."""
+    rng = np.random.default_rng(3)
+    rows = [np.sort(rng.choice(1 << quality.BITS, 2_500, replace=False)).astype(np.int32) for _ in range(2_000)]
+    labels = rng.integers(0, 2, len(rows)).astype(float)
+    tracemalloc.start()
+    quality.fit(rows, labels)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8 * sum(map(len, rows)) * 4 // 5
+
+
+def test_workers_let_go_what_other_tasks_kept():
+    """A worker keeps what its task asks for, and gives it up for a task that doesn't."""
+    made = []
+
+    def build():
+        made.append(1)
+        return "words"
+
+    for _ in range(2):
+        assert common.started(lambda: common.kept("a", build)) == "words"
+    assert len(made) == 1
+    common.started(lambda: None)
+    assert not common._KEPT
+    common.started(lambda: common.kept("a", build))
+    assert len(made) == 2
+    common.started(lambda: None)
+
+
+def test_packing_learns_some_words_at_a_time(monkeypatch):
+    """A slice of new words is learnt in parts, with the ids of each text as before."""
+    monkeypatch.setattr(packing, "LEARNT", 3, raising=False)
+    texts = [b"", b"one two, two three.", "Vier fünf, <|x|> one".encode(), b"three four five six; ONE seven"]
+    encoding = packing.Encoding(public_tokenizers.path("word_bpe_49k.json"))
+    learnt, real = [], encoding.learn
+    monkeypatch.setattr(encoding, "learn", lambda words: learnt.append(len(words)) or real(words))
+    plain = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    expected = [np.array(plain.encode(t.decode(), add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert encoding.texts(texts) == expected and encoding.texts(texts) == expected
+    assert max(learnt) <= 3 and len(learnt) > 1

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator, Sequence
+from typing import Any
 
 import pyarrow as pa
 import pyarrow.fs
@@ -106,6 +108,36 @@ def fields(ddl: str) -> list[T.StructField]:
     return T._parse_datatype_string(ddl).fields
 
 
+# What a Python worker keeps from task to task, by name, and the names the task at hand asked for.
+_KEPT: dict[Any, Any] = {}
+_ASKED: set[Any] = set()
+
+
+def kept(name: Any, build: Callable[[], Any]) -> Any:
+    """Inside ``make``: an object that outlives the task, till its worker runs another kind of task."""
+    if name not in _KEPT:
+        _KEPT[name] = build()
+    _ASKED.add(name)
+    return _KEPT[name]
+
+
+def started(make: Callable[[], Callable]) -> Callable:
+    """The function of a task; what earlier tasks kept and this one doesn't ask for goes."""
+    _ASKED.clear()
+    fn = make()
+    for name in set(_KEPT) - _ASKED:
+        del _KEPT[name]
+    return fn
+
+
+def released() -> None:
+    """Give what a task has freed back to the system: workers live on, and their peaks add up."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's
+    if trim is not None:
+        trim(0)
+
+
 def map_rows(
     df: DataFrame,
     keep: Sequence[str],
@@ -124,13 +156,15 @@ def map_rows(
     names = [f.name for f in schema]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fn = make()
+        fn = started(make)
         for batch in batches:
             for at in range(0, batch.num_rows, rows):
                 part = batch.slice(at, rows)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(c) for c in keep] + fn(part), names=names
                 )
+        fn = batch = part = None
+        released()
 
     return df.mapInArrow(run, schema)
 
@@ -146,12 +180,14 @@ def map_batches(
     ship(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fn = make()
+        fn = started(make)
         for batch in batches:
             for at in range(0, batch.num_rows, rows):
                 yield from fn(batch.slice(at, rows))
         if finish:
             yield from fn(None)
+        fn = batch = None
+        released()
 
     return df.mapInArrow(run, schema)
 

@@ -21,6 +21,7 @@ from tickloom.llm import common
 CACHED = 800_000  # words a worker remembers
 LONGEST = 48  # bytes of the words it remembers
 TEXTS = 6_144  # that are split and looked up at a time
+LEARNT = 32_768  # unknown words that are Python objects at a time
 # Bounds of the local search, all parameters of ``pack``.
 STEPS = 10  # exchanges for each piece of a group, on average
 PAIRED = 24  # longest pieces of a bin that are tried two at a time
@@ -135,19 +136,21 @@ class Encoding:
 
     def texts(self, found: list[bytes]) -> list[bytes]:
         """The packed ids of each text: distinct words are looked up once for all texts."""
-        lowered = pa.array([_lower(text) for text in found], pa.large_binary())
+        lowered = pa.array(map(_lower, found), pa.large_binary(), size=len(found))
         split = pc.ascii_split_whitespace(lowered.cast(pa.large_string()))
-        coded = split.flatten().dictionary_encode()
+        coded, offsets = split.flatten().dictionary_encode(), split.offsets.to_numpy()
+        del lowered, split  # the words are held once
         words = coded.dictionary
         self.clock += 1
         at = self._find(words)
         new = np.flatnonzero(at < 0)
         if len(new):
-            missing = words.take(pa.array(new))
             at[new] = len(self.words) + np.arange(len(new))
-            self._add(missing, self.learn(missing.to_pylist()))
+            for first in range(0, len(new), LEARNT):
+                missing = words.take(pa.array(new[first : first + LEARNT]))
+                self._add(missing, self.learn(missing.to_pylist()))
         self.met[at] = self.clock
-        numbers, offsets, out = coded.indices.to_numpy(), split.offsets.to_numpy(), []
+        numbers, out = coded.indices.to_numpy(), []
         for first in range(0, len(found), 256):  # so that places of ids are few at a time
             of = offsets[first : first + 257]
             own = at[numbers[of[0] : of[-1]]]
@@ -172,10 +175,6 @@ def _lower(text: bytes) -> bytes:
     return text.lower()
 
 
-# One encoding for each tokenizer in a Python worker: the cache outlives a task.
-_WORKER: dict[str, Encoding] = {}
-
-
 def pieces(
     docs: DataFrame,
     tokenizer_path: str,
@@ -197,8 +196,8 @@ def pieces(
     end = np.array([end_id], "<u4").tobytes()
 
     def make():
-        encoding = _WORKER.get(tokenizer_path) or Encoding(tokenizer_path)
-        _WORKER[tokenizer_path] = encoding
+        # one in a Python worker: what it has learnt outlives a task
+        encoding = common.kept(("encoding", tokenizer_path), lambda: Encoding(tokenizer_path))
 
         def fn(batch):
             rows: list[list] = [[] for _ in range(6)]

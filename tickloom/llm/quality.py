@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -12,6 +14,7 @@ from tickloom.llm import common
 BITS = 18  # of the hashed feature space
 ORDERS = (2, 3, 4)  # byte n-grams
 SAMPLE = 8_000  # labelled documents that the classifier is fitted on, at most
+FITTED = 512  # of them that go to the fitting task in one Arrow batch
 
 
 def ngrams(text: bytes) -> np.ndarray:
@@ -55,9 +58,23 @@ def log_count_ratio(rows: list[np.ndarray], y: np.ndarray, alpha: float = 1.0) -
     return np.log(share[1] / share[0])
 
 
+class Scaled(Sequence):
+    """The values of each row's features, of length 1; made when asked for, never held for all rows."""
+
+    def __init__(self, rows: list[np.ndarray], ratio: np.ndarray):
+        self.rows, self.ratio = rows, ratio
+
+    def __len__(self) -> int:
+        return len(self.rows)
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        x = self.ratio[self.rows[i]]
+        return x / (np.sqrt(x @ x) or 1.0)
+
+
 def dual_coordinate_descent(
     rows: list[np.ndarray],
-    values: list[np.ndarray],
+    values: Sequence[np.ndarray],
     y: np.ndarray,
     cost: np.ndarray,
     epochs: int = 12,
@@ -74,11 +91,12 @@ def dual_coordinate_descent(
     for _ in range(epochs):
         largest = 0.0
         for i in order.permutation(len(rows)):
-            gradient = y[i] * (values[i] @ w[rows[i]] + bias) - 1.0
+            own = values[i]
+            gradient = y[i] * (own @ w[rows[i]] + bias) - 1.0
             new = min(max(alpha[i] - gradient / diagonal[i], 0.0), cost[i])
             step = (new - alpha[i]) * y[i]
             if step:
-                w[rows[i]] += step * values[i]
+                w[rows[i]] += step * own
                 bias += step
                 largest = max(largest, abs(step))
                 alpha[i] = new
@@ -119,15 +137,11 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, c: float = 1.0) -> Model:
     fitted = np.flatnonzero(~held)
     ratio = log_count_ratio([rows[i] for i in fitted], y[fitted])
 
-    def scaled(features):
-        x = ratio[features]
-        return x / (np.sqrt(x @ x) or 1.0)
-
     # both classes weigh the same in sum
     n = len(fitted)
     cost = c * np.where(y[fitted] > 0, n / 2 / np.sum(y[fitted] > 0), n / 2 / np.sum(y[fitted] < 0))
     own = [rows[i] for i in fitted]
-    weight, bias = dual_coordinate_descent(own, [scaled(r) for r in own], y[fitted], cost)
+    weight, bias = dual_coordinate_descent(own, Scaled(own, ratio), y[fitted], cost)
     model = Model(ratio, weight, bias, 1.0, 0.0)
     curve = np.flatnonzero(held) if held.any() else fitted
     model.a, model.b = _curve(np.array([model.margin(rows[i]) for i in curve]), y[curve])
@@ -172,18 +186,21 @@ def training_sample(
 
 
 def train(sampled: DataFrame, id_col: str = "doc_id") -> Model:
-    """Fit in one task on the bounded sample; only the model comes to the driver."""
+    """Fit in one task on the bounded sample; only the model comes to the driver.
+
+    The features come in small batches and are held once, as they came.
+    """
 
     def run(batches):
-        parts = [pa.Table.from_batches([b]) for b in batches]
-        rows = pa.concat_tables(parts) if parts else None
-        if rows is None:
-            model = fit([], np.zeros(0))
-        else:
-            order = np.argsort(rows["_h"].to_numpy(), kind="stable")
-            features = rows["features"].combine_chunks()
-            found = [features[int(i)].values.to_numpy() for i in order]
-            model = fit(found, rows["_label"].to_numpy()[order])
+        found, hashes, labels = [], [], []
+        for batch in batches:
+            found += [x.values.to_numpy() for x in batch.column("features")]
+            hashes += batch.column("_h").to_pylist()
+            labels += batch.column("_label").to_pylist()
+        order = np.argsort(np.array(hashes, np.int64), kind="stable")
+        model = fit([found[i] for i in order], np.array(labels, np.float64)[order])
+        found = batch = None
+        common.released()
         arrays = [model.ratio.astype("<f4").tobytes(), model.weight.astype("<f4").tobytes()]
         numbers = [model.bias, model.a, model.b]
         yield pa.RecordBatch.from_arrays(
@@ -193,7 +210,13 @@ def train(sampled: DataFrame, id_col: str = "doc_id") -> Model:
     schema = "ratio binary, weight binary, bias double, a double, b double"
     one = sampled.select("_label", "features", F.xxhash64(id_col).alias("_h")).coalesce(1)
     # an empty frame may have no partition at all, then there is no task and no row
-    row = next(iter(one.mapInArrow(run, schema).collect()), None)
+    spark, rows_a_batch = sampled.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(rows_a_batch)
+    spark.conf.set(rows_a_batch, str(FITTED))
+    try:
+        row = next(iter(one.mapInArrow(run, schema).collect()), None)
+    finally:
+        spark.conf.set(rows_a_batch, before)
     if row is None:
         return fit([], np.zeros(0))
     ratio, weight = (np.frombuffer(bytes(x), "<f4") for x in (row.ratio, row.weight))
