@@ -278,6 +278,42 @@ def test_suffix_tree_equals_dictionaries(spark, monkeypatch, depth, share):
     assert longest == depth and all(abs(scores[i] - x) < 1e-6 for i, x in enumerate(expected))
 
 
+def test_suffix_tree_of_many_blocks_and_shards(spark, monkeypatch):
+    rng = random.Random(9)
+    texts = [" ".join(rng.choice(VOCABULARY) + str(rng.randrange(9)) for _ in range(50)) for _ in range(80)]
+    texts += [None, "", *texts[:30], "words that nothing else has", *["so it goes"] * 9]
+    held = [i % 5 == 1 for i in range(len(texts))]
+    expected, _ = _tree_scores(texts, held, 2)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    for name, value in {"P_NGRAM": 0.01, "P_WORD": 0.01, "ASKED": 100, "SHARD": 500}.items():
+        monkeypatch.setattr(suffix_tree, name, value)
+    found = suffix_tree.suffix_tree_scores(frame, F.col("doc_id") % 5 == 1, depth=2).collect()
+    scores = {r.doc_id: r.score for r in found}
+    assert len(found) == len(texts) and all(abs(scores[i] - x) < 1e-6 for i, x in enumerate(expected))
+
+
+def test_summing_takes_little_beside_what_it_holds():
+    rng = np.random.default_rng(3)
+    context = rng.integers(0, 2**64, 1_500_000, dtype=np.uint64)
+    context[:1000] = context[0]
+    suffix = context + np.uint64(1)
+    tracemalloc.start()
+    try:
+        held = suffix_tree.Summing(["context", "suffix"], suffix_tree.ngram_key)
+        for first in range(0, len(context), 100_000):
+            held.add(context[first : first + 100_000].copy(), suffix[first : first + 100_000].copy())
+        before = tracemalloc.get_traced_memory()[0]
+        tracemalloc.reset_peak()
+        found, total = 0, 0
+        for batch in held.rows():
+            found, total = found + batch.num_rows, total + int(batch["n"].to_numpy().sum())
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert (found, total) == (len(context) - 999, len(context))
+    assert before < 24 * len(context) and peak < 1.6 * before
+
+
 def test_nearest(spark):
     x = np.random.default_rng(4).normal(size=(400, 8)) * np.random.default_rng(5).uniform(0.5, 2, (400, 1))
     data = [(i, [float(np.float32(v)) for v in row], 0) for i, row in enumerate(x)]

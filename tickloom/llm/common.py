@@ -60,26 +60,29 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 
 # Lets Spark remove the shuffle files of an execution at its end.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def stored(
-    df: DataFrame, name: str, partition_by: Sequence[str] = (), free: bool = False
+    df: DataFrame, name: str, partition_by: Sequence[str] = (), free: bool = False, rows: int | None = None
 ) -> DataFrame:
     """The frame written as Parquet to the shared folder and read back: its lineage is cut.
 
-    With ``free`` the shuffle files behind it go as soon as it is written.
+    With ``free`` the shuffle files behind it go as soon as it is written. With ``rows``
+    Python workers get so many rows at once; a batch of whole texts takes memory on both sides.
     """
     spark = df.sparkSession
     ship(spark)
     path = shared_folder(spark, name)
-    before = spark.conf.get(_CLEANUP, "false")
-    if free:
-        spark.conf.set(_CLEANUP, "true")
+    settings = ({_CLEANUP: "true"} if free else {}) | ({_BATCH: str(rows)} if rows else {})
+    before = {k: spark.conf.get(k, "false") if k == _CLEANUP else spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
         df.write.partitionBy(*partition_by).parquet(path)
     finally:
-        if free:
-            spark.conf.set(_CLEANUP, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
     back = spark.read.schema(df.schema).parquet(path)
     back.stored_at = path
     return back

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickloom.llm import common
 from tickloom.llm.ngram_join import WordHashes
@@ -17,10 +18,13 @@ P_NGRAM = 1e-7  # share from which an n-gram's weight is broadcast; the others a
 LEAST = 3  # occurrences that a context or a parameter needs
 DEPTH = 4  # words of the longest contexts
 DISCOUNT = 0.75
-HELD = 3_000_000  # words or n-grams a task holds before it sums them up
+HELD = 3_000_000  # words or n-grams a task holds before it passes them on
+SHARES = np.arange(1, 16, dtype=np.uint64) << np.uint64(60)  # a task merges them by a 16th of the hash values
+ASKED = 1 << 19  # words and n-grams of a block of texts that are looked up together
+SHARD = 1 << 20  # occurrences of the words and n-grams of a part of the table
 SKETCH_BITS = 27  # the sketches have 2**27 bits, 16 MB, at any corpus size
 SEED = 42  # of Spark's xxhash64
-JOINED = 1 << 20  # bytes of text whose words are hashed at once, unless one text has more
+JOINED = 1 << 18  # bytes of text whose words are hashed at once, unless one text has more
 END = np.uint64(0x5851F42D4C957F2D)  # the key of the end symbol
 
 
@@ -126,44 +130,68 @@ class Table:
         return value, hit
 
 
+def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each run of equal values begins, and how long it is."""
+    new = np.flatnonzero(np.r_[True, values[1:] != values[:-1]][: len(values)])
+    return new, np.diff(np.r_[new, len(values)])
+
+
 class Summing:
-    """Keys (several columns) that a task holds, summed up before they are passed on."""
+    """Keys (several columns) that a task holds, summed up before they are passed on.
+
+    ``hashed`` makes one key of the columns. Each batch is summed up when it comes; ``rows``
+    merges a share of the hash values at a time, so it takes little beside what is held.
+    """
 
-    def __init__(self, names: list[str]):
-        self.names, self.parts, self.n = names, [], 0
+    def __init__(self, names: list[str], hashed: Callable[..., np.ndarray]):
+        self.names, self.hashed, self.parts, self.n = names, hashed, [], 0
 
-    def add(self, columns: list[np.ndarray], by: np.ndarray) -> None:
-        if len(by):
-            self.parts.append((by, *columns))
-            self.n += len(by)
+    def add(self, *columns: np.ndarray) -> None:
+        if len(columns[0]):
+            by = self.hashed(*columns)
+            order = np.argsort(by)
+            new, times = _runs(by[order])
+            at = order[new]
+            begins = np.r_[0, np.searchsorted(by[at], SHARES), len(at)]
+            self.parts.append((begins, [c[at] for c in columns], times.astype(np.int32)))
+            self.n += len(at)
 
     def rows(self):
-        by, *columns = (np.concatenate(x) for x in zip(*self.parts))
-        self.parts, self.n = [], 0
-        _, at, times = np.unique(by, return_index=True, return_counts=True)
-        columns = [c[at].view(np.int64) for c in columns] + [times]
-        for first in range(0, len(at), 100_000):
-            part = [pa.array(c[first : first + 100_000]) for c in columns]
-            yield pa.RecordBatch.from_arrays(part, names=[*self.names, "n"])
+        parts, self.parts, self.n = self.parts, [], 0
+        for k in range(len(SHARES) + 1):
+            some = [(slice(begins[k], begins[k + 1]), columns, times) for begins, columns, times in parts]
+            columns = [np.concatenate([c[i][at] for at, c, _ in some]) for i in range(len(self.names))]
+            times = np.concatenate([t[at] for at, _, t in some])
+            by = self.hashed(*columns)
+            order = np.argsort(by, kind="stable")
+            new, _ = _runs(by[order])
+            if not len(new):
+                continue
+            columns = [c[order[new]].view(np.int64) for c in columns]
+            columns.append(np.add.reduceat(times[order], new, dtype=np.int64))
+            for first in range(0, len(new), 100_000):
+                part = [pa.array(c[first : first + 100_000]) for c in columns]
+                yield pa.RecordBatch.from_arrays(part, names=[*self.names, "n"])
 
 
 def count_words(docs: DataFrame) -> DataFrame:
     """Occurrences (key, n) of every word and of the end symbol."""
 
     def make():
-        words, held = Words(), Summing(["key"])
+        words, held = Words(), Summing(["key"], lambda key: key)
 
         def fn(batch):
             if batch is not None:
                 keys, _ = words(common.texts(batch, "_text"))
-                held.add([keys], keys)
+                held.add(keys)
             if held.parts and (batch is None or held.n > HELD):
                 yield from held.rows()
 
         return fn
 
     counted = common.map_batches(docs, make, "key long, n long", finish=True)
-    return counted.groupBy("key").agg(F.sum("n").alias("n"))
+    # the tasks have summed up what they hold, so each row goes to its sum as it is
+    return counted.repartition("key").groupBy("key").agg(F.sum("n").alias("n"))
 
 
 def count_ngrams(docs: DataFrame, sketch, known: int, orders: Sequence[int]) -> DataFrame:
@@ -176,7 +204,7 @@ def count_ngrams(docs: DataFrame, sketch, known: int, orders: Sequence[int]) ->
 
     def make():
         words, seen = Words(), sketch.value
-        held = {n: Summing(["context", "suffix"]) for n in orders}
+        held = {n: Summing(["context", "suffix"], ngram_key) for n in orders}
 
         def fn(batch):
             if batch is not None:
@@ -193,8 +221,7 @@ def count_ngrams(docs: DataFrame, sketch, known: int, orders: Sequence[int]) ->
                     often = often[:-1] & often[1:]
                     if n in held:
                         of = at[often[at]]
-                        first, last = context[of], shorter[of + 1]
-                        held[n].add([first, last], ngram_key(first, last))
+                        held[n].add(context[of], shorter[of + 1])
                     shorter = ngram_key(context, shorter[1:][: len(context)])
             for n, sums in held.items():
                 if sums.parts and (batch is None or sums.n > HELD):
@@ -205,7 +232,8 @@ def count_ngrams(docs: DataFrame, sketch, known: int, orders: Sequence[int]) ->
         return fn
 
     counted = common.map_batches(docs, make, "order int, context long, suffix long, n long", finish=True)
-    counted = counted.groupBy("order", "context", "suffix").agg(F.sum("n").alias("n"))
+    ngram = ["order", "context", "suffix"]
+    counted = counted.repartition(*ngram).groupBy(*ngram).agg(F.sum("n").alias("n"))
     return counted.where(F.col("n") >= LEAST)
 
 
@@ -267,14 +295,16 @@ def _weights(judged: DataFrame) -> DataFrame:
 class Tree:
     """A tree learnt from the training texts; ``learn`` makes it.
 
-    ``table`` is stored: key, n (occurrences as a word), weight (as n-gram) and times
-    (occurrences as either). What has a high share of all tokens is in ``words`` (log10 of
-    the base probability by key) and ``weights`` as well; ``sketch`` holds all n-grams with
-    a weight.
+    What has a high share of all tokens is in ``words`` (log10 of the base probability by key)
+    and ``weights`` (of n-grams); all else is stored in ``rest``, by shard as ``_shards_of``
+    gives it. ``sketch`` holds all n-grams with a weight.
     """
 
-    def __init__(self, table: DataFrame, words: Table, weights: Table, sketch: Sketch, total: int, distinct: int, depth: int):
-        self.table, self.words, self.weights, self.sketch = table, words, weights, sketch
+    def __init__(
+        self, rest: DataFrame, shards: int, words: Table, weights: Table, sketch: Sketch,
+        total: int, distinct: int, depth: int,
+    ):
+        self.rest, self.shards, self.words, self.weights, self.sketch = rest, shards, words, weights, sketch
         self.total, self.norm, self.depth = total, total + distinct + 1, depth
 
 
@@ -286,7 +316,7 @@ def learn(training: DataFrame, depth: int = DEPTH) -> Tree:
     texts counts the words, and one the n-grams of each order, until there are none.
     """
     sc = training.sparkSession.sparkContext
-    counts = common.stored(count_words(training), "word-counts", free=True)
+    counts = common.stored(count_words(training), "word-counts", free=True, rows=common.SLICE)
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     log0 = F.log10((F.col("n") + 1) / F.lit(float(total + distinct + 1)))
     shorter = counts.where(F.col("n") >= LEAST).select("key", "n", log0.alias("log"))
@@ -298,7 +328,9 @@ def learn(training: DataFrame, depth: int = DEPTH) -> Tree:
         if not orders or grown < orders[0] - 2:
             break
         sketch = sc.broadcast(Sketch(shorter.select("key")))
-        grams = common.stored(count_ngrams(training, sketch, orders[0] - 1, orders), "counted", free=True)
+        grams = common.stored(
+            count_ngrams(training, sketch, orders[0] - 1, orders), "counted", free=True, rows=common.SLICE
+        )
         sketch.destroy()
         gone.append(grams)
         for n in orders:
@@ -320,11 +352,145 @@ def learn(training: DataFrame, depth: int = DEPTH) -> Tree:
     table = common.stored(table, "tree", free=True)
     for frame in gone + found:
         common.dropped(frame)
-    least = max(1, int(np.ceil(P_WORD * total)))
-    words = Table(table.where(F.col("n") >= least).select("key", log0.alias("log")).toArrow(), "log")
-    least = max(LEAST, int(np.ceil(P_NGRAM * total)))
-    weights = Table(table.where(F.col("grams") >= least).select("key", "weight").toArrow(), "weight")
-    return Tree(table, words, weights, Sketch(table.where("grams > 0")), int(total), int(distinct), grown)
+    frequent = F.col("n") >= max(1, int(np.ceil(P_WORD * total)))
+    words = Table(table.where(frequent).select("key", log0.alias("log")).toArrow(), "log")
+    heavy = F.col("grams") >= max(LEAST, int(np.ceil(P_NGRAM * total)))
+    weights = Table(table.where(heavy).select("key", "weight").toArrow(), "weight")
+    sketch = Sketch(table.where("grams > 0"))
+    rest = table.where((F.col("n") > 0) & ~frequent | (F.col("grams") > 0) & ~heavy)
+    occurrences = rest.agg(F.sum(F.col("n") + F.col("grams"))).first()[0] or 0
+    shards = 1 + int(occurrences) // SHARD
+    rest = common.stored(_shards_of(rest, shards), "rest")
+    common.dropped(table)
+    return Tree(rest, shards, words, weights, sketch, int(total), int(distinct), grown)
+
+
+class Asking:
+    """What the texts of a block ask of the table, as one row of bytes for each of its shards.
+
+    ``asked``: row (number in the table of texts), key, times as a word and as an n-gram.
+    """
+
+    def __init__(self, shards: int):
+        self.shards, self.parts, self.n = shards, [], 0
+
+    def add(self, *asked: np.ndarray) -> None:
+        if len(asked[0]):
+            self.parts.append(asked)
+            self.n += len(asked[0])
+
+    def rows(self) -> tuple[int, list[tuple[int, bytes, bytes, bytes, bytes]]]:
+        """The block's first row; shard and, as bytes, rows from there, keys and times, in order of rows."""
+        row, key, words, grams = (np.concatenate(x) for x in zip(*self.parts))
+        self.parts, self.n = [], 0
+        first = int(row.min())
+        shard = key.view(np.int64) % self.shards
+        order = np.lexsort((row, shard))
+        asked = [x[order] for x in ((row - first).astype(np.int32), key, words, grams)]
+        shard = shard[order]
+        new, sizes = _runs(shard)
+        return first, [(int(shard[a]), *(x[a : a + n].tobytes() for x in asked)) for a, n in zip(new, sizes)]
+
+
+_ASKED = "shard int, at binary, keys binary, words binary, grams binary"
+
+
+def _shards_of(rest: DataFrame, shards: int) -> DataFrame:
+    """The table's rows as bytes, several rows for each shard: shard, keys, n and weights."""
+
+    def make():
+        parts, held = [], 0
+
+        def fn(batch):
+            nonlocal held
+            if batch is not None:
+                parts.append([batch[c].to_numpy(zero_copy_only=False) for c in ("key", "n", "weight")])
+                held += batch.num_rows
+            if not parts or batch is not None and held <= SHARD:
+                return
+            key, n, weight = (np.concatenate(x) for x in zip(*parts))
+            parts.clear()
+            held, shard = 0, key % shards
+            order = np.argsort(shard, kind="stable")
+            new, sizes = _runs(shard[order])
+            of = [order[a : a + k] for a, k in zip(new, sizes)]
+            columns = [[x[i].tobytes() for i in of] for x in (key, n, weight)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(shard[order[new]].astype(np.int32)), *(pa.array(c, pa.binary()) for c in columns)],
+                names=["shard", "keys", "n", "weights"],
+            )
+
+        return fn
+
+    return common.map_batches(
+        rest.select("key", "n", "weight"),
+        make,
+        "shard int, keys binary, n binary, weights binary",
+        finish=True,
+        rows=SHARD,
+    )
+
+
+def looked_up(asked: DataFrame, rest: DataFrame, norm: int) -> DataFrame:
+    """Sums over what each text asks: row, log (log10 of the base probability), known and more.
+
+    ``asked``: block (its first row) and the columns of ``Asking``. Blocks and table meet by
+    shard: a task reads a shard of the table, then one block's keys after another, and what
+    the block's texts get there goes back to the block in one row.
+    """
+    met = rest.withColumn("block", F.lit(None).cast("long")).unionByName(asked, allowMissingColumns=True)
+    met = met.repartition("shard").sortWithinPartitions("shard", F.col("block").asc_nulls_first())
+    met = met.select("shard", "block", "keys", "n", "weights", "at", "words", "grams")
+    zero = np.log10(1 / norm)
+
+    def make():
+        at, parts, table = None, [], None
+
+        def fn(batch):
+            nonlocal at, parts, table
+            out = []
+            for shard, block, keys, n, weights, row, words, grams in zip(*(c.to_pylist() for c in batch.columns)):
+                if shard != at:
+                    at, parts, table = shard, [], None
+                if block is None:
+                    parts.append([np.frombuffer(x, t) for x, t in ((keys, np.int64), (n, np.int64), (weights, float))])
+                    continue
+                if table is None:
+                    columns = [np.concatenate(x) for x in zip(*parts)] or [np.zeros(0, np.int64)] * 3
+                    found = pa.table([*columns, np.arange(len(columns[0]))], names=["key", "n", "weight", "at"])
+                    parts, table = [], (Table(found, "at"), columns[1], np.log10((columns[1] + 1) / norm), columns[2])
+                find, count, log, weight = table
+                place, hit = find(np.frombuffer(keys, np.uint64))
+                place = place.astype(np.int64)[hit]
+                words, grams = (np.frombuffer(x, np.int32) for x in (words, grams))
+                sums = np.zeros((3, len(hit)))
+                sums[0] = words * zero
+                sums[0, hit] = words[hit] * log[place]
+                sums[1, hit] = words[hit] * (count[place] > 0)
+                sums[2, hit] = grams[hit] * weight[place]
+                row = np.frombuffer(row, np.int32)
+                new, _ = _runs(row)
+                out.append((shard, block, row[new].tobytes(), np.add.reduceat(sums, new, axis=1).tobytes()))
+            kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary())
+            columns = list(zip(*out)) or [[]] * 4
+            names = ["shard", "block", "at", "sums"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+
+        return fn
+
+    answers = common.map_batches(met, make, "shard int, block long, at binary, sums binary")
+
+    def add_up(answers: pa.Table) -> pa.Table:
+        answers = answers.sort_by("shard")
+        first = answers["block"][0].as_py()
+        row = np.concatenate([np.frombuffer(x.as_py(), np.int32) for x in answers["at"]])
+        sums = [np.frombuffer(x.as_py(), float).reshape(3, -1) for x in answers["sums"]]
+        there, of = np.unique(row, return_inverse=True)
+        log, known, more = (np.bincount(of, weights=x) for x in np.concatenate(sums, axis=1))
+        columns = [there + np.int64(first), log, known.astype(np.int64), more]
+        return pa.table(columns, names=["row", "log", "known", "more"])
+
+    return answers.groupBy("block").applyInArrow(add_up, "row long, log double, known long, more double")
 
 
 def suffix_tree_scores(
@@ -351,78 +517,79 @@ def suffix_tree_scores(
     tree = learn(rows.where(~F.col("held_out")).select("_text"), depth)
     shared = docs.sparkSession.sparkContext.broadcast((tree.words, tree.weights, tree.sketch))
     grown = tree.depth
+    shards, most = tree.shards, ASKED
+    rows = rows.withColumn("_row", F.monotonically_increasing_id())
+    schema = T.StructType([T.StructField(c, rows.schema[c].dataType) for c in ("_row", "_id", "held_out")])
+    for field in common.fields(f"n_tokens long, n_known long, base double, part double, {_ASKED}"):
+        schema.add(field)
+    names = schema.names
 
     def make():
         words, (frequent, weights, sketch) = Words(), shared.value
+        asking, id_type = Asking(shards), None
+
+        def row_of(values, n):
+            nulls = [pa.nulls(n, k) for k in (pa.int32(), *[pa.binary()] * 4)]
+            return pa.RecordBatch.from_arrays([*values, *nulls], names=names)
 
         def fn(batch):
-            keys, doc = words(common.texts(batch, "_text"))
-            n = batch.num_rows
-            log, known = frequent(keys)
-            base = np.bincount(doc, weights=log, minlength=n)
-            score = base.copy()
-            # what the tables don't hold: the texts, keys, and whether a word or an n-gram
-            parts = [(doc[~known], keys[~known], np.ones(int((~known).sum()), np.int64))]
-            shorter, of = keys, doc
-            for k in range(1, grown + 2):
-                if k > 1:
-                    context, at = ngrams(keys, doc, k, shorter)
-                    shorter = ngram_key(context, shorter[1:][: len(context)])
-                    of, own = doc[at], shorter[at]
-                else:
-                    own = keys
-                maybe = sketch.holds(own)
-                of, own = of[maybe], own[maybe]
-                weight, hit = weights(own)
-                score += np.bincount(of, weights=weight, minlength=n)
-                parts.append((of[~hit], own[~hit], np.zeros(int((~hit).sum()), np.int64)))
-            of, own, is_word = (np.concatenate(x) for x in zip(*parts))
-            order = np.lexsort((own, of))
-            of, own, is_word = of[order], own[order], is_word[order]
-            new = np.flatnonzero(np.r_[True, (of[1:] != of[:-1]) | (own[1:] != own[:-1])][: len(of)])
-            times = np.diff(np.r_[new, len(of)])
-            as_word = np.add.reduceat(is_word, new) if len(new) else np.zeros(0, np.int64)
-            rest = pa.StructArray.from_arrays(
-                [pa.array(own[new].view(np.int64)), pa.array(as_word.astype(np.int32)), pa.array((times - as_word).astype(np.int32))],
-                names=["key", "words", "grams"],
-            )
-            ends = np.r_[0, np.cumsum(np.bincount(of[new], minlength=n))].astype(np.int32)
-            return [
-                pa.array(np.bincount(doc, minlength=n)),
-                pa.array(np.bincount(doc[known], minlength=n)),
-                pa.array(base),
-                pa.array(score),
-                pa.ListArray.from_arrays(pa.array(ends), rest),
-            ]
+            nonlocal id_type
+            if batch is not None:
+                id_type = batch["_id"].type
+                keys, doc = words(common.texts(batch, "_text"))
+                n = batch.num_rows
+                log, known = frequent(keys)
+                base = np.bincount(doc, weights=log, minlength=n)
+                score = base.copy()
+                # what the tables don't hold: the texts, keys, and whether a word or an n-gram
+                parts = [(doc[~known], keys[~known], np.ones(int((~known).sum()), np.int32))]
+                shorter, of = keys, doc
+                for k in range(1, grown + 2):
+                    if k > 1:
+                        context, at = ngrams(keys, doc, k, shorter)
+                        shorter = ngram_key(context, shorter[1:][: len(context)])
+                        of, own = doc[at], shorter[at]
+                    else:
+                        own = keys
+                    maybe = sketch.holds(own)
+                    of, own = of[maybe], own[maybe]
+                    weight, hit = weights(own)
+                    score += np.bincount(of, weights=weight, minlength=n)
+                    parts.append((of[~hit], own[~hit], np.zeros(int((~hit).sum()), np.int32)))
+                of, own, is_word = (np.concatenate(x) for x in zip(*parts))
+                order = np.lexsort((own, of))
+                of, own, is_word = of[order], own[order], is_word[order]
+                new = np.flatnonzero(np.r_[True, (of[1:] != of[:-1]) | (own[1:] != own[:-1])][: len(of)])
+                times = np.diff(np.r_[new, len(of)])
+                as_word = np.add.reduceat(is_word, new, dtype=np.int32) if len(new) else np.zeros(0, np.int32)
+                row = batch["_row"].to_numpy()
+                asking.add(row[of[new]], own[new], as_word, (times - as_word).astype(np.int32))
+                found = np.bincount(doc, minlength=n), np.bincount(doc[known], minlength=n), base, score
+                yield row_of([*(batch[c] for c in ("_row", "_id", "held_out")), *(pa.array(x) for x in found)], n)
+            if asking.n > most or batch is None and asking.n:
+                first, asked = asking.rows()
+                m = len(asked)
+                kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
+                columns = [pa.array([first] * m), pa.nulls(m, id_type), pa.nulls(m, pa.bool_())]
+                columns += [pa.nulls(m, k) for k in kinds]
+                shard, *values = zip(*asked)
+                columns += [pa.array(shard, pa.int32()), *(pa.array(v, pa.binary()) for v in values)]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
         return fn
 
-    added = (
-        "n_tokens long, n_known long, base double, part double, "
-        "rest array<struct<key: bigint, words: int, grams: int>>"
-    )
-    scored = common.map_rows(rows, ["_id", "held_out"], make, added)
-    scored = common.stored(scored.withColumn("_row", F.monotonically_increasing_id()), "scored")
-    rest = scored.select("_row", F.explode("rest").alias("r")).select("_row", "r.*")
-    n = F.coalesce("n", F.lit(0))
-    log0 = F.log10((n + 1) / F.lit(float(tree.norm)))
-    of_rows = (
-        rest.join(tree.table.select("key", "n", "weight"), "key", "left")
-        .groupBy(F.col("_row").alias("_of"))
-        .agg(
-            F.sum(F.col("words") * log0).alias("_log"),
-            F.sum(F.when(n > 0, F.col("words")).otherwise(0)).alias("_known"),
-            F.sum(F.col("grams") * F.coalesce("weight", F.lit(0.0))).alias("_more"),
-        )
-    )
-    joined = scored.drop("rest").join(of_rows, F.col("_row") == F.col("_of"), "left")
-    log = F.coalesce("_log", F.lit(0.0))
+    scored = common.map_batches(rows, make, schema, finish=True)
+    scored = common.stored(scored, "scored", rows=common.SLICE)
+    asked = scored.where("shard is not null").select(F.col("_row").alias("block"), *(f.name for f in common.fields(_ASKED)))
+    sums = common.stored(looked_up(asked, tree.rest, tree.norm), "looked-up", free=True, rows=16)
+    joined = scored.where("shard is null").join(sums, F.col("_row") == F.col("row"), "left")
+    log = F.coalesce("log", F.lit(0.0))
     return joined.select(
         F.col("_id").alias(id_col),
         "held_out",
         "n_tokens",
-        (F.col("n_known") + F.coalesce("_known", F.lit(0))).alias("n_known"),
+        (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
         F.lit(tree.total).cast("long").alias("train_tokens"),
         (F.col("base") + log).alias("base_score"),
-        (F.col("part") + log + F.coalesce("_more", F.lit(0.0))).alias("score"),
+        (F.col("part") + log + F.coalesce("more", F.lit(0.0))).alias("score"),
     )
