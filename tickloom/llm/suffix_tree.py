@@ -21,8 +21,9 @@ DISCOUNT = 0.75
 HELD = 3_000_000  # words or n-grams a task holds before it passes them on
 SHARES = np.arange(1, 16, dtype=np.uint64) << np.uint64(60)  # a task merges them by a 16th of the hash values
 ASKED = 1 << 19  # words and n-grams of a block of texts that are looked up together
-SHARD = 1 << 20  # occurrences of the words and n-grams of a part of the table
+SHARD = 1 << 22  # occurrences of the words and n-grams of a part of the table
 SKETCH_BITS = 27  # the sketches have 2**27 bits, 16 MB, at any corpus size
+SKETCH_AT = (0, 6, 12, 18)  # where a key has the numbers of its bits in a word of the sketch
 SEED = 42  # of Spark's xxhash64
 JOINED = 1 << 18  # bytes of text whose words are hashed at once, unless one text has more
 END = np.uint64(0x5851F42D4C957F2D)  # the key of the end symbol
@@ -83,20 +84,21 @@ def ngrams(keys: np.ndarray, doc: np.ndarray, n: int, shorter: np.ndarray) -> tu
 
 
 class Sketch:
-    """Two bits for each key in one of the words: a key that was put in is always found."""
+    """Some bits for each key in one of the words: a key that was put in is always found."""
 
     def __init__(self, keys: DataFrame):
         at = F.shiftrightunsigned("key", 70 - SKETCH_BITS)
-        bits = F.expr("shiftleft(1L, cast(key & 63 as int)) | shiftleft(1L, cast(shiftrightunsigned(key, 6) & 63 as int))")
-        rows = keys.groupBy(at.alias("at")).agg(F.bit_or(bits).alias("bits")).toArrow()
+        bits = " | ".join(f"shiftleft(1L, cast(shiftrightunsigned(key, {at}) & 63 as int))" for at in SKETCH_AT)
+        rows = keys.groupBy(at.alias("at")).agg(F.bit_or(F.expr(bits)).alias("bits")).toArrow()
         self.words = np.zeros(1 << (SKETCH_BITS - 6), np.uint64)
         self.words[rows["at"].to_numpy()] = rows["bits"].to_numpy().astype(np.int64).view(np.uint64)
 
     def holds(self, keys: np.ndarray) -> np.ndarray:
-        found = self.words[(keys >> np.uint64(70 - SKETCH_BITS)).astype(np.int64)]
-        low = np.uint64(63)
-        found = (found >> (keys & low)) & (found >> ((keys >> np.uint64(6)) & low))
-        return found & np.uint64(1) == 1
+        word = self.words[(keys >> np.uint64(70 - SKETCH_BITS)).astype(np.int64)]
+        found = np.uint64(1)
+        for at in SKETCH_AT:
+            found = found & (word >> ((keys >> np.uint64(at)) & np.uint64(63)))
+        return found == 1
 
 
 class Table:
@@ -365,6 +367,16 @@ def learn(training: DataFrame, depth: int = DEPTH) -> Tree:
     return Tree(rest, shards, words, weights, sketch, int(total), int(distinct), grown)
 
 
+def _packed(numbers: np.ndarray) -> bytes:
+    """Numbers from 0 as bytes, in the narrowest type that takes them all."""
+    return numbers.astype(np.min_scalar_type(int(numbers.max(initial=0)))).tobytes()
+
+
+def _unpacked(packed: bytes, n: int) -> np.ndarray:
+    """``n`` packed numbers."""
+    return np.frombuffer(packed, f"u{len(packed) // max(n, 1) or 1}").astype(np.int64)
+
+
 class Asking:
     """What the texts of a block ask of the table, as one row of bytes for each of its shards.
 
@@ -380,16 +392,19 @@ class Asking:
             self.n += len(asked[0])
 
     def rows(self) -> tuple[int, list[tuple[int, bytes, bytes, bytes, bytes]]]:
-        """The block's first row; shard and, as bytes, rows from there, keys and times, in order of rows."""
+        """The block's first row; shard and, as bytes, steps from row to row, keys and times."""
         row, key, words, grams = (np.concatenate(x) for x in zip(*self.parts))
         self.parts, self.n = [], 0
         first = int(row.min())
         shard = key.view(np.int64) % self.shards
         order = np.lexsort((row, shard))
-        asked = [x[order] for x in ((row - first).astype(np.int32), key, words, grams)]
-        shard = shard[order]
-        new, sizes = _runs(shard)
-        return first, [(int(shard[a]), *(x[a : a + n].tobytes() for x in asked)) for a, n in zip(new, sizes)]
+        row, key, words, grams, shard = (x[order] for x in (row, key, words, grams, shard))
+        out = []
+        for a, n in zip(*_runs(shard)):
+            of = slice(a, a + n)
+            steps = np.diff(row[of], prepend=first)
+            out.append((int(shard[a]), _packed(steps), key[of].tobytes(), _packed(words[of]), _packed(grams[of])))
+        return first, out
 
 
 _ASKED = "shard int, at binary, keys binary, words binary, grams binary"
@@ -414,7 +429,7 @@ def _shards_of(rest: DataFrame, shards: int) -> DataFrame:
             order = np.argsort(shard, kind="stable")
             new, sizes = _runs(shard[order])
             of = [order[a : a + k] for a, k in zip(new, sizes)]
-            columns = [[x[i].tobytes() for i in of] for x in (key, n, weight)]
+            columns = [[key[i].tobytes() for i in of], [_packed(n[i]) for i in of], [weight[i].tobytes() for i in of]]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(shard[order[new]].astype(np.int32)), *(pa.array(c, pa.binary()) for c in columns)],
                 names=["shard", "keys", "n", "weights"],
@@ -453,7 +468,8 @@ def looked_up(asked: DataFrame, rest: DataFrame, norm: int) -> DataFrame:
                 if shard != at:
                     at, parts, table = shard, [], None
                 if block is None:
-                    parts.append([np.frombuffer(x, t) for x, t in ((keys, np.int64), (n, np.int64), (weights, float))])
+                    keys = np.frombuffer(keys, np.int64)
+                    parts.append([keys, _unpacked(n, len(keys)), np.frombuffer(weights, float)])
                     continue
                 if table is None:
                     columns = [np.concatenate(x) for x in zip(*parts)] or [np.zeros(0, np.int64)] * 3
@@ -462,15 +478,16 @@ def looked_up(asked: DataFrame, rest: DataFrame, norm: int) -> DataFrame:
                 find, count, log, weight = table
                 place, hit = find(np.frombuffer(keys, np.uint64))
                 place = place.astype(np.int64)[hit]
-                words, grams = (np.frombuffer(x, np.int32) for x in (words, grams))
+                words, grams, row = (_unpacked(x, len(hit)) for x in (words, grams, row))
                 sums = np.zeros((3, len(hit)))
                 sums[0] = words * zero
                 sums[0, hit] = words[hit] * log[place]
                 sums[1, hit] = words[hit] * (count[place] > 0)
                 sums[2, hit] = grams[hit] * weight[place]
-                row = np.frombuffer(row, np.int32)
+                row = np.cumsum(row)
                 new, _ = _runs(row)
-                out.append((shard, block, row[new].tobytes(), np.add.reduceat(sums, new, axis=1).tobytes()))
+                steps = _packed(np.diff(row[new], prepend=0))
+                out.append((shard, block, steps, np.add.reduceat(sums, new, axis=1).tobytes()))
             kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary())
             columns = list(zip(*out)) or [[]] * 4
             names = ["shard", "block", "at", "sums"]
@@ -483,8 +500,9 @@ def looked_up(asked: DataFrame, rest: DataFrame, norm: int) -> DataFrame:
     def add_up(answers: pa.Table) -> pa.Table:
         answers = answers.sort_by("shard")
         first = answers["block"][0].as_py()
-        row = np.concatenate([np.frombuffer(x.as_py(), np.int32) for x in answers["at"]])
         sums = [np.frombuffer(x.as_py(), float).reshape(3, -1) for x in answers["sums"]]
+        row = [np.cumsum(_unpacked(x.as_py(), k.shape[1])) for x, k in zip(answers["at"], sums)]
+        row = np.concatenate(row)
         there, of = np.unique(row, return_inverse=True)
         log, known, more = (np.bincount(of, weights=x) for x in np.concatenate(sums, axis=1))
         columns = [there + np.int64(first), log, known.astype(np.int64), more]
@@ -508,7 +526,7 @@ def suffix_tree_scores(
     A token's probability comes from the longest context before it, of ``depth`` words at
     most, that is a state. The most frequent words' counts and n-grams' weights are
     broadcast, both bounded; all other words and n-grams are counted per document and
-    joined with the full table, which grows with the training texts.
+    looked up in the table, which grows with the training texts.
     """
     out = F.coalesce(held_out, F.lit(False))
     rows = docs.select(
