@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import pickle
 import random
 import re
 import tracemalloc
@@ -10,6 +11,8 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -292,6 +295,62 @@ def test_suffix_tree_of_many_blocks_and_shards(spark, monkeypatch):
     assert len(found) == len(texts) and all(abs(scores[i] - x) < 1e-6 for i, x in enumerate(expected))
 
 
+@pytest.mark.parametrize("n", [0, 1, 3_000, 40_000])
+def test_sketch_is_as_large_as_its_keys_ask_for(spark, monkeypatch, n):
+    monkeypatch.setattr(suffix_tree, "SLICE_BITS", 7)  # 1 KB
+    keys = np.random.default_rng(n).integers(0, 2**64, n + 20_000, dtype=np.uint64)
+    frame = spark.createDataFrame([(int(k),) for k in keys[:n].view(np.int64)], "key long")
+    sketch = pickle.loads(pickle.dumps(suffix_tree.Sketch(frame)))  # as tasks get it
+    holds = common.started(sketch.opened)
+    assert sketch.slices == 1 + 12 * n // 8192
+    assert holds(keys[:n]).all() and holds(keys[n:]).mean() < 0.02
+    assert not n or holds(keys[n - 1 : n]).tolist() == [True]
+
+
+def test_ngrams_are_passed_on_in_little_space():
+    rng = np.random.default_rng(6)
+    context = (rng.zipf(1.3, 120_000) % 20_000).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    suffix = rng.permutation(context) + np.uint64(rng.integers(1, 9))
+    expected = Counter(zip(context.tolist(), suffix.tolist()))
+    pieces = []
+    for part in np.array_split(np.arange(len(context)), 3):  # tasks
+        held = suffix_tree.Summing(["context", "suffix"], suffix_tree.ngram_key)
+        for some in np.array_split(part, 4):
+            held.add(context[some], suffix[some])
+        n = held.n
+        batches = list(suffix_tree._pieces(held, 48))
+        assert sum(b.nbytes for b in batches) < 16 * n  # a context and a suffix alone take as much in rows
+        pieces += batches
+    table = pa.Table.from_batches(pieces)
+    table = table.add_column(0, "order", pa.array([2] * table.num_rows, pa.int32()))
+    found = Counter()
+    for shard in range(48):
+        rows = table.filter(pc.equal(table["shard"], shard))
+        if rows.num_rows:
+            for order, c, s, k in zip(*suffix_tree._summed(rows).to_pydict().values()):
+                assert order == 2 and (c % 2**64, s % 2**64) not in found
+                found[c % 2**64, s % 2**64] = k
+    assert found == {x: k for x, k in expected.items() if k >= suffix_tree.LEAST}
+
+
+def test_texts_are_looked_up_a_part_at_a_time(spark, monkeypatch):
+    texts = [f"{i % 7} so it goes {i % 5} on and on" for i in range(60)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6)
+    for name, value in {"P_NGRAM": 0.5, "P_WORD": 0.5, "ASKED": 10}.items():
+        monkeypatch.setattr(suffix_tree, name, value)
+    parts, looked_up = [], suffix_tree.looked_up
+
+    def seen(asked, *rest):
+        parts.append({r.block for r in asked.select("block").collect()})
+        return looked_up(asked, *rest)
+
+    monkeypatch.setattr(suffix_tree, "looked_up", seen)
+    assert suffix_tree.suffix_tree_scores(frame, F.col("doc_id") % 5 == 1).count() == len(texts)
+    blocks = set.union(*parts)
+    assert len(parts) == 4 and sum(map(len, parts)) == len(blocks) >= 6
+    assert max(map(len, parts)) <= len(blocks) / 2
+
+
 def test_summing_takes_little_beside_what_it_holds():
     rng = np.random.default_rng(3)
     context = rng.integers(0, 2**64, 1_500_000, dtype=np.uint64)

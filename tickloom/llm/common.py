@@ -12,6 +12,7 @@ from typing import Any
 
 import pyarrow as pa
 import pyarrow.fs
+import pyarrow.parquet
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -61,10 +62,12 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 # Lets Spark remove the shuffle files of an execution at its end.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_CODEC = "spark.sql.parquet.compression.codec"
 
 
 def stored(
-    df: DataFrame, name: str, partition_by: Sequence[str] = (), free: bool = False, rows: int | None = None
+    df: DataFrame, name: str, partition_by: Sequence[str] = (), free: bool = False, rows: int | None = None,
+    codec: str | None = None,
 ) -> DataFrame:
     """The frame written as Parquet to the shared folder and read back: its lineage is cut.
 
@@ -74,7 +77,7 @@ def stored(
     spark = df.sparkSession
     ship(spark)
     path = shared_folder(spark, name)
-    settings = ({_CLEANUP: "true"} if free else {}) | ({_BATCH: str(rows)} if rows else {})
+    settings = ({_CLEANUP: "true"} if free else {}) | ({_BATCH: str(rows)} if rows else {}) | ({_CODEC: codec} if codec else {})
     before = {k: spark.conf.get(k, "false") if k == _CLEANUP else spark.conf.get(k) for k in settings}
     for k, v in settings.items():
         spark.conf.set(k, v)
@@ -102,6 +105,15 @@ def filesystem(uri: str) -> tuple[pa.fs.FileSystem, str]:
     return pa.fs.FileSystem.from_uri(uri) if "://" in uri else (pa.fs.LocalFileSystem(), uri)
 
 
+def stored_rows(path: str, rows: int) -> Iterator[pa.RecordBatch]:
+    """Inside a task: what ``stored`` wrote to a folder, ``rows`` rows at a time."""
+    files, top = filesystem(path)
+    for part in files.get_file_info(pyarrow.fs.FileSelector(top, allow_not_found=True)):
+        if part.path.endswith(".parquet"):
+            with files.open_input_file(part.path) as source:
+                yield from pyarrow.parquet.ParquetFile(source).iter_batches(rows)
+
+
 def crc_mod(key: Column, n: int) -> Column:
     """crc32 of the key written as text, modulo ``n``; NULL for a NULL key."""
     return F.crc32(key.cast("string").cast("binary")) % n

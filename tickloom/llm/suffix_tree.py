@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import mmap
+import tempfile
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +24,11 @@ HELD = 3_000_000  # words or n-grams a task holds before it passes them on
 SHARES = np.arange(1, 16, dtype=np.uint64) << np.uint64(60)  # a task merges them by a 16th of the hash values
 ASKED = 1 << 19  # words and n-grams of a block of texts that are looked up together
 SHARD = 1 << 22  # occurrences of the words and n-grams of a part of the table
-SKETCH_BITS = 27  # the sketches have 2**27 bits, 16 MB, at any corpus size
+COUNTED = 1 << 21  # words of the texts for each part in which their n-grams are counted
+SKETCH_BITS = 12  # of a sketch for each key in it
+SLICE_BITS = 17  # a slice of a sketch has 2**17 words, 1 MB
 SKETCH_AT = (0, 6, 12, 18)  # where a key has the numbers of its bits in a word of the sketch
+ROUNDS = 4  # the table is asked for a part of the texts at a time, so that their keys don't lie on disk twice
 SEED = 42  # of Spark's xxhash64
 JOINED = 1 << 18  # bytes of text whose words are hashed at once, unless one text has more
 END = np.uint64(0x5851F42D4C957F2D)  # the key of the end symbol
@@ -84,21 +89,64 @@ def ngrams(keys: np.ndarray, doc: np.ndarray, n: int, shorter: np.ndarray) -> tu
 
 
 class Sketch:
-    """Some bits for each key in one of the words: a key that was put in is always found."""
+    """Some bits for each key in one of the words: a key that was put in is always found.
 
-    def __init__(self, keys: DataFrame):
-        at = F.shiftrightunsigned("key", 70 - SKETCH_BITS)
-        bits = " | ".join(f"shiftleft(1L, cast(shiftrightunsigned(key, {at}) & 63 as int))" for at in SKETCH_AT)
-        rows = keys.groupBy(at.alias("at")).agg(F.bit_or(F.expr(bits)).alias("bits")).toArrow()
-        self.words = np.zeros(1 << (SKETCH_BITS - 6), np.uint64)
-        self.words[rows["at"].to_numpy()] = rows["bits"].to_numpy().astype(np.int64).view(np.uint64)
+    It is as large as its keys ask for and never goes through the driver: slices of its words
+    are stored, and each worker maps a file of them into memory.
+    """
 
-    def holds(self, keys: np.ndarray) -> np.ndarray:
-        word = self.words[(keys >> np.uint64(70 - SKETCH_BITS)).astype(np.int64)]
-        found = np.uint64(1)
-        for at in SKETCH_AT:
-            found = found & (word >> ((keys >> np.uint64(at)) & np.uint64(63)))
-        return found == 1
+    def __init__(self, keys: DataFrame):
+        bits, slices = SLICE_BITS, 1 + keys.count() * SKETCH_BITS // (64 << SLICE_BITS)
+
+        def put(rows: pa.Table) -> pa.Table:
+            key = rows["key"].to_numpy().astype(np.int64).view(np.uint64)
+            at = Sketch.at(key, slices << bits)
+            of = int(at[0]) >> bits
+            order = np.argsort(at)
+            new, _ = _runs(at[order])
+            own = np.zeros(len(key), np.uint64)
+            for low in SKETCH_AT:
+                own |= np.uint64(1) << ((key >> np.uint64(low)) & np.uint64(63))
+            words = np.zeros(1 << bits, np.uint64)
+            words[at[order[new]] - (of << bits)] = np.bitwise_or.reduceat(own[order], new)
+            return pa.table([pa.array([of], pa.int32()), pa.array([words.tobytes()])], names=["slice", "words"])
+
+        of = F.shiftrightunsigned(F.shiftrightunsigned("key", 32) * F.lit(slices).cast("long"), 32)
+        sliced = keys.select("key", of.alias("slice")).groupBy("slice").applyInArrow(put, "slice int, words binary")
+        self.stored = common.stored(sliced, "sketch", free=True)
+        self.path, self.slices, self.bits = self.stored.stored_at, slices, bits
+
+    def __getstate__(self):
+        return {"path": self.path, "slices": self.slices, "bits": self.bits}
+
+    @staticmethod
+    def at(keys: np.ndarray, n: int) -> np.ndarray:
+        """Which of ``n`` words each key has, in the order of the keys."""
+        return (((keys >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)).astype(np.int64)
+
+    def opened(self) -> Callable[[np.ndarray], np.ndarray]:
+        """Inside ``make``: the function that tells which keys it holds."""
+        size = 8 << self.bits
+
+        def build():
+            with tempfile.TemporaryFile() as file:
+                file.truncate(self.slices * size)
+                for rows in common.stored_rows(self.path, 4):
+                    for of, words in zip(rows["slice"].to_pylist(), rows["words"]):
+                        file.seek(of * size)
+                        file.write(words.as_buffer())
+                file.flush()
+                return np.frombuffer(mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ), np.uint64)
+
+        words = common.kept(self.path, build)
+
+        def holds(keys: np.ndarray) -> np.ndarray:
+            word, found = words[Sketch.at(keys, len(words))], np.uint64(1)
+            for low in SKETCH_AT:
+                found = found & (word >> ((keys >> np.uint64(low)) & np.uint64(63)))
+            return found == 1
+
+        return holds
 
 
 class Table:
@@ -158,20 +206,25 @@ class Summing:
             self.parts.append((begins, [c[at] for c in columns], times.astype(np.int32)))
             self.n += len(at)
 
-    def rows(self):
+    def merged(self) -> Iterator[tuple[np.ndarray, list[np.ndarray], np.ndarray]]:
+        """Sorted hashes, columns and times, a share at a time."""
         parts, self.parts, self.n = self.parts, [], 0
         for k in range(len(SHARES) + 1):
             some = [(slice(begins[k], begins[k + 1]), columns, times) for begins, columns, times in parts]
             columns = [np.concatenate([c[i][at] for at, c, _ in some]) for i in range(len(self.names))]
             times = np.concatenate([t[at] for at, _, t in some])
             by = self.hashed(*columns)
-            order = np.argsort(by, kind="stable")
-            new, _ = _runs(by[order])
-            if not len(new):
-                continue
-            columns = [c[order[new]].view(np.int64) for c in columns]
-            columns.append(np.add.reduceat(times[order], new, dtype=np.int64))
-            for first in range(0, len(new), 100_000):
+            order = np.argsort(by)
+            by = by[order]
+            new, _ = _runs(by)
+            if len(new):
+                columns = [c[order[new]] for c in columns]
+                yield by[new], columns, np.add.reduceat(times[order], new, dtype=np.int64)
+
+    def rows(self):
+        for _, columns, times in self.merged():
+            columns = [*(c.view(np.int64) for c in columns), times]
+            for first in range(0, len(times), 100_000):
                 part = [pa.array(c[first : first + 100_000]) for c in columns]
                 yield pa.RecordBatch.from_arrays(part, names=[*self.names, "n"])
 
@@ -196,16 +249,53 @@ def count_words(docs: DataFrame) -> DataFrame:
     return counted.repartition("key").groupBy("key").agg(F.sum("n").alias("n"))
 
 
-def count_ngrams(docs: DataFrame, sketch, known: int, orders: Sequence[int]) -> DataFrame:
+_PIECE = ["shard", "contexts", "kinds", "suffixes", "n"]
+
+
+def _pieces(held: Summing, shards: int) -> Iterator[pa.RecordBatch]:
+    """The n-grams that a task holds as bytes, by shard (a range of the hash values) and context."""
+    for by, (context, suffix), n in held.merged():
+        shard = (((by >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)).astype(np.int32)
+        out = []
+        for first, size in zip(*_runs(shard)):
+            of = first + np.argsort(context[first : first + size])
+            new, kinds = _runs(context[of])
+            out.append((shard[first], context[of[new]].tobytes(), _packed(kinds), suffix[of].tobytes(), _packed(n[of])))
+        kinds = (pa.int32(), *[pa.binary()] * 4)
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=_PIECE)
+
+
+def _summed(pieces: pa.Table) -> pa.Table:
+    """The n-grams of a shard that occur often enough in all its pieces."""
+    parts = []
+    for contexts, kinds, suffixes, n in zip(*(pieces[c] for c in _PIECE[1:])):
+        contexts, suffixes = (np.frombuffer(x.as_buffer(), np.uint64) for x in (contexts, suffixes))
+        contexts = np.repeat(contexts, _unpacked(kinds.as_py(), len(contexts)))
+        parts.append((contexts, suffixes, _unpacked(n.as_py(), len(suffixes)).astype(np.int32)))
+    context, suffix, n = (np.concatenate(x) for x in zip(*parts))
+    parts.clear()
+    by = ngram_key(context, suffix)
+    order = np.argsort(by)
+    new, _ = _runs(by[order])
+    n = np.add.reduceat(n[order], new, dtype=np.int64)
+    often = n >= LEAST
+    at = order[new[often]]
+    of = pa.array(np.full(len(at), pieces["order"][0].as_py(), np.int32))
+    columns = [of, context[at].view(np.int64), suffix[at].view(np.int64), n[often]]
+    return pa.table(columns, names=["order", "context", "suffix", "n"])
+
+
+def count_ngrams(docs: DataFrame, sketch: Sketch, known: int, orders: Sequence[int], shards: int) -> DataFrame:
     """Occurrences (order, context, suffix, n) of the n-grams of some orders, ``LEAST`` at least.
 
     Context and suffix are the keys of an n-gram's first and last n - 1 words. An n-gram
     can't occur more often than its parts: those that hold a ``known``-gram which the
-    sketch of the frequent enough ones doesn't hold are left out before the shuffle.
+    sketch of the frequent enough ones doesn't hold are left out before the shuffle. The
+    tasks pass on what they have summed up as arrays, one for each shard.
     """
 
     def make():
-        words, seen = Words(), sketch.value
+        words, holds = Words(), sketch.opened()
         held = {n: Summing(["context", "suffix"], ngram_key) for n in orders}
 
         def fn(batch):
@@ -214,7 +304,7 @@ def count_ngrams(docs: DataFrame, sketch, known: int, orders: Sequence[int]) ->
                 shorter = keys
                 for _ in range(1, known):
                     shorter = ngram_key(shorter[:-1], shorter[1:])
-                often = seen.holds(shorter)
+                often = holds(shorter)
                 for n in range(known + 1, max(orders) + 1):
                     context, at = ngrams(keys, doc, n, shorter)
                     if not len(at):
@@ -227,16 +317,15 @@ def count_ngrams(docs: DataFrame, sketch, known: int, orders: Sequence[int]) ->
                     shorter = ngram_key(context, shorter[1:][: len(context)])
             for n, sums in held.items():
                 if sums.parts and (batch is None or sums.n > HELD):
-                    for rows in sums.rows():
+                    for rows in _pieces(sums, shards):
                         order = pa.array(np.full(rows.num_rows, n, np.int32))
-                        yield pa.RecordBatch.from_arrays([order, *rows.columns], names=["order", *rows.schema.names])
+                        yield pa.RecordBatch.from_arrays([order, *rows.columns], names=["order", *_PIECE])
 
         return fn
 
-    counted = common.map_batches(docs, make, "order int, context long, suffix long, n long", finish=True)
-    ngram = ["order", "context", "suffix"]
-    counted = counted.repartition(*ngram).groupBy(*ngram).agg(F.sum("n").alias("n"))
-    return counted.where(F.col("n") >= LEAST)
+    schema = "order int, shard int, contexts binary, kinds binary, suffixes binary, n binary"
+    counted = common.map_batches(docs, make, schema, finish=True)
+    return counted.groupBy("order", "shard").applyInArrow(_summed, "order int, context long, suffix long, n long")
 
 
 def grow(grams: DataFrame, shorter: DataFrame) -> DataFrame:
@@ -317,23 +406,24 @@ def learn(training: DataFrame, depth: int = DEPTH) -> Tree:
     test alone decides. Words and n-grams are known by 64-bit hashes. One pass over the
     texts counts the words, and one the n-grams of each order, until there are none.
     """
-    sc = training.sparkSession.sparkContext
     counts = common.stored(count_words(training), "word-counts", free=True, rows=common.SLICE)
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     log0 = F.log10((F.col("n") + 1) / F.lit(float(total + distinct + 1)))
     shorter = counts.where(F.col("n") >= LEAST).select("key", "n", log0.alias("log"))
     found, grown, gone = [], 0, [counts]
+    shards = len(SHARES) + 1
+    shards *= 1 + int(total) // (shards * COUNTED)
     # the few n-grams beyond the third order are counted in one pass for two orders
     passes = [[2], [3], *[[n, n + 1] for n in range(4, depth + 2, 2)]]
     for orders in passes:
         orders = [n for n in orders if n <= depth + 1]
         if not orders or grown < orders[0] - 2:
             break
-        sketch = sc.broadcast(Sketch(shorter.select("key")))
+        sketch = Sketch(shorter.select("key"))
         grams = common.stored(
-            count_ngrams(training, sketch, orders[0] - 1, orders), "counted", free=True, rows=common.SLICE
+            count_ngrams(training, sketch, orders[0] - 1, orders, shards), "counted", free=True, rows=common.SLICE
         )
-        sketch.destroy()
+        common.dropped(sketch.stored)
         gone.append(grams)
         for n in orders:
             own = grams.where(F.col("order") == n).drop("order")
@@ -362,7 +452,7 @@ def learn(training: DataFrame, depth: int = DEPTH) -> Tree:
     rest = table.where((F.col("n") > 0) & ~frequent | (F.col("grams") > 0) & ~heavy)
     occurrences = rest.agg(F.sum(F.col("n") + F.col("grams"))).first()[0] or 0
     shards = 1 + int(occurrences) // SHARD
-    rest = common.stored(_shards_of(rest, shards), "rest")
+    rest = common.stored(_shards_of(rest, shards).repartition("shard"), "rest", ["shard"], free=True)
     common.dropped(table)
     return Tree(rest, shards, words, weights, sketch, int(total), int(distinct), grown)
 
@@ -396,8 +486,8 @@ class Asking:
         row, key, words, grams = (np.concatenate(x) for x in zip(*self.parts))
         self.parts, self.n = [], 0
         first = int(row.min())
-        shard = key.view(np.int64) % self.shards
-        order = np.lexsort((row, shard))
+        shard = (key.view(np.int64) % self.shards).astype(np.min_scalar_type(self.shards))
+        order = np.argsort(shard, kind="stable")  # the rows come in order
         row, key, words, grams, shard = (x[order] for x in (row, key, words, grams, shard))
         out = []
         for a, n in zip(*_runs(shard)):
@@ -450,31 +540,33 @@ def looked_up(asked: DataFrame, rest: DataFrame, norm: int) -> DataFrame:
     """Sums over what each text asks: row, log (log10 of the base probability), known and more.
 
     ``asked``: block (its first row) and the columns of ``Asking``. Blocks and table meet by
-    shard: a task reads a shard of the table, then one block's keys after another, and what
-    the block's texts get there goes back to the block in one row.
+    shard: a task reads a shard of the stored table, gets one block's keys after another, and
+    what the block's texts get there goes back to the block in one row.
     """
-    met = rest.withColumn("block", F.lit(None).cast("long")).unionByName(asked, allowMissingColumns=True)
-    met = met.repartition("shard").sortWithinPartitions("shard", F.col("block").asc_nulls_first())
-    met = met.select("shard", "block", "keys", "n", "weights", "at", "words", "grams")
-    zero = np.log10(1 / norm)
+    met = asked.repartition("shard").sortWithinPartitions("shard", "block")
+    met = met.select("shard", "block", "keys", "at", "words", "grams")
+    zero, path = np.log10(1 / norm), rest.stored_at
+
+    def opened(shard):
+        parts = []
+        for rows in common.stored_rows(f"{path}/shard={shard}", 16):
+            for keys, n, weights in zip(*(rows[c].to_pylist() for c in ("keys", "n", "weights"))):
+                keys = np.frombuffer(keys, np.int64)
+                parts.append([keys, _unpacked(n, len(keys)), np.frombuffer(weights, float)])
+        key, n, weight = [np.concatenate(x) for x in zip(*parts)] or [np.zeros(0, np.int64)] * 3
+        found = pa.table([key, np.arange(len(key))], names=["key", "at"])
+        return Table(found, "at"), n, np.log10((n + 1) / norm), weight
 
     def make():
-        at, parts, table = None, [], None
+        at, table = None, None
 
         def fn(batch):
-            nonlocal at, parts, table
+            nonlocal at, table
             out = []
-            for shard, block, keys, n, weights, row, words, grams in zip(*(c.to_pylist() for c in batch.columns)):
+            for shard, block, keys, row, words, grams in zip(*(c.to_pylist() for c in batch.columns)):
                 if shard != at:
-                    at, parts, table = shard, [], None
-                if block is None:
-                    keys = np.frombuffer(keys, np.int64)
-                    parts.append([keys, _unpacked(n, len(keys)), np.frombuffer(weights, float)])
-                    continue
-                if table is None:
-                    columns = [np.concatenate(x) for x in zip(*parts)] or [np.zeros(0, np.int64)] * 3
-                    found = pa.table([*columns, np.arange(len(columns[0]))], names=["key", "n", "weight", "at"])
-                    parts, table = [], (Table(found, "at"), columns[1], np.log10((columns[1] + 1) / norm), columns[2])
+                    table = None
+                    at, table = shard, opened(shard)
                 find, count, log, weight = table
                 place, hit = find(np.frombuffer(keys, np.uint64))
                 place = place.astype(np.int64)[hit]
@@ -533,8 +625,8 @@ def suffix_tree_scores(
         F.col(id_col).alias("_id"), out.alias("held_out"), F.col(text_col).alias("_text")
     )
     tree = learn(rows.where(~F.col("held_out")).select("_text"), depth)
-    shared = docs.sparkSession.sparkContext.broadcast((tree.words, tree.weights, tree.sketch))
-    grown = tree.depth
+    shared = docs.sparkSession.sparkContext.broadcast((tree.words, tree.weights))
+    grown, sketch = tree.depth, tree.sketch
     shards, most = tree.shards, ASKED
     rows = rows.withColumn("_row", F.monotonically_increasing_id())
     schema = T.StructType([T.StructField(c, rows.schema[c].dataType) for c in ("_row", "_id", "held_out")])
@@ -543,7 +635,7 @@ def suffix_tree_scores(
     names = schema.names
 
     def make():
-        words, (frequent, weights, sketch) = Words(), shared.value
+        words, (frequent, weights), holds = Words(), shared.value, sketch.opened()
         asking, id_type = Asking(shards), None
 
         def row_of(values, n):
@@ -569,13 +661,15 @@ def suffix_tree_scores(
                         of, own = doc[at], shorter[at]
                     else:
                         own = keys
-                    maybe = sketch.holds(own)
+                    maybe = holds(own)
                     of, own = of[maybe], own[maybe]
                     weight, hit = weights(own)
                     score += np.bincount(of, weights=weight, minlength=n)
                     parts.append((of[~hit], own[~hit], np.zeros(int((~hit).sum()), np.int32)))
                 of, own, is_word = (np.concatenate(x) for x in zip(*parts))
-                order = np.lexsort((own, of))
+                # by text and leading bits of the key; keys that are equal there but differ stay apart
+                bits = np.uint64(n.bit_length())
+                order = np.argsort((of.astype(np.uint64) << (np.uint64(64) - bits)) | (own >> bits))
                 of, own, is_word = of[order], own[order], is_word[order]
                 new = np.flatnonzero(np.r_[True, (of[1:] != of[:-1]) | (own[1:] != own[:-1])][: len(of)])
                 times = np.diff(np.r_[new, len(of)])
@@ -597,9 +691,17 @@ def suffix_tree_scores(
         return fn
 
     scored = common.map_batches(rows, make, schema, finish=True)
-    scored = common.stored(scored, "scored", rows=common.SLICE)
+    scored = common.stored(scored, "scored", rows=common.SLICE, codec="zstd")
     asked = scored.where("shard is not null").select(F.col("_row").alias("block"), *(f.name for f in common.fields(_ASKED)))
-    sums = common.stored(looked_up(asked, tree.rest, tree.norm), "looked-up", free=True, rows=16)
+    # the rows' numbers begin with that of their partition; files without some of them aren't read
+    last = (asked.agg(F.max("block")).first()[0] or 0) >> 33
+    ends = sorted({(last + 1) * k // ROUNDS << 33 for k in range(ROUNDS + 1)})
+    sums = None
+    for first, end in zip(ends, ends[1:]):
+        some = asked.where(F.col("block").between(first, end - 1))
+        found = common.stored(looked_up(some, tree.rest, tree.norm), "looked-up", free=True, rows=16)
+        sums = found if sums is None else sums.union(found)
+    common.dropped(tree.rest)
     joined = scored.where("shard is null").join(sums, F.col("_row") == F.col("row"), "left")
     log = F.coalesce("log", F.lit(0.0))
     return joined.select(
